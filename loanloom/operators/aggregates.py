@@ -172,8 +172,8 @@ def top_n(df: DataFrame, by: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
 
 
 def group_means(stats: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Unweighted means over groups, used as reference lines."""
-    return stats.agg(*[F.avg(c).alias(name) for c, name in columns.items()])
+    """Unweighted means over groups, used as reference lines; ``columns`` maps new name to column."""
+    return stats.agg(*[F.avg(source).alias(name) for name, source in columns.items()])
 
 
 def ecl(active: DataFrame, by: str = "risk_tier") -> DataFrame:

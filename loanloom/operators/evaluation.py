@@ -6,8 +6,6 @@ negatives per score, then running totals come from the bucketed kernel.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,25 +23,13 @@ def _counts(scored: DataFrame, label: str, score: str, buckets: int | None = Non
     )
 
 
-def _totals(scored: DataFrame, label: str, score: str) -> Column:
-    """Scalar struct with the numbers of positives ``p`` and negatives ``n``."""
-    rows = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    positive = F.when(F.col(label) == 1, 1).otherwise(0)
-    return rows.agg(F.struct(
-        F.coalesce(F.sum(positive), F.lit(0)).alias("p"),
-        F.coalesce(F.sum(F.lit(1) - positive), F.lit(0)).alias("n"),
-    )).scalar()
-
-
 def curve(scored: DataFrame, label: str = "target", score: str = "pred_prob", buckets: int | None = None) -> DataFrame:
     """One row per distinct score, highest first in meaning: counts, tpr and fpr at that threshold."""
-    size = _totals(scored, label, score)
     return _counts(scored, label, score, buckets).select(
         F.col(score).alias("threshold"), "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-        size.getField("p").alias("n_pos"), size.getField("n").alias("n_neg"),
-        E.ratio(F.col("cum_pos"), size.getField("p")).alias("tpr"),
-        E.ratio(F.col("cum_neg"), size.getField("n")).alias("fpr"),
+        F.col("all_pos").alias("n_pos"), F.col("all_neg").alias("n_neg"),
+        E.ratio("cum_pos", "all_pos").alias("tpr"), E.ratio("cum_neg", "all_neg").alias("fpr"),
         BUCKET,
     )
 
@@ -197,8 +183,7 @@ def thin_curve(points: DataFrame, n: int, order: str = "threshold") -> DataFrame
 
     Points are numbered by the ranking kernel, so long curves are not sorted in one task.
     """
-    size = points.agg(F.count(F.lit(1))).scalar()
-    numbered = running_totals(points.where(~F.col(order).isin(math.inf)), order, {"n": F.lit(1)}, descending=True)
-    every = F.greatest(F.lit(1), F.ceil(size / F.lit(float(n)))).cast("bigint")
+    numbered = running_totals(points.where(F.col(order) < float("inf")), order, {"n": F.lit(1)}, descending=True)
+    every = F.greatest(F.lit(1), F.ceil(F.col("all_n") / F.lit(float(n)))).cast("bigint")
     kept = numbered.where((F.col("cum_n") - 1) % every == 0).select(order)
     return points.join(kept, order)

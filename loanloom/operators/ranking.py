@@ -43,10 +43,12 @@ def running_totals(
     descending: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One row per distinct ``(by, value)`` with each measure ``m`` and its total ``cum_m``.
+    """One row per distinct ``(by, value)`` with each measure ``m``, its running total
+    ``cum_m`` and the total ``all_m`` of the whole group.
 
     ``measures`` are row expressions that get summed. ``cum_m`` includes the
-    row's own value; ``descending`` starts from the largest value.
+    row's own value; ``descending`` starts from the largest value. The input is
+    read twice: once for the bucket limits, once for the distinct values.
     """
     by = list(by)
     names = list(measures)
@@ -58,11 +60,14 @@ def running_totals(
     )
     arrange = F.desc if descending else F.asc
     earlier = Window.partitionBy(*by).orderBy(arrange(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*by)
+    # one row per bucket and group
     offsets = (
         distinct.groupBy(*by, BUCKET).agg(*[F.sum(n).alias(n) for n in names])
         .select(
             *[F.col(c).alias(f"__{c}") for c in [*by, BUCKET]],
             *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"__{n}") for n in names],
+            *[F.sum(n).over(everything).alias(f"all_{n}") for n in names],
         )
     )
     if not by:
@@ -75,15 +80,16 @@ def running_totals(
     return distinct.join(offsets, on).select(
         *by, value, BUCKET, *names,
         *[(F.col(f"__{n}") + F.sum(n).over(within)).alias(f"cum_{n}") for n in names],
+        *[f"all_{n}" for n in names],
     )
 
 
 def mid_ranks(df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None,
               buckets: int | None = None) -> DataFrame:
-    """Distinct values with their count ``n`` and tie-averaged rank ``mid_rank``."""
+    """Distinct values with their count ``n``, tie-averaged rank ``mid_rank`` and group size ``all_n``."""
     totals = running_totals(df, value, {"n": F.lit(1) if weight is None else weight}, by, buckets=buckets)
     return totals.select(
-        *by, value, "n", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias("mid_rank")
+        *by, value, "n", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias("mid_rank"), "all_n"
     )
 
 
@@ -100,16 +106,7 @@ def exact_quantiles(
     """
     by = list(by)
     totals = running_totals(df, value, {"n": F.lit(1)}, by, buckets=buckets)
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("__size"))
-    if by:
-        keyed = sizes.select(*[F.col(c).alias(f"__{c}") for c in by], "__size")
-        on = F.lit(True)
-        for c in by:
-            on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        totals = totals.join(keyed, on)
-        last = F.col("__size") - 1
-    else:
-        last = sizes.scalar() - 1
+    last = F.col("all_n") - 1
     first, picks, out = F.col("cum_n") - F.col("n"), [], []
     for name, p in probs.items():
         at = last * F.lit(float(p))

@@ -140,7 +140,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
         (F.col(x).cast("double") + 0.0).alias("x"), (F.col(y).cast("double") + 0.0).alias("y")
     )
     pairs = rows.groupBy("x", "y").agg(_n().alias("n"))
-    middle = (rows.agg(_n()).scalar() + 1) / 2.0
+    middle = (F.col("all_n") + 1) / 2.0
     rx = mid_ranks(rows, "x").select("x", (F.col("mid_rank") - middle).alias("rx"))
     ry = mid_ranks(rows, "y").select("y", (F.col("mid_rank") - middle).alias("ry"))
     ranked = pairs.join(rx, "x").join(ry, "y")

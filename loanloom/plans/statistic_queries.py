@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators import stats as T
@@ -40,7 +38,7 @@ WOE = {
         f"SELECT '{c}' AS attribute, CAST({c} AS DOUBLE) AS value, default_flag AS y FROM active WHERE default_flag IS NOT NULL AND {c} IS NOT NULL"
         for c in NUMERIC),
     "edges": "SELECT attribute, quantile_cont(value, [" + ", ".join(f"{i / 10}" for i in range(1, 10)) + "]) AS e FROM tall_num GROUP BY 1",
-    "tall": "SELECT attribute, lpad(CAST(len(list_filter(e, x -> value > x)) AS VARCHAR), 2, '0') AS bin, y FROM tall_num JOIN edges USING (attribute) UNION ALL "
+    "tall": "SELECT attribute, lpad(CAST(len([x FOR x IN e IF value > x]) AS VARCHAR), 2, '0') AS bin, y FROM tall_num JOIN edges USING (attribute) UNION ALL "
     + " UNION ALL ".join(f"SELECT '{c}', CAST({c} AS VARCHAR), default_flag FROM active WHERE default_flag IS NOT NULL AND {c} IS NOT NULL" for c in CATEGORICAL),
     "cells2": "SELECT attribute, bin, count(*) FILTER (WHERE y = 1) AS bad, count(*) FILTER (WHERE y = 0) AS good FROM tall GROUP BY 1, 2",
     "shares": """SELECT attribute, bin, bad, good, greatest(bad, 0.5e0) / sum(bad) OVER (PARTITION BY attribute) AS b,
@@ -63,7 +61,7 @@ def st2(spark, d):
 
 def _cramer_sql(a, b):
     return f"""
-SELECT n, {r('chi2')} AS chi2, CAST((r - 1) * (c - 1) AS BIGINT) AS dof, {r('sqrt(chi2 / n / (least(r, c) - 1))', 6)} AS cramers_v FROM (
+SELECT n, {r('chi2')} AS chi2, CAST((r - 1) * (c - 1) AS BIGINT) AS dof, {r('sqrt(chi2 / n / (least(r, c) - 1))')} AS cramers_v FROM (
  SELECT CAST(sum(n) AS BIGINT) AS n, sum(n) * (sum(n * n / (CAST(rn AS DOUBLE) * cn)) - 1) AS chi2, count(DISTINCT {a}) AS r, count(DISTINCT {b}) AS c FROM
   (SELECT {a}, {b}, CAST(n AS DOUBLE) AS n, sum(n) OVER (PARTITION BY {a}) AS rn, sum(n) OVER (PARTITION BY {b}) AS cn FROM
    (SELECT {a}, {b}, count(*) AS n FROM active WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)))"""
@@ -71,9 +69,7 @@ SELECT n, {r('chi2')} AS chi2, CAST((r - 1) * (c - 1) AS BIGINT) AS dof, {r('sqr
 
 @query("st3_cramers_v", _cramer_sql("employment_type", "risk_tier"))
 def st3(spark, d):
-    return T.cramers_v(R.active(spark, d), "employment_type", "risk_tier").withColumn("cramers_v", F.round("cramers_v", 6)).select(
-        "n", "chi2", "dof", F.col("cramers_v")
-    )
+    return T.cramers_v(R.active(spark, d), "employment_type", "risk_tier")
 
 
 @query("st3_chi_square_pvalue")
@@ -94,7 +90,7 @@ def st4(spark, d):
 @query("st4_mid_ranks", f"""
 SELECT DISTINCT monthly_income, count(*) OVER (PARTITION BY monthly_income) AS n, {MID.format('monthly_income')} AS mid_rank FROM customers""")
 def st4_ranks(spark, d):
-    return mid_ranks(R.customers(spark, d), "monthly_income")
+    return mid_ranks(R.customers(spark, d), "monthly_income").drop("all_n")
 
 
 RANKED = "(SELECT {1} AS g, {2} AS rk FROM active WHERE {0} IS NOT NULL AND {1} IS NOT NULL)"

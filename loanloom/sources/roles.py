@@ -147,8 +147,10 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = loans(spark, sf_dir).select("loan_id", (F.col("loan_id") % 41 / F.lit(100.0) + 0.25).alias("recovery_rate"))
-    return build_outcomes(loans(spark, sf_dir), loan_rollup(repayments(spark, sf_dir)), rates)
+    rate = F.col("loan_id") % 41 / F.lit(100.0) + 0.25
+    return build_outcomes(
+        loans(spark, sf_dir).withColumn("recovery_rate", rate), loan_rollup(repayments(spark, sf_dir))
+    )
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
