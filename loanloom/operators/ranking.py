@@ -32,7 +32,8 @@ def value_bounds(df: DataFrame, value: str, buckets: int | None = None) -> list[
 
 def _bucketed(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
     marked = Bucketizer(splits=bounds, inputCol=value, outputCol=BUCKET).transform(df)
-    return marked.withColumn(BUCKET, F.col(BUCKET).cast("int"))
+    # never null, so no null filter is pushed below the aggregate and both readers share one shuffle
+    return marked.withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(0)))
 
 
 def running_totals(
@@ -47,13 +48,14 @@ def running_totals(
     ``cum_m`` and the total ``all_m`` of the whole group.
 
     ``measures`` are row expressions that get summed. ``cum_m`` includes the
-    row's own value; ``descending`` starts from the largest value. The input is
-    read twice: once for the bucket limits, once for the distinct values.
+    row's own value; ``descending`` starts from the largest value. Rows with a
+    null key or value are left out. The input is read twice: once for the bucket
+    limits, once for the distinct values.
     """
     by = list(by)
     names = list(measures)
     # adding 0.0 makes -0.0 and 0.0 one value
-    rows = df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double") + F.lit(0.0))
+    rows = df.na.drop(subset=[*by, value]).withColumn(value, F.col(value).cast("double") + F.lit(0.0))
     bounds = value_bounds(rows, value, buckets)
     distinct = _bucketed(
         rows.groupBy(*by, value).agg(*[F.sum(m).alias(n) for n, m in measures.items()]), value, bounds
@@ -72,7 +74,7 @@ def running_totals(
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per bucket
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by] + [F.col(BUCKET) == F.col(f"__{BUCKET}")]
+    same = [F.col(c) == F.col(f"__{c}") for c in [*by, BUCKET]]
     within = Window.partitionBy(*by, BUCKET).orderBy(arrange(value)).rowsBetween(Window.unboundedPreceding, 0)
     on = same[0]
     for cond in same[1:]:
