@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,9 +224,10 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     return frame.withColumn("category", E.feature_category("feature"))
 
 
-def add_rank(df: DataFrame, by: str, n: int | None = None) -> DataFrame:
-    """Rank 1.. by a column of a short, already aggregated list (ties by feature name)."""
-    from pyspark.sql import Window
+def add_rank(df: DataFrame, by: str, n: int) -> DataFrame:
+    """Rank the ``n`` largest rows by a column, ties by feature name.
 
-    ranked = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(by), "feature")))
-    return ranked if n is None else ranked.where(F.col("rank") <= n)
+    The list is cut before it is numbered, so the numbering window sees ``n`` rows.
+    """
+    order = [F.desc(by), F.asc("feature")]
+    return df.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))

@@ -16,16 +16,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
-MAX_BUCKETS = 4_000
+MAX_BUCKETS = 2_000
 
 
 def value_bounds(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Strictly increasing bucket limits, open at both ends."""
-    if buckets is None:
-        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(buckets, MAX_BUCKETS))
+    """Strictly increasing bucket limits, open at both ends.
+
+    Input partitions are summarised in slices first, so that no single task
+    has to merge the percentile sketch of every partition. The limits decide
+    how even the buckets are, never the result.
+    """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2, min(4 * slices if buckets is None else buckets, MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(value), probs, max(10_000, 10 * buckets))).first()
+
+    def sketch(c: str) -> Column:
+        return F.percentile_approx(F.col(c), probs, max(1_000, 4 * buckets))
+
+    per_slice = df.groupBy((F.spark_partition_id() % slices).alias("slice")).agg(sketch(value).alias("q"))
+    row = per_slice.select(F.explode("q").alias("v")).agg(sketch("v")).first()
     inner = sorted({float(v) for v in (row[0] or [])}) or [0.0]
     return [float("-inf"), *inner, float("inf")]
 

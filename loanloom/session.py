@@ -14,8 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A join on (loan_id, installment_no) may reuse data already hashed on loan_id.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Split a skewed join side even where that costs one more shuffle later.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

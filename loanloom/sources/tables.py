@@ -43,7 +43,8 @@ def write_table(
 def write_repayments(rep: DataFrame, path: str) -> None:
     """Repayments laid out by due month, so monthly reads prune to their folders."""
     monthly = rep.withColumn("due_month", to_month("due_date"))
-    write_table(monthly, path, partition_by="due_month")
+    # adaptive rebalancing: few files per month, and a month with most of the rows is split
+    write_table(monthly.hint("rebalance", "due_month"), path, partition_by="due_month")
 
 
 def write_artifacts(frames: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
