@@ -131,23 +131,26 @@ def signal_medians(signals: DataFrame) -> DataFrame:
     return exact_medians(signals, LAGGED_SIGNALS)
 
 
-def lag_median(signals: DataFrame, max_rows: int | None = None) -> DataFrame:
+def lag_median(signals: DataFrame, max_rows: int | None = None, medians: DataFrame | None = None) -> DataFrame:
     """Adds ``<column>_1m`` and ``<column>_2m``; missing lags take the column's global median."""
-    medians = signal_medians(signals).select(F.struct(*LAGGED_SIGNALS)).scalar()
+    medians = signal_medians(signals) if medians is None else medians
+    fill = medians.select(F.struct(*LAGGED_SIGNALS)).scalar()
     groups = ordered_groups(signals, "loan_id", ["month"], REACH_BACK, 0, max_rows)
     w = groups.window()
     return groups.finish(groups.frame.withColumns({
-        f"{c}_{n}m": lag_or(c, n, w, medians.getField(c)) for c in LAGGED_SIGNALS for n in (1, 2)
+        f"{c}_{n}m": lag_or(c, n, w, fill.getField(c)) for c in LAGGED_SIGNALS for n in (1, 2)
     }))
 
 
-def signal_features(signals: DataFrame, max_rows: int | None = None) -> DataFrame:
+def signal_features(
+    signals: DataFrame, max_rows: int | None = None, medians: DataFrame | None = None
+) -> DataFrame:
     """Bank-behaviour features, one row per loan and month.
 
     Names follow the published feature list: the "30d" column averages three
     rows and the spending flag named 3m looks at two.
     """
-    out = lag_median(signals, max_rows)
+    out = lag_median(signals, max_rows, medians)
 
     def at(c: str, *lags: int) -> list[Column]:
         return [F.col(c)] + [F.col(f"{c}_{n}m") for n in lags]
@@ -216,11 +219,17 @@ def fill_constants(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
     })
 
 
-def fill_medians(df: DataFrame, source: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """Fill nulls with exact medians of ``source``; ``columns`` maps target to source column."""
+def fill_medians(
+    df: DataFrame, source: DataFrame, columns: Mapping[str, str] | Sequence[str], medians: DataFrame | None = None
+) -> DataFrame:
+    """Fill nulls with exact medians of ``source``; ``columns`` maps target to source column.
+
+    ``medians`` may bring a one-row frame that has them already.
+    """
     pairs = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     names = sorted(set(pairs.values()))
-    medians = exact_medians(source, names).select(F.struct(*names)).scalar()
+    medians = exact_medians(source, names) if medians is None else medians
+    fill = medians.select(F.struct(*medians.columns)).scalar()
     return df.withColumns({
-        c: F.coalesce(F.col(c).cast("double"), medians.getField(src)) for c, src in pairs.items()
+        c: F.coalesce(F.col(c).cast("double"), fill.getField(src)) for c, src in pairs.items()
     })

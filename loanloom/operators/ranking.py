@@ -1,7 +1,8 @@
 """Global order statistics without a single-task sort.
 
 Everything here starts from the distinct values of a column with their counts.
-Values are put into buckets with bounds taken from approximate percentiles (a
+A column measured to have few distinct values takes the direct way: Spark's own
+``percentile``, or one window over the distinct values. Otherwise values are put into buckets with bounds taken from approximate percentiles (a
 few thousand numbers on the driver at most); running totals are formed inside
 a bucket and shifted by the totals of the buckets before it. Ties are already
 merged, so no bucket can be flooded by one popular value.
@@ -10,6 +11,7 @@ merged, so no bucket can be flooded by one popular value.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,26 +19,52 @@ from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
 MAX_BUCKETS = 2_000
+SMALL_DISTINCT = 200_000  # this many distinct values may share one task
 
 
-def value_bounds(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Strictly increasing bucket limits, open at both ends.
+@dataclass(frozen=True)
+class ValueStats:
+    """Bucket limits of a column and an upper estimate of its distinct values."""
+
+    bounds: list[float]
+    distinct: int
+
+    @property
+    def small(self) -> bool:
+        return self.distinct <= SMALL_DISTINCT
+
+
+def value_stats(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> dict[str, ValueStats]:
+    """Measure numeric columns in one pass over ``df``.
 
     Input partitions are summarised in slices first, so that no single task
-    has to merge the percentile sketch of every partition. The limits decide
-    how even the buckets are, never the result.
+    has to merge the percentile sketch of every partition. The numbers only
+    choose the execution path and the bucket limits, never a result.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2, min(4 * slices if buckets is None else buckets, MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
 
-    def sketch(c: str) -> Column:
-        return F.percentile_approx(F.col(c), probs, max(1_000, 4 * buckets))
+    def sketch(c: Column) -> Column:
+        return F.percentile_approx(c.cast("double"), probs, max(1_000, 4 * buckets))
 
-    per_slice = df.groupBy((F.spark_partition_id() % slices).alias("slice")).agg(sketch(value).alias("q"))
-    row = per_slice.select(F.explode("q").alias("v")).agg(sketch("v")).first()
-    inner = sorted({float(v) for v in (row[0] or [])}) or [0.0]
-    return [float("-inf"), *inner, float("inf")]
+    per_slice = df.groupBy((F.spark_partition_id() % slices).alias("slice")).agg(*[
+        F.struct(sketch(F.col(c)).alias("q"), F.approx_count_distinct(c).alias("d")).alias(c) for c in columns
+    ])
+    tall = per_slice.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(f"{c}.q").alias("q"), F.col(f"{c}.d").alias("d")) for c in columns
+    ])).alias("s")).select("s.name", "s.d", F.posexplode_outer("s.q").alias("pos", "v"))
+    rows = tall.groupBy("name").agg(
+        sketch(F.col("v")).alias("q"), F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("d"))).alias("d")
+    ).collect()  # one row per column
+    found = {r["name"]: r for r in rows}
+    out = {}
+    for c in columns:
+        q, d = (found[c]["q"], found[c]["d"]) if c in found else (None, 0)
+        inner = sorted({float(v) for v in (q or [])}) or [0.0]
+        # approximate counts may be a few percent low
+        out[c] = ValueStats([float("-inf"), *inner, float("inf")], int((d or 0) * 1.25))
+    return out
 
 
 def _bucketed(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
@@ -52,26 +80,35 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     buckets: int | None = None,
+    stats: ValueStats | None = None,
 ) -> DataFrame:
     """One row per distinct ``(by, value)`` with each measure ``m``, its running total
     ``cum_m`` and the total ``all_m`` of the whole group.
 
     ``measures`` are row expressions that get summed. ``cum_m`` includes the
     row's own value; ``descending`` starts from the largest value. Rows with a
-    null key or value are left out. The input is read twice: once for the bucket
-    limits, once for the distinct values.
+    null key or value are left out. The input is read twice: once to measure it
+    (unless ``stats`` is given), once for the distinct values.
     """
     by = list(by)
     names = list(measures)
     # adding 0.0 makes -0.0 and 0.0 one value
     rows = df.na.drop(subset=[*by, value]).withColumn(value, F.col(value).cast("double") + F.lit(0.0))
-    bounds = value_bounds(rows, value, buckets)
-    distinct = _bucketed(
-        rows.groupBy(*by, value).agg(*[F.sum(m).alias(n) for n, m in measures.items()]), value, bounds
-    )
+    stats = stats or value_stats(rows, [value], buckets)[value]
+    distinct = rows.groupBy(*by, value).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+    if stats.small:
+        distinct = distinct.withColumn(BUCKET, F.lit(0))
+    else:
+        distinct = _bucketed(distinct, value, stats.bounds)
     arrange = F.desc if descending else F.asc
     earlier = Window.partitionBy(*by).orderBy(arrange(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by)
+    if stats.small:
+        upto = everything.orderBy(arrange(value)).rowsBetween(Window.unboundedPreceding, 0)
+        return distinct.select(
+            *by, value, BUCKET, *names, *[F.sum(n).over(upto).alias(f"cum_{n}") for n in names],
+            *[F.sum(n).over(everything).alias(f"all_{n}") for n in names],
+        )
     # one row per bucket and group
     offsets = (
         distinct.groupBy(*by, BUCKET).agg(*[F.sum(n).alias(n) for n in names])
@@ -110,13 +147,21 @@ def exact_quantiles(
     probs: dict[str, float],
     by: Sequence[str] = (),
     buckets: int | None = None,
+    stats: ValueStats | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of ``probs``.
 
-    Equals ``percentile`` but never gathers a group's distinct values in one task.
+    Equals ``percentile``, which is used for columns measured to be small; a
+    larger group's distinct values are never gathered in one task.
     """
     by = list(by)
-    totals = running_totals(df, value, {"n": F.lit(1)}, by, buckets=buckets)
+    rows = df.na.drop(subset=[*by, value])
+    stats = stats or value_stats(rows, [value], buckets)[value]
+    if stats.small:
+        return rows.groupBy(*by).agg(*[
+            F.percentile(F.col(value).cast("double"), float(p)).alias(name) for name, p in probs.items()
+        ])
+    totals = running_totals(rows, value, {"n": F.lit(1)}, by, stats=stats)
     last = F.col("all_n") - 1
     first, picks, out = F.col("cum_n") - F.col("n"), [], []
     for name, p in probs.items():
@@ -133,10 +178,15 @@ def exact_quantiles(
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """One row holding the exact median of each column, under the column's own name."""
     columns = list(columns)
+    stats = value_stats(df, columns, buckets)
+    if all(v.small for v in stats.values()):
+        return df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
     tall = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
     ])).alias("cell")).select("cell.name", "cell.value")
-    medians = exact_quantiles(tall, "value", {"median": 0.5}, by=["name"], buckets=buckets)
+    limits = sorted({b for v in stats.values() for b in v.bounds})
+    joint = ValueStats(limits, sum(v.distinct for v in stats.values()))
+    medians = exact_quantiles(tall, "value", {"median": 0.5}, ["name"], stats=joint)
     return medians.agg(*[
         F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in columns
     ])

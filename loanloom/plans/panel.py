@@ -26,11 +26,12 @@ def build_panel(
         X.repayment_features(repayments, max_rows, censored), min_history, max_bucket
     )
     orig = X.origination_features(loans, customers)
-    panel = attach_signals(obs, X.signal_features(signals, max_rows), mode)
+    medians = X.signal_medians(signals)
+    panel = attach_signals(obs, X.signal_features(signals, max_rows, medians), mode)
     panel = attach_origination(panel, orig)
     panel = panel.withColumn("months_since_origination", F.col("installment_no"))
     panel = X.fill_constants(panel, X.SIGNAL_CONSTANTS)
-    panel = X.fill_medians(panel, signals, X.SIGNAL_MEDIAN_FILLS)
+    panel = X.fill_medians(panel, signals, X.SIGNAL_MEDIAN_FILLS, medians)
     # Signal rows never multiply observations, so these medians need only the two narrow inputs.
     narrow = attach_origination(
         obs.select("loan_id"), orig.select("loan_id", *X.PANEL_MEDIAN_FILLS)
