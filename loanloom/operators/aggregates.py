@@ -76,6 +76,10 @@ SEGMENT_MEASURES = {
 }
 
 
+def measure_columns(measures: Sequence[str]) -> dict[str, Column]:
+    return {m: SEGMENT_MEASURES[m]() for m in measures}
+
+
 def segment_stats(
     active: DataFrame,
     by: str = "risk_tier",
@@ -84,7 +88,7 @@ def segment_stats(
         "avg_ltv", "avg_rar_pct",
     ),
 ) -> DataFrame:
-    return known(active, by).groupBy(by).agg(*[SEGMENT_MEASURES[m]().alias(m) for m in measures])
+    return known(active, by).groupBy(by).agg(*[c.alias(m) for m, c in measure_columns(measures).items()])
 
 
 def channel_stats(active: DataFrame) -> DataFrame:
@@ -109,14 +113,12 @@ def channel_stats_with_exits(active: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def product_stats(active: DataFrame) -> DataFrame:
-    stats = segment_stats(active, "product_type", (
+    measures = measure_columns((
         "n_loans", "default_rate_pct", "avg_ticket", "avg_apr_pct", "avg_tenure",
         "profitable_pct", "avg_ltv", "avg_rar_pct",
     ))
-    medians = exact_quantiles(
-        known(active, "product_type"), "ticket_size", {"median_ticket": 0.5}, ["product_type"]
-    )
-    return share_of_total(stats.join(medians, "product_type", "left"), "n_loans", "volume_pct")
+    stats = exact_quantiles(active, "ticket_size", {"median_ticket": 0.5}, ["product_type"], measures)
+    return share_of_total(stats, "n_loans", "volume_pct")
 
 
 def banded_rate(active: DataFrame, band: Column, out: str = "band") -> DataFrame:

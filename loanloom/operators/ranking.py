@@ -132,10 +132,11 @@ def running_totals(
     )
 
 
-def mid_ranks(df: DataFrame, value: str, by: Sequence[str] = (), weight: Column | None = None,
-              buckets: int | None = None) -> DataFrame:
+def mid_ranks(
+    df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None, stats: ValueStats | None = None
+) -> DataFrame:
     """Distinct values with their count ``n``, tie-averaged rank ``mid_rank`` and group size ``all_n``."""
-    totals = running_totals(df, value, {"n": F.lit(1) if weight is None else weight}, by, buckets=buckets)
+    totals = running_totals(df, value, {"n": F.lit(1)}, by, buckets=buckets, stats=stats)
     return totals.select(
         *by, value, "n", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias("mid_rank"), "all_n"
     )
@@ -146,21 +147,26 @@ def exact_quantiles(
     value: str,
     probs: dict[str, float],
     by: Sequence[str] = (),
+    extra: dict[str, Column] | None = None,
     buckets: int | None = None,
     stats: ValueStats | None = None,
 ) -> DataFrame:
-    """Exact interpolated quantiles per group, one column per entry of ``probs``.
+    """Exact interpolated quantiles per group, one column per entry of ``probs``,
+    together with the ordinary aggregates in ``extra``.
 
-    Equals ``percentile``, which is used for columns measured to be small; a
-    larger group's distinct values are never gathered in one task.
+    Equals ``percentile``, which is used, in the same pass as ``extra``, for
+    columns measured to be small; a larger group's distinct values are never
+    gathered in one task.
     """
-    by = list(by)
-    rows = df.na.drop(subset=[*by, value])
+    by, extra = list(by), extra or {}
+    others = [e.alias(name) for name, e in extra.items()]
+    rows = df.na.drop(subset=by) if by else df
     stats = stats or value_stats(rows, [value], buckets)[value]
     if stats.small:
-        return rows.groupBy(*by).agg(*[
-            F.percentile(F.col(value).cast("double"), float(p)).alias(name) for name, p in probs.items()
-        ])
+        cuts = F.percentile(F.col(value).cast("double"), [float(p) for p in probs.values()]).alias("__q")
+        return rows.groupBy(*by).agg(*others, cuts).select(
+            *by, *extra, *[F.col("__q")[i].alias(name) for i, name in enumerate(probs)]
+        )
     totals = running_totals(rows, value, {"n": F.lit(1)}, by, stats=stats)
     last = F.col("all_n") - 1
     first, picks, out = F.col("cum_n") - F.col("n"), [], []
@@ -172,7 +178,13 @@ def exact_quantiles(
         picks.append(F.max(at - F.floor(at)).alias(f"__part_{name}"))
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((lo + (hi - lo) * F.col(f"__part_{name}")).alias(name))
-    return totals.groupBy(*by).agg(*picks).select(*by, *out)
+    cuts = totals.groupBy(*by).agg(*picks).select(*by, *out)
+    if not extra:
+        return cuts
+    if by:
+        return rows.groupBy(*by).agg(*others).join(cuts, by, "left")
+    found = cuts.select(F.struct(*probs)).scalar()
+    return rows.agg(*others).withColumns({name: found.getField(name) for name in probs})
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:

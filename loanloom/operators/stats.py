@@ -14,7 +14,7 @@ from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators.aggregates import known, share_of_total
 from loanloom.operators.ordered import ordered_groups
-from loanloom.operators.ranking import exact_quantiles, mid_ranks, pearson_of
+from loanloom.operators.ranking import exact_quantiles, mid_ranks, pearson_of, value_stats
 
 
 def _n() -> Column:
@@ -141,38 +141,35 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     )
     pairs = rows.groupBy("x", "y").agg(_n().alias("n"))
     middle = (F.col("all_n") + 1) / 2.0
-    rx = mid_ranks(rows, "x").select("x", (F.col("mid_rank") - middle).alias("rx"))
-    ry = mid_ranks(rows, "y").select("y", (F.col("mid_rank") - middle).alias("ry"))
+    measured = value_stats(rows, ["x", "y"])
+    rx = mid_ranks(rows, "x", stats=measured["x"]).select("x", (F.col("mid_rank") - middle).alias("rx"))
+    ry = mid_ranks(rows, "y", stats=measured["y"]).select("y", (F.col("mid_rank") - middle).alias("ry"))
     ranked = pairs.join(rx, "x").join(ry, "y")
     return pearson_of(ranked, F.col("rx"), F.col("ry"), F.col("n"))
 
 
-def rank_sums(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Size and rank sum of each group under joint tie-averaged ranking."""
+def rank_sums(df: DataFrame, value: str, group: str) -> tuple[DataFrame, Column]:
+    """Size and rank sum of each group under joint tie-averaged ranking, and the
+    tie term, the sum of t^3 - t over runs of t equal values."""
     rows = known(df, value, group).withColumn(value, F.col(value).cast("double") + 0.0)
     per_value = rows.groupBy(value, group).agg(_n().alias("m"))
-    ranks = mid_ranks(rows, value).select(value, "mid_rank")
-    return per_value.join(ranks, value).groupBy(group).agg(
+    ranks = mid_ranks(rows, value).select(value, "n", "mid_rank")
+    t = F.col("n").cast("double")
+    ties = ranks.agg(F.sum(t * t * t - t)).scalar()
+    sums = per_value.join(ranks.drop("n"), value).groupBy(group).agg(
         F.sum("m").alias("n"), F.sum(F.col("m") * F.col("mid_rank")).alias("rank_sum")
     )
-
-
-def _tie_sum(df: DataFrame, value: str, group: str) -> DataFrame:
-    """sum(t^3 - t) over groups of equal values."""
-    t = F.col("count").cast("double")
-    rows = known(df, value, group).groupBy((F.col(value).cast("double") + 0.0).alias("v")).count()
-    return rows.agg(F.sum(t * t * t - t).alias("ties"))
+    return sums, ties
 
 
 def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction, and its degrees of freedom."""
-    sums = rank_sums(df, value, group)
+    sums, ties = rank_sums(df, value, group)
     total = sums.agg(
         F.sum("n").cast("double").alias("n"), _n().alias("groups"),
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("q"),
     )
     n = F.col("n")
-    ties = _tie_sum(df, value, group).scalar()
     raw = F.col("q") * 12.0 / (n * (n + 1)) - (n + 1) * 3.0
     return total.select(
         E.ratio(raw, F.lit(1.0) - ties / (n * n * n - n)).alias("h"),
@@ -182,14 +179,13 @@ def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def mann_whitney(df: DataFrame, value: str, flag: str) -> DataFrame:
     """Mann-Whitney U of the flagged rows, and the tie-corrected z score."""
-    sums = rank_sums(df, value, flag)
+    sums, ties = rank_sums(df, value, flag)
     one = F.col(flag) == 1
     stats = sums.agg(
         F.sum(F.when(one, F.col("n"))).cast("double").alias("n1"),
         F.sum(F.when(~one, F.col("n"))).cast("double").alias("n0"),
         F.sum(F.when(one, F.col("rank_sum"))).alias("r1"),
     )
-    ties = _tie_sum(df, value, flag).scalar()
     n1, n0 = F.col("n1"), F.col("n0")
     n = n1 + n0
     u = F.col("r1") - n1 * (n1 + 1) / 2.0
@@ -275,13 +271,12 @@ def rate_ci(df: DataFrame, flag: str, z: float = 1.96) -> DataFrame:
 
 def distribution(df: DataFrame, column: str, by: str, bias_corrected: bool = False) -> DataFrame:
     """Mean, median, P90 and skew per group; population skew unless corrected."""
-    rows = known(df, by, column)
     skew = F.skewness(column)
     n = _n().cast("double")
     if bias_corrected:
         skew = F.when(n > 2, skew * F.sqrt(n * (n - 1)) / (n - 2))
-    shape = rows.groupBy(by).agg(_n().alias("n"), F.avg(column).alias("mean"), skew.alias("skew"))
-    return shape.join(exact_quantiles(rows, column, {"median": 0.5, "p90": 0.9}, [by]), by)
+    shape = {"n": _n(), "mean": F.avg(column), "skew": skew}
+    return exact_quantiles(known(df, by, column), column, {"median": 0.5, "p90": 0.9}, [by], shape)
 
 
 def predefault_windows(
@@ -325,16 +320,10 @@ def lgd_stats(active: DataFrame, by: str | None = None) -> DataFrame:
     shortfall = F.col("loss_given_default") + F.col("recovery_amount")
     d = d.withColumn("recovery_rate_pct", E.pct("recovery_amount", shortfall))
     keys = [by] if by else []
-    d = known(d, *keys) if keys else d
-    basic = d.groupBy(*keys).agg(
-        _n().alias("n"), F.avg("loss_given_default").alias("mean_lgd"),
-        F.stddev_samp("loss_given_default").alias("std_lgd"),
-        F.avg("recovery_rate_pct").alias("mean_recovery_pct"),
-    )
-    middle = exact_quantiles(d, "loss_given_default", {"median_lgd": 0.5}, keys)
-    if keys:
-        return basic.join(middle, by, "left")
-    return basic.withColumn("median_lgd", middle.select("median_lgd").scalar())
+    return exact_quantiles(d, "loss_given_default", {"median_lgd": 0.5}, keys, {
+        "n": _n(), "mean_lgd": F.avg("loss_given_default"),
+        "std_lgd": F.stddev_samp("loss_given_default"), "mean_recovery_pct": F.avg("recovery_rate_pct"),
+    })
 
 
 def festival_uplift(rep: DataFrame) -> DataFrame:
@@ -353,14 +342,10 @@ def co_shock_rate(signals: DataFrame) -> DataFrame:
 
 
 def grade_pricing(active: DataFrame) -> DataFrame:
-    rows = known(active, "origination_risk_grade")
-    stats = rows.groupBy("origination_risk_grade").agg(
-        (F.avg("apr") * 100.0).alias("mean_apr_pct"), (F.avg("default_flag") * 100.0).alias("default_rate_pct")
-    )
-    medians = exact_quantiles(rows, "apr", {"median_apr": 0.5}, ["origination_risk_grade"])
-    return stats.join(medians, "origination_risk_grade").withColumn(
-        "median_apr_pct", F.col("median_apr") * 100.0
-    ).drop("median_apr")
+    stats = exact_quantiles(active, "apr", {"median_apr": 0.5}, ["origination_risk_grade"], {
+        "mean_apr_pct": F.avg("apr") * 100.0, "default_rate_pct": F.avg("default_flag") * 100.0,
+    })
+    return stats.withColumn("median_apr_pct", F.col("median_apr") * 100.0).drop("median_apr")
 
 
 def net_ltv(active: DataFrame) -> DataFrame:

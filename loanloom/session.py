@@ -48,6 +48,9 @@ def local_session(cpus: str | int = "*", app: str = "loanloom", partitions: int
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # no call-site capture per expression: it dominates the time to build short plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanloom.functions import exprs as E
 from loanloom.operators.aggregates import loan_rollup
@@ -16,8 +17,16 @@ from loanloom.operators.joins import build_master, build_outcomes
 from loanloom.operators.ordered import number_within
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A star-schema table; its file footer is consulted for the schema once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    memo = (spark.sparkContext.applicationId, path)
+    if memo not in _schemas:
+        _schemas[memo] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[memo]).parquet(path)
 
 
 def _pick(key: Column, labels: list[str], other: str) -> Column:
@@ -146,15 +155,15 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_loans.join(days, "customer_id")
 
 
-def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outcomes(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    base = loans(spark, sf_dir) if base is None else base
     rate = F.col("loan_id") % 41 / F.lit(100.0) + 0.25
-    return build_outcomes(
-        loans(spark, sf_dir).withColumn("recovery_rate", rate), loan_rollup(repayments(spark, sf_dir))
-    )
+    return build_outcomes(base.withColumn("recovery_rate", rate), loan_rollup(repayments(spark, sf_dir)))
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_master(loans(spark, sf_dir), customers(spark, sf_dir), outcomes(spark, sf_dir))
+    base = loans(spark, sf_dir)
+    return build_master(base, customers(spark, sf_dir), outcomes(spark, sf_dir, base))
 
 
 def active(spark: SparkSession, sf_dir: str) -> DataFrame:
