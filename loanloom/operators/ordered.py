@@ -161,7 +161,8 @@ def latest_per(df: DataFrame, key: str | Sequence[str], order: Sequence[str], fi
     """
     keys = [key] if isinstance(key, str) else list(key)
     pick = F.min_by if first else F.max_by
-    rank = F.struct(*[F.col(c) for c in order])
+    # a plain column keeps the hash aggregate; a struct would need a sort
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     values = [
         pick(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c)
         for c in df.columns if c not in keys
