@@ -10,22 +10,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions import exprs as E
-from loanloom.operators.ranking import BUCKET, running_totals
+from loanloom.operators.ranking import BUCKET, ValueStats, running_totals, value_stats
 
 CLASS_NAMES = ("Non-Delinquent", "Will-Delinquent")
 
 
-def _counts(scored: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
+def _counts(
+    scored: DataFrame, label: str, score: str, buckets: int | None = None, stats: ValueStats | None = None
+) -> DataFrame:
     positive = F.when(F.col(label) == 1, 1).otherwise(0)
     measures = {"pos": positive, "neg": F.lit(1) - positive}
     return running_totals(
-        scored.where(F.col(label).isNotNull()), score, measures, descending=True, buckets=buckets
+        scored.where(F.col(label).isNotNull()), score, measures, descending=True, buckets=buckets, stats=stats
     )
 
 
-def curve(scored: DataFrame, label: str = "target", score: str = "pred_prob", buckets: int | None = None) -> DataFrame:
-    """One row per distinct score, highest first in meaning: counts, tpr and fpr at that threshold."""
-    return _counts(scored, label, score, buckets).select(
+def curve(
+    scored: DataFrame, label: str = "target", score: str = "pred_prob", buckets: int | None = None,
+    stats: ValueStats | None = None,
+) -> DataFrame:
+    """One row per distinct score: counts, tpr and fpr when that score is the threshold."""
+    return _counts(scored, label, score, buckets, stats).select(
         F.col(score).alias("threshold"), "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
         F.col("all_pos").alias("n_pos"), F.col("all_neg").alias("n_neg"),
@@ -43,9 +48,14 @@ def roc_points(
     A point is collinear when the step that leads to it equals the step that
     leaves it; such points can be dropped without changing the curve.
     """
-    points = curve(scored, label, score, buckets)
-    if drop_intermediate:
-        step = F.struct("pos", "neg")
+    scores = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    stats = value_stats(scores.select(F.col(score).cast("double").alias(score)), [score], buckets)[score]
+    points = curve(scored, label, score, buckets, stats)
+    step = F.struct("pos", "neg")
+    if drop_intermediate and stats.small:
+        following = F.lead(step, 1).over(Window.orderBy(F.desc("threshold")))  # few distinct scores
+        points = points.withColumn("__next", following)
+    elif drop_intermediate:
         later = Window.orderBy(F.desc(BUCKET))  # one row per bucket
         heads = points.groupBy(BUCKET).agg(F.max_by(step, "threshold").alias("head")).select(
             F.col(BUCKET).alias("__b"), F.lead("head", 1).over(later).alias("__next")
@@ -54,8 +64,9 @@ def roc_points(
         points = (
             points.join(F.broadcast(heads), F.col(BUCKET) == F.col("__b"))
             .withColumn("__next", F.coalesce(F.lead(step, 1).over(within), F.col("__next")))
-            .where(F.col("__next").isNull() | (F.col("__next") != step))
         )
+    if drop_intermediate:
+        points = points.where(F.col("__next").isNull() | (F.col("__next") != step))
     origin = scored.sparkSession.createDataFrame(
         [(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double"
     )

@@ -22,6 +22,9 @@ MAX_BUCKETS = 2_000
 SMALL_DISTINCT = 200_000  # this many distinct values may share one task
 
 
+_measured: dict[tuple, dict] = {}
+
+
 @dataclass(frozen=True)
 class ValueStats:
     """Bucket limits of a column and an upper estimate of its distinct values."""
@@ -39,8 +42,16 @@ def value_stats(df: DataFrame, columns: Sequence[str], buckets: int | None = Non
 
     Input partitions are summarised in slices first, so that no single task
     has to merge the percentile sketch of every partition. The numbers only
-    choose the execution path and the bucket limits, never a result.
+    choose the execution path and the bucket limits, never a result, so they
+    are remembered for the same plan.
     """
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(columns), buckets)
+    if memo not in _measured:
+        _measured[memo] = _measure(df, columns, buckets)
+    return _measured[memo]
+
+
+def _measure(df: DataFrame, columns: Sequence[str], buckets: int | None) -> dict[str, ValueStats]:
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(2, min(4 * slices if buckets is None else buckets, MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
