@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, token_files
+from loanloom.llm import chat, fm_index, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -65,3 +65,39 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id bigint, turn bigint, role string, text string")
     segments = Scratch(spark, "op5").store(chat.format_conversations(turns.unionByName(extra)))
     return chat.read_conversations(segments)
+
+
+_WORDS7 = ("regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+OP7_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS7.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS7.format("coalesce(text, '')")} AS w FROM benchmark),
+bw AS (
+  SELECT item_id, least(10, len(w)) AS n, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS i, w FROM b WHERE len(w) > 0
+), win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM bw),
+lens AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, unnest(generate_series(1, len(w) - n + 1)) AS i, w FROM d, lens WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, item_id, win.n, i FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM dw) x
+  JOIN win ON win.s = x.s AND win.n = x.n
+), h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY 1),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@query(OP7_SQL)
+def op7_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document, found through an FM-index per shard."""
+    found = fm_index.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                   table(spark, sf_dir, "benchmark", "item_id", "text"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
