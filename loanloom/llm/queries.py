@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, token_files
+from loanloom.llm import chat, fm_index, pii, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -22,6 +22,24 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and discovered spans of personal data in every document."""
+    found = pii.find_pii(table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark, "op2"))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        number = pii.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] < pii.KINDS.index("id"))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(told(base), 256).alias("base_sha256"),
+                        told(F.col("spans")).alias("spans"))
+
+
 @query()
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, write the shards, and read each document back through the index."""
