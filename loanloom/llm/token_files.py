@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -45,14 +46,16 @@ _INDEX_FIELDS = ("seeds", "prints", "slots")
 
 # A space after a non-space always starts a new piece of the byte-level pattern, so text may be cut there.
 _INNER = re.compile(r"\s ")
+_MARKS = ".,;:!?#%&$*|"
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file; ids of parts seen before come from a bounded cache.
+    """Encodes texts with a tokenizer file; ids of parts seen before come from bounded caches.
 
     Byte-level pre-tokenization never joins a word with a space that follows it, so a text
     whose spaces all follow a non-space is the concatenation of its space-led parts. Any other
-    text goes to the tokenizer whole. Ids always come from the tokenizers library.
+    text goes to the tokenizer whole. In the same way a part of letters and trailing marks is
+    its letters and its marks. Ids always come from the tokenizers library.
     """
 
     def __init__(self, path: str):
@@ -62,29 +65,70 @@ class Encoder:
         # ids above 2^16 need wider integers
         self.id_bytes = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.id_bytes}")
+        self.code = {2: "H", 4: "I"}[self.id_bytes]
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add_words(self, new: list[str]) -> None:
+        """Encode words without inner white space, many in one text: a line end is always an id of its own."""
+        for at in range(0, len(new), 2_000):
+            some = new[at:at + 2_000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.line_end[0]) * self.id_bytes).tolist()
+            if len(cuts) == len(some) - 1:
+                self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *[c + self.id_bytes for c in cuts]], [*cuts, len(raw)])]))
+            else:
+                self.words.update(zip(some, self._ids(some)))
+
+    def _add(self, parts: list[str]) -> None:
+        words, odd, plain, cores, tails = self.words, [], [], [], []
+        for part in parts:
+            core = part.rstrip(_MARKS)
+            if core.lstrip(" ").isalpha():
+                plain.append(part)
+                cores.append(core)
+                tails.append(part[len(core):])
+            else:
+                odd.append(part)
+        words.setdefault("", b"")
+        self._add_words([x for x in {*cores, *tails} if x not in words])
+        self.parts.update(zip(plain, [words[c] + words[t] for c, t in zip(cores, tails)]))
+        for at in range(0, len(odd), 50_000):
+            self.parts.update(zip(odd[at:at + 50_000], self._ids(odd[at:at + 50_000])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.parts) > CACHE_ENTRIES:
+            self.parts.clear()
+        if len(self.words) > 3 * CACHE_ENTRIES:
+            self.words.clear()
+        parts, get = self.parts, self.parts.get
         split: list[list[str] | None] = []
+        known: list[list[bytes | None] | None] = []
+        missing: set[str] = set()
         for text in texts:
             if _INNER.search(text):
                 split.append(None)
+                known.append(None)
+                continue
+            head, *rest = text.split(" ")
+            mine = [" " + x for x in rest]
+            if head:
+                mine.insert(0, head)
+            got = list(map(get, mine))
+            if None in got:
+                missing.update([x for x, g in zip(mine, got) if g is None])
+                split.append(mine)
             else:
-                head, *rest = text.split(" ")
-                split.append([head, *[" " + x for x in rest]] if head else [" " + x for x in rest])
-        if len(self.parts) > CACHE_ENTRIES:
-            self.parts.clear()
-        parts = self.parts
-        missing = list({x for p in split if p is not None for x in p} - parts.keys())
-        for at in range(0, len(missing), 50_000):
-            some = missing[at:at + 50_000]
-            parts.update(zip(some, self._ids(some)))
-        whole = iter(self._ids([t for t, p in zip(texts, split) if p is None]))
-        return [next(whole) if p is None else b"".join([parts[x] for x in p]) for p in split]
+                split.append([])
+            known.append(got)
+        self._add(list(missing))
+        whole = iter(self._ids([t for t, k in zip(texts, known) if k is None]))
+        return [next(whole) if k is None else b"".join([parts[x] if g is None else g for x, g in zip(p, k)] if p else k)
+                for p, k in zip(split, known)]
 
 
 _encoders: dict[str, Encoder] = {}
