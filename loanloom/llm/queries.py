@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, pii, token_files
+from loanloom.llm import chat, fm_index, jaccard, pii, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -119,3 +119,10 @@ def op7_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.link_documents(docs, Scratch(spark, "op6"), size=3, num=90, den=100).drop("class_id")
