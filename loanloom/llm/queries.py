@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, jaccard, pii, token_files
+from loanloom.llm import chat, fm_index, jaccard, pii, suffix_trees, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -126,3 +126,28 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return jaccard.link_documents(docs, Scratch(spark, "op6"), size=3, num=90, den=100).drop("class_id")
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)
+), hit AS (
+  SELECT doc_id, i FROM win JOIN (SELECT s, min(doc_id) AS first FROM win GROUP BY s) USING (s) WHERE doc_id > first
+), gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM hit),
+g AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1),
+kept AS (
+  SELECT doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS s
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) x ANTI JOIN gone USING (doc_id, p) GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(OP9_SQL)
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words inside 50-word windows that also start in a document with a smaller id go."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_trees.remove_repeats(docs, Scratch(spark, "op9"), window=50).drop("spans")
