@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, jaccard, pii, suffix_trees, token_files
+from loanloom.llm import chat, fm_index, hnsw, jaccard, pii, suffix_trees, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -151,3 +151,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words inside 50-word windows that also start in a document with a smaller id go."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return suffix_trees.remove_repeats(docs, Scratch(spark, "op9"), window=50).drop("spans")
+
+
+@query()
+def op1_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10, Scratch(spark, "op1"))
