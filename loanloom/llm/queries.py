@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, hnsw, jaccard, pii, suffix_trees, token_files
+from loanloom.llm import chat, fm_index, hnsw, jaccard, pii, suffix_trees, templates, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -158,3 +158,10 @@ def op1_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10, Scratch(spark, "op1"))
+
+
+@query()
+def op4_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by its host's template."""
+    found = templates.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"), Scratch(spark, "op4"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
