@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, hnsw, jaccard, pii, suffix_trees, templates, token_files
+from loanloom.llm import chat, fm_index, hnsw, jaccard, mixing, pii, quality, suffix_trees, templates, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -165,3 +165,48 @@ def op4_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page, by its host's template."""
     found = templates.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"), Scratch(spark, "op4"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier evidence, site posteriors and verdict of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    found = quality.judge(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), Scratch(spark, "op8"))
+    return found.select("doc_id", "source", "lang", "__verdict.*")
+
+
+def _op10_sql() -> str:
+    text = "coalesce(text, '')"
+    topic = "CASE " + " ".join(f"WHEN contains({text}, '{mark}') THEN '{name}'" for name, mark in mixing.TOPICS) + " ELSE 'prose' END"
+    steps, last = [], "t0"
+    for i, d in enumerate(mixing.DIMENSIONS):
+        steps.append(f"a{i} AS (SELECT *, pow(CAST(sum(tokens) OVER (PARTITION BY {d}) AS DOUBLE), {mixing.ALPHA}) AS aim, "
+                     f"count(*) OVER (PARTITION BY {d}) AS size FROM {last})")
+        steps.append(f"t{i + 1} AS (SELECT * EXCLUDE (aim, size), aim / sum(aim / size) OVER () AS to_{d} FROM a{i})")
+        last = f"t{i + 1}"
+    for r in range(mixing.ROUNDS):
+        for d in mixing.DIMENSIONS:
+            name = f"r{r}_{d}"
+            steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (share * to_{d} / sum(share) OVER (PARTITION BY {d}) AS share) FROM {last})")
+            last = name
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic,
+    len(regexp_extract_all({text}, '{mixing.WORD}')) AS tokens FROM documents
+), t0 AS (
+  SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) AS DOUBLE) AS share FROM d GROUP BY ALL
+), {", ".join(steps)}, p AS (
+  SELECT source, lang, topic, round(least(1.0, {mixing.KEEP_TOKENS} * sum(tokens) OVER () * share / tokens), 9) AS probability FROM {last}
+)
+SELECT doc_id, source, lang, topic, round(probability, 6) AS probability,
+  CAST('0x' || md5('{mixing.SEED}:' || doc_id)[1:13] AS BIGINT) / CAST({16**13} AS DOUBLE) < probability AS keep
+FROM d JOIN p USING (source, lang, topic)
+"""
+
+
+@query(_op10_sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability and draw of every document, raked to tempered marginals."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    found = mixing.mix(docs, Scratch(spark, "op10")).select("doc_id", "__mix.*")
+    return found.withColumn("probability", F.round("probability", 6))
