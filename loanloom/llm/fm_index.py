@@ -255,7 +255,7 @@ def _shards(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.Tabl
 
 
 def _apply(docs: DataFrame, phrases: Phrases, schema: T.StructType,
-           emit: Callable[[pa.Table, list[Found]], dict[str, pa.Array]]) -> DataFrame:
+           emit: Callable[[pa.Table, list[Found]], tuple[pa.Table, dict[str, pa.Array]]]) -> DataFrame:
     spark, names = docs.sparkSession, docs.columns
     shared = spark.sparkContext.broadcast(phrases)
     text_at, out_names = names.index("text"), schema.names
@@ -263,7 +263,7 @@ def _apply(docs: DataFrame, phrases: Phrases, schema: T.StructType,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, text_at):
             found = scan_shard(shard.column(text_at).to_pylist(), shared.value)
-            columns = emit(shard, found)
+            shard, columns = emit(shard, found)
             yield from pa.table({n: columns.get(n) if n in columns else shard.column(n) for n in out_names}).to_batches()
 
     return docs.mapInArrow(run, schema)
@@ -284,12 +284,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     but some. Null and empty texts have no words. Rows repeat as given; items without an id hit
     words but are not listed. An empty benchmark hits nothing.
     """
-    def first(shard: pa.Table, found: list[Found]) -> dict[str, pa.Array]:
-        return {"n_words": pa.array([f[0] for f in found], pa.int64()),
-                "spans": pa.array([[{"start": s, "end": e} for s, e in f[1]] for f in found], _SPANS),
-                "items": pa.array([f[2] for f in found], pa.list_(pa.int64()))}
+    def first(shard: pa.Table, found: list[Found]) -> tuple[pa.Table, dict[str, pa.Array]]:
+        return shard, {"n_words": pa.array([f[0] for f in found], pa.int64()),
+                       "spans": pa.array([[{"start": s, "end": e} for s, e in f[1]] for f in found], _SPANS),
+                       "items": pa.array([f[2] for f in found], pa.list_(pa.int64()))}
 
-    def more(shard: pa.Table, found: list[Found]) -> dict[str, pa.Array]:
+    def more(shard: pa.Table, found: list[Found]) -> tuple[pa.Table, dict[str, pa.Array]]:
         both = [(n, merge([*s, *((x["start"], x["end"]) for x in old)]), sorted({*i, *ids}))
                 for (n, s, i), old, ids in zip(found, shard.column("spans").to_pylist(), shard.column("items").to_pylist())]
         return first(shard, both)
@@ -302,19 +302,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     return out.select(*FOUND_SCHEMA.names)
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, drop_emptied: bool = False) -> DataFrame:
     """``docs`` with the words of the removal spans cut from ``text``, and ``n_chars`` (if there) set anew.
 
-    Untouched texts stay as they are. Other columns pass through, whatever their names.
+    Untouched texts stay as they are. Other columns pass through, whatever their names. With
+    ``drop_emptied`` rows whose every word is cut go.
     """
-    def emit(shard: pa.Table, found: list[Found]) -> dict[str, pa.Array]:
+    def emit(shard: pa.Table, found: list[Found]) -> tuple[pa.Table, dict[str, pa.Array]]:
         texts = shard.column("text").to_pylist()
-        texts = [cut(t, f[1]) if f[1] else t for t, f in zip(texts, found)]
+        if drop_emptied:
+            left = [not f[1] or sum(e - s for s, e in f[1]) < f[0] for f in found]
+            texts = [cut(t, f[1]) if f[1] else t for t, f, k in zip(texts, found, left) if k]
+            found, shard = [f for f, k in zip(found, left) if k], shard.filter(pa.array(left, pa.bool_()))
+        else:
+            texts = [cut(t, f[1]) if f[1] else t for t, f in zip(texts, found)]
         out = {"text": pa.array(texts, pa.string())}
         if "n_chars" in shard.column_names:
             old = shard.column("n_chars")
             out["n_chars"] = pa.array([len(t) if f[1] else n for t, f, n in zip(texts, found, old.to_pylist())], old.type)
-        return out
+        return shard, out
 
     for phrases in phrase_blocks(benchmark, size):
         docs = _apply(docs, phrases, docs.schema, emit)
