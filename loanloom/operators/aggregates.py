@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.functions import exprs as E
@@ -27,10 +27,15 @@ def count_rows() -> Column:
     return F.count(F.lit(1))
 
 
+def over_groups(aggregate: Column) -> Column:
+    """An aggregate over all rows of an already aggregated frame: a window over one row per group,
+    so that what lies below is planned and run once."""
+    return aggregate.over(Window.partitionBy())
+
+
 def share_of_total(df: DataFrame, column: str, out: str) -> DataFrame:
     """Adds ``column`` as percent of its total over the (already aggregated) frame."""
-    total = df.agg(F.sum(column)).scalar()
-    return df.withColumn(out, E.pct(column, total))
+    return df.withColumn(out, E.pct(column, over_groups(F.sum(column))))
 
 
 def known(df: DataFrame, *keys: str) -> DataFrame:
@@ -53,7 +58,7 @@ def portfolio_kpis(active: DataFrame) -> DataFrame:
 
 def collection_efficiency(rep: DataFrame) -> DataFrame:
     """Plain mean of the monthly paid/due ratios, months not weighted by size."""
-    monthly = rep.groupBy(E.to_month("due_date").alias("due_month")).agg(
+    monthly = known(rep, "due_date").groupBy(E.to_month("due_date").alias("due_month")).agg(
         F.sum("amount_paid").alias("paid"), F.sum("emi_due").alias("due")
     )
     return monthly.agg(F.avg(E.pct("paid", "due")).alias("collection_efficiency_pct"))
@@ -201,7 +206,7 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def class_balance(panel: DataFrame, label: str = "target") -> DataFrame:
-    return share_of_total(panel.groupBy(label).agg(count_rows().alias("n")), "n", "share_pct")
+    return share_of_total(known(panel, label).groupBy(label).agg(count_rows().alias("n")), "n", "share_pct")
 
 
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -217,7 +222,7 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 # --- repayments -------------------------------------------------------------
 
 def monthly_kpis(rep: DataFrame, trim: bool = True) -> DataFrame:
-    months = rep.groupBy(E.to_month("due_date").alias("due_month")).agg(
+    months = known(rep, "due_date").groupBy(E.to_month("due_date").alias("due_month")).agg(
         F.sum("emi_due").alias("total_due"),
         F.sum("amount_paid").alias("total_paid"),
         F.sum(_on_time()).alias("on_time_cnt"),
@@ -233,13 +238,14 @@ def monthly_kpis(rep: DataFrame, trim: bool = True) -> DataFrame:
 
 def trim_edges(df: DataFrame, order_col: str) -> DataFrame:
     """Without the first and the last period."""
-    ends = df.agg(F.struct(F.min(order_col).alias("lo"), F.max(order_col).alias("hi"))).scalar()
-    return df.where((F.col(order_col) > ends.getField("lo")) & (F.col(order_col) < ends.getField("hi")))
+    at = F.col(order_col)
+    inside = (at > over_groups(F.min(order_col))) & (at < over_groups(F.max(order_col)))
+    return df.withColumn("__inside", inside).where("__inside").drop("__inside")
 
 
 def loan_rollup(rep: DataFrame) -> DataFrame:
     status = F.when(F.col("loan_status").isNotNull(), F.col("installment_no"))
-    return rep.groupBy("loan_id").agg(
+    return known(rep, "loan_id").groupBy("loan_id").agg(
         F.sum("amount_paid").alias("total_paid"),
         F.count("installment_no").alias("installments"),
         F.max("dpd").alias("max_dpd"),
@@ -249,7 +255,7 @@ def loan_rollup(rep: DataFrame) -> DataFrame:
 
 
 def seasonal_rate(rep: DataFrame) -> DataFrame:
-    return rep.groupBy(F.month("due_date").alias("cal_month")).agg(
+    return known(rep, "due_date").groupBy(F.month("due_date").alias("cal_month")).agg(
         (F.avg(_on_time()) * 100.0).alias("on_time_pct"),
         F.max(E.month_name("due_date")).alias("month_name"),
     )

@@ -6,6 +6,8 @@ negatives per score, then running totals come from the bucketed kernel.
 
 from __future__ import annotations
 
+from math import pi, sqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,15 +97,23 @@ def ks(scored: DataFrame, label: str = "target", score: str = "pred_prob") -> Da
     ).withColumn("ks_pct", F.col("ks") * 100)
 
 
-def ks_pvalue(d: Column | str = "ks", n: Column | str = "n_pos", m: Column | str = "n_neg", terms: int = 100) -> Column:
-    """Asymptotic p-value: the Kolmogorov series at sqrt(nm / (n + m)) * D."""
+def ks_pvalue(d: Column | str = "ks", n: Column | str = "n_pos", m: Column | str = "n_neg", terms: int = 20) -> Column:
+    """Asymptotic p-value: the Kolmogorov distribution at sqrt(nm / (n + m)) * D.
+
+    Of its two series each is taken where it converges within a few terms, so D = 0 gives 1.
+    """
     n, m = E.as_col(n).cast("double"), E.as_col(m).cast("double")
     lam2 = n * m / (n + m) * E.as_col(d) * E.as_col(d)
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam2),
     )
-    return E.clip(2.0 * series, 0.0, 1.0)
+    theta = F.aggregate(
+        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
+        lambda acc, k: acc + F.exp(-(2.0 * k - 1.0) * (2.0 * k - 1.0) * (pi * pi / 8.0) / lam2),
+    )
+    near_zero = 1.0 - F.lit(sqrt(2.0 * pi)) / F.sqrt(lam2) * theta
+    return F.when(lam2 <= 0, 1.0).when(lam2 < 1.18 * 1.18, E.clip(near_zero, 0.0, 1.0)).otherwise(E.clip(2.0 * series, 0.0, 1.0))
 
 
 def youden(

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from loanloom import schema as S
 from loanloom.functions import exprs as E
+from loanloom.operators.aggregates import over_groups
 from loanloom.session import ensure_checkpoint_dir
 
 
@@ -211,8 +212,7 @@ def category_importance(summary: DataFrame, value: str = "mean_abs") -> DataFram
     by_group = summary.groupBy(E.feature_category("feature").alias("category")).agg(
         F.sum(value).alias("importance")
     )
-    total = by_group.agg(F.sum("importance")).scalar()
-    return by_group.withColumn("share_pct", E.pct("importance", total))
+    return by_group.withColumn("share_pct", E.pct("importance", over_groups(F.sum("importance"))))
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str] = tuple(S.FEATURES)) -> DataFrame:

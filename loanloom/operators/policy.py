@@ -146,11 +146,13 @@ def tenure_breach(loans: DataFrame) -> DataFrame:
     caps = fixed_table(
         loans.sparkSession, S.TENURE_CAPS, "__product string, __tier string, tenure_cap int"
     )
-    on = (F.col("product_type") == F.col("__product")) & (
-        F.col("__tier").isNull() | (F.col("risk_tier") == F.col("__tier"))
-    )
-    breach = E.flag(F.col("tenure_months") > F.col("tenure_cap"))
-    return loans.join(caps, on, "left").drop("__product", "__tier").withColumn("tenure_breach", breach)
+    # the tightest cap for any tier, and for the loan's own: a loan meets one row of each
+    general = caps.where("__tier IS NULL").groupBy("__product").agg(F.min("tenure_cap").alias("__any"))
+    own = caps.where("__tier IS NOT NULL").groupBy(F.col("__product").alias("__same"), "__tier").agg(F.min("tenure_cap").alias("__own"))
+    capped = loans.join(F.broadcast(general), F.col("product_type") == F.col("__product"), "left").join(
+        F.broadcast(own), (F.col("product_type") == F.col("__same")) & (F.col("risk_tier") == F.col("__tier")), "left")
+    capped = capped.withColumn("tenure_cap", F.least("__any", "__own")).drop("__product", "__same", "__tier", "__any", "__own")
+    return capped.withColumn("tenure_breach", E.flag(F.col("tenure_months") > F.col("tenure_cap")))
 
 
 def ticket_breach(loans: DataFrame) -> DataFrame:
@@ -162,22 +164,18 @@ def ticket_breach(loans: DataFrame) -> DataFrame:
 
 def growth_quadrant(stats: DataFrame) -> DataFrame:
     """Products against the unweighted mean default and profitable rates."""
-    cut = A.group_means(stats, {"d": "default_rate_pct", "p": "profitable_pct"})
-    line = cut.select(F.struct("d", "p")).scalar()
-    safe = F.col("default_rate_pct") <= line.getField("d")
-    profitable = F.col("profitable_pct") >= line.getField("p")
+    safe = F.col("default_rate_pct") <= A.over_groups(F.avg("default_rate_pct"))
+    profitable = F.col("profitable_pct") >= A.over_groups(F.avg("profitable_pct"))
     quadrant = (
-        F.when(safe & profitable, "grow aggressively").when(profitable, "grow selectively")
-        .when(safe, "manage carefully").otherwise("restrict or reprice")
+        F.when(F.col("__safe") & F.col("__profitable"), "grow aggressively").when(F.col("__profitable"), "grow selectively")
+        .when(F.col("__safe"), "manage carefully").otherwise("restrict or reprice")
     )
-    return stats.withColumn("quadrant", quadrant)
+    return stats.withColumns({"__safe": safe, "__profitable": profitable}).withColumn("quadrant", quadrant).drop("__safe", "__profitable")
 
 
 def double_penalty(stats: DataFrame) -> DataFrame:
     """Channels dearer and riskier than the mean channel."""
-    cut = A.group_means(stats, {"c": "avg_cac", "d": "default_rate_pct"})
-    line = cut.select(F.struct("c", "d")).scalar()
-    hit = (F.col("avg_cac") > line.getField("c")) & (F.col("default_rate_pct") > line.getField("d"))
+    hit = (F.col("avg_cac") > A.over_groups(F.avg("avg_cac"))) & (F.col("default_rate_pct") > A.over_groups(F.avg("default_rate_pct")))
     return stats.withColumn("double_penalty", E.flag(hit))
 
 
@@ -186,9 +184,10 @@ def mix_shift(stats: DataFrame, source: str, target: str, pct: float) -> DataFra
     from one channel to another (no more than the source has)."""
     n = F.col("n_loans").cast("double")
     name = F.col("acquisition_channel")
-    total = stats.agg(F.sum("n_loans").cast("double")).scalar()
-    available = stats.where(name == source).agg(F.coalesce(F.sum("n_loans"), F.lit(0)).cast("double")).scalar()
-    moved = F.least(total * (pct / 100.0), available)
+    total = A.over_groups(F.sum("n_loans")).cast("double")
+    available = F.coalesce(A.over_groups(F.sum(F.when(name == source, F.col("n_loans")))), F.lit(0)).cast("double")
+    stats = stats.withColumn("__moved", F.least(total * (pct / 100.0), available))
+    moved = F.col("__moved")
     after = n + F.when(name == source, -moved).when(name == target, moved).otherwise(0.0)
     frame = stats.withColumns({"__before": n, "__after": after})
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanloom import schema as S
 from loanloom.functions import exprs as E
-from loanloom.operators.aggregates import rate_pivot
+from loanloom.operators.aggregates import over_groups, rate_pivot
 from loanloom.operators.joins import fixed_table
 from loanloom.operators.ordered import latest_per
 
@@ -29,12 +29,11 @@ def scorecard_summary(bucketed: DataFrame) -> DataFrame:
         (F.avg("target") * 100.0).alias("actual_delinquency_rate"),
         F.sum("target").alias("__caught"),
     )
-    total = stats.agg(F.struct(F.sum("n").alias("n"), F.sum("__caught").alias("d"))).scalar()
     return stats.select(
         F.col("risk_bucket").alias("bucket"), "n",
-        E.pct("n", total.getField("n")).alias("share_pct"), "mean_prob",
+        E.pct("n", over_groups(F.sum("n"))).alias("share_pct"), "mean_prob",
         "actual_delinquency_rate",
-        F.coalesce(E.pct("__caught", total.getField("d")), F.lit(0.0)).alias("catch_rate"),
+        F.coalesce(E.pct("__caught", over_groups(F.sum("__caught"))), F.lit(0.0)).alias("catch_rate"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from loanloom import schema as S
 from loanloom.functions import exprs as E
-from loanloom.operators.aggregates import known, share_of_total
+from loanloom.operators.aggregates import known, over_groups, share_of_total
 from loanloom.operators.ordered import ordered_groups
 from loanloom.operators.ranking import exact_quantiles, mid_ranks, pearson_of, value_stats
 
@@ -111,15 +111,13 @@ def cramers_v(df: DataFrame, a: str, b: str) -> DataFrame:
     Uses sum(n^2 / (row * column)), so absent cells need not be materialised.
     """
     cells = known(df, a, b).groupBy(a, b).agg(_n().alias("n"))
-    rows = cells.groupBy(F.col(a).alias("__a")).agg(F.sum("n").alias("row_n"))
-    cols = cells.groupBy(F.col(b).alias("__b")).agg(F.sum("n").alias("col_n"))
     n = F.col("n").cast("double")
-    stats = (
-        cells.join(rows, F.col(a) == F.col("__a")).join(cols, F.col(b) == F.col("__b"))
-        .agg(F.sum(n * n / (F.col("row_n").cast("double") * F.col("col_n"))).alias("phi"),
-             F.sum("n").alias("n"))
+    margins = cells.withColumns({"row_n": F.sum("n").over(Window.partitionBy(a)), "col_n": F.sum("n").over(Window.partitionBy(b))})
+    stats = margins.agg(
+        F.sum(n * n / (F.col("row_n").cast("double") * F.col("col_n"))).alias("phi"), F.sum("n").alias("n"),
+        F.count_distinct(a).alias("r"), F.count_distinct(b).alias("c"),
     )
-    r, c = rows.agg(_n()).scalar(), cols.agg(_n()).scalar()
+    r, c = F.col("r"), F.col("c")
     chi2 = F.col("n") * (F.col("phi") - 1.0)
     return stats.select(
         "n", chi2.alias("chi2"), ((r - 1) * (c - 1)).alias("dof"),
@@ -199,8 +197,7 @@ def anova_f(df: DataFrame, value: str, group: str) -> DataFrame:
     groups = known(df, value, group).groupBy(group).agg(
         _n().cast("double").alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v")
     )
-    grand = groups.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("g")).scalar()
-    gap = F.col("m") - grand
+    gap = F.col("m") - over_groups(F.sum(F.col("n") * F.col("m"))) / over_groups(F.sum("n"))
     sums = groups.withColumn("b", F.col("n") * gap * gap).agg(
         F.sum("b").alias("between"),
         F.sum(F.col("n") * F.col("v")).alias("within"),
@@ -353,7 +350,7 @@ def net_ltv(active: DataFrame) -> DataFrame:
     stats = known(active, "acquisition_channel").groupBy("acquisition_channel").agg(
         F.avg("customer_ltv").alias("avg_ltv"), F.avg("cost_of_acquisition").alias("avg_cac")
     )
-    cheapest = stats.agg(F.min("avg_cac")).scalar()
+    cheapest = over_groups(F.min("avg_cac"))
     return stats.withColumns({
         "net_ltv": F.col("avg_ltv") - F.col("avg_cac"), "cac_spread": E.ratio("avg_cac", cheapest),
     })
@@ -375,7 +372,7 @@ def segment_channel_matrix(active: DataFrame) -> DataFrame:
 
 def repeat_share(loans: DataFrame) -> DataFrame:
     """Share of customers with more than one loan."""
-    per_customer = loans.groupBy("customer_id").agg(_n().alias("n"))
+    per_customer = known(loans, "customer_id").groupBy("customer_id").agg(_n().alias("n"))
     return per_customer.agg(
         _n().alias("n_customers"), F.count_if(F.col("n") > 1).alias("n_repeat"),
         (F.avg((F.col("n") > 1).cast("int")) * 100.0).alias("repeat_pct"),
@@ -387,7 +384,7 @@ def mom_change(df: DataFrame, month: str, column: str, drop: float = 0.05) -> Da
 
     The window runs over one row per month.
     """
-    monthly = df.groupBy(month).agg(F.avg(column).alias("mean_value"))
+    monthly = known(df, month).groupBy(month).agg(F.avg(column).alias("mean_value"))
     change = F.col("mean_value") - F.lag("mean_value").over(Window.orderBy(month))
     return monthly.withColumn("mom_change", change).withColumn("alert", E.flag(F.col("mom_change") < -drop))
 

@@ -46,7 +46,8 @@ def ev4(spark, d):
 
 
 @query("ev5_ks_pvalue", f"""
-SELECT {r('''greatest(0e0, least(1e0, 2 * list_sum([(CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END) * exp(-2e0 * k * k * lam) FOR k IN range(1, 101)])))''', 6)} AS p_value
+SELECT {r('''CASE WHEN lam = 0 THEN 1e0 ELSE greatest(0e0, least(1e0, 1 - sqrt(2 * pi()) / sqrt(lam)
+  * list_sum([exp(-(2e0 * k - 1) * (2e0 * k - 1) * pi() * pi() / (8 * lam)) FOR k IN range(1, 2000)]))) END''', 6)} AS p_value
 FROM (SELECT CAST(n_pos AS DOUBLE) * n_neg / (n_pos + n_neg) * ks * ks AS lam FROM
   (SELECT max(abs(tpr - fpr)) AS ks, max(n_pos) AS n_pos, max(n_neg) AS n_neg FROM rates))""", digits=6)
 def ev5(spark, d):

@@ -89,11 +89,13 @@ def test_single_class(spark):
 
 
 def test_ks_pvalue(spark):
-    row = spark.createDataFrame([(0.2, 100, 100), (1.0, 50, 50)], "ks double, n_pos int, n_neg int")
-    got = [r[0] for r in row.select(V.ks_pvalue()).collect()]
-    lam = 0.2 * np.sqrt(50)
-    assert got[0] == pytest.approx(2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 101)))
-    assert got[1] < 1e-15
+    # Kolmogorov's distribution at lambda: published table values
+    table = {0.0: 1.0, 0.4: 0.9972, 0.8: 0.5441, 1.0: 0.2700, 1.17: 0.1294, 1.19: 0.1177, 1.36: 0.0495, 1.63: 0.0098}
+    rows = [(float(lam / np.sqrt(5000)), 10_000, 10_000) for lam in table] + [(0.001, 100, 100), (0.05, 100, 100), (1.0, 50, 50)]
+    frame = spark.createDataFrame(rows, "ks double, n_pos int, n_neg int").coalesce(1)
+    got = [r[0] for r in frame.select(V.ks_pvalue()).collect()]
+    assert got[:len(table)] == pytest.approx(list(table.values()), abs=6e-4)
+    assert got[-3] == 1.0 and got[-2] == pytest.approx(0.9996, abs=2e-3) and got[-1] < 1e-15
 
 
 def test_thin_curve_is_stable(scored):

@@ -1,5 +1,3 @@
-import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,35 +9,52 @@ from loanloom.plans.panel import build_panel
 
 import fixtures as D
 
+ON_TIME, MISSED = "Paid-On-Time", "Missed"
+REPAYMENTS = "loan_id string, installment_no int, dpd_bucket string, loan_status string, dpd int, payment_status string, amount_paid double, emi_due double"
 
-def pandas_repayment_features(pdf):
-    """Row-shift version of the feature definitions."""
-    p = pdf.sort_values(["loan_id", "installment_no"]).reset_index(drop=True)
-    p["b"] = p["dpd_bucket"].map(S.BUCKET_ORDINAL).fillna(0)
-    p["s"] = p["loan_status"].map(S.STATUS_ORDINAL).fillna(0)
-    p["ot"] = (p["payment_status"] == "Paid-On-Time").astype(int)
-    p["ms"] = (p["payment_status"] == "Missed").astype(int)
-    g = p.groupby("loan_id")
-    back = {(c, n): g[c].shift(n).fillna(0) for c in ("dpd", "s", "ot", "ms") for n in (1, 2)}
-    return pd.DataFrame({
-        "loan_id": p["loan_id"], "installment_no": p["installment_no"],
-        "target": (g["b"].shift(-1) >= 2).astype(int),
-        "max_dpd_last_3m": pd.concat([p["dpd"], back["dpd", 1], back["dpd", 2]], axis=1).max(axis=1),
-        "dpd_trend_slope": (p["dpd"] - back["dpd", 2]) / 2,
-        "sma_trend": (p["s"] - back["s", 2]) / 2,
-        "missed_payment_last_3m": p["ms"] + back["ms", 1] + back["ms", 2],
-        "months_no_on_time": 3 - p["ot"] - back["ot", 1] - back["ot", 2],
-        "payment_ratio_last_month": (p["amount_paid"] / p["emi_due"].replace(0, np.nan)).clip(0, 1).fillna(0),
-    })
+
+def check(got, want):
+    """``want`` maps a row's key to the features worked out for it by hand."""
+    for key, features in want.items():
+        for name, value in features.items():
+            assert got[key][name] == pytest.approx(value), (key, name)
 
 
 @pytest.mark.parametrize("max_rows", [None, 3])
-def test_repayment_features_match_pandas(spark, max_rows):
-    rep = D.repayments(spark)
-    want = pandas_repayment_features(rep.toPandas())
-    got = X.repayment_features(rep, max_rows).toPandas().sort_values(["loan_id", "installment_no"]).reset_index(drop=True)
-    for c in want.columns[2:]:
-        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), err_msg=c)
+def test_repayment_features_by_hand(spark, max_rows):
+    rows = [
+        ("A", 1, "Current", "Standard", 0, ON_TIME, 100.0, 100.0),
+        ("A", 2, "DPD_1-30", "SMA-1", 12, MISSED, 0.0, 100.0),
+        ("A", 3, "DPD_31-60", "SMA-2", 40, "Late-31-60", 50.0, 100.0),
+        ("A", 4, "Current", "Standard", 0, ON_TIME, 150.0, 100.0),
+        ("A", 5, "DPD_61-90", "NPA", 70, MISSED, 10.0, 0.0),
+        ("B", 1, "DPD_90+", "Defaulted", 120, MISSED, 5.0, None),
+    ]
+    rep = spark.createDataFrame(rows, REPAYMENTS)
+    for name, kind in D.repayments(spark).dtypes:
+        if name not in rep.columns:
+            rep = rep.withColumn(name, F.lit(None).cast(kind))
+    got = {(r["loan_id"], r["installment_no"]): r for r in X.repayment_features(rep, max_rows).collect()}
+    ordinal = S.STATUS_ORDINAL
+    sma1, sma2, npa = ordinal["SMA-1"], ordinal["SMA-2"], ordinal["NPA"]
+    check(got, {
+        # the next bucket is 1-30: not late enough for the label; nothing lies before
+        ("A", 1): {"target": 0, "max_dpd_last_3m": 0, "dpd_trend_slope": 0, "sma_trend": 0, "missed_payment_last_3m": 0,
+                   "months_no_on_time": 2, "payment_ratio_last_month": 1},
+        # the next bucket is 31-60; a month before the first counts as not on time
+        ("A", 2): {"target": 1, "max_dpd_last_3m": 12, "dpd_trend_slope": 6, "sma_trend": sma1 / 2, "missed_payment_last_3m": 1,
+                   "months_no_on_time": 2, "payment_ratio_last_month": 0},
+        ("A", 3): {"target": 0, "max_dpd_last_3m": 40, "dpd_trend_slope": 20, "sma_trend": sma2 / 2, "missed_payment_last_3m": 1,
+                   "months_no_on_time": 2, "payment_ratio_last_month": 0.5},
+        # 0 against 12 two months ago; an overpayment counts as 1
+        ("A", 4): {"target": 1, "max_dpd_last_3m": 40, "dpd_trend_slope": -6, "sma_trend": -sma1 / 2, "missed_payment_last_3m": 1,
+                   "months_no_on_time": 2, "payment_ratio_last_month": 1},
+        # the last row has no next bucket; nothing due gives ratio 0
+        ("A", 5): {"target": 0, "max_dpd_last_3m": 70, "dpd_trend_slope": 15, "sma_trend": (npa - sma2) / 2, "missed_payment_last_3m": 1,
+                   "months_no_on_time": 2, "payment_ratio_last_month": 0},
+        ("B", 1): {"target": 0, "max_dpd_last_3m": 120, "dpd_trend_slope": 60, "missed_payment_last_3m": 1, "months_no_on_time": 3,
+                   "payment_ratio_last_month": 0},
+    })
 
 
 def test_last_instalment_label(spark):
@@ -52,23 +67,25 @@ def test_last_instalment_label(spark):
     assert ("L3", 4) in kept and ("L3", 6) not in kept
 
 
-def test_signal_features_match_pandas(spark):
-    sig = D.signals(spark)
-    p = sig.toPandas().sort_values(["loan_id", "month"]).reset_index(drop=True)
-    g = p.groupby("loan_id")
-
-    def back(c, n):
-        return g[c].shift(n).fillna(p[c].median())
-
-    got = X.signal_features(sig).toPandas().sort_values(["loan_id", "month"]).reset_index(drop=True)
-    vol = pd.concat([p["balance_volatility"], back("balance_volatility", 1), back("balance_volatility", 2)], axis=1)
-    np.testing.assert_allclose(got["rolling_30d_balance_volatility"], vol.mean(axis=1))
-    inflow, two = p["avg_monthly_inflow"], back("avg_monthly_inflow", 2)
-    np.testing.assert_allclose(got["inflow_trend"], ((inflow - two) / two.replace(0, np.nan)).clip(-1, 1).fillna(0))
-    spend = np.maximum(p["spending_shock_flag"], back("spending_shock_flag", 1))
-    np.testing.assert_allclose(got["spending_shock_flag_3m"].astype(float), spend)
-    income = pd.concat([p["income_shock_flag"], back("income_shock_flag", 1), back("income_shock_flag", 2)], axis=1)
-    np.testing.assert_allclose(got["income_shock_count"].astype(float), income.sum(axis=1))
+def test_signal_features_by_hand(spark):
+    names = "loan_id string, month int, balance_volatility double, avg_monthly_inflow int, spending_shock_flag int, income_shock_flag int"
+    rows = [("A", 1, 0.2, 1000, 0, 1), ("A", 2, 0.4, 1200, 1, 0), ("A", 3, 0.9, 1500, 0, 1), ("A", 4, 0.1, 3600, 0, 0), ("B", 1, 0.4, 0, 0, 0)]
+    sig = spark.createDataFrame(rows, names)
+    for name, kind in D.signals(spark).dtypes:
+        if name not in sig.columns:
+            sig = sig.withColumn(name, F.lit(0).cast(kind))
+    got = {(r["loan_id"], r["month"]): r for r in X.signal_features(sig).collect()}
+    # medians of all rows stand in for missing months: volatility 0.4, inflow 1200, flags 0
+    check(got, {
+        ("A", 1): {"rolling_30d_balance_volatility": (0.2 + 0.4 + 0.4) / 3, "inflow_trend": -200 / 1200, "spending_shock_flag_3m": 0,
+                   "income_shock_count": 1},
+        ("A", 2): {"rolling_30d_balance_volatility": (0.4 + 0.2 + 0.4) / 3, "inflow_trend": 0.0, "spending_shock_flag_3m": 1,
+                   "income_shock_count": 1},
+        ("A", 3): {"rolling_30d_balance_volatility": 0.5, "inflow_trend": 0.5, "spending_shock_flag_3m": 1, "income_shock_count": 2},
+        # tripled: cut at 1
+        ("A", 4): {"inflow_trend": 1.0, "spending_shock_flag_3m": 0, "income_shock_count": 1},
+        ("B", 1): {"rolling_30d_balance_volatility": 0.4, "inflow_trend": -1.0},
+    })
 
 
 def test_origination_defaults(spark):
