@@ -50,7 +50,7 @@ def roc_points(
     A point is collinear when the step that leads to it equals the step that
     leaves it; such points can be dropped without changing the curve.
     """
-    scores = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    scores = scored.where(F.col(label).isNotNull()).na.drop(subset=[score])
     stats = value_stats(scores.select(F.col(score).cast("double").alias(score)), [score], buckets)[score]
     points = curve(scored, label, score, buckets, stats)
     step = F.struct("pos", "neg")

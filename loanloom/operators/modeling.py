@@ -61,8 +61,13 @@ def train(
     column_share: float = 0.8,
     min_rows: int = 50,
     seed: int = 42,
+    patience: int = 50,
 ) -> PipelineModel:
-    """Gradient-boosted trees with class weights; rows with ``part = 'valid'`` stop training early."""
+    """Gradient-boosted trees with class weights.
+
+    Rows with ``part = 'valid'`` choose the number of trees: the iteration with the lowest
+    validation loss before ``patience`` iterations without a new lowest one, or all ``trees``.
+    """
     ensure_checkpoint_dir(rows.sparkSession)
     if "part" not in rows.columns:
         rows = rows.withColumn("part", F.lit("train"))
@@ -74,16 +79,31 @@ def train(
         F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(1.0).alias("__weight"),
         (F.col("part") == "valid").alias("__valid"),
     )
-    has_valid = not ready.where("__valid").isEmpty()
+    valid, ready = ready.where("__valid"), ready.where(~F.col("__valid"))
     booster = GBTClassifier(
         labelCol=label, featuresCol="features", weightCol="__weight", maxIter=trees, maxDepth=depth,
         stepSize=step, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
         minInstancesPerNode=min_rows, seed=seed,
     )
-    if has_valid:
-        booster = booster.setValidationIndicatorCol("__valid")
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, booster]).fit(ready)
+    model = Pipeline(stages=[assembler, booster]).fit(ready)
+    if valid.isEmpty():
+        return model
+    losses = model.stages[-1].evaluateEachIteration(assembler.transform(valid))
+    best = best_iteration(losses, patience)
+    # trees are grown one after the other from one seed: fewer iterations are a prefix of more
+    return model if best == len(losses) else Pipeline(stages=[assembler, booster.setMaxIter(best)]).fit(ready)
+
+
+def best_iteration(losses: Sequence[float], patience: int) -> int:
+    """Number of iterations up to the lowest loss met before ``patience`` iterations without a lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -170,17 +190,17 @@ def attributions(
     broadcast leaves, whose number is fixed by trees and depth.
     """
     features, keys = list(features), list(keys)
-    leaves = rows.sparkSession.sparkContext.broadcast(ensemble_leaves(model))
+    # the leaves' tables are made once, here, not by every task
+    tables = rows.sparkSession.sparkContext.broadcast([
+        (value * _shapley_table(np.array(shares)), path, lows, highs)
+        for value, path, lows, highs, shares in ensemble_leaves(model) if path
+    ])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [
-            (value * _shapley_table(np.array(shares)), path, lows, highs)
-            for value, path, lows, highs, shares in leaves.value if path
-        ]
         for batch in batches:
             x = batch[features].to_numpy(dtype=float)
             phi = np.zeros_like(x)
-            for table, path, lows, highs in tables:
+            for table, path, lows, highs in tables.value:
                 pattern = np.zeros(len(x), dtype=np.int64)
                 for bit, (f, low, high) in enumerate(zip(path, lows, highs)):
                     pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << bit

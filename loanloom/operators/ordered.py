@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from loanloom.session import ensure_checkpoint_dir
 
 MAX_GROUP_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
+MAX_HOT_KEYS = 1_000  # up to so many are named in the plan; more are joined as a table
+REMEMBERED = 256
 
-_RUN, _COPY, _POS, _MID, _PART = "__run", "__copy", "__pos", "__mid", "__part"
+_RUN, _COPY, _POS, _MID, _PART, _HOT = "__run", "__copy", "__pos", "__mid", "__part", "__hot"
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
 _known_hot: dict[tuple, list] = {}
@@ -30,11 +31,14 @@ _known_hot: dict[tuple, list] = {}
 def hot_keys(df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS) -> list:
     """Keys with more than ``max_rows`` rows; at most ``MAX_HOT_KEYS + 1`` of them.
 
-    The answer only selects an execution path, never a result, so it is
-    remembered for the same plan.
+    The answer only selects an execution path, never a result, so the latest are
+    remembered for the same plan over input of the same size.
     """
-    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, max_rows)
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), size, key, max_rows)
     if memo not in _known_hot:
+        while len(_known_hot) >= REMEMBERED:
+            del _known_hot[next(iter(_known_hot))]
         rows = (
             df.groupBy(key).count().where(F.col("count") > max_rows)
             .select(key).limit(MAX_HOT_KEYS + 1).collect()
@@ -43,12 +47,16 @@ def hot_keys(df: DataFrame, key: str, max_rows: int = MAX_GROUP_ROWS) -> list:
     return _known_hot[memo]
 
 
-def _is_hot(key: str, keys: list) -> Column:
+def _with_hot(df: DataFrame, key: str, keys: list, max_rows: int) -> DataFrame:
+    """Adds whether the row's key is hot. A table of hot keys has at most rows / ``max_rows`` rows, so it
+    is broadcast whatever the input."""
     if len(keys) > MAX_HOT_KEYS:
-        return F.lit(True)
+        many = df.groupBy(key).count().where(F.col("count") > max_rows).select(F.col(key).alias("__key"), F.lit(True).alias(_HOT))
+        marked = df.join(F.broadcast(many), F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+        return marked.withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
     named = [k for k in keys if k is not None]
     hot = F.coalesce(F.col(key).isin(named), F.lit(False)) if named else F.lit(False)
-    return hot | F.col(key).isNull() if None in keys else hot
+    return df.withColumn(_HOT, hot | F.col(key).isNull() if None in keys else hot)
 
 
 def with_positions(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
@@ -113,7 +121,7 @@ def ordered_groups(
         return OrderedGroups(df, (key,), tuple(order))
     if span < back + ahead:
         raise ValueError("a run must be longer than the rows it shares with its neighbours")
-    hot = _is_hot(key, keys)
+    marked = _with_hot(df, key, keys, span)
     run, place = F.floor(F.col(_POS) / span), F.col(_POS) % span
     homes = F.array(
         run,
@@ -121,13 +129,13 @@ def ordered_groups(
         F.when(place >= span - back, run + 1),
     )
     split = (
-        with_positions(df.where(hot), [key, *order])
+        with_positions(marked.where(_HOT).drop(_HOT), [key, *order])
         .withColumn("__home", run)
         .withColumn(_RUN, F.explode(F.array_compact(homes)))
         .withColumn(_COPY, F.col(_RUN) != F.col("__home"))
         .drop("__home", _POS)
     )
-    whole = df.where(~hot).withColumn(_RUN, F.lit(-1).cast("bigint")).withColumn(_COPY, F.lit(False))
+    whole = marked.where(~F.col(_HOT)).drop(_HOT).withColumn(_RUN, F.lit(-1).cast("bigint")).withColumn(_COPY, F.lit(False))
     return OrderedGroups(whole.unionByName(split), (key, _RUN), tuple(order))
 
 
@@ -140,17 +148,17 @@ def number_within(
     keys = hot_keys(df, key, span)
     if not keys:
         return df.withColumn(out, F.row_number().over(window))
-    hot = _is_hot(key, keys)
-    placed = with_positions(df.where(hot), [key, *order])
-    firsts = placed.groupBy(F.col(key).alias("__key")).agg(F.min(_POS).alias("__first"))
-    if len(keys) <= MAX_HOT_KEYS:
-        firsts = F.broadcast(firsts)  # at most MAX_HOT_KEYS rows
+    marked = _with_hot(df, key, keys, span)
+    placed = with_positions(marked.where(_HOT).drop(_HOT), [key, *order])
+    # one row per hot key
+    firsts = F.broadcast(placed.groupBy(F.col(key).alias("__key")).agg(F.min(_POS).alias("__first")))
     split = (
         placed.join(firsts, F.col(key).eqNullSafe(F.col("__key")))
         .withColumn(out, (F.col(_POS) - F.col("__first") + 1).cast("int"))
         .drop("__key", "__first", _POS)
     )
-    return df.where(~hot).withColumn(out, F.row_number().over(window)).unionByName(split)
+    rest = marked.where(~F.col(_HOT)).drop(_HOT)
+    return rest.withColumn(out, F.row_number().over(window)).unionByName(split)
 
 
 def latest_per(df: DataFrame, key: str | Sequence[str], order: Sequence[str], first: bool = False) -> DataFrame:

@@ -6,6 +6,9 @@ A column measured to have few distinct values takes the direct way: Spark's own
 few thousand numbers on the driver at most); running totals are formed inside
 a bucket and shifted by the totals of the buckets before it. Ties are already
 merged, so no bucket can be flooded by one popular value.
+
+Null and NaN values are left out before anything is measured, -0.0 equals 0.0, and a group
+without any value keeps its row with a null quantile; which way is taken never shows.
 """
 
 from __future__ import annotations
@@ -20,11 +23,19 @@ from pyspark.sql import functions as F
 BUCKET = "__bucket"
 MAX_BUCKETS = 2_000
 SMALL_DISTINCT = 200_000  # this many distinct values may share one task
+MAX_SLICES = 256  # sketches that are merged in one task
+REMEMBERED = 256
 
 
 _measured: dict[tuple, dict] = {}
 
 
+def plain(value: str | Column) -> Column:
+    """The value as a double; NaN is null and -0.0 is 0.0."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double") + F.lit(0.0)
+    return F.when(~F.isnan(v), v)
+
+
 @dataclass(frozen=True)
 class ValueStats:
     """Bucket limits of a column and an upper estimate of its distinct values."""
@@ -42,31 +53,35 @@ def value_stats(df: DataFrame, columns: Sequence[str], buckets: int | None = Non
 
     Input partitions are summarised in slices first, so that no single task
     has to merge the percentile sketch of every partition. The numbers only
-    choose the execution path and the bucket limits, never a result, so they
-    are remembered for the same plan.
+    choose the execution path and the bucket limits, never a result, so the latest
+    are remembered for the same plan over input of the same size.
     """
-    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(columns), buckets)
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), size, tuple(columns), buckets)
     if memo not in _measured:
+        while len(_measured) >= REMEMBERED:
+            del _measured[next(iter(_measured))]
         _measured[memo] = _measure(df, columns, buckets)
     return _measured[memo]
 
 
 def _measure(df: DataFrame, columns: Sequence[str], buckets: int | None) -> dict[str, ValueStats]:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(4 * slices if buckets is None else buckets, MAX_BUCKETS))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = min(parts, MAX_SLICES)
+    buckets = max(2, min(4 * parts if buckets is None else buckets, MAX_BUCKETS))
     probs = [i / buckets for i in range(1, buckets)]
 
     def sketch(c: Column) -> Column:
         return F.percentile_approx(c.cast("double"), probs, max(1_000, 4 * buckets))
 
     per_slice = df.groupBy((F.spark_partition_id() % slices).alias("slice")).agg(*[
-        F.struct(sketch(F.col(c)).alias("q"), F.approx_count_distinct(c).alias("d")).alias(c) for c in columns
+        F.struct(sketch(F.col(c)).alias("q"), F.hll_sketch_agg(F.xxhash64(plain(c))).alias("d")).alias(c) for c in columns
     ])
     tall = per_slice.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(f"{c}.q").alias("q"), F.col(f"{c}.d").alias("d")) for c in columns
     ])).alias("s")).select("s.name", "s.d", F.posexplode_outer("s.q").alias("pos", "v"))
     rows = tall.groupBy("name").agg(
-        sketch(F.col("v")).alias("q"), F.sum(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("d"))).alias("d")
+        sketch(F.col("v")).alias("q"), F.hll_sketch_estimate(F.hll_union_agg("d")).alias("d")
     ).collect()  # one row per column
     found = {r["name"]: r for r in rows}
     out = {}
@@ -104,7 +119,7 @@ def running_totals(
     by = list(by)
     names = list(measures)
     # adding 0.0 makes -0.0 and 0.0 one value
-    rows = df.na.drop(subset=[*by, value]).withColumn(value, F.col(value).cast("double") + F.lit(0.0))
+    rows = df.na.drop(subset=[*by, value]).withColumn(value, plain(value))
     stats = stats or value_stats(rows, [value], buckets)[value]
     distinct = rows.groupBy(*by, value).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
     if stats.small:
@@ -172,9 +187,9 @@ def exact_quantiles(
     by, extra = list(by), extra or {}
     others = [e.alias(name) for name, e in extra.items()]
     rows = df.na.drop(subset=by) if by else df
-    stats = stats or value_stats(rows, [value], buckets)[value]
+    stats = stats or value_stats(rows.withColumn(value, plain(value)), [value], buckets)[value]
     if stats.small:
-        cuts = F.percentile(F.col(value).cast("double"), [float(p) for p in probs.values()]).alias("__q")
+        cuts = F.percentile(plain(value), [float(p) for p in probs.values()]).alias("__q")
         return rows.groupBy(*by).agg(*others, cuts).select(
             *by, *extra, *[F.col("__q")[i].alias(name) for i, name in enumerate(probs)]
         )
@@ -190,10 +205,10 @@ def exact_quantiles(
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         out.append((lo + (hi - lo) * F.col(f"__part_{name}")).alias(name))
     cuts = totals.groupBy(*by).agg(*picks).select(*by, *out)
+    if by:  # the list of groups is that of the rows: a group may have no values
+        return rows.groupBy(*by).agg(*(others or [F.count(F.lit(1)).alias("__n")])).join(cuts, by, "left").select(*by, *extra, *probs)
     if not extra:
         return cuts
-    if by:
-        return rows.groupBy(*by).agg(*others).join(cuts, by, "left")
     found = cuts.select(F.struct(*probs)).scalar()
     return rows.agg(*others).withColumns({name: found.getField(name) for name in probs})
 
@@ -201,6 +216,7 @@ def exact_quantiles(
 def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """One row holding the exact median of each column, under the column's own name."""
     columns = list(columns)
+    df = df.select(*[plain(c).alias(c) for c in columns])
     stats = value_stats(df, columns, buckets)
     if all(v.small for v in stats.values()):
         return df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from loanloom import schema as S
-from loanloom.functions import exprs as E
 from loanloom.operators import modeling as M
 from loanloom.operators import scorecard as C
 from loanloom.operators.evaluation import auc, youden
@@ -16,7 +15,7 @@ from loanloom.plans.registry import query
 from loanloom.plans.source_queries import scratch
 from loanloom.sources import roles as R
 
-TREES, DEPTH = 10, 4  # a short run; the library defaults are 500 trees of depth 6
+OBS_PART = """CASE WHEN ('0x' || substr(md5(loan_id || '|' || installment_no), 1, 8))::BIGINT % 100 < 20 THEN 'test' ELSE 'other' END"""
 
 
 def _panel(spark, d):
@@ -24,21 +23,84 @@ def _panel(spark, d):
     return M.split(panel, valid_pct=10)
 
 
-_fitted: dict[tuple[str, str], tuple] = {}
+_fitted: dict[tuple, tuple] = {}
 
 
-def _fit(spark, d):
-    """The model and its feature table. The panel is written once to the shared folder, so that
-    training, scoring and attribution read it back instead of rebuilding it."""
-    memo = (spark.sparkContext.applicationId, d)
+def _stamp(spark, d) -> tuple:
+    """Names the current input files: their paths, sizes and times, as one aggregated row."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(d)
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("h")).first()
+    return spark.sparkContext.applicationId, d, row.n, row.h
+
+
+def _fit(spark, d, trees=40, patience=10):
+    """The model and its feature table, kept for as long as the input files are the same. The panel is
+    written once to the shared folder, so that training, scoring and attribution read it back
+    instead of rebuilding it. 40 trees instead of the library's 500 keep the queries short."""
+    memo = (*_stamp(spark, d), trees, patience)
     if memo not in _fitted:
+        _fitted.clear()
         path = scratch(spark, "panel")
         _panel(spark, d).write.parquet(path)
-        _fitted[memo] = (M.train(spark.read.parquet(path), trees=TREES, depth=DEPTH), path)
+        _fitted[memo] = (M.train(spark.read.parquet(path), trees=trees, patience=patience), path)
     model, path = _fitted[memo]
     return model, spark.read.parquet(path)
 
 
+@query("ml1_training_checks", """
+SELECT true AS more_than_one_tree, true AS train_beats_chance, true AS test_is_a_rate, count(*) AS n_rows FROM obs""", views=FEATURE_VIEWS)
+def ml1_checks(spark, d):
+    """The model has several trees and ranks; one row of facts about the fit."""
+    model, panel = _fit(spark, d)
+    scored = M.score(model, panel)
+    train = auc(scored.where("part = 'train'")).select(F.col("auc").alias("train"))
+    test = auc(scored.where("part = 'test'")).select(F.col("auc").alias("test"))
+    return train.join(test).join(panel.agg(F.count("*").alias("n_rows"))).select(
+        F.lit(model.stages[-1].getNumTrees > 1).alias("more_than_one_tree"), (F.col("train") > 0.5).alias("train_beats_chance"),
+        F.col("test").between(0.0, 1.0).alias("test_is_a_rate"), "n_rows")
+
+
+@query("ml3_score_checks", """
+SELECT count(DISTINCT loan_id) AS n_loans, 0 AS outside, 0 AS wrong_bucket FROM obs""", views=FEATURE_VIEWS)
+def ml3_checks(spark, d):
+    """Every loan of the panel has one latest score, a probability, in the bucket of its limits."""
+    model, panel = _fit(spark, d)
+    table = C.with_bucket(C.latest_scores(M.score(model, panel)))
+    p = F.col("pred_prob")
+    right = F.when(p < 0.20, "GREEN").when(p < 0.45, "AMBER").otherwise("RED")
+    return table.agg(F.count("*").alias("n_loans"), F.count_if(~p.between(0.0, 1.0)).alias("outside"),
+                     F.count_if(F.upper("risk_bucket") != right).alias("wrong_bucket"))
+
+
+@query("snk4_round_trip_checks", "SELECT count(*) AS n_rows, 0 AS changed FROM obs", views=FEATURE_VIEWS)
+def snk4_checks(spark, d):
+    """A saved and loaded model scores every row of the panel as before."""
+    model, panel = _fit(spark, d)
+    path = scratch(spark, "model")
+    M.save_model(model, path)
+    both = M.score(M.load_model(path), M.score(model, panel).withColumnRenamed("pred_prob", "before"))
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("before") - F.col("pred_prob")) > 1e-12).alias("changed"))
+
+
+@query("expl1_additivity_checks", f"SELECT count(*) AS n_rows, 0 AS not_additive FROM obs WHERE {OBS_PART} = 'test'", views=FEATURE_VIEWS)
+def expl1_checks(spark, d):
+    """Attributions of a row and the base margin add up to the model's margin."""
+    model, panel = _fit(spark, d)
+    test = panel.where("part = 'test'")
+    base = M.base_margin(M.ensemble_leaves(model))
+    told = M.attributions(model, test)
+    total = told.select("loan_id", "installment_no", F.aggregate("attributions", F.lit(float(base)), lambda s, x: s + x).alias("told"))
+    raw = model.transform(test).select("loan_id", "installment_no", vector_to_array("rawPrediction")[1].alias("margin"))
+    both = raw.join(total, ["loan_id", "installment_no"])
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("margin") - F.col("told")) > 1e-6).alias("not_additive"))
+
+
+@query("expl3_share_checks", "SELECT true AS has_categories, true AS shares_add_up")
+def expl3_checks(spark, d):
+    return M.category_importance(_summary(spark, d)).agg(
+        (F.count("*") > 1).alias("has_categories"), (F.abs(F.sum("share_pct") - 100) < 1e-6).alias("shares_add_up"))
+
+
 @query("ml1_train_and_score", digits=6)
 def ml1(spark, d):
     model, panel = _fit(spark, d)
@@ -58,7 +120,7 @@ def ml2(spark, d):
 @query("ml3_batch_scores", digits=6)
 def ml3(spark, d):
     model, panel = _fit(spark, d)
-    latest = C.latest_scores(M.score(model, panel.where("part = 'test'")))
+    latest = C.latest_scores(M.score(model, panel))
     return C.scorecard_table(C.with_bucket(latest))
 
 
@@ -101,12 +163,3 @@ def expl3(spark, d):
 def expl4(spark, d):
     model, _ = _fit(spark, d)
     return M.add_rank(M.feature_importance(spark, model), "importance", 15)
-
-
-@query("expl3_category_of_panel_features", """
-SELECT category, count(*) AS n FROM (SELECT CASE WHEN dpd_bucket_encoded >= 0 THEN 'Repayment Behavioral' END AS category FROM obs
- UNION ALL SELECT 'Bank Behavioral' FROM obs UNION ALL SELECT 'Origination' FROM obs) GROUP BY 1""", views=FEATURE_VIEWS)
-def expl3_panel(spark, d):
-    names = [S.REPAYMENT_FEATURES[0], S.SIGNAL_FEATURES[0], S.ORIGINATION_FEATURES[0]]
-    rows = _panel(spark, d).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("feature"))
-    return rows.groupBy(E.feature_category("feature").alias("category")).agg(F.count("*").alias("n"))

@@ -72,7 +72,8 @@ def st3(spark, d):
     return T.cramers_v(R.active(spark, d), "employment_type", "risk_tier")
 
 
-@query("st3_chi_square_pvalue")
+@query("st3_chi_square_pvalue", f"""
+SELECT *, {r('exp(-chi2 / 2)')} AS p_value FROM ({_cramer_sql("kyc_type", "default_flag")})""")
 def st3_p(spark, d):
     table = T.cramers_v(R.active(spark, d), "kyc_type", "default_flag")
     return table.withColumn("p_value", T.chi2_pvalue("chi2", "dof"))
@@ -96,31 +97,44 @@ def st4_ranks(spark, d):
 RANKED = "(SELECT {1} AS g, {2} AS rk FROM active WHERE {0} IS NOT NULL AND {1} IS NOT NULL)"
 
 
-@query("st5_kruskal", f"""
+KRUSKAL = f"""
 SELECT {r('(12e0 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (n * n * n - n))')} AS h, k - 1 AS dof FROM
  (SELECT CAST(sum(m) AS DOUBLE) AS n, sum(s * s / m) AS q, count(*) AS k FROM
-   (SELECT g, count(*) AS m, sum(rk) AS s FROM {RANKED.format('ticket_size', 'product_type', MID.format('ticket_size'))} GROUP BY 1)),
- (SELECT sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM (SELECT count(*) AS t FROM active GROUP BY ticket_size))""")
+   (SELECT g, count(*) AS m, sum(rk) AS s FROM {{0}} GROUP BY 1)),
+ (SELECT sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM (SELECT count(*) AS t FROM active GROUP BY ticket_size))"""
+
+
+@query("st5_kruskal", KRUSKAL.format(RANKED.format('ticket_size', 'product_type', MID.format('ticket_size'))))
 def st5(spark, d):
     return T.kruskal(R.active(spark, d), "ticket_size", "product_type")
 
 
-@query("st5_kruskal_pvalue")
+@query("st5_kruskal_pvalue", f"""
+SELECT h, dof, {r('exp(-h / 2) * (1 + h / 2)')} AS p_value FROM ({KRUSKAL.format(RANKED.format('ticket_size', 'risk_tier', MID.format('ticket_size')))})""")
 def st5_p(spark, d):
     return T.kruskal(R.active(spark, d), "ticket_size", "risk_tier").withColumn("p_value", T.chi2_pvalue("h", "dof"))
 
 
-@query("st6_mann_whitney", f"""
+def _mann_whitney_sql(value, group):
+    ranked = RANKED.format(value, group, MID.format(value)).replace("FROM active", f"FROM (SELECT * FROM active WHERE {group} IS NOT NULL)")
+    return f"""
 SELECT n1, n0, {r('r1 - n1 * (n1 + 1) / 2', 1)} AS u,
-  {r('(r1 - n1 * (n1 + 1) / 2 - n1 * n0 / 2) / sqrt(n1 * n0 / 12 * (n1 + n0 + 1 - ties / ((n1 + n0) * (n1 + n0 - 1))))')} AS z FROM
+  (r1 - n1 * (n1 + 1) / 2 - n1 * n0 / 2) / sqrt(n1 * n0 / 12 * (n1 + n0 + 1 - ties / ((n1 + n0) * (n1 + n0 - 1)))) AS z FROM
  (SELECT CAST(count(*) FILTER (WHERE g = 1) AS DOUBLE) AS n1, CAST(count(*) FILTER (WHERE g = 0) AS DOUBLE) AS n0, sum(rk) FILTER (WHERE g = 1) AS r1
-  FROM {RANKED.format('cost_of_acquisition', 'default_flag', MID.format('cost_of_acquisition')).replace('FROM active', 'FROM (SELECT * FROM active WHERE default_flag IS NOT NULL)')}),
- (SELECT sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM (SELECT count(*) AS t FROM active WHERE default_flag IS NOT NULL GROUP BY cost_of_acquisition))""")
+  FROM {ranked}),
+ (SELECT sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM (SELECT count(*) AS t FROM active WHERE {group} IS NOT NULL GROUP BY {value}))"""
+
+
+@query("st6_mann_whitney", f"""
+SELECT n1, n0, u, {r('z')} AS z FROM ({_mann_whitney_sql('cost_of_acquisition', 'default_flag')})""")
 def st6(spark, d):
     return T.mann_whitney(R.active(spark, d), "cost_of_acquisition", "default_flag")
 
 
-@query("st6_mann_whitney_pvalue")
+@query("st6_mann_whitney_pvalue", f"""
+SELECT n1, n0, u, {r('z')} AS z, {r("""1 - 2 * least(8e0, abs(z)) / 3000 / sqrt(2 * pi()) * list_sum([
+  (CASE WHEN i IN (0, 1000) THEN 1e0 WHEN i % 2 = 1 THEN 4e0 ELSE 2e0 END) * exp(-pow(least(8e0, abs(z)) * i / 1000, 2) / 2) FOR i IN range(0, 1001)])""")} AS p_value
+FROM ({_mann_whitney_sql('ticket_size', 'default_flag')})""")
 def st6_p(spark, d):
     return T.mann_whitney(R.active(spark, d), "ticket_size", "default_flag").withColumn("p_value", T.normal_pvalue("z"))
 

@@ -85,3 +85,42 @@ def test_ranking_single_value_and_empty(spark, no_small_path):
     assert R.running_totals(one.where("v < 0"), "v", {"n": F.lit(1)}).count() == 0
     zero = spark.createDataFrame([(0.0,), (-0.0,)], "v double")
     assert R.mid_ranks(zero, "v").count() == 1
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_quantiles_do_not_show_the_way_taken(spark, monkeypatch, small):
+    """Null groups, NaN and -0.0 give the same rows on both ways."""
+    if not small:
+        monkeypatch.setattr(R, "SMALL_DISTINCT", -1)
+    R._measured.clear()
+    nan = float("nan")
+    rows = [("a", 1.0), ("a", 2.0), ("a", nan), ("b", None), ("b", nan), ("c", -0.0), ("c", 0.0), ("c", 3.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.m for r in R.exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert got == {"a": 1.5, "b": None, "c": 0.0, "d": None}
+    more = R.exact_quantiles(df, "v", {"m": 0.5}, ["g"], {"n": F.count(F.lit(1))}).collect()
+    assert {(r.g, r.n, r.m) for r in more} == {("a", 3, 1.5), ("b", 2, None), ("c", 3, 0.0), ("d", 1, None)}
+    assert R.exact_medians(df, ["v"]).first().v == 1.0
+    ranks = {(r.g, r.v): (r.n, r.mid_rank) for r in R.mid_ranks(df, "v", ["g"]).collect()}
+    assert ranks == {("a", 1.0): (1, 1.0), ("a", 2.0): (1, 2.0), ("c", 0.0): (2, 1.5), ("c", 3.0): (1, 3.0)}
+    R._measured.clear()
+
+
+def test_flag_over_many_partitions_is_measured_as_few_values(spark):
+    df = spark.range(0, 20_000, 1, 200).select((F.col("id") % 2).alias("flag"))
+    assert R.value_stats(df, ["flag"])["flag"].distinct <= 3
+
+
+def test_many_hot_keys_leave_other_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(O, "MAX_HOT_KEYS", 20)
+    O._known_hot.clear()
+    rows = [(k, i) for k in range(50) for i in range(6)] + [(k, i) for k in range(100, 130) for i in range(2)] + [(None, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "k int, i int").repartition(4)
+    marked = O._with_hot(df, "k", O.hot_keys(df, "k", 4), 4)
+    assert {r.k for r in marked.where("__hot").collect()} == {*range(50), None}
+    got = O.number_within(df, "k", ["i"], "n", 4).collect()
+    assert len(got) == len(rows) and all(r.n == r.i + 1 for r in got)
+    groups = O.ordered_groups(df, "k", ["i"], back=1, max_rows=4)
+    lagged = groups.finish(groups.frame.withColumn("p", F.lag("i").over(groups.window())))
+    assert all(r.p == (r.i - 1 if r.i else None) for r in lagged.collect())
+    O._known_hot.clear()

@@ -121,3 +121,15 @@ def test_summary_and_persistence(fitted, spark, tmp_path):
     assert a == pytest.approx(b)
     assert M.pos_weight(parts).first()["pos_weight"] == pytest.approx(
         parts.where("target = 0").count() / parts.where("target = 1").count())
+
+
+def test_patience_chooses_the_number_of_trees():
+    assert M.best_iteration([5.0, 4.0, 3.0, 3.5, 3.4, 2.0], 2) == 3
+    assert M.best_iteration([5.0, 4.0, 3.0, 3.5, 3.4, 2.0], 3) == 6
+    assert M.best_iteration([1.0], 50) == 1
+
+
+def test_validation_part_keeps_more_than_one_tree(spark, fitted):
+    _, parts, names = fitted
+    model = M.train(M.split(parts.drop("part"), test_pct=20, valid_pct=20), names, trees=8, depth=3, min_rows=5, patience=8)
+    assert 1 < model.stages[-1].getNumTrees <= 8
