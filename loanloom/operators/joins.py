@@ -104,18 +104,20 @@ def unmatched_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
 
 def attach_signals(
-    obs: DataFrame, signals: DataFrame, mode: str = "auto", min_match: float = 0.5
+    obs: DataFrame, signals: DataFrame, mode: str = "auto", min_match: float = 0.5,
+    bare: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Join signal features to observations.
 
     ``month`` matches the instalment number, ``latest`` gives every row the
     loan's last known signal, ``auto`` measures the key overlap first and uses
-    ``latest`` below ``min_match``.
+    ``latest`` below ``min_match``. ``bare`` gives the two key lists (loan_id,
+    installment_no) where they can be had without computing the features.
     """
     monthly = signals.withColumnRenamed("month", "installment_no")
     keys = ["loan_id", "installment_no"]
     if mode == "auto":
-        rate = match_rate(obs, monthly, keys).first()["match_rate_pct"]
+        rate = match_rate(*(bare or (obs, monthly)), keys).first()["match_rate_pct"]
         mode = "month" if rate is None or rate >= 100.0 * min_match else "latest"
     if mode == "month":
         return obs.join(monthly, keys, "left")

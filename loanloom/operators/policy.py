@@ -65,8 +65,9 @@ def origination_flags(master: DataFrame) -> DataFrame:
 
 
 def ews_flags(summary: DataFrame, signals: DataFrame, rep: DataFrame) -> DataFrame:
-    """Early-warning flags from the scorecard summary, co-shock rate and DPD 1-30 roll rate."""
-    from loanloom.operators.stats import co_shock_rate, transitions
+    """Early-warning flags from the scorecard summary, co-shock rate, DPD 1-30 roll rate and the
+    last month's fall of the portfolio's cash-flow consistency."""
+    from loanloom.operators.stats import co_shock_rate, mom_change, transitions
 
     red = F.col("bucket") == "RED"
     row = summary.agg(
@@ -78,6 +79,8 @@ def ews_flags(summary: DataFrame, signals: DataFrame, rep: DataFrame) -> DataFra
     row = row.withColumns({
         "co_shock_pct": co_shock_rate(signals).select("co_shock_pct").scalar(),
         "dpd_1_30_roll_pct": rolled.scalar(),
+        "cash_flow_fall": mom_change(signals, "month", "cash_flow_consistency").agg(
+            -F.max_by("mom_change", "month")).scalar(),
     })
     return limit_flags(melt_row(row, [k[0] for k in S.WARNING_LIMITS]), S.WARNING_LIMITS)
 

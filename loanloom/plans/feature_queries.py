@@ -255,7 +255,7 @@ def agg21(spark, d):
     return exact_medians(R.signals(spark, d), ["balance_volatility", "cash_flow_consistency", "emi_obligation_ratio"])
 
 
-def _panel_sql() -> str:
+def _panel_sql(monthly: bool = False) -> str:
     rep = [c for c in S.REPAYMENT_FEATURES]
     medians = {"rolling_30d_balance_volatility": "bv", "avg_emi_obligation_ratio": "eo", "min_cash_flow_3m": "cf"}
     signal = [
@@ -268,13 +268,24 @@ def _panel_sql() -> str:
         "SELECT p.loan_id, p.installment_no, p.target, "
         + ", ".join([f"CAST(p.{c} AS DOUBLE) AS {c}" for c in rep] + signal + orig)
         + ", CAST(p.installment_no AS DOUBLE) AS months_since_origination "
-        "FROM obs p LEFT JOIN last_feats z USING (loan_id) LEFT JOIN orig_feats o USING (loan_id)"
+        + ("FROM obs p LEFT JOIN sig_feats z ON z.loan_id = p.loan_id AND z.month = p.installment_no " if monthly
+           else "FROM obs p LEFT JOIN last_feats z ON z.loan_id = p.loan_id ")
+        + "LEFT JOIN orig_feats o ON o.loan_id = p.loan_id"
     )
 
 
+@query("pan1_panel_monthly", _panel_sql(monthly=True), views=FEATURE_VIEWS, digits=6)
+def pan1_monthly(spark, d):
+    return _panel(spark, d, "month")
+
+
 @query("pan1_panel", _panel_sql(), views=FEATURE_VIEWS, digits=6)
 def pan1(spark, d):
-    panel = build_panel(R.repayments(spark, d), R.signals(spark, d), R.loans(spark, d), R.customers(spark, d))
+    return _panel(spark, d, "auto")
+
+
+def _panel(spark, d, mode):
+    panel = build_panel(R.repayments(spark, d), R.signals(spark, d), R.loans(spark, d), R.customers(spark, d), mode=mode)
     return panel.select("loan_id", "installment_no", "target", *[F.col(c).cast("double").alias(c) for c in S.FEATURES])
 
 

@@ -27,7 +27,13 @@ def build_panel(
     )
     orig = X.origination_features(loans, customers)
     medians = X.signal_medians(signals)
-    panel = attach_signals(obs, X.signal_features(signals, max_rows, medians), mode)
+    # without the rows that a missing label drops, the keys of eligible rows need no window
+    keys = None
+    if censored == "negative":
+        bucket = X.E.encode("dpd_bucket", S.BUCKET_ORDINAL, 0)
+        rows = repayments.where((F.col("installment_no") >= min_history) & (bucket <= max_bucket))
+        keys = (rows.select("loan_id", "installment_no"), signals.select("loan_id", F.col("month").alias("installment_no")))
+    panel = attach_signals(obs, X.signal_features(signals, max_rows, medians), mode, bare=keys)
     panel = attach_origination(panel, orig)
     panel = panel.withColumn("months_since_origination", F.col("installment_no"))
     panel = X.fill_constants(panel, X.SIGNAL_CONSTANTS)

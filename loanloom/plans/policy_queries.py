@@ -53,6 +53,7 @@ def pol2(spark, d):
     "SELECT 'red_delinquency_pct', avg(target) * 100 FROM bucketed WHERE risk_bucket = 'RED'",
     "SELECT 'co_shock_pct', avg(CASE WHEN income_shock_flag = 1 AND spending_shock_flag = 1 THEN 1 ELSE 0 END) * 100 FROM signals",
     "SELECT 'dpd_1_30_roll_pct', sum(n) FILTER (WHERE to_bucket NOT IN ('Current','DPD_1-30')) * 100e0 / sum(n) FROM moves WHERE from_bucket = 'DPD_1-30'",
+    "SELECT 'cash_flow_fall', (SELECT lag(m) OVER (ORDER BY month) - m FROM (SELECT month, avg(cash_flow_consistency) AS m FROM signals GROUP BY 1) ORDER BY month DESC LIMIT 1)",
 ], S.WARNING_LIMITS), views=MOVES)
 def pol3(spark, d):
     summary = C.scorecard_summary(C.with_bucket(C.latest_scores(R.scored_with_tier(spark, d))))

@@ -174,6 +174,7 @@ WARNING_LIMITS = [
     ("red_delinquency_pct", ">", 10.0),
     ("co_shock_pct", ">", 1.5),
     ("dpd_1_30_roll_pct", ">", 8.7),
+    ("cash_flow_fall", ">", 0.05),
 ]
 # channel, basis points low, basis points high
 APR_ADJUSTMENT_BPS = [
