@@ -199,6 +199,32 @@ def average_precision(scored: DataFrame, label: str = "target", score: str = "pr
     )
 
 
+def metrics_summary(scored: DataFrame, cut: Column | float, label: str = "target", score: str = "pred_prob") -> DataFrame:
+    """All scalar metrics of a scored set in one row and one pass over its curve: ranking metrics,
+    the cells and rates at ``cut``, the best threshold, row counts and class weight."""
+    cut = cut if isinstance(cut, Column) else F.lit(float(cut))
+    hit, gap = F.col("threshold") >= cut, F.col("tpr") - F.col("fpr")
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    row = curve(scored, label, score).agg(
+        F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"),
+        F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0)).alias("fp"),
+        F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("__area"),
+        F.max(F.abs(gap)).alias("ks"),
+        F.sum(F.when(F.col("n_pos") > 0, F.col("pos") / F.col("n_pos") * precision)).alias("average_precision"),
+        F.max(F.struct(gap.alias("j"), F.col("threshold").alias("t"))).getField("t").alias("best_threshold"),
+    )
+    row = row.withColumn("auc", E.ratio("__area", F.col("n_pos").cast("double") * F.col("n_neg"))).drop("__area")
+    row = row.withColumns({
+        "fn": F.col("n_pos") - F.col("tp"), "tn": F.col("n_neg") - F.col("fp"), "n_rows": F.col("n_pos") + F.col("n_neg"),
+        "gini_pct": gini("auc"), "ks_pct": F.col("ks") * 100, "ks_pvalue": ks_pvalue(),
+        "precision": E.ratio("tp", F.col("tp") + F.col("fp")), "recall": E.ratio("tp", "n_pos"),
+        "positive_rate": E.ratio("n_pos", F.col("n_pos") + F.col("n_neg")), "pos_weight": E.ratio("n_neg", "n_pos"),
+    })
+    both = F.col("precision") + F.col("recall")
+    return row.withColumn("f1", E.ratio(2 * F.col("precision") * F.col("recall"), both))
+
+
 def thin_curve(points: DataFrame, n: int, order: str = "threshold") -> DataFrame:
     """About ``n`` evenly spaced points of a curve for display, the same ones every time.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from loanloom import schema as S
 from loanloom.operators import modeling as M
 from loanloom.operators import scorecard as C
 from loanloom.operators.evaluation import auc, youden
@@ -14,6 +15,7 @@ from loanloom.plans.panel import build_panel
 from loanloom.plans.registry import query
 from loanloom.plans.source_queries import scratch
 from loanloom.sources import roles as R
+from loanloom.sources import tables as IO
 
 OBS_PART = """CASE WHEN ('0x' || substr(md5(loan_id || '|' || installment_no), 1, 8))::BIGINT % 100 < 20 THEN 'test' ELSE 'other' END"""
 
@@ -95,6 +97,25 @@ def expl1_checks(spark, d):
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("margin") - F.col("told")) > 1e-6).alias("not_additive"))
 
 
+@query("snk2_model_artifacts", """
+SELECT name, true AS complete FROM (VALUES ('attributions'), ('attribution_summary'), ('importance')) AS t(name)""")
+def snk2_model(spark, d):
+    """The attribution frames, written and read back: a row per test row, and per feature."""
+    model, panel = _fit(spark, d)
+    test = panel.where("part = 'test'")
+    told = M.attributions(model, test)
+    folder = scratch(spark, "model-artifacts")
+    IO.write_artifacts({"attributions": told, "attribution_summary": M.attribution_summary(told),
+                        "importance": M.feature_importance(spark, model)}, folder)
+    rows = test.agg(F.count("*").alias("want"))
+    out = spark.read.parquet(f"{folder}/attributions").agg(F.count("*").alias("n")).join(rows).select(
+        F.lit("attributions").alias("name"), (F.col("n") == F.col("want")).alias("complete"))
+    for name in ("attribution_summary", "importance"):
+        back = spark.read.parquet(f"{folder}/{name}").agg(F.count_distinct("feature").alias("n"))
+        out = out.unionByName(back.select(F.lit(name).alias("name"), (F.col("n") == len(S.FEATURES)).alias("complete")))
+    return out
+
+
 @query("expl3_share_checks", "SELECT true AS has_categories, true AS shares_add_up")
 def expl3_checks(spark, d):
     return M.category_importance(_summary(spark, d)).agg(

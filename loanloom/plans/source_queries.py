@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from loanloom.functions import exprs as E
 from loanloom.operators import aggregates as A
 from loanloom.operators import scorecard as C
-from loanloom.operators.evaluation import auc, confusion
+from loanloom.operators.evaluation import confusion, metrics_summary, roc_points
 from loanloom.plans.oracle import clip, months, r
 from loanloom.plans.registry import query
 from loanloom.session import ensure_checkpoint_dir
@@ -63,13 +63,16 @@ def src3(spark, d):
     return IO.limit_rows(rows, 15000, ["loan_id"])
 
 
+SCALARS = ["tn", "fp", "fn", "tp", "auc", "gini_pct", "ks", "ks_pct", "average_precision", "precision", "recall", "f1", "best_threshold",
+           "n_rows", "n_pos", "n_neg", "positive_rate", "pos_weight"]
+
+
 def _metrics(spark, d):
     scored = R.scored_with_tier(spark, d)
     summary = C.scorecard_summary(C.with_bucket(C.latest_scores(scored))).select(
         "bucket", "n", F.round("share_pct", 4).alias("share_pct")
     )
-    cells = confusion(scored, 0.45)
-    scalars = cells.withColumn("auc", F.round(auc(scored).select("auc").scalar(), 6))
+    scalars = metrics_summary(scored, 0.45).select(*SCALARS).withColumn("auc", F.round("auc", 6))
     groups = scored.groupBy(F.lit("pred_prob").alias("feature")).agg(F.round(F.avg("pred_prob"), 4).alias("importance"))
     categories = groups.select(E.feature_category("feature").alias("category"), "importance")
     return IO.metrics_frame(scalars, summary, categories)
@@ -102,23 +105,36 @@ def snk1(spark, d):
 
 
 @query("snk2_write_artifacts", """
-SELECT risk_bucket, count(*) AS n FROM bucketed GROUP BY 1""")
+SELECT 'scorecard ' || risk_bucket AS artifact, count(*) AS n FROM bucketed GROUP BY 1
+UNION ALL SELECT 'confusion ' || name, n FROM (UNPIVOT (SELECT tn, fp, fn, tp FROM cells) ON tn, fp, fn, tp INTO NAME name VALUE n)
+UNION ALL SELECT 'roc_points', count(*) + 1 FROM rates""")
 def snk2(spark, d):
     folder = scratch(spark, "artifacts")
     scored = R.scored_with_tier(spark, d)
     bucketed = C.with_bucket(C.latest_scores(scored))
     IO.write_artifacts({
         "scorecard": C.scorecard_table(bucketed), "confusion": confusion(scored, 0.45),
+        "roc_points": roc_points(scored, drop_intermediate=False),
     }, folder)
-    return spark.read.parquet(f"{folder}/scorecard").groupBy("risk_bucket").agg(F.count("*").alias("n"))
+    back = {name: spark.read.parquet(f"{folder}/{name}") for name in ("scorecard", "confusion", "roc_points")}
+    cells = back["confusion"].select(F.explode(F.array(*[
+        F.struct(F.lit(f"confusion {c}").alias("artifact"), F.col(c).alias("n")) for c in ("tn", "fp", "fn", "tp")])).alias("c")).select("c.*")
+    card = back["scorecard"].groupBy(F.concat(F.lit("scorecard "), "risk_bucket").alias("artifact")).agg(F.count("*").alias("n"))
+    return card.unionByName(cells).unionByName(back["roc_points"].agg(F.lit("roc_points").alias("artifact"), F.count("*").alias("n")))
 
 
 @query("snk3_metrics_document", f"""
-SELECT tn, fp, fn, tp, {r('(SELECT sum(neg * (tp - pos / 2e0)) / (max(n_pos) * max(n_neg)) FROM curve)', 6)} AS auc,
-  (SELECT count(DISTINCT risk_bucket) FROM bucketed) AS n_buckets, CAST(0.45 AS DOUBLE) AS red_min FROM cells""", digits=6)
+SELECT tn, fp, fn, tp, {r('auc', 6)} AS auc, {r('(2 * auc - 1) * 100', 6)} AS gini_pct, {r('ks', 6)} AS ks, {r('ks * 100', 6)} AS ks_pct,
+  {r('ap', 6)} AS average_precision, {r('tp / (tp + fp)', 6)} AS precision, {r('tp / (tp + fn)', 6)} AS recall,
+  {r('2e0 * tp / (2 * tp + fp + fn)', 6)} AS f1, {r('best', 6)} AS best_threshold, tp + fp + tn + fn AS n_rows, tp + fn AS n_pos, tn + fp AS n_neg,
+  {r('(tp + fn) / (tp + fp + tn + fn)', 6)} AS positive_rate, {r('(tn + fp) / (tp + fn)', 6)} AS pos_weight,
+  (SELECT count(DISTINCT risk_bucket) FROM bucketed) AS n_buckets, CAST(0.45 AS DOUBLE) AS red_min
+FROM cells, (SELECT sum(neg * (tp - pos / 2e0)) / (max(n_pos) * max(n_neg)) AS auc, max(abs(tpr - fpr)) AS ks,
+  sum(pos / n_pos * (tp / (tp + fp))) AS ap FROM rates),
+ (SELECT threshold AS best FROM rates ORDER BY tpr - fpr DESC, threshold DESC LIMIT 1)""", digits=6)
 def snk3(spark, d):
     return _metrics(spark, d).select(
-        "tn", "fp", "fn", "tp", "auc", F.size("scorecard").cast("bigint").alias("n_buckets"),
+        *SCALARS, F.size("scorecard").cast("bigint").alias("n_buckets"),
         F.col("bucket_thresholds.RED_min").alias("red_min"),
     )
 

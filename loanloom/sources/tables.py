@@ -65,8 +65,11 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").json(path)
 
 
-def metrics_frame(scalars: DataFrame, summary: DataFrame, categories: DataFrame) -> DataFrame:
-    """One nested row: scalar metrics, the scorecard list and a category-to-share map.
+def metrics_frame(
+    scalars: DataFrame, summary: DataFrame, categories: DataFrame, amber: float = 0.20, red: float = 0.45
+) -> DataFrame:
+    """One nested row: scalar metrics, the scorecard list, the bucket limits that made it and a
+    category-to-share map.
 
     ``summary`` has one row per risk bucket and ``categories`` one per feature
     group, so the collected lists are a few entries long.
@@ -78,7 +81,7 @@ def metrics_frame(scalars: DataFrame, summary: DataFrame, categories: DataFrame)
         F.struct("category", "importance")
     ))).alias("v"))
     limits = F.struct(
-        F.lit(0.20).alias("GREEN_max"), F.lit(0.45).alias("AMBER_max"), F.lit(0.45).alias("RED_min")
+        F.lit(amber).alias("GREEN_max"), F.lit(red).alias("AMBER_max"), F.lit(red).alias("RED_min")
     )
     return scalars.select(
         "*",
