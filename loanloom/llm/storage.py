@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from loanloom.session import ensure_checkpoint_dir
 
 
+#: Rows of an Arrow batch between Spark and a Python worker: texts are long, and a worker holds a batch.
+BATCH_ROWS = 1_000
+
+
 class Scratch:
     """Writes intermediate tables as Parquet below the checkpoint folder and reads them back.
 
@@ -18,6 +22,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         ensure_checkpoint_dir(spark)
+        rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+            spark.conf.set(rows, str(BATCH_ROWS))
         self.spark = spark
         self.root = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0

@@ -6,9 +6,9 @@ depth of a window; nodes at that depth with several documents are the repeats, a
 covered windows merge into maximal ones. Words are compared by themselves, not by hashes.
 
 * Which suffixes: a window repeats only together with the smallest of its ``ANCHOR``-word
-  grams (by hash). So only positions that are smallest in some window, the anchors, are
-  counted over the corpus, and only anchors that occur in more than one document bring their
-  suffixes, as one segment of text that holds every window around the anchor.
+  grams (by hash, the first of equals), its anchor. So only anchors are counted over the
+  corpus, and only anchors that occur in more than one document bring their suffixes, as one
+  segment of text with the windows that have this anchor.
 * The prefix is the anchor gram. A group larger than ``GROUP`` segments would not fit a task;
   its prefixes grow to whole windows, which are counted by a plain aggregation.
 * Equal texts are one document here: their smallest doc_id stands for all.
@@ -25,12 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.shingles import grams, word_hashes
+from loanloom.llm.shingles import finish, word_hashes
 from loanloom.llm.storage import Scratch
 
 ANCHOR = 16
 GROUP = 30_000
-PACK = 12_000
+PACK = 6_000
 
 
 def split(text: str | None) -> list[bytes]:
@@ -46,64 +46,84 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(out[:len(x) - width + 1], out[width - reach:width - reach + len(x) - width + 1]) if reach < width else out
 
 
-def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and positions of the grams that are smallest in some window of ``words``."""
-    size = min(ANCHOR, window)
-    hashes = grams(word_hashes(words), size)
+def doubled(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words, a power of two."""
+    reach = 1
+    with np.errstate(over="ignore"):
+        while reach < size:
+            hashes = finish(hashes[:-reach] * np.uint64(0x9E3779B97F4A7C15) + hashes[reach:]) if len(hashes) > reach else hashes[:0]
+            reach *= 2
+    return hashes
+
+
+def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hashes, and for each the first window and the number of windows that it anchors."""
+    size = 1 << (min(ANCHOR, window).bit_length() - 1)
+    hashes = doubled(word_hashes(words), size)
     width = window - size + 1
     if len(hashes) < width:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     least = _sliding(hashes, width, np.minimum)
     # a gram is smallest in a window if the largest minimum over the windows around it is itself
     pad = np.zeros(width - 1, dtype=np.uint64)
     at = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), width, np.maximum) == hashes)
-    return hashes[at], at
+    which = np.searchsorted(at, np.arange(len(least)))
+    while len(later := np.flatnonzero(hashes[at[which]] != least)):
+        which[later] += 1
+    first = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+    return hashes[at[which[first]]], first, np.diff(np.append(first, len(least)))
+
+
+_SCAN = "doc_id bigint, n bigint, text_sha256 string, code bigint, hashes array<bigint>, places array<int>, windows array<int>"
 
 
-_SCAN = "doc_id bigint, n bigint, text_sha256 string, hashes array<bigint>, places array<int>"
+def _code(words: list[bytes]) -> tuple[str, int]:
+    """Digest of the words, and its first 64 bits, which with the doc_id name a row's text."""
+    digest = hashlib.sha256(b" ".join(words))
+    return digest.hexdigest(), int.from_bytes(digest.digest()[:8], "big", signed=True)
 
 
 def _scan(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ns, digests, hashes, places, ends = [], [], [], [], [0]
+            ns, digests, codes, lists, ends = [], [], [], [], [0]
             for text in batch.column(1).to_pylist():
                 words = split(text)
                 ns.append(len(words))
-                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                found, at = anchors(words, window) if len(words) >= window else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                hashes.append(found.view(np.int64))
-                places.append(at.astype(np.int32))
-                ends.append(ends[-1] + len(at))
+                digest, code = _code(words)
+                digests.append(digest)
+                codes.append(code)
+                found = anchors(words, window) if len(words) >= window else ()
+                if found:
+                    lists.append(found)
+                ends.append(ends[-1] + (len(found[0]) if found else 0))
             offsets = pa.array(ends, pa.int32())
+            flat = [np.concatenate([x[i] for x in lists]) if lists else np.empty(0, np.int64) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.string()),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hashes) if hashes else [], pa.int64())),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places) if places else [], pa.int32()))],
-                names=["doc_id", "n", "text_sha256", "hashes", "places"])
+                [batch.column(0), pa.array(ns, pa.int64()), pa.array(digests, pa.string()), pa.array(codes, pa.int64()),
+                 pa.ListArray.from_arrays(offsets, pa.array(flat[0].view(np.int64))),
+                 *[pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in flat[1:]]],
+                names=["doc_id", "n", "text_sha256", "code", "hashes", "places", "windows"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SCAN)
 
 
 def _segments(suspects: DataFrame, window: int) -> DataFrame:
-    """Around each shared anchor, the words of all windows that hold it."""
-    back = window - min(ANCHOR, window)
-
+    """For each listed anchor of a document, the words of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, digest, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, code, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 words = split(text)
-                rows = [(f["hash"], f["members"], doc, digest, max(0, f["place"] - back),
-                         b" ".join(words[max(0, f["place"] - back):f["place"] + window])) for f in found]
+                rows = [(f["hash"], doc, code, f["place"], b" ".join(words[f["place"]:f["place"] + f["windows"] + window - 1])) for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()))],
-                    names=["hash", "members", "doc_id", "text_sha256", "start", "segment"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                    names=["hash", "doc_id", "code", "start", "segment"])
 
-    return suspects.select("doc_id", "text_sha256", "text", "anchors").mapInArrow(
-        run, "hash bigint, members bigint, doc_id bigint, text_sha256 string, start bigint, segment binary")
+    return suspects.where(F.size("anchors") > 0).select("doc_id", "code", "text", "anchors").mapInArrow(
+        run, "hash bigint, doc_id bigint, code bigint, start bigint, segment binary")
 
 
-_COVER = "doc_id bigint, text_sha256 string, start bigint, end bigint"
+_COVER = "doc_id bigint, code bigint, start bigint, end bigint"
 
 
 def window_nodes(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
@@ -118,11 +138,12 @@ def window_nodes(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndarra
 
 
 def _tree(rows: list[tuple], window: int) -> pa.RecordBatch:
-    """Covered spans of one pack of segments (doc_id, text_sha256, start, segment)."""
+    """Covered spans of one pack of segments (doc_id, code, start, segment)."""
     numbers: dict[bytes, int] = {}
-    pieces = [r[3].split() for r in rows]
+    pieces = [np.array([numbers.setdefault(w, len(numbers)) for w in r[3].split()], dtype=np.int32) for r in rows]
     sizes = np.array([len(p) for p in pieces])
-    text = np.fromiter((numbers.setdefault(w, len(numbers)) for p in pieces for w in p), dtype=np.int64, count=int(sizes.sum()))
+    text = np.concatenate(pieces)
+    del pieces
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     windows = np.maximum(0, sizes - window + 1)
     owner = np.repeat(np.arange(len(rows)), windows)
@@ -139,12 +160,12 @@ def _tree(rows: list[tuple], window: int) -> pa.RecordBatch:
     cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (at[1:] > at[:-1] + window)])) if len(owner) else owner
     out = []
     for a, b in zip(cut, np.append(cut[1:], len(owner))) if len(owner) else ():
-        doc_id, digest, start, _ = rows[owner[a]]
-        out.append((doc_id, digest, start + int(at[a]), start + int(at[b - 1]) + window))
+        doc_id, code, start, _ = rows[owner[a]]
+        out.append((doc_id, code, start + int(at[a]), start + int(at[b - 1]) + window))
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(_COVER_ARROW)], schema=_COVER_ARROW)
 
 
-_COVER_ARROW = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+_COVER_ARROW = pa.schema([("doc_id", pa.int64()), ("code", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
 def _covered_by_trees(segments: DataFrame, window: int) -> DataFrame:
@@ -161,27 +182,25 @@ def _covered_by_trees(segments: DataFrame, window: int) -> DataFrame:
         if held:
             yield _tree(held, window)
 
-    rows = segments.select("hash", "doc_id", "text_sha256", "start", "segment")
-    return rows.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, _COVER)
+    return segments.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, _COVER)
 
 
 def _covered_by_windows(segments: DataFrame, window: int) -> DataFrame:
     """For groups beyond GROUP: each window is its own prefix, and the smallest doc_id an aggregate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, digest, start, segment in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, code, start, segment in zip(*(c.to_pylist() for c in batch.columns)):
                 words = segment.split()
                 at = range(len(words) - window + 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([xxhash.xxh3_128_digest(b" ".join(words[i:i + window])) for i in at], pa.binary()),
-                     pa.array([doc] * len(at), pa.int64()), pa.array([digest] * len(at), pa.string()),
-                     pa.array([start + i for i in at], pa.int64())], names=["prefix", "doc_id", "text_sha256", "start"])
+                     pa.array([doc] * len(at), pa.int64()), pa.array([code] * len(at), pa.int64()),
+                     pa.array([start + i for i in at], pa.int64())], names=["prefix", "doc_id", "code", "start"])
 
-    windows = segments.select("doc_id", "text_sha256", "start", "segment").mapInArrow(
-        run, "prefix binary, doc_id bigint, text_sha256 string, start bigint")
+    windows = segments.select("doc_id", "code", "start", "segment").mapInArrow(
+        run, "prefix binary, doc_id bigint, code bigint, start bigint")
     first = windows.groupBy("prefix").agg(F.min("doc_id").alias("first"))
-    return windows.join(first, "prefix").where("doc_id > first").select(
-        "doc_id", "text_sha256", "start", (F.col("start") + window).alias("end"))
+    return windows.join(first, "prefix").where("doc_id > first").select("doc_id", "code", "start", (F.col("start") + window).alias("end"))
 
 
 def _kept(suspects: DataFrame, spans: DataFrame) -> DataFrame:
@@ -206,11 +225,11 @@ def _kept(suspects: DataFrame, spans: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
                  pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=["doc_id", "text_sha256", "cut", "cut_sha256", "cut_spans"])
+                names=["doc_id", "code", "cut", "cut_sha256", "cut_spans"])
 
-    both = suspects.select("doc_id", "text_sha256", "text").join(spans, ["doc_id", "text_sha256"])
-    return both.select("doc_id", "text_sha256", "text", "spans").mapInArrow(
-        run, "doc_id bigint, text_sha256 string, cut bigint, cut_sha256 string, cut_spans array<struct<start:bigint,end:bigint>>")
+    both = suspects.select("doc_id", "code", "text").join(spans, ["doc_id", "code"])
+    return both.select("doc_id", "code", "text", "spans").mapInArrow(
+        run, "doc_id bigint, code bigint, cut bigint, cut_sha256 string, cut_spans array<struct<start:bigint,end:bigint>>")
 
 
 def remove_repeats(docs: DataFrame, scratch: Scratch, window: int = 50) -> DataFrame:
@@ -226,30 +245,39 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, window: int = 50) -> DataF
     reps = scratch.store(scan.where((F.col("n") >= window) & F.col("doc_id").isNotNull()).groupBy("text_sha256").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
     alone = scan.join(reps.select("text_sha256", F.col("first").alias("doc_id")), ["text_sha256", "doc_id"], "left_semi").dropDuplicates(
-        ["doc_id", "text_sha256"])
-    places = scratch.store(alone.select("doc_id", "text_sha256", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select(
-        "doc_id", "text_sha256", F.col("a.hashes").alias("hash"), F.col("a.places").alias("place")))
-    shared = places.groupBy("hash").agg(
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi")
-    wanted = places.join(shared.select("hash", "members"), "hash").groupBy("doc_id", "text_sha256").agg(
-        F.collect_list(F.struct("hash", "members", "place")).alias("anchors"))
-    # a row's own text is known by its digest, should rows share a doc_id
+        ["doc_id", "code"])
+    places = scratch.store(alone.select("doc_id", "code", F.explode(F.arrays_zip("hashes", "places", "windows")).alias("a")).select(
+        "doc_id", "code", F.col("a.hashes").alias("hash"), F.col("a.places").alias("place"), F.col("a.windows").alias("windows")))
+    shared = scratch.store(places.groupBy("hash").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi"))
+    wanted = places.join(shared.select("hash", "members"), "hash").groupBy("doc_id", "code").agg(
+        F.collect_list(F.struct("hash", "members", "place", "windows")).alias("anchors"))
+    # a row's own text is known by its code, should rows share a doc_id
     normal = F.sha2(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), 256)
-    suspects = docs.select("doc_id", "text").join(wanted, "doc_id").where(normal == F.col("text_sha256")).dropDuplicates(
-        ["doc_id", "text_sha256"])
-    suspects = scratch.store(suspects.select("doc_id", "text_sha256", "text", "anchors"))
+    code = F.conv(F.substring(normal, 1, 16), 16, -10).cast("bigint")
+    several = scan.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id", F.lit(True).alias("several"))
+    suspects = docs.select("doc_id", "text").join(wanted.join(several, "doc_id", "left"), "doc_id")
+    suspects = suspects.where(F.col("several").isNull() | (code == F.col("code"))).select("doc_id", "code", "text", "anchors", "several")
+    suspects = scratch.store(suspects)
     scratch.drop(places)
-    segments = _segments(suspects, window)
-    covered = _covered_by_trees(segments.where(F.col("members") <= GROUP), window).union(
-        _covered_by_windows(segments.where(F.col("members") > GROUP), window))
-    spans = covered.groupBy("doc_id", "text_sha256").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # rows that repeat a doc_id and its text would come twice
+    once = suspects.where("several IS NULL").unionByName(suspects.where("several").dropDuplicates(["doc_id", "code"]))
+
+    def some(test) -> DataFrame:
+        return _segments(once.withColumn("anchors", F.filter("anchors", lambda a: test(a["members"]))), window)
+
+    covered = _covered_by_trees(some(lambda m: m <= GROUP), window)
+    if shared.where(F.col("members") > GROUP).limit(1).count():
+        covered = covered.union(_covered_by_windows(some(lambda m: m > GROUP), window))
+    suspects = once
+    spans = covered.groupBy("doc_id", "code").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kept = scratch.store(_kept(suspects, spans))
 
     whole = F.col("first") < F.col("doc_id")
     nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
     everything = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n").alias("end")))
-    out = scan.select("doc_id", "n", "text_sha256").join(reps.select("text_sha256", "first"), "text_sha256", "left").join(
-        kept, ["doc_id", "text_sha256"], "left")
+    out = scan.select("doc_id", "n", "text_sha256", "code").join(reps.select("text_sha256", "first"), "text_sha256", "left").join(
+        kept, ["doc_id", "code"], "left")
     return out.select(
         "doc_id", F.col("n").alias("n_words"),
         F.when(whole, F.col("n")).otherwise(F.coalesce("cut", F.lit(0))).cast("bigint").alias("n_removed"),

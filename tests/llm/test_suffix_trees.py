@@ -61,12 +61,16 @@ def test_equals_brute_force(spark, monkeypatch, window, anchor, group, pack):
     assert solve(spark, rows, window) == brute(rows, window)
 
 
-def test_every_window_has_an_anchor():
+def test_windows_are_anchored_by_content():
     rng = random.Random(1)
-    for n in (50, 51, 200):
-        words = [b"%d" % rng.randrange(6) for _ in range(n)]
-        _, at = st.anchors(words, 50)
-        assert all(((at >= i) & (at <= i + 34)).any() for i in range(n - 49))
+    named = {}
+    for n in (50, 51, 200, 400):
+        words = [b"%d" % rng.randrange(2) for _ in range(n)] * 2
+        hashes, first, count = st.anchors(words, 50)
+        assert first[0] == 0 and (first[1:] == (first + count)[:-1]).all() and first[-1] + count[-1] == len(words) - 49
+        for h, a, c in zip(hashes.tolist(), first.tolist(), count.tolist()):
+            for i in range(a, a + c):
+                assert named.setdefault(tuple(words[i:i + 50]), h) == h
 
 
 def test_nodes_are_equal_windows():
