@@ -11,6 +11,8 @@ representatives go on. Sizes up to a boundary are light, the others heavy.
   with its ``NEAR`` predecessors; pairs are then counted exactly. Lists with more members than
   that are *long*: if exact links have not already connected all of a long list's members, its
   members are compared block against block, so no link is lost.
+* Before sets travel to be counted, parity bitmaps (2 bits an element) do: the bits in which two
+  differ are at most the elements in which the sets differ, so most other pairs end there.
 * The boundary is the largest size up to which listing subsets costs fewer rows than the
   prefix rows and list scans it replaces, both counted over all small sets. Light sets that a
   heavy one could link to have prefix rows as well.
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.components import components
 from loanloom.llm.shingles import finish, shingle_set
+from loanloom.llm.sieve import rows_that_may_match
 from loanloom.llm.storage import Scratch
 
 COUNTERS = 1 << 18
@@ -79,20 +82,26 @@ _SCAN = "doc_id bigint, n bigint, class string, small array<bigint>, counts bina
 
 
 def _scan(docs: DataFrame, size: int) -> DataFrame:
+    def slots(sets: list[np.ndarray]) -> np.ndarray:
+        every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        return np.bincount((every & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, dtype=np.int64)
         types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()]
         names = ["doc_id", "n", "class", "small", "counts"]
         for batch in batches:
-            ns, classes, small = [], [], []
+            ns, classes, small, every, held = [], [], [], [], 0
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, size)
                 ns.append(len(s))
                 classes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
                 small.append(s.view(np.int64).tolist() if 0 < len(s) <= SMALL else None)
-                counts += np.bincount((s % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS) if len(s) > COUNTERS // 64 else 0
-                if len(s) <= COUNTERS // 64:
-                    np.add.at(counts, (s % np.uint64(COUNTERS)).astype(np.int64), 1)
+                every.append(s)
+                held += len(s)
+                if held > 1 << 20:
+                    counts, every, held = counts + slots(every), [], 0
+            counts += slots(every)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(x, t) for x, t in zip((ns, classes, small, [None] * n), types[1:])]], names=names)
@@ -133,7 +142,21 @@ def boundary(reps: DataFrame, threshold: Threshold) -> int:
 
 # -- scan 2: subsets and prefixes -------------------------------------------
 
-_ENTRIES = "doc_id bigint, class string, n bigint, entries array<struct<key:bigint,c:int,parts:int>>"
+_ENTRIES = "doc_id bigint, class string, n bigint, bits binary, entries array<struct<key:bigint,c:int,parts:int>>"
+
+
+def parity(elements: np.ndarray) -> bytes:
+    """Bitmap with a bit per residue that an odd number of elements have; its size is a power of two."""
+    size = 1 << max(8, (2 * len(elements) - 1).bit_length())
+    return np.packbits(np.bincount(((elements >> np.uint64(24)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (last axis: 64-bit words) brought down to a smaller size: residues of half the modulus."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
 
 
 def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, counts: np.ndarray) -> DataFrame:
@@ -144,12 +167,13 @@ def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, count
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            ns, classes, keys, cs, parts, offsets = [], [], [], [], [], [0]
+            ns, classes, bits, keys, cs, parts, offsets = [], [], [], [], [], [], [0]
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, size)
                 n = len(s)
                 ns.append(n)
                 classes.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if n else None)
+                bits.append(parity(s))
                 total = 0
                 if 0 < n <= light:
                     for c in threshold.subset_sizes(n):
@@ -161,8 +185,8 @@ def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, count
                         parts.append(np.ones(len(sums), dtype=np.int32))
                         total += len(sums)
                 if n and threshold.longest(n) > light:
-                    seen = table[(s % np.uint64(COUNTERS)).astype(np.int64)]
-                    first = np.lexsort((s, seen))[:threshold.prefix(n)]
+                    seen = table[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                    first = np.argsort(seen, kind="stable")[:threshold.prefix(n)]  # equal counts stay in hash order
                     keys.append(s[first])
                     cs.append(np.zeros(len(first), dtype=np.int32))
                     parts.append((seen[first] // LIST_ROWS + 1).astype(np.int32))
@@ -171,9 +195,9 @@ def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, count
             flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((keys, np.uint64), (cs, np.int32), (parts, np.int32))]
             structs = pa.StructArray.from_arrays([pa.array(flat[0].view(np.int64)), pa.array(flat[1]), pa.array(flat[2])], names=["key", "c", "parts"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(classes, pa.string()), pa.array(ns, pa.int64()),
+                [batch.column(0), pa.array(classes, pa.string()), pa.array(ns, pa.int64()), pa.array(bits, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs).cast(entry)],
-                names=["doc_id", "class", "n", "entries"])
+                names=["doc_id", "class", "n", "bits", "entries"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _ENTRIES)
 
@@ -184,15 +208,26 @@ _FOUND = "kind int, a bigint, b bigint, key bigint, n bigint"
 LINK, FIRST, NEXT, LONG = 0, 1, 2, 3
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[list[np.ndarray]]:
+    """Columns of consecutive batches together, as arrays."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(b.num_rows for b in some) >= rows:
+            yield [c.to_numpy() for c in pa.Table.from_batches(some).columns]
+            some = []
+    if some:
+        yield [c.to_numpy() for c in pa.Table.from_batches(some).columns]
+
+
 def _scan_lists(entries: DataFrame, threshold: Threshold) -> DataFrame:
     """Streams lists in order of (key, n, id). Rows out: links (light), pairs with the list's
     first set, pairs with near predecessors, and the members of long lists (node in ``a``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        for new in _gathered(batches):
             cols = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
-            # whole lists only; the last one may go on, unless it alone fills a batch's worth of rows
+            # whole lists only; the last one may go on, unless it alone is longer than what a task should hold
             key, c, part = cols[0], cols[1], cols[2]
             change = np.flatnonzero((key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (part[1:] != part[:-1])) + 1
             cut = int(change[-1]) if len(change) else 0
@@ -247,6 +282,24 @@ def _pairs(cols: list[np.ndarray], threshold: Threshold) -> Iterator[pa.RecordBa
 
 # -- exact links ------------------------------------------------------------
 
+def _possible(pairs: DataFrame, bitmaps: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) that bitmaps do not rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = (batch.column(i).to_numpy() for i in (2, 3))
+            allowed = s + t - 2 * threshold.overlap(s, t)
+            keep = []
+            for x, y, most in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), allowed.tolist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                keep.append(int(np.bitwise_count(fold(x, words) ^ fold(y, words)).sum()) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = bitmaps.select(F.col("id").alias("a"), F.col("n").alias("s"), F.col("bits").alias("x"))
+    two = bitmaps.select(F.col("id").alias("b"), F.col("n").alias("t"), F.col("bits").alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection of their sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,9 +317,60 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFr
     return pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list, list[tuple]]]:
+    """Consecutive rows with equal first columns."""
+    current, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != current:
+                if rows:
+                    yield current, rows
+                current, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield current, rows
+
+
+_BLOCK_FOUND = "key bigint, i bigint, j bigint, a bigint, b bigint"
+DENSE = 4  # pairs per member that a block may pass on before its sets are compared in place
+
+
+def _block_candidates(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs of different components in each block that bitmaps do not rule out; one row without a
+    pair for a block that has too many of them."""
+    def solve(rows: list[tuple]) -> list[tuple[int, int]] | None:
+        out: list[tuple[int, int]] = []
+        ids, labels, sizes = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(3))
+        words = np.array([len(r[3]) // 8 for r in rows])
+        for w in np.unique(words):
+            small, same_or_double = np.flatnonzero(words == w), np.flatnonzero((words == w) | (words == 2 * w))
+            x = np.stack([fold(np.frombuffer(rows[i][3], np.uint64), int(w)) for i in same_or_double])
+            where = {int(i): k for k, i in enumerate(same_or_double)}
+            for i in small:
+                other = same_or_double
+                good = (labels[other] != labels[i]) & ((words[other] > w) | (other > i))
+                other, y = other[good], x[good]
+                apart = np.bitwise_count(y ^ x[where[int(i)]]).sum(axis=1)
+                s, t = np.minimum(sizes[other], sizes[i]), np.maximum(sizes[other], sizes[i])
+                fits = (s >= threshold.shortest(t)) & (apart <= s + t - 2 * threshold.overlap(s, t))
+                out += [(min(int(ids[i]), int(k)), max(int(ids[i]), int(k))) for k in ids[other[fits]]]
+                if len(out) > DENSE * len(rows):
+                    return None
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows in _groups(batches, 3):
+            pairs = solve(rows)
+            found = [(*key, None, None)] if pairs is None else [(*key, a, b) for a, b in pairs]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(5)], names=["key", "i", "j", "a", "b"])
+
+    rows = members.select("key", "i", "j", "id", "label", "n", "bits").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(run, _BLOCK_FOUND)
+
+
 def _block_links(members: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links between different components inside (key, i, j) groups of blocks; a spanning forest of them."""
-    def solve(sides: np.ndarray, ids: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between different components inside (key, i, j) blocks; a spanning forest of them."""
+    def solve(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         sizes = np.array([len(s) for s in sets])
         owner = np.repeat(np.arange(len(sets)), sizes)
         _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -298,27 +402,15 @@ def _block_links(members: DataFrame, threshold: Threshold) -> DataFrame:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            links = solve(None, [r[0] for r in rows], [r[1] for r in rows], [np.frombuffer(r[2], dtype=np.uint64) for r in rows])
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())],
-                                              names=["a", "b"])
-
-        current, rows = None, []
-        for batch in batches:
-            for *group, node, label, elements in zip(*(c.to_pylist() for c in batch.columns)):
-                if group != current:
-                    if rows:
-                        yield done(rows)
-                    current, rows = group, []
-                rows.append((node, label, elements))
-        if rows:
-            yield done(rows)
+        for _, rows in _groups(batches, 3):
+            links = solve([r[0] for r in rows], [r[1] for r in rows], [np.frombuffer(r[2], dtype=np.uint64) for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in range(2)], names=["a", "b"])
 
     rows = members.select("key", "i", "j", "id", "label", "elements").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _long_list_links(long: DataFrame, sets: DataFrame, labels: DataFrame, threshold: Threshold, scratch: Scratch) -> DataFrame:
+def _long_list_links(long: DataFrame, bitmaps: DataFrame, labels: DataFrame, threshold: Threshold, scratch: Scratch, sets_of) -> DataFrame:
     """Links that long lists still hide: members of lists with more than one component, compared in blocks."""
     named = long.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = scratch.store(named.select("key", "id", "n", "label"))
@@ -330,9 +422,13 @@ def _long_list_links(long: DataFrame, sets: DataFrame, labels: DataFrame, thresh
     )
     mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = named.join(open_lists, "key").withColumn("mine", mine).select("key", "id", "label", "mine", other)
-    members = members.select("key", "id", "label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    return _block_links(members.join(sets.select("id", "elements"), "id"), threshold)
+    members = named.join(open_lists, "key").withColumn("mine", mine).select("key", "id", "n", "label", "mine", other)
+    members = members.select("key", "id", "n", "label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    found = scratch.store(_block_candidates(members.join(bitmaps.select("id", "bits"), "id"), threshold))
+    pairs = scratch.store(found.where("a IS NOT NULL").select("a", "b").distinct())
+    dense = scratch.store(members.join(found.where("a IS NULL").select("key", "i", "j"), ["key", "i", "j"]))
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(dense.select("id")).distinct())
+    return _verified(pairs, sets, threshold).union(_block_links(dense.join(sets.select("id", "elements"), "id"), threshold))
 
 
 def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, size: int) -> DataFrame:
@@ -345,7 +441,7 @@ def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, size: int) -> DataFr
                 [batch.column(0), pa.array(classes, pa.string()), pa.array([s.tobytes() for s in found], pa.binary())],
                 names=["id", "class", "elements"])
 
-    wanted = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+    wanted = rows_that_may_match(docs.select("doc_id", "text"), ids).withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
     rows = wanted.mapInArrow(run, "id bigint, class string, elements binary")
     # the representative's own text, should another row share its doc_id
     return rows.join(reps.select(F.col("rep").alias("id"), "class"), ["id", "class"], "left_semi").dropDuplicates(["id", "class"])
@@ -368,7 +464,8 @@ def link_documents(docs: DataFrame, scratch: Scratch, size: int, num: int, den:
     light = boundary(reps, threshold)
     rows = _entries(docs, size, threshold, light, _counts(scan))
     rows = rows.join(reps.select("class", F.col("rep").alias("doc_id")), ["class", "doc_id"], "left_semi")
-    flat = rows.select(F.col("doc_id").alias("id"), "n", F.posexplode("entries").alias("p", "e")).select("id", "n", "p", "e.*")
+    rows = scratch.store(rows.withColumnRenamed("doc_id", "id").dropDuplicates(["id", "class"]))
+    flat = rows.select("id", "n", F.posexplode("entries").alias("p", "e")).select("id", "n", "p", "e.*")
     lead = F.when(F.col("c") == 0, F.col("p")).otherwise(F.lit(0))
     # a prefix follows the subsets, so its positions start behind them
     if light:
@@ -378,25 +475,27 @@ def link_documents(docs: DataFrame, scratch: Scratch, size: int, num: int, den:
     flat = flat.withColumn("pos", lead.cast("bigint")).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     found = scratch.store(_scan_lists(flat, threshold))
 
-    pairs = found.where(F.col("kind").isin(FIRST, NEXT)).groupBy("a", "b").agg(F.min("kind").alias("kind"))
-    pairs = scratch.store(pairs)
+    bitmaps = rows.select("id", "n", "bits")
+    pairs = found.where(F.col("kind").isin(FIRST, NEXT)).select("a", "b").distinct()
+    pairs = scratch.store(_possible(pairs, bitmaps, threshold).distinct())
     long = found.where(F.col("kind") == LONG).select(F.col("a").alias("id"), "key", "n")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(long.select("id")).distinct()
-    sets = scratch.store(_sets(docs, ids, reps, size), codec="none")
-    links = scratch.store(found.where(F.col("kind") == LINK).select("a", "b").distinct().union(
-        _verified(pairs.where(F.col("kind") == FIRST).select("a", "b"), sets, threshold)))
-    labels = components(links, scratch)
 
-    def across(edges: DataFrame) -> DataFrame:
-        left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        apart = edges.join(left, "a", "left").join(right, "b", "left")
-        return apart.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return scratch.store(_sets(docs, scratch.store(ids), reps, size), codec="none")
+
+    # one pair a set first: it connects most groups, and pairs inside a component need no count
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    links = found.where(F.col("kind") == LINK).select("a", "b").distinct()
+    links = scratch.store(links.union(_verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, threshold)))
+    labels = components(links, scratch)
 
-    more = _verified(across(pairs.where(F.col("kind") == NEXT).select("a", "b")), sets, threshold)
-    links = scratch.store(links.union(more))
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    apart = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
+    links = scratch.store(links.union(_verified(apart.select("a", "b"), sets, threshold)))
+    scratch.drop(sets)
     labels = components(links, scratch)
-    links = links.union(_long_list_links(long, sets, labels, threshold, scratch))
+    links = links.union(_long_list_links(long, bitmaps, labels, threshold, scratch, sets_of))
     labels = components(links, scratch)
 
     classes = reps.select("class", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
