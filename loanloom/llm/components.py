@@ -30,3 +30,17 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if not changed:
             scratch.drop(both)
             return labels
+
+
+def extend(labels: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Labels after further edges: only the components that these connect are worked out again."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    named = edges.select("a", "b").join(left, "a", "left").join(right, "b", "left")
+    named = scratch.store(named.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b").distinct())
+    if named.limit(1).count() == 0:
+        return labels
+    joined = components(named, scratch)
+    moved = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("lower")), "label", "left").select(
+        "node", F.coalesce("lower", "label").alias("label"))
+    return scratch.store(moved.union(joined.join(labels.select("node"), "node", "left_anti").select("node", "label")))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.components import components
+from loanloom.llm.components import components, extend
 from loanloom.llm.shingles import finish, shingle_set
 from loanloom.llm.sieve import rows_that_may_match
 from loanloom.llm.storage import Scratch
@@ -492,11 +492,9 @@ def link_documents(docs: DataFrame, scratch: Scratch, size: int, num: int, den:
     left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     apart = pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-    links = scratch.store(links.union(_verified(apart.select("a", "b"), sets, threshold)))
+    labels = extend(labels, _verified(apart.select("a", "b"), sets, threshold), scratch)
     scratch.drop(sets)
-    labels = components(links, scratch)
-    links = links.union(_long_list_links(long, bitmaps, labels, threshold, scratch, sets_of))
-    labels = components(links, scratch)
+    labels = extend(labels, _long_list_links(long, bitmaps, labels, threshold, scratch, sets_of), scratch)
 
     classes = reps.select("class", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select(
         "class", "rep", F.coalesce("label", "rep").alias("label"))
