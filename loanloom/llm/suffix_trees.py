@@ -185,7 +185,7 @@ def _covered_by_trees(segments: DataFrame, window: int) -> DataFrame:
     return segments.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, _COVER)
 
 
-def _covered_by_windows(segments: DataFrame, window: int) -> DataFrame:
+def _covered_by_windows(segments: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """For groups beyond GROUP: each window is its own prefix, and the smallest doc_id an aggregate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,9 +197,11 @@ def _covered_by_windows(segments: DataFrame, window: int) -> DataFrame:
                      pa.array([doc] * len(at), pa.int64()), pa.array([code] * len(at), pa.int64()),
                      pa.array([start + i for i in at], pa.int64())], names=["prefix", "doc_id", "code", "start"])
 
-    windows = segments.select("doc_id", "code", "start", "segment").mapInArrow(
-        run, "prefix binary, doc_id bigint, code bigint, start bigint")
-    first = windows.groupBy("prefix").agg(F.min("doc_id").alias("first"))
+    windows = scratch.store(segments.select("doc_id", "code", "start", "segment").mapInArrow(
+        run, "prefix binary, doc_id bigint, code bigint, start bigint"))
+    # stored apart, so that the join's own shuffle can split a window that very many documents share
+    first = scratch.store(windows.groupBy("prefix").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
+        "first < last").select("prefix", "first"))
     return windows.join(first, "prefix").where("doc_id > first").select("doc_id", "code", "start", (F.col("start") + window).alias("end"))
 
 
@@ -268,7 +270,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, window: int = 50) -> DataF
 
     covered = _covered_by_trees(some(lambda m: m <= GROUP), window)
     if shared.where(F.col("members") > GROUP).limit(1).count():
-        covered = covered.union(_covered_by_windows(some(lambda m: m > GROUP), window))
+        covered = covered.union(_covered_by_windows(some(lambda m: m > GROUP), window, scratch))
     suspects = once
     spans = covered.groupBy("doc_id", "code").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kept = scratch.store(_kept(suspects, spans))
