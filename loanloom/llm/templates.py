@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.storage import Scratch
@@ -175,8 +175,9 @@ def deduce(rows: DataFrame) -> DataFrame:
     vector = F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(2**31)))
     tokens = rows.groupBy("host", "path", "chunk").agg(
         vector.alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("mass").alias("mass"))
-    hosts = tokens.where("path = ''").select("host", F.col("pages").alias("all"))
-    tokens = tokens.join(hosts, "host").where((F.col("pages") >= 2) & (F.col("pages") >= MIN_SHARE * F.col("all")))
+    # tokens of one page only are in no template; without them a host's rows are few
+    pages = F.max(F.when((F.col("path") == "") & (F.col("chunk") == 0), F.col("pages"))).over(Window.partitionBy("host"))
+    tokens = tokens.where("pages >= 2").withColumn("all", pages).where(F.col("pages") >= MIN_SHARE * F.col("all"))
     types = {"host": pa.string(), "slot": pa.string(), "fixed": pa.list_(pa.int64()), "classes": pa.int32(), "depth": pa.int32()}
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
