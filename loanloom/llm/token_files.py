@@ -67,6 +67,7 @@ class Encoder:
         self.dtype = np.dtype(f"<u{self.id_bytes}")
         self.code = {2: "H", 4: "I"}[self.id_bytes]
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = array(self.code, self.line_end).tobytes()
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -85,18 +86,25 @@ class Encoder:
                 self.words.update(zip(some, self._ids(some)))
 
     def _add(self, parts: list[str]) -> None:
-        words, odd, plain, cores, tails = self.words, [], [], [], []
+        words, odd, plain, cores, tails, lines = self.words, [], [], [], [], []
         for part in parts:
             core = part.rstrip(_MARKS)
             if core.lstrip(" ").isalpha():
                 plain.append(part)
                 cores.append(core)
                 tails.append(part[len(core):])
+            elif "\n" in part and all(x.rstrip(_MARKS).lstrip(" ").isalpha() for x in part.split("\n")):
+                lines.append(part)  # a line end between non-spaces is a piece of its own
             else:
                 odd.append(part)
+        ends = [(x, x.rstrip(_MARKS)) for part in lines for x in part.split("\n")]
         words.setdefault("", b"")
-        self._add_words([x for x in {*cores, *tails} if x not in words])
+        new = {*cores, *tails, *[core for _, core in ends], *[x[len(core):] for x, core in ends]}
+        self._add_words([x for x in new if x not in words])
         self.parts.update(zip(plain, [words[c] + words[t] for c, t in zip(cores, tails)]))
+        done = {x: words[core] + words[x[len(core):]] for x, core in ends}
+        for part in lines:
+            self.parts[part] = self.line.join([done[x] for x in part.split("\n")])
         for at in range(0, len(odd), 50_000):
             self.parts.update(zip(odd[at:at + 50_000], self._ids(odd[at:at + 50_000])))
 
