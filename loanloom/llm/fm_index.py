@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanloom.llm.caches import using
+
 WINDOW = 10
-SHARD_CHARS = 24_000_000
+SHARD_CHARS = 6_000_000
 PHRASE_BLOCK_CHARS = 32_000_000
 SAMPLE = 16
 SEPARATOR = 1
@@ -261,10 +263,13 @@ def _apply(docs: DataFrame, phrases: Phrases, schema: T.StructType,
     text_at, out_names = names.index("text"), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using()
         for shard in _shards(batches, text_at):
             found = scan_shard(shard.column(text_at).to_pylist(), shared.value)
             shard, columns = emit(shard, found)
             yield from pa.table({n: columns.get(n) if n in columns else shard.column(n) for n in out_names}).to_batches()
+            del shard, found, columns
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

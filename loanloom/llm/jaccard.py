@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.components import components, extend
-from loanloom.llm.shingles import finish, shingle_set
+from loanloom.llm.shingles import finish, shingle_set, using_words
 from loanloom.llm.sieve import rows_that_may_match
 from loanloom.llm.storage import Scratch
 
@@ -87,6 +87,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
         return np.bincount((every & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using_words()
         counts = np.zeros(COUNTERS, dtype=np.int64)
         types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()]
         names = ["doc_id", "n", "class", "small", "counts"]
@@ -165,6 +166,7 @@ def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, count
     entry = pa.list_(pa.struct([("key", pa.int64()), ("c", pa.int32()), ("parts", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using_words()
         table = shared.value
         for batch in batches:
             ns, classes, bits, keys, cs, parts, offsets = [], [], [], [], [], [], [0]
@@ -434,6 +436,7 @@ def _long_list_links(long: DataFrame, bitmaps: DataFrame, labels: DataFrame, thr
 def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, size: int) -> DataFrame:
     """Sorted shingle hashes of the given representatives."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using_words()
         for batch in batches:
             found = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
             classes = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in found]

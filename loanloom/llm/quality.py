@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanloom.llm.caches import using
 from loanloom.llm.storage import Scratch
 
 TRAIN_ROWS = 20_000
@@ -58,6 +59,7 @@ def with_features(docs: DataFrame) -> DataFrame:
     names = [*docs.columns, _EXTRA]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using()
         for batch in batches:
             x = np.array([features(t.as_py()) for t in batch.column(at)]).reshape(-1, len(FEATURES))
             mine = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x[:, i])) for i in range(len(FEATURES))], names=list(FEATURES))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from loanloom.llm.caches import using
+
 WORDS_KEPT = 200_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -24,6 +26,11 @@ class WordHashes(dict):
 _known = WordHashes()
 
 
+def using_words() -> None:
+    """A task's start: keep the word hashes of this worker, drop other operators' caches."""
+    using("words", _known.clear)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_known.__getitem__, words), dtype=np.uint64, count=len(words))
 

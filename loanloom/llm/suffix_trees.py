@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.shingles import finish, word_hashes
+from loanloom.llm.shingles import finish, using_words, word_hashes
 from loanloom.llm.storage import Scratch
 
 ANCHOR = 16
@@ -85,6 +85,7 @@ def _code(words: list[bytes]) -> tuple[str, int]:
 
 def _scan(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using_words()
         for batch in batches:
             ns, digests, codes, lists, ends = [], [], [], [], [0]
             for text in batch.column(1).to_pylist():

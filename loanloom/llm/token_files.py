@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.llm.caches import using
 from loanloom.llm.storage import Scratch
 
 SHARD_IDS = 1 << 19
@@ -240,6 +241,7 @@ def write_shards(docs: DataFrame, scratch: Scratch, tokenizer_path: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        using("encoders", _encoders.clear)
         part, seq, coder = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
         end = np.array([end_id], dtype=coder.dtype).tobytes()
         keys: list[int] = []
