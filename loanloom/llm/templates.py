@@ -4,7 +4,9 @@ Tokens are tags and text chunks, told apart by their path of block elements. Per
 that occur equally often on the same pages (equal occurrence vectors) form an equivalence
 class. Classes with enough tokens and pages are valid; they nest by their paths and make up
 the host's template. What is left between template tokens are slots; the slot of the article,
-or else the innermost one with most of the host's running text, holds the main text.
+or else the innermost one with most of the host's running text, holds the main text, less the
+template's own text in it. Pages of hosts without a template, and pages without the slot, use
+their own article, or all their running text.
 
 Occurrence vectors are compared by a sum of hashes of (page, count), an aggregate that is
 combined before the shuffle, so a host may have any number of pages. A host's template is a
@@ -51,16 +53,30 @@ MAIN = ("article", "main")
 
 @dataclass
 class Node:
-    """A run of text inside one block: its path, the elements it stands in, and whether it is page furniture."""
+    """A run of text inside one block: the path of elements it stands in, whether one of them is page
+    furniture by its tag or role, and the depth of the innermost one that is so by its class (0: none)."""
 
     path: str
     block: int
     text: str
-    chrome: bool
+    hard: bool
+    marked: int
 
+    @property
+    def chrome(self) -> bool:
+        return self.hard or self.marked > 0
 
-def _name(tag: str, attributes: str) -> tuple[str, bool]:
-    """Element with its class and id, and whether it marks page furniture."""
+    def furniture_below(self, depth: int) -> bool:
+        """A class mark on an element that holds the main slot does not count, only one inside it."""
+        return self.hard or self.marked > depth
+
+    @property
+    def chunk(self) -> int:
+        return xxhash.xxh3_64_intdigest(" ".join(self.text.split())) - 2**63
+
+
+def _name(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Element with its class and id, and whether it marks page furniture by tag or role, and by class."""
     words: list[str] = []
     role = ""
     for kind, *value in _MARK.findall(attributes) if attributes else ():
@@ -71,22 +87,24 @@ def _name(tag: str, attributes: str) -> tuple[str, bool]:
             words += text.split()
     parts = {p for w in words for p in re.split(r"[^a-z]+", w)}
     name = "main" if role == "main" else tag
-    label = name + "".join("." + re.sub(r"\d+", "0", w) for w in sorted(set(words)))
-    chrome = (tag in CHROME or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
-              or tag not in MAIN and bool(parts & CHROME_WORDS) or tag == "article" and bool(parts & {"comment", "comments", "reply", "replies"}))
-    return label, chrome
+    label = name + "".join("." + re.sub(r"\d+", "0", w).replace(">", "_") for w in sorted(set(words)))
+    hard = tag in CHROME and tag != "form" or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
+    marked = (tag == "form" or tag not in MAIN and bool(parts & CHROME_WORDS)
+              or tag == "article" and bool(parts & {"comment", "comments", "reply", "replies"}))
+    return label, hard, marked
 
 
 def parse(page: str, opened: list[str] | None = None) -> list[Node]:
     """Text runs in page order; ``opened`` gets the path of every block element. Unclosed
     paragraphs and items end where a browser would end them."""
     nodes: list[Node] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, label, page furniture (own or inherited)
+    stack: list[tuple[str, str, bool, int]] = []  # tag, label, page furniture (own or inherited): by tag, depth of the class
     block, at, size = 0, 0, len(page)
 
     def text(raw: str) -> None:
         if raw and not raw.isspace():
-            nodes.append(Node(">".join(x[1] for x in stack), block, entities.unescape(raw) if "&" in raw else raw, bool(stack) and stack[-1][2]))
+            furniture = stack[-1][2:] if stack else (False, 0)
+            nodes.append(Node(">".join(x[1] for x in stack), block, entities.unescape(raw) if "&" in raw else raw, *furniture))
         elif raw and nodes and nodes[-1].block == block:
             nodes[-1].text += " "
 
@@ -122,49 +140,58 @@ def parse(page: str, opened: list[str] | None = None) -> list[Node]:
             end = _CLOSER[tag].search(page, at)
             at = end.end() if end else size
             continue
-        label, chrome = _name(tag, found[3])
-        inside = stack[-1][2] if stack else False
+        label, hard, marked = _name(tag, found[3])
+        inside, above = stack[-1][2:] if stack else (False, 0)
         if tag == "header" and not any(x[0] in MAIN for x in stack):
-            chrome = True
-        stack.append((tag, label, inside or chrome))
+            hard = True
+        stack.append((tag, label, inside or hard, len(stack) + 1 if marked else above))
         if opened is not None:
             opened.append(">".join(x[1] for x in stack))
     return nodes
 
 
-def _tokens(page: str) -> tuple[Counter, Counter]:
-    """Occurrences of each token (path, text hash or 0), and running text below each path."""
+def _tokens(page: str) -> tuple[Counter, Counter, Counter]:
+    """Occurrences of each token (path, text hash or 0), and running text below each path: of no
+    furniture at all, and of none that begins below the path."""
     counts: Counter = Counter()
     mass: Counter = Counter()
+    inner: Counter = Counter()
     opened: list[str] = []
     for n in parse(page, opened):
-        chunk = " ".join(n.text.split())
-        counts[n.path, xxhash.xxh3_64_intdigest(chunk) - 2**63] += 1
-        if not n.chrome:
+        size = len(" ".join(n.text.split()))
+        counts[n.path, n.chunk] += 1
+        if not n.hard:
             parts = n.path.split(">")
-            for depth in range(1, len(parts) + 1):
-                mass[">".join(parts[:depth])] += len(chunk)
+            for depth in range(max(1, n.marked), len(parts) + 1):
+                inner[">".join(parts[:depth])] += size
+            for depth in range(1, 1 if n.marked else len(parts) + 1):
+                mass[">".join(parts[:depth])] += size
     counts.update((path, 0) for path in opened)
     counts["", 0] = 1
-    return counts, mass
+    return counts, mass, inner
 
 
-_ROWS = "host string, path string, chunk bigint, n int, mass bigint, page bigint"
+_ROWS = "host string, path string, chunk bigint, n int, mass bigint, inner bigint, page bigint"
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for host, page_id, page in zip(*(c.to_pylist() for c in batch.columns)):
-                counts, mass = _tokens(page or "")
-                key = xxhash.xxh3_64_intdigest(f"{page_id}\n{page}") >> 1
-                rows += [(host, path, chunk, n, mass[path] if chunk == 0 else 0, key) for (path, chunk), n in counts.items()]
-            types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-            names = ["host", "path", "chunk", "n", "mass", "page"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names=names)
+            for host, page in zip(*(c.to_pylist() for c in batch.columns)):
+                counts, mass, inner = _tokens(page or "")
+                key = xxhash.xxh3_64_intdigest(page or "") >> 1
+                rows += [(host, path, chunk, n, 0 if chunk else mass[path], 0 if chunk else inner[path], key) for (path, chunk), n in counts.items()]
+            types = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            names = ["host", "path", "chunk", "n", "mass", "inner", "page"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=names)
+
+    return pages.select("host", "html").mapInArrow(run, _ROWS)
+
 
-    return pages.select("host", "page_id", "html").mapInArrow(run, _ROWS)
+def _key(path: str, chunk: int) -> int:
+    """A text chunk at its path, as one number."""
+    return xxhash.xxh3_64_intdigest(f"{path}\n{chunk}") - 2**63
 
 
 _TEMPLATE = "host string, slot string, fixed array<bigint>, classes int, depth int"
@@ -174,7 +201,8 @@ def deduce(rows: DataFrame) -> DataFrame:
     """One template per host: the main slot's path, its fixed text chunks, the number and nesting depth of its classes."""
     vector = F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(2**31)))
     tokens = rows.groupBy("host", "path", "chunk").agg(
-        vector.alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+        vector.alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("mass").alias("mass"),
+        F.sum("inner").alias("inner"), (F.min("page") < F.max("page")).alias("varied"))
     # tokens of one page only are in no template; without them a host's rows are few
     pages = F.max(F.when((F.col("path") == "") & (F.col("chunk") == 0), F.col("pages"))).over(Window.partitionBy("host"))
     tokens = tokens.where("pages >= 2").withColumn("all", pages).where(F.col("pages") >= MIN_SHARE * F.col("all"))
@@ -186,7 +214,8 @@ def deduce(rows: DataFrame) -> DataFrame:
             classes.setdefault((token["vector"], token["pages"], token["n"]), []).append(token)
         valid = {c: t for c, t in classes.items() if len(t) >= MIN_TOKENS}
         slot, depth = choose_slot(valid)
-        fixed = sorted(t["chunk"] for tokens in valid.values() for t in tokens if t["chunk"])
+        # text that only copies of one page share is their own
+        fixed = sorted(_key(t["path"], t["chunk"]) for tokens in valid.values() for t in tokens if t["chunk"] and t["varied"])
         return pa.table({n: pa.array([v], types[n]) for n, v in
                          {"host": key[0].as_py(), "slot": slot, "fixed": fixed, "classes": len(valid), "depth": depth}.items()})
 
@@ -194,10 +223,17 @@ def deduce(rows: DataFrame) -> DataFrame:
 
 
 def choose_slot(classes: dict[tuple, list[dict]]) -> tuple[str | None, int]:
-    """Nest the classes' element tokens by path and pick the article's slot, else the innermost with most text."""
-    paths = {t["path"]: t["mass"] for tokens in classes.values() for t in tokens if not t["chunk"] and t["path"]}
+    """Nest the classes' element tokens by path and pick the article's slot, else the innermost with most text.
+
+    Furniture by class holds no slot, unless it holds most of the host's running text: then the
+    class is that of a wrapper.
+    """
+    elements = [t for tokens in classes.values() for t in tokens if not t["chunk"] and t["path"]]
+    paths = {t["path"]: t["mass"] for t in elements}
     if not paths:
         return None, 0
+    if max(paths.values()) < (1 - SLOT_MASS) * max(t["inner"] for t in elements):
+        paths = {t["path"]: t["inner"] for t in elements}
     parents: dict[str, str | None] = {}
     for path in paths:
         parts = path.split(">")
@@ -216,16 +252,18 @@ def choose_slot(classes: dict[tuple, list[dict]]) -> tuple[str | None, int]:
 
 
 def extract(page: str | None, slot: str | None, fixed: frozenset) -> str:
-    """Text of the slot: blocks in order, furniture left out. A page without the slot uses its own article, or all its running text."""
-    nodes = [n for n in parse(page or "") if not n.chrome]
-
-    def kept(n: Node) -> bool:
-        return any(x.split(".")[0] in MAIN for x in n.path.split(">"))
-
-    main = [n for n in nodes if kept(n)]
-    if not main:
-        inside = [n for n in nodes if slot and (n.path + ">").startswith(slot + ">")] or nodes
-        main = [n for n in inside if xxhash.xxh3_64_intdigest(" ".join(n.text.split())) - 2**63 not in fixed]
+    """Text of the slot: blocks in order, furniture and the template's text left out. A page without
+    the slot uses its own article, or all its running text."""
+    nodes = parse(page or "")
+    main = [n for n in nodes if slot and (n.path + ">").startswith(slot + ">")]
+    if main:
+        depth = slot.count(">") + 1
+        main = [n for n in main if not n.furniture_below(depth)]
+    else:
+        nodes = [n for n in nodes if not n.chrome]
+        main = [n for n in nodes if any(x.split(".")[0] in MAIN for x in n.path.split(">"))] or nodes
+    if fixed:
+        main = [n for n in main if _key(n.path, n.chunk) not in fixed]
     blocks: list[str] = []
     last = None
     for n in main:

@@ -44,6 +44,26 @@ def test_host_without_article_uses_its_template(spark):
     assert len(found) == 1 and found[0].slot.endswith("div.content") and len(found[0].fixed) == 3 and found[0].depth >= 3
 
 
+def test_template_text_inside_articles_goes(spark):
+    """Text that every page of a host repeats is template, also in an article; elsewhere the same words stay."""
+    page = "<html><body><nav>Home</nav><article><h1>T{0}</h1><p>Body {0}</p><div><p>Subscribe for more</p></div>{1}</article></body></html>"
+    rows = [(i, "http://d.example/", page.format(i, "<h2>Subscribe for more</h2>" if i == 3 else "")) for i in range(6)]
+    rows += [(i, "http://copies.example/", page.format("same", "")) for i in (10, 11, 12)]
+    want = [(i, f"T{i} Body {i}" + " Subscribe for more" * (i == 3)) for i in range(6)]
+    assert solve(spark, rows) == sorted(want + [(i, "Tsame Body same Subscribe for more") for i in (10, 11, 12)], key=str)
+
+
+def test_wrapper_with_a_listed_class_keeps_its_text(spark):
+    page = ("<html><body class='has-sidebar'><div class='top'><p>Site</p></div><div class='social-post'><p>Words of {0} that run on</p>"
+            "<article><p>Text of {0} that runs on and on</p><div class='share'><p>Share {0}</p></div></article></div>"
+            "<div class='sidebar'><p>Aside {0}</p></div></body></html>")
+    rows = [(i, "http://e.example/", page.format(i)) for i in range(4)]
+    rows += [(10 + i, "http://f.example/", page.format(i).replace("article", "section")) for i in range(4)]
+    assert solve(spark, rows) == sorted(
+        [(i, f"Text of {i} that runs on and on") for i in range(4)]
+        + [(10 + i, f"Words of {i} that run on Text of {i} that runs on and on") for i in range(4)], key=str)
+
+
 def test_equal_vectors_form_classes(spark):
     frame = spark.createDataFrame([("h", 1, "<ul><li>a<li>b</ul><p>x"), ("h", 2, "<ul><li>a<li>c<li>d</ul><p>y"), ("h", 3, "<p>z")],
                                   "host string, page_id bigint, html string")
