@@ -229,15 +229,18 @@ def _scan_lists(entries: DataFrame, threshold: Threshold) -> DataFrame:
         held: list[np.ndarray] | None = None
         for new in _gathered(batches):
             cols = [np.concatenate([h, x]) for h, x in zip(held, new)] if held else new
-            # whole lists only; the last one may go on, unless it alone is longer than what a task should hold
+            # whole lists only; the last one may go on. What is longer than a task should hold goes in pieces: a piece
+            # of a subset's list begins with the list's first set again, heavy lists of that length are all long ones
             key, c, part = cols[0], cols[1], cols[2]
             change = np.flatnonzero((key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (part[1:] != part[:-1])) + 1
             cut = int(change[-1]) if len(change) else 0
+            rest = slice(cut, None)
             if len(key) - cut > 4 * LIST_ROWS:
+                rest = slice(cut, cut + 1) if c[cut] else slice(len(key), None)
                 cut = len(key)
             if cut:
                 yield from _pairs([x[:cut] for x in cols], threshold)
-            held = [x[cut:] for x in cols]
+            held = [x[rest] for x in cols]
         if held and len(held[0]):
             yield from _pairs(held, threshold)
 

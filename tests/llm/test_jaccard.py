@@ -2,6 +2,7 @@
 
 import random
 import re
+from functools import partial
 
 import pytest
 
@@ -87,6 +88,23 @@ def test_group_of_near_copies(spark, monkeypatch):
     assert solve(spark, rows, 3, 90, 100) == brute(rows, 3, 90, 100)
 
 
+def test_pieces_of_a_long_subset_list_share_their_first_set(spark, monkeypatch):
+    """A subset's list longer than a task holds still links every member to its smallest one, lists around it as well."""
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 50)
+    monkeypatch.setattr(jaccard, "_gathered", partial(jaccard._gathered, rows=1))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        spark.conf.set(rows, "64")
+        lists = [(key, 4, 0, 1, 4, key * 10_000 + i, 0) for key, size in ((1, 3), (2, 2_000), (3, 201), (4, 1)) for i in range(size)]
+        frame = spark.createDataFrame(lists, "key bigint, c int, part int, parts int, n bigint, id bigint, pos bigint").repartition(3)
+        found = jaccard._scan_lists(frame, jaccard.Threshold(80, 100)).collect()
+    finally:
+        spark.conf.set(rows, before)
+    assert sorted((r.kind, r.a, r.b) for r in found) == [
+        (jaccard.LINK, key * 10_000, key * 10_000 + i) for key, size in ((1, 3), (2, 2_000), (3, 201)) for i in range(1, size)]
+
+
 def test_boundary_takes_the_cheaper_side(spark):
     threshold = jaccard.Threshold(90, 100)
     assert [threshold.subsets(s) for s in (5, 10, 20)] == [1, 11, 211]
