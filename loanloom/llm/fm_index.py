@@ -231,13 +231,14 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*keep, raw[at:]]).decode()
 
 
-def phrase_blocks(benchmark: DataFrame, size: int = WINDOW) -> list[Phrases]:
-    """The benchmark (item_id, text) in blocks of about PHRASE_BLOCK_CHARS, one in the driver's memory at a time."""
+def phrase_blocks(benchmark: DataFrame, size: int = WINDOW) -> Iterator[tuple[Phrases, bool]]:
+    """The benchmark (item_id, text) in blocks of about PHRASE_BLOCK_CHARS, one in the driver's memory at a time,
+    and whether a block is the last one."""
     total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // PHRASE_BLOCK_CHARS) or 1
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for b in range(blocks):
-        yield Phrases.of([tuple(r) for r in benchmark.select("item_id", "text").where(block == b).collect()], size)
+        yield Phrases.of([tuple(r) for r in benchmark.select("item_id", "text").where(block == b).collect()], size), b == blocks - 1
 
 
 def _shards(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.Table]:
@@ -302,7 +303,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     df = docs.select("doc_id", "text")
     with_text = T.StructType([*df.schema.fields, *FOUND_SCHEMA.fields[1:]])
     out = None
-    for phrases in phrase_blocks(benchmark, size):
+    for phrases, _ in phrase_blocks(benchmark, size):
         out = _apply(df, phrases, with_text, first) if out is None else _apply(out, phrases, with_text, more)
     return out.select(*FOUND_SCHEMA.names)
 
@@ -311,10 +312,23 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WIND
     """``docs`` with the words of the removal spans cut from ``text``, and ``n_chars`` (if there) set anew.
 
     Untouched texts stay as they are. Other columns pass through, whatever their names. With
-    ``drop_emptied`` rows whose every word is cut go.
+    ``drop_emptied`` rows whose every word is cut go. All spans are those of the original text:
+    blocks of the benchmark before the last one only add theirs to a column, and the last one cuts.
     """
+    spans = "__spans"
+    while spans in docs.columns:
+        spans += "_"
+
+    def joined(shard: pa.Table, found: list[Found]) -> list[Found]:
+        if spans not in shard.column_names:
+            return found
+        return [(n, merge([*s, *((x["start"], x["end"]) for x in old)]), i) for (n, s, i), old in zip(found, shard.column(spans).to_pylist())]
+
+    def gather(shard: pa.Table, found: list[Found]) -> tuple[pa.Table, dict[str, pa.Array]]:
+        return shard, {spans: pa.array([[{"start": s, "end": e} for s, e in f[1]] for f in joined(shard, found)], _SPANS)}
+
     def emit(shard: pa.Table, found: list[Found]) -> tuple[pa.Table, dict[str, pa.Array]]:
-        texts = shard.column("text").to_pylist()
+        texts, found = shard.column("text").to_pylist(), joined(shard, found)
         if drop_emptied:
             left = [not f[1] or sum(e - s for s, e in f[1]) < f[0] for f in found]
             texts = [cut(t, f[1]) if f[1] else t for t, f, k in zip(texts, found, left) if k]
@@ -327,6 +341,8 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WIND
             out["n_chars"] = pa.array([len(t) if f[1] else n for t, f, n in zip(texts, found, old.to_pylist())], old.type)
         return shard, out
 
-    for phrases in phrase_blocks(benchmark, size):
-        docs = _apply(docs, phrases, docs.schema, emit)
+    schema = docs.schema
+    with_spans = T.StructType([*schema.fields, T.StructField(spans, T.ArrayType(_SPAN))])
+    for phrases, last in phrase_blocks(benchmark, size):
+        docs = _apply(docs, phrases, schema if last else with_spans, emit if last else gather)
     return docs

@@ -74,6 +74,22 @@ def test_removal_leaves_clean_text_alone(spark):
     assert got[3].text is None and got[4].text == "" and got[4].n_chars == 0
 
 
+@pytest.mark.parametrize("block_chars", [32_000_000, 20])
+def test_removal_does_not_depend_on_blocks(spark, monkeypatch, block_chars):
+    """Overlapping items of different blocks are all cut from the original text; words brought together by a cut are no window."""
+    monkeypatch.setattr(fm, "PHRASE_BLOCK_CHARS", block_chars)
+    items = [(i, " ".join(f"w{j}" for j in range(3 * i, 3 * i + 5))) for i in range(8)] + [(20 + i, f"left{i} right{i}") for i in range(8)]
+    chain = " ".join(f"w{j}" for j in range(26))
+    docs = [(1, f"a {chain} z", 9, "x"), (2, chain, 9, "y"), (3, "clean words", 9, None), (4, None, None, None)]
+    docs += [(100 + 10 * i + k, f"left{i} {items[k][1]} right{i}", 9, "s") for i in range(8) for k in range(8)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, n_chars bigint, __spans string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n_chars, r["__spans"]) for r in fm.remove_contamination(frame, bench, 5, drop_emptied=True).collect()}
+    want = {1: ("a z", 3, "x"), 3: ("clean words", 9, None), 4: (None, None, None)}
+    want |= {100 + 10 * i + k: (f"left{i} right{i}", len(f"left{i} right{i}"), "s") for i in range(8) for k in range(8)}
+    assert got == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     bench = spark.createDataFrame([], "item_id bigint, text string")
