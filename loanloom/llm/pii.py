@@ -6,12 +6,13 @@ running sums of their lengths. The patterns start only where a run of their char
 (or where the previous match ended), which keeps them linear on very long runs and finds the
 same matches.
 
-Contextual extraction works on identifier-like tokens (a digit, ``MIN_TOKEN`` characters or
-more). A token's lexical pattern is the word before it plus the separator between them, with
-digits folded. Tokens that overlap a base span are the seed instances. On the graph of
-patterns and instances, a pattern scores the smoothed mean of its instances' scores and an
-instance the noisy-or of its patterns' scores, for ``ROUNDS`` rounds. Instances of accepted
-patterns that score enough become spans of kind ``id``.
+Contextual extraction looks for identifier-like tokens (a digit, ``MIN_TOKEN`` characters or
+more) outside base spans. Every base span is a seed instance, whatever its form. An instance's
+lexical pattern is the word before the whole of it plus the separator between them, with digits
+folded. On the graph of patterns and instances, a pattern scores the smoothed mean of its
+instances' scores and an instance the noisy-or of its patterns' scores, for ``ROUNDS`` rounds; a
+pattern needs ``MIN_SEEDS`` instances that are seeds or were accepted in an earlier round.
+Instances of accepted patterns that score enough become spans of kind ``id``.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def matches(docs: DataFrame) -> DataFrame:
     """Rows (row, doc_id, kind, i, gap, lead, match) of every match; a document without any has one row of nulls.
 
     ``gap`` is the code points since the previous match of the kind, ``lead`` the last
-    characters of that gap (for contexts only), ``row`` a number of the document's row.
+    characters of that gap, ``row`` a number of the document's row.
     """
     text = F.col("text")
     has_digit = text.rlike("[0-9]")
@@ -80,9 +81,9 @@ def matches(docs: DataFrame) -> DataFrame:
         pattern = F.lit(PATTERNS[kind])
         # zipped first, so that both arrays are made once per text; the gap after the last match goes
         both = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
-        lead = (lambda z: F.right(z["gap"], F.lit(CONTEXT_CHARS))) if kind == "id" else (lambda z: F.lit(None).cast("string"))
         rows = F.transform(F.filter(both, lambda z: z["match"].isNotNull()), lambda z, i: F.struct(
-            F.lit(kind).alias("kind"), i.alias("i"), F.length(z["gap"]).alias("gap"), lead(z).alias("lead"), z["match"].alias("match")))
+            F.lit(kind).alias("kind"), i.alias("i"), F.length(z["gap"]).alias("gap"),
+            F.right(z["gap"], F.lit(CONTEXT_CHARS)).alias("lead"), z["match"].alias("match")))
         need = text.contains(NEEDS[kind]) if NEEDS[kind] else F.lit(True)
         # a letter-only address is the one match that needs no digit
         return F.when(need if kind == "email" else need & has_digit, rows).otherwise(F.array().cast(
@@ -97,7 +98,10 @@ def _located(found: DataFrame) -> DataFrame:
     before = Window.partitionBy("row", "kind").orderBy("i")
     size = F.length("match")
     end = F.sum(F.col("gap") + size).over(before)
-    return found.withColumn("end", end.cast("long")).withColumn("start", F.col("end") - size)
+    # where the previous match ends right before the separator, it is the context word
+    lead = F.when(F.trim("lead") == "", F.concat(F.coalesce(F.lag("match").over(before), F.lit("")), F.col("lead"))).otherwise(F.col("lead"))
+    return found.select("*", end.cast("long").alias("end"), lead.alias("before")).withColumn("start", F.col("end") - size).withColumn(
+        "lead", F.right("before", F.lit(CONTEXT_CHARS))).drop("before")
 
 
 def base_spans(located: DataFrame) -> DataFrame:
@@ -105,29 +109,26 @@ def base_spans(located: DataFrame) -> DataFrame:
 
 
 def contexts(located: DataFrame, base: DataFrame) -> DataFrame:
-    """Identifier-like tokens with their lexical pattern, and whether a base span overlaps them."""
+    """Seeds, which are the base spans, and identifier-like tokens outside of them, with their lexical pattern."""
     tokens = located.where(F.col("kind") == "id").withColumn("token", F.regexp_replace("match", r"[.,;:!?)\]]+$", "")).withColumn(
         "end", F.col("start") + F.length("token"))
     here = Window.partitionBy("row").orderBy("start", "end")
     earlier = here.rowsBetween(Window.unboundedPreceding, -1)
     later = here.rowsBetween(1, Window.unboundedFollowing)
-    is_base = F.col("kind") != "id"
-    # where the previous token ends right before the separator, that token is the context word
-    word = Window.partitionBy("row", "kind").orderBy("i")
-    lead = F.when(F.trim("lead") == "", F.concat(F.lag("match").over(word), F.col("lead"))).otherwise(F.col("lead"))
-    tokens = tokens.withColumn("lead", F.right(lead, F.lit(CONTEXT_CHARS)))
-    both = tokens.select("row", "doc_id", "kind", "start", "end", "lead", "token").unionByName(
-        base.select("row", "doc_id", "kind", "start", "end"), allowMissingColumns=True)
-    marked = both.withColumn("past", F.max(F.when(is_base, F.col("end"))).over(earlier)).withColumn(
-        "next", F.min(F.when(is_base, F.col("start"))).over(later))
+    seed = F.col("kind") != "id"
+    # signs that open a token, as in "(a@b.cd", stand between the word and the span
+    opened = F.regexp_replace("lead", r'(?<![^\s"=])[^\s"=\p{L}\p{N}]+$', "")
+    columns = ["row", "doc_id", "kind", "start", "end", "lead", "token"]
+    both = tokens.select(columns).unionByName(base.withColumn("lead", opened).withColumn("token", F.col("match")).select(columns))
+    marked = both.withColumn("past", F.max(F.when(seed, F.col("end"))).over(earlier)).withColumn(
+        "next", F.min(F.when(seed, F.col("start"))).over(later))
     label = F.regexp_extract("lead", r'([^\s"=]+)[\s"=]*$', 1)
     separator = F.regexp_extract("lead", r'([\s"=]*)$', 1)
     pattern = F.concat(F.regexp_replace(F.lower(label), "[0-9]", "9"), F.regexp_replace(separator, r"\s+", " "))
+    outside = ~F.coalesce((F.col("past") > F.col("start")) | (F.col("next") < F.col("end")), F.lit(False))
     return (
-        marked.where(~is_base)
-        .withColumn("seed", F.coalesce((F.col("past") > F.col("start")) | (F.col("next") < F.col("end")), F.lit(False)))
-        .select("row", "doc_id", "start", "end", "token", "seed", pattern.alias("pattern"), F.xxhash64(F.lower("token")).alias("instance"))
-        .where(F.length("token") >= MIN_TOKEN)
+        marked.where(seed | outside & (F.length("token") >= MIN_TOKEN))
+        .select("row", "doc_id", "start", "end", seed.alias("seed"), pattern.alias("pattern"), F.xxhash64(F.lower("token")).alias("instance"))
         .where(F.trim("pattern") != "")
     )
 
@@ -135,17 +136,19 @@ def contexts(located: DataFrame, base: DataFrame) -> DataFrame:
 def score(edges: DataFrame) -> DataFrame:
     """Iterate over edges (pattern, instance, seed); returns unseen (pattern, instance) pairs to accept."""
     seeds = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    scored = seeds
+    scored = seeds.withColumn("accepted", F.col("score") == 1)
     for _ in range(ROUNDS):
         patterns = (
             edges.join(scored, "instance").groupBy("pattern")
-            .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("strength"), F.sum(F.col("seed").cast("long")).alias("support"))
+            .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("strength"), F.sum(F.col("accepted").cast("long")).alias("support"))
             .where(F.col("support") >= MIN_SEEDS)
         )
         reach = edges.join(patterns, "pattern").groupBy("instance").agg(
-            (1 - F.exp(F.sum(F.log1p(-F.col("strength"))))).alias("reached"))
+            (1 - F.exp(F.sum(F.log1p(-F.col("strength"))))).alias("reached"), F.max("strength").alias("best"))
+        known = F.col("score") == 1
         scored = seeds.join(reach, "instance", "left").select(
-            "instance", F.greatest("score", F.coalesce("reached", F.lit(0.0))).alias("score"), (F.col("score") == 1).alias("known"))
+            "instance", F.greatest("score", F.coalesce("reached", F.lit(0.0))).alias("score"), known.alias("known"),
+            (known | F.coalesce((F.col("reached") >= INSTANCE_SCORE) & (F.col("best") >= PATTERN_SCORE), F.lit(False))).alias("accepted"))
     good = patterns.where(F.col("strength") >= PATTERN_SCORE).select("pattern")
     new = scored.where(~F.col("known") & (F.col("score") >= INSTANCE_SCORE)).select("instance")
     return edges.where(~F.col("seed")).select("pattern", "instance").join(good, "pattern").join(new, "instance")

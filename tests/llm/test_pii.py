@@ -66,5 +66,26 @@ def test_context_discovers_unseen_identifiers(spark):
     assert all(len(found[i]) == 1 and found[i][0][1] == 0 for i in range(12))
 
 
+def test_every_base_span_sets_up_its_context(spark):
+    """Emails without digits, phones and cards in groups seed the word before the whole span."""
+    cards = ["4111 1111 1111 1111", "5555 5555 5555 4444", "4012 8888 8888 1881", "3782 822463 10005", "6011 1111 1111 1117"]
+    rows = [(i, f"prose mail: ({x}ane.doe@example.com) and") for i, x in enumerate("abcdef")]
+    rows += [(10 + i, f"prose call: +1 (017) 555-771{i} and") for i in range(6)]
+    rows += [(20 + i, f"prose paid: {x} and") for i, x in enumerate(cards)]
+    rows += [(30, "x mail: handle-77123 and"), (31, "x call: desk-77123 and"), (32, "x paid: slip-77123 and"), (33, "x (017) 555-9999 and")]
+    found = {i: x for i, x in spans(spark, rows)}
+    assert [found[i] for i in range(30, 34)] == [[(8, 4, 20)], [(8, 4, 18)], [(8, 4, 18)], []]
+    assert all(len(found[i]) == 1 and found[i][0][1] != 4 for i in range(24) if i in found)
+
+
+def test_found_identifiers_bring_in_new_contexts(spark):
+    rows = [(i, f"prose mail: user{i}@host.example.com and") for i in range(30)]
+    rows += [(100 + i, f"x mail: tok-{1000 + i} and then login: tok-{1000 + i} there") for i in range(8)]
+    rows += [(200, "x login: zed-90001 there"), (201, "x ticket: abc-90001 there")]
+    found = {i: x for i, x in spans(spark, rows)}
+    assert found[200] == [(9, 4, 18)] and found[201] == []
+    assert all(len(found[100 + i]) == 2 for i in range(8))
+
+
 def test_empty(spark):
     assert spans(spark, []) == []
