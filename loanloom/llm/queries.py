@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, hnsw, jaccard, mixing, pii, quality, suffix_trees, templates, token_files
+from loanloom.llm import chat, fm_index, hnsw, jaccard, mixing, pii, quality, repair, suffix_trees, templates, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -210,3 +210,95 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
     found = mixing.mix(docs, Scratch(spark, "op10")).select("doc_id", "__mix.*")
     return found.withColumn("probability", F.round("probability", 6))
+
+
+_CRC = """
+crct AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+)"""
+
+
+def _crc32(key: str) -> str:
+    """crc32 of an ASCII text, by the table of ``_CRC``."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({key}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _op12_sql() -> str:
+    white = r"\x20\x09-\x0D"
+
+    def option(cost: str, letter: str, state: int, line: str | None = None) -> str:
+        lines = f"list_prepend({line}, s{state}.t)" if line else f"s{state}.t"
+        return f"{{'c': s{state}.c + {cost}, 'a': '{letter}' || s{state}.a, 't': {lines}}}"
+
+    def row(state: int) -> str:
+        name, after = ("assistant", 3) if state == 2 else ("user", 2)
+        kept = [option("3 * cut", "K", after, "role || ':' || text") if i == name[0] else option("3 * cut", "K", 1, "role || ':' || text")
+                for i in (name[0], *("s" * (state == 0)))]
+        when = [f"CASE WHEN NOT gone AND initial = '{i}' THEN {k} END" for i, k in zip((name[0], *("s" * (state == 0))), kept)]
+        rerole = option("3 + 3 * cut", "R", after, f"'{name}:' || text")
+        return (f"list_sort(list_filter([{option('4', 'D', state)}, CASE WHEN NOT gone THEN {rerole} END, {', '.join(when)}], "
+                f"lambda x: x IS NOT NULL))[1] AS e{state}")
+
+    def closed(state: int) -> str:
+        name, after = ("assistant", 3) if state == 2 else ("user", 2)
+        then, beyond = ("user", 2) if after == 3 else ("assistant", 3)
+        one = f"{{'c': e{after}.c + 3, 'a': 'I' || e{after}.a, 't': list_prepend('{name}:', e{after}.t)}}"
+        two = (f"{{'c': e{beyond}.c + 6, 'a': 'II' || e{beyond}.a, "
+               f"'t': list_prepend('{name}:', list_prepend('{then}:', e{beyond}.t))}}")
+        return f"list_sort([e{state}, {one}, {two}])[1] AS s{state}"
+
+    def last(cost: int, *lines: str) -> str:
+        return f"{{'c': {cost}, 'a': '{'I' * len(lines)}', 't': CAST({[f'{x}:' for x in lines]} AS VARCHAR[])}}"
+
+    return f"""
+WITH RECURSIVE {_CRC}, k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), o AS (SELECT k.* EXCLUDE (key), {_crc32("key")} % 20 AS kind FROM k, crct),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM o WHERE kind <> 0
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS size, left(role, 1) AS initial FROM d
+), f AS (
+  SELECT *, NOT regexp_matches(text, '[^{white}]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][{white}]*$') AS bad,
+    i > 1 AND lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS broken FROM n
+), g AS (SELECT *, blank OR again AS gone, CAST(bad AND NOT blank AND NOT again AS INTEGER) AS cut FROM f),
+v AS (
+  SELECT conv_id, size AS i, {last(0)} AS s0, {last(6, 'user', 'assistant')} AS s1, {last(3, 'assistant')} AS s2, {last(0)} AS s3
+  FROM (SELECT DISTINCT conv_id, size FROM n)
+  UNION ALL
+  SELECT conv_id, i, {", ".join(map(closed, range(4)))} FROM (
+    SELECT v.conv_id, v.i - 1 AS i, {", ".join(map(row, range(4)))} FROM v JOIN g ON v.conv_id IS NOT DISTINCT FROM g.conv_id AND v.i = g.i
+  )
+), a AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, CAST(sum(cut) AS BIGINT) AS truncated, count(*) FILTER (broken) AS illegal
+  FROM g GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit,
+  sha256(coalesce(array_to_string(s0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN a ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN (SELECT * FROM v WHERE i = 0) w ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+"""
+
+
+@query(_op12_sql())
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation, damaged first."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    edits, summary = repair.repair(repair.damage(turns), Scratch(spark, "op12"))
+    found = summary.join(repair.digest(edits), "conv").drop("conv").withColumnRenamed("conv_id", "__conv")
+    every = turns.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
