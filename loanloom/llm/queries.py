@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, hnsw, jaccard, mixing, pii, quality, repair, suffix_trees, templates, token_files
+from loanloom.llm import chat, fm_index, fp_search, hnsw, jaccard, mixing, pii, quality, repair, suffix_trees, templates, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -302,3 +302,34 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(found, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
         "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+OP13_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{fp_search._UPPER}', '{fp_search._LOWER}'), '{fp_search.WORD}') AS w FROM documents
+), s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+b AS (
+  SELECT item_id, term, CAST(count(*) AS BIGINT) AS n FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{fp_search._UPPER}', '{fp_search._LOWER}'), '{fp_search.WORD}')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+  ) GROUP BY ALL
+), t AS (
+  SELECT r, doc_id, size, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS size, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM b) GROUP BY ALL
+), f AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY term, n_docs
+), p AS (
+  SELECT r, doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * size * n_docs) // n_terms)) AS part FROM t, s
+), x AS (
+  SELECT item_id, r, doc_id, CAST(sum(b.n * weight * part) AS BIGINT) AS score FROM b JOIN p USING (term) JOIN f USING (term) GROUP BY ALL
+), y AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM y WHERE rank <= 10
+"""
+
+
+@query(OP13_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    return fp_search.search(docs, items, 10, Scratch(spark, "op13"))
