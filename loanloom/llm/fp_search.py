@@ -70,7 +70,8 @@ class Tree:
     number of the maxima that bound it.
     """
 
-    def __init__(self, ids: np.ndarray, m: np.ndarray, sizes: np.ndarray, terms: np.ndarray, tfs: np.ndarray, n_terms: int):
+    def __init__(self, ids: np.ndarray, m: np.ndarray, sizes: np.ndarray, terms: np.ndarray, tfs: np.ndarray, n_terms: int,
+                 leaf_docs: int = LEAF_DOCS):
         starts = np.concatenate([[0], np.cumsum(sizes)])
         raw = terms.astype(">u4").tobytes()
         keys = [raw[4 * a:4 * b] for a, b in zip(starts, starts[1:])]
@@ -81,7 +82,7 @@ class Tree:
         place = np.repeat(starts[:-1][order] - self.starts[:-1], sizes) + np.arange(self.starts[-1])
         self.terms, tfs = terms[place], tfs[place].astype(np.int64)
         self.parts = part(tfs, np.repeat(self.m, sizes))
-        self.n_terms = n_terms
+        self.n_terms, self.leaf_docs = n_terms, leaf_docs
         self._grow(shared)
         self._bound(tfs)
 
@@ -104,13 +105,13 @@ class Tree:
         at = 0
         while at < len(self.lo):
             lo, hi = self.lo[at], self.hi[at]
-            if hi - lo > LEAF_DOCS:
+            if hi - lo > self.leaf_docs:
                 inside = shared[lo + 1:hi]
                 cuts = [lo, *(np.flatnonzero(inside == inside.min()) + lo + 1).tolist(), hi]
                 start = lo
                 for left, right in zip(cuts[1:], cuts[2:] + [None]):
                     # neighbours that fit into one leaf stay together
-                    if right is not None and right - start <= LEAF_DOCS:
+                    if right is not None and right - start <= self.leaf_docs:
                         continue
                     self._add(at, start, left)
                     start = left
@@ -123,9 +124,9 @@ class Tree:
         self.hi.append(hi)
         self.children.append([])
         above = self.maps[self.own[parent]]
-        if hi - lo <= LEAF_DOCS or FANOUT * (hi - lo) <= self.hi[above] - self.lo[above]:
+        if hi - lo <= self.leaf_docs or FANOUT * (hi - lo) <= self.hi[above] - self.lo[above]:
             self.own.append(len(self.maps))
-            self.generation.append(self.generation[self.own[parent]] + 1 if hi - lo > LEAF_DOCS else -1)
+            self.generation.append(self.generation[self.own[parent]] + 1 if hi - lo > self.leaf_docs else -1)
             self.maps.append(child)
         else:
             self.own.append(self.own[parent])
@@ -248,7 +249,7 @@ def _search_task(shared: Broadcast, k: int):
             m = np.array([length_factor(n, n_docs, n_terms) for n in ns.tolist()], dtype=np.int64)
             # within a document by rank: most frequent term first
             order = np.lexsort((rank[terms], np.repeat(np.arange(len(lengths)), lengths)))
-            tree = Tree(ids, m, lengths, rank[terms][order], tfs[order], len(rank))
+            tree = Tree(ids, m, lengths, rank[terms][order], tfs[order], len(rank), LEAF_DOCS)
             for item, heap in zip(items, best):
                 tree.search(item, dense, heap, k)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import chat, fm_index, fp_search, hnsw, jaccard, mixing, pii, quality, repair, suffix_trees, templates, token_files
+from loanloom.llm import brown, chat, fm_index, fp_search, hnsw, jaccard, mixing, pii, quality, repair, suffix_trees, templates, token_files
 from loanloom.llm.storage import Scratch, table
 
 QUERIES: dict = {}
@@ -333,3 +333,10 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
     return fp_search.search(docs, items, 10, Scratch(spark, "op13"))
+
+
+@query()
+def op11_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-model and plain scores of every document, learnt from six of seven."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return brown.score(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, Scratch(spark, "op11"))
