@@ -40,6 +40,7 @@ MOST_ROUNDS = 20
 BLOCK_TOKENS = 1 << 20
 GROUP_TOKENS = 1 << 21  # training tokens a group of words has on average
 MERGE = 256
+BATCH_WORDS = 256  # words of a group that move at once, at most
 TABLE_WORDS = 1 << 24  # most frequent words whose class every task holds, one byte each; others are joined
 LARGE_ROWS = 4  # rows of an Arrow batch of blocks
 
@@ -276,44 +277,61 @@ class Exchange:
 
     def __init__(self, bigrams: np.ndarray):
         self.n = bigrams.astype(float)
-        self.f, self.rows, self.columns = _xlogx(self.n), self.n.sum(1), self.n.sum(0)
-
-    def _shift(self, c: int, left: np.ndarray, right: np.ndarray, own: float, sign: float) -> None:
-        self.n[:, c] += sign * left
-        self.n[c, :] += sign * right
-        self.n[c, c] += sign * own
-        self.f[:, c], self.f[c, :] = _xlogx(self.n[:, c]), _xlogx(self.n[c, :])
-        self.rows += sign * left
-        self.rows[c] += sign * (right.sum() + own)
-        self.columns += sign * right
-        self.columns[c] += sign * (left.sum() + own)
-
-    def gains(self, left: np.ndarray, right: np.ndarray, own: float) -> np.ndarray:
-        """What putting a word into each class adds; the word must be in none. ``left`` and ``right`` leave out itself."""
-        i, j = np.flatnonzero(left), np.flatnonzero(right)
-        into = _xlogx(self.n[i] + left[i, None]) - self.f[i]  # neighbours to the left by class
-        out = _xlogx(self.n[:, j] + right[None, j]) - self.f[:, j]
-        total = into.sum(0) + out.sum(1)
+        self.rows, self.columns = self.n.sum(1), self.n.sum(0)
+
+    def gains(self, left: np.ndarray, right: np.ndarray, own: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """For each of some words, what putting it into each class adds once it is taken out of its class ``now``.
+
+        ``left`` and ``right`` hold the neighbours of each word by class, without the word itself, ``own`` how
+        often it stands beside itself. Words see each other where they are.
+        """
+        at, d = np.arange(len(now)), np.arange(CLASSES)
+        total = np.zeros((len(now), CLASSES))
+        for beside, other, grid in ((left, right, self.n), (right, left, self.n.T)):
+            word, c = np.nonzero(beside)
+            if not len(word):
+                continue
+            count, home = beside[word, c], now[word]
+            base = grid[c]  # bigrams of the neighbours' class with every class, the word taken out
+            cell = np.arange(len(word))
+            base[cell, home] -= count
+            same = np.flatnonzero(c == home)
+            base[same] -= other[word[same]]
+            base[same, home[same]] -= own[word[same]]
+            added = _xlogx(base + count[:, None]) - _xlogx(base)
+            added[cell, c] = 0.0  # the diagonal comes below
+            heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            total[word[heads]] += np.add.reduceat(added, heads)
         # on the diagonal both sides and the word itself meet in one cell
-        total[i] -= into[np.arange(len(i)), i]
-        total[j] -= out[j, np.arange(len(j))]
-        d = np.arange(CLASSES)
-        total += _xlogx(self.n[d, d] + left + right + own) - self.f[d, d]
-        a, b = right.sum() + own, left.sum() + own
-        # the neighbours' own margins grow by the same amounts wherever the word goes
-        return total - _xlogx(self.rows + left + a) + _xlogx(self.rows + left) - _xlogx(self.columns + right + b) + _xlogx(self.columns + right)
-
-    def move(self, left: np.ndarray, right: np.ndarray, own: float, now: int) -> int:
-        """Take a word out of its class and put it into the best one (ties: where it was, else the smallest)."""
-        left, right = left.copy(), right.copy()
-        left[now] -= own
-        right[now] -= own
-        self._shift(now, left, right, own, -1.0)
-        gains = self.gains(left, right, own)
-        best = FREE + int(np.argmax(gains[FREE:]))
-        if gains[best] <= gains[now] + 1e-9 * max(1.0, abs(gains[now])):
-            best = now
-        self._shift(best, left, right, own, 1.0)
+        both = left + right + own[:, None]
+        base = np.broadcast_to(self.n[d, d], total.shape).copy()
+        base[at, now] -= both[at, now]
+        total += _xlogx(base + both) - _xlogx(base)
+        for margin, beside in ((self.rows, right), (self.columns, left)):
+            size = beside.sum(1) + own
+            base = np.broadcast_to(margin, total.shape).copy()
+            base[at, now] -= size
+            total -= _xlogx(base + size[:, None]) - _xlogx(base)
+        return total
+
+    def move(self, left: np.ndarray, right: np.ndarray, own: np.ndarray, now: np.ndarray) -> np.ndarray:
+        """Put each word into its best free class (ties: where it was, else the smallest), all of them at once.
+        ``left`` and ``right`` count a word beside itself as a neighbour of its class."""
+        at = np.arange(len(now))
+        left, right = left.astype(float), right.astype(float)
+        left[at, now] -= own
+        right[at, now] -= own
+        gains = self.gains(left, right, own, now)
+        best = FREE + gains[:, FREE:].argmax(1)
+        stays = gains[at, now]
+        best = np.where(gains[at, best] <= stays + 1e-9 * np.maximum(1.0, np.abs(stays)), now, best)
+        for i in np.flatnonzero(best != now).tolist():
+            for c, sign in ((now[i], -1.0), (best[i], 1.0)):
+                self.n[:, c] += sign * left[i]
+                self.n[c, :] += sign * right[i]
+                self.n[c, c] += sign * own[i]
+                self.rows[c] += sign * (right[i].sum() + own[i])
+                self.columns[c] += sign * (left[i].sum() + own[i])
         return best
 
 
@@ -324,7 +342,7 @@ def _words_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _exchange(shared: Broadcast, bigrams: np.ndarray, groups: int):
-    """One round over a group's words, most frequent first."""
+    """One round over a group's words, most frequent first, the first ones one by one and then in small batches."""
     width = 2 * CLASSES + 1
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -336,13 +354,16 @@ def _exchange(shared: Broadcast, bigrams: np.ndarray, groups: int):
         words, heads, tails = _words_of(keys)
         gids = words * groups + group
         now = _classes(gids, classes, exchanged, [{"gid": g, "class": c} for g, c in moved.items()])
-        state, out = Exchange(bigrams), []
-        for gid, a, b, c in zip(gids.tolist(), heads.tolist(), tails.tolist(), now.tolist()):  # gids fall by count
-            counts = np.zeros(width)
-            counts[keys[a:b] % width] = ns[a:b]
-            best = state.move(counts[:CLASSES], counts[CLASSES:-1], counts[-1], c)
-            if best != c:
-                out.append((gid, best))
+        state, out, at = Exchange(bigrams), [], 0
+        while at < len(words):  # gids fall by count; the rarer the words, the more move at once
+            to = min(len(words), at + 1 + min(at // 32, BATCH_WORDS))
+            a, b = heads[at], tails[to - 1]
+            counts = np.zeros((to - at, width))
+            counts[np.repeat(np.arange(to - at), (tails - heads)[at:to]), keys[a:b] % width] = ns[a:b]
+            best = state.move(counts[:, :CLASSES], counts[:, CLASSES:-1], counts[:, -1], now[at:to].astype(np.int64))
+            moved_words = np.flatnonzero(best != now[at:to])
+            out += zip(gids[at:to][moved_words].tolist(), best[moved_words].tolist())
+            at = to
         return pa.Table.from_batches([_batch(out, _MOVES)] if out else [], schema=_MOVES)
 
     return run

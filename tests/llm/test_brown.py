@@ -137,16 +137,23 @@ def test_gains_are_differences_of_information():
     def bigrams(of):
         return np.bincount(of[stream[:-1]] * brown.CLASSES + of[stream[1:]], minlength=brown.CLASSES**2).reshape(brown.CLASSES, -1)
 
+    def beside(w):
+        left = np.bincount(of_word[stream[:-1][stream[1:] == w]], minlength=brown.CLASSES)
+        right = np.bincount(of_word[stream[1:][stream[:-1] == w]], minlength=brown.CLASSES)
+        return left, right, float(((stream[1:] == w) & (stream[:-1] == w)).sum())
+
+    chosen = []
     for w in range(10):
-        left = np.bincount(of_word[stream[:-1][stream[1:] == w]], minlength=brown.CLASSES).astype(float)
-        right = np.bincount(of_word[stream[1:][stream[:-1] == w]], minlength=brown.CLASSES).astype(float)
-        own = float(((stream[1:] == w) & (stream[:-1] == w)).sum())
         values = [brown.information(bigrams(np.where(np.arange(50) == w, c, of_word))) for c in range(brown.FREE, brown.CLASSES)]
         state = brown.Exchange(bigrams(of_word))
-        best = state.move(left, right, own, int(of_word[w]))
+        left, right, own = (np.array([x]) for x in beside(w))
+        best = int(state.move(left, right, own, of_word[[w]])[0])
+        chosen.append(best)
         assert abs(values[best - brown.FREE] - max(values)) < 1e-6
         assert np.allclose(state.n, bigrams(np.where(np.arange(50) == w, best, of_word)))
         assert np.allclose(state.rows, state.n.sum(1)) and np.allclose(state.columns, state.n.sum(0))
+    left, right, own = (np.array(x) for x in zip(*map(beside, range(10))))
+    assert brown.Exchange(bigrams(of_word)).move(left, right, own, of_word[:10]).tolist() == chosen  # at once: each as if alone
 
 
 def test_empty_and_nothing_to_learn_from(spark):
