@@ -37,12 +37,12 @@ OPEN, STOP, FREE = 0, 1, 2  # the open class, the class of the text's end, the f
 EXCHANGE_COUNT = 10
 TOLERANCE = 1e-3  # the exchange ends with a round that raises the likelihood by less than this share of its mutual information
 MOST_ROUNDS = 20
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 21
 GROUP_TOKENS = 1 << 21  # training tokens a group of words has on average
 MERGE = 256
 BATCH_WORDS = 256  # words of a group that move at once, at most
 TABLE_WORDS = 1 << 24  # most frequent words whose class every task holds, one byte each; others are joined
-LARGE_ROWS = 4  # rows of an Arrow batch of blocks
+LARGE_ROWS = 2  # rows of an Arrow batch of blocks
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLOCKS = "block bigint, doc_ids array<bigint>, held array<boolean>, ends binary, tokens binary, words array<binary>, counts array<bigint>"
@@ -235,18 +235,27 @@ def _count_cells(shared: Broadcast, lo: int, hi: int, groups: int):
                 for g, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     if b > a:
                         out.append((g, slice_, (words[a:b] // groups).astype(np.uint32).tobytes(), (keys[a:b] % width).astype(np.uint8).tobytes(),
-                                    ns[a:b].astype(np.int64).tobytes()))
+                                    _narrow(ns[a:b])))
                 yield _batch(out, _CELLS)
 
     return run
 
 
+def _narrow(ns: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the largest; the reader tells the width from the length."""
+    return ns.astype(np.min_scalar_type(int(ns.max(initial=0)))).tobytes()
+
+
+def _wide(ns: list[bytes], kinds: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.frombuffer(n, f"u{len(n) // len(k)}").astype(np.int64) for n, k in zip(ns, kinds) if len(k)] or [np.empty(0, np.int64)])
+
+
 def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Cells of one group, equal ones summed: word * (2 * CLASSES + 1) + kind, and counts."""
-    parts = [np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("words", np.uint32), ("kinds", np.uint8), ("ns", np.int64))]
-    keys = parts[0].astype(np.int64) * (2 * CLASSES + 1) + parts[1]
+    words, kinds, ns = (table.column(c).to_pylist() for c in ("words", "kinds", "ns"))
+    keys = np.frombuffer(b"".join(words), np.uint32).astype(np.int64) * (2 * CLASSES + 1) + np.frombuffer(b"".join(kinds), np.uint8)
     order = np.argsort(keys, kind="stable")
-    keys, ns = keys[order], parts[2][order]
+    keys, ns = keys[order], _wide(ns, kinds)[order]
     heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.array([], dtype=np.int64)
     return keys[heads], np.add.reduceat(ns, heads) if len(heads) else ns
 
@@ -259,7 +268,7 @@ def _merge(key: tuple, table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_batch([(group, slice_, b"", b"", total.tobytes())], _CELLS)])
     keys, ns = _added(table)
     width = 2 * CLASSES + 1
-    row = (group, slice_, (keys // width).astype(np.uint32).tobytes(), (keys % width).astype(np.uint8).tobytes(), ns.tobytes())
+    row = (group, slice_, (keys // width).astype(np.uint32).tobytes(), (keys % width).astype(np.uint8).tobytes(), _narrow(ns))
     return pa.Table.from_batches([_batch([row], _CELLS)])
 
 
