@@ -6,8 +6,12 @@ negatives per score, then running totals come from the bucketed kernel.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import pi, sqrt
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,6 +120,47 @@ def ks_pvalue(d: Column | str = "ks", n: Column | str = "n_pos", m: Column | str
     return F.when(lam2 <= 0, 1.0).when(lam2 < 1.18 * 1.18, E.clip(near_zero, 0.0, 1.0)).otherwise(E.clip(2.0 * series, 0.0, 1.0))
 
 
+EXACT_ROWS = 10_000  # the larger sample's size up to which the p-value is counted exactly
+
+
+def ks_exact(d: float, n: int, m: int) -> float:
+    """P(D >= d) of two samples without ties: the share of lattice paths from (0, 0) to (n, m), all equally
+    likely, that reach a point (i, j) with abs(i / n - j / m) >= d.
+
+    Walked by anti-diagonals: of the paths to (i, j), i / (i + j) come from (i - 1, j). Points that were reached
+    count 1, so small p-values lose no digits.
+    """
+    reach = round(d * n * m)  # the gap in units of 1 / (n m) is a whole number
+    if reach <= 0:
+        return 1.0
+    hit = np.zeros(n + 1)  # by i, on the diagonal i + j = s
+    i = np.arange(n + 1)
+    for s in range(1, n + m + 1):
+        j = s - i
+        left = np.concatenate([[0.0], hit[:-1]])
+        hit = (left * i + hit * j) / s
+        hit[np.abs(i * m - j * n) >= reach] = 1.0
+        hit[(j < 0) | (j > m)] = 0.0
+    return float(hit[n])
+
+
+def ks_test(scored: DataFrame, label: str = "target", score: str = "pred_prob", exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """KS statistic with its p-value in one row: exact up to ``exact_rows`` rows in the larger sample, the
+    asymptotic series above; ``method`` says which. Without rows of both classes both are null."""
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            small = (batch["n_pos"] > 0) & (batch["n_neg"] > 0) & (batch[["n_pos", "n_neg"]].max(axis=1) <= exact_rows)
+            for row in batch.index[small & batch["ks"].notna()]:
+                batch.loc[row, "p_value"] = ks_exact(batch.at[row, "ks"], int(batch.at[row, "n_pos"]), int(batch.at[row, "n_neg"]))
+                batch.loc[row, "method"] = "exact"
+            yield batch
+
+    row = ks(scored, label, score).select(
+        "ks", F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"), ks_pvalue().alias("p_value"),
+        F.when(F.col("ks").isNotNull(), "asymptotic").alias("method"))
+    return row.mapInPandas(fill, row.schema)
+
+
 def youden(
     scored: DataFrame, label: str = "target", score: str = "pred_prob", lo: float = 0.10, hi: float = 0.60
 ) -> DataFrame:
@@ -234,3 +279,17 @@ def thin_curve(points: DataFrame, n: int, order: str = "threshold") -> DataFrame
     every = F.greatest(F.lit(1), F.ceil(F.col("all_n") / F.lit(float(n)))).cast("bigint")
     kept = numbered.where((F.col("cum_n") - 1) % every == 0).select(order)
     return points.join(kept, order)
+
+
+def threshold_elsewhere(
+    scored: DataFrame, fit_part: str = "valid", apply_part: str = "test", label: str = "target", score: str = "pred_prob"
+) -> DataFrame:
+    """The Youden threshold of one part's rows (``part``), and the confusion cells and rates it gives on another's.
+
+    One row: the parts, the threshold and its gain where it was chosen; cells, precision, recall and F1 where it is applied.
+    """
+    chosen = youden(scored.where(F.col("part") == fit_part), label, score)
+    # a column of its own: scores of a model may not stand beside a subquery in an aggregate
+    judged = scored.where(F.col("part") == apply_part).withColumn("__cut", chosen.select("threshold").scalar())
+    cells = confusion(judged, F.col("__cut"), label, score)
+    return precision_recall_f1(cells).join(chosen.select(F.lit(fit_part).alias("chosen_on"), F.lit(apply_part).alias("applied_to"), "threshold", "youden_j"))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import factorial
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark import SparkContext
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators.aggregates import over_groups
+from loanloom.operators.ranking import running_totals
 from loanloom.session import ensure_checkpoint_dir
 
 
@@ -42,6 +45,52 @@ def split(
     return panel.withColumn("part", part)
 
 
+def hash_order(*keys: str) -> Column:
+    """A stable 52-bit number per key, exact as a double."""
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
+def split_exact(
+    rows: DataFrame, strata: str = "target", keys: Sequence[str] = ("loan_id", "installment_no"),
+    test_share: float = 0.2, valid_share: float = 0.0,
+) -> DataFrame:
+    """Adds ``part`` with exact shares in every stratum: of n rows the round(n * test_share) of smallest key
+    hash are test, the next ones up to round(n * (test_share + valid_share)) valid, all others train.
+
+    The limits are order statistics of the hashes within the stratum, found by the ranking kernel, so no
+    stratum is sorted in one task. Rows with equal keys share a hash and stay together, before the limit
+    only if all of them fit. Null is a stratum of its own.
+    """
+    marked = rows.withColumns({"__h": hash_order(*keys).cast("double"), "__stratum": F.coalesce(F.col(strata).cast("string"), F.lit("\x00null"))})
+    totals = running_totals(marked, "__h", {"n": F.lit(1)}, ["__stratum"])
+
+    def upto(share: float) -> Column:
+        return F.coalesce(F.max(F.when(F.col("cum_n") <= F.round(F.col("all_n") * F.lit(share)), F.col("__h"))), F.lit(-1.0))
+
+    limits = totals.groupBy("__stratum").agg(upto(test_share).alias("__test"), upto(test_share + valid_share).alias("__valid"))
+    part = F.when(F.col("__h") <= F.col("__test"), "test").when(F.col("__h") <= F.col("__valid"), "valid").otherwise("train")
+    return marked.join(limits, "__stratum").withColumn("part", part).drop("__h", "__stratum", "__test", "__valid")
+
+
+def split_by_date(rows: DataFrame, date: str, test_share: float = 0.2, valid_share: float = 0.0) -> DataFrame:
+    """Adds ``part`` by time: train rows are older than valid rows, these older than test rows.
+
+    Test takes the latest dates, as many whole dates as fit into its share of the rows, valid the dates
+    before them up to both shares. Rows without a date are train.
+    """
+    marked = rows.withColumn("__day", F.unix_date(F.col(date).cast("date")).cast("double"))
+    totals = running_totals(marked, "__day", {"n": F.lit(1)}, descending=True)
+
+    def since(share: float) -> Column:
+        return F.min(F.when(F.col("cum_n") <= F.round(F.col("all_n") * F.lit(share)), F.col("__day")))
+
+    limits = totals.agg(F.struct(since(test_share).alias("test"), since(test_share + valid_share).alias("valid")).alias("l")).scalar()
+    marked = marked.withColumn("__limits", limits)
+    part = F.when(F.col("__day") >= F.col("__limits.test"), "test").when(F.col("__day") >= F.col("__limits.valid"), "valid").otherwise("train")
+    return marked.withColumn("part", part).drop("__day", "__limits")
+
+
 def pos_weight(rows: DataFrame, label: str = "target") -> DataFrame:
     return rows.agg(
         E.ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("pos_weight")
@@ -50,6 +99,8 @@ def pos_weight(rows: DataFrame, label: str = "target") -> DataFrame:
 
 # --- training and scoring ---------------------------------------------------
 
+MARGIN_STEPS = 10  # trees between two written margins
+
 def train(
     rows: DataFrame,
     features: Sequence[str] = tuple(S.FEATURES),
@@ -63,10 +114,13 @@ def train(
     seed: int = 42,
     patience: int = 50,
 ) -> PipelineModel:
-    """Gradient-boosted trees with class weights.
+    """Gradient-boosted trees with class weights, grown once.
 
-    Rows with ``part = 'valid'`` choose the number of trees: the iteration with the lowest
-    validation loss before ``patience`` iterations without a new lowest one, or all ``trees``.
+    Trees are added one by one, each fitted to the gradient of the log loss at the margins so far. After
+    each, the loss of the rows with ``part = 'valid'`` is taken; growth stops after ``patience`` trees
+    without a new lowest one, or at ``trees``, and the model is the trees up to the lowest. Without
+    such rows all trees are grown. Margins are written to the checkpoint folder every ``MARGIN_STEPS``
+    trees, so a plan holds that many trees at most and a lost executor costs no tree.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     if "part" not in rows.columns:
@@ -75,24 +129,60 @@ def train(
     weight = pos_weight(rows.where(F.col("part") == "train"), label).scalar()
     ready = rows.select(
         *[F.col(c).cast("double").alias(c) for c in features],
-        F.col(label).cast("double").alias(label),
+        F.when(F.col(label) == 1, 1.0).otherwise(-1.0).alias("__y"),
         F.when(F.col(label) == 1, F.coalesce(weight, F.lit(1.0))).otherwise(1.0).alias("__weight"),
         (F.col("part") == "valid").alias("__valid"),
     )
-    valid, ready = ready.where("__valid"), ready.where(~F.col("__valid"))
-    booster = GBTClassifier(
-        labelCol=label, featuresCol="features", weightCol="__weight", maxIter=trees, maxDepth=depth,
-        stepSize=step, subsamplingRate=row_share, featureSubsetStrategy=str(column_share),
-        minInstancesPerNode=min_rows, seed=seed,
-    )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    model = Pipeline(stages=[assembler, booster]).fit(ready)
-    if valid.isEmpty():
-        return model
-    losses = model.stages[-1].evaluateEachIteration(assembler.transform(valid))
-    best = best_iteration(losses, patience)
-    # trees are grown one after the other from one seed: fewer iterations are a prefix of more
-    return model if best == len(losses) else Pipeline(stages=[assembler, booster.setMaxIter(best)]).fit(ready)
+    base = assembler.transform(ready).select("features", "__y", "__weight", "__valid", F.lit(0.0).alias("__margin")).checkpoint()
+    watched = not base.where("__valid").isEmpty()
+    learner = RandomForestRegressor(
+        numTrees=1, labelCol="__gradient", featuresCol="features", weightCol="__weight", maxDepth=depth, bootstrap=False,
+        subsamplingRate=row_share, featureSubsetStrategy=str(column_share), minInstancesPerNode=min_rows,
+    )
+    grown, losses, fresh = [], [], 0
+    y = F.col("__y")
+    while len(grown) < trees and not (watched and len(losses) - best_iteration(losses, len(losses)) >= patience):
+        now = with_margin(base, grown[len(grown) - fresh:], step)
+        gradient = now.withColumn("__gradient", y * 4.0 / (1.0 + F.exp(y * 2.0 * F.col("__margin"))))
+        grown.append(learner.setSeed(seed + len(grown)).fit(gradient.where(~F.col("__valid"))).trees[0])
+        fresh += 1
+        if fresh == MARGIN_STEPS:
+            base, fresh = with_margin(base, grown[-fresh:], step).checkpoint(), 0
+        if watched:
+            at = with_margin(base.where("__valid"), grown[len(grown) - fresh:], step)
+            losses.append(at.agg(F.sum(F.col("__weight") * log_loss(y * F.col("__margin"))) / F.sum("__weight")).first()[0])
+    best = best_iteration(losses, patience) if watched else len(grown)
+    return PipelineModel([assembler, ensemble(grown[:best], step)])
+
+
+def log_loss(agreement: Column) -> Column:
+    """2 log(1 + exp(-2 yF)), without overflow."""
+    z = agreement * -2.0
+    return 2.0 * (F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))))
+
+
+def with_margin(rows: DataFrame, trees: Sequence, step: float) -> DataFrame:
+    """Rows with ``__margin`` raised by the given trees."""
+    if not trees:
+        return rows
+    told = ensemble(trees, step).transform(rows)
+    return told.select("features", "__y", "__weight", "__valid", (F.col("__margin") + vector_to_array("rawPrediction")[1]).alias("__margin"))
+
+
+def ensemble(trees: Sequence, step: float) -> GBTClassificationModel:
+    """Fitted regression trees of one weight as a boosted classifier."""
+    context = SparkContext._active_spark_context
+    gateway, ml = context._gateway, context._jvm.org.apache.spark.ml
+    members = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        members[i], weights[i] = tree._java_obj, float(step)
+    uid = f"GBTClassifier_{uuid4().hex[:12]}"
+    model = GBTClassificationModel(ml.classification.GBTClassificationModel(uid, members, weights))
+    model._resetUid(uid)
+    model._transfer_params_from_java()
+    return model
 
 
 def best_iteration(losses: Sequence[float], patience: int) -> int:
@@ -103,7 +193,7 @@ def best_iteration(losses: Sequence[float], patience: int) -> int:
             best = i
         elif i - best >= patience:
             break
-    return best + 1
+    return best + 1 if losses else 0
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -162,22 +252,64 @@ def base_margin(leaves: Sequence[Leaf]) -> float:
     return float(sum(value * np.prod(shares) for value, _, _, _, shares in leaves))
 
 
-def _shapley_table(shares: np.ndarray) -> np.ndarray:
-    """Shapley value of each path feature for every pattern of satisfied path conditions."""
+def _at_nodes(shares: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Quadrature weights, and a path's factors at the nodes: (node, pattern, feature).
+
+    The game of a leaf is a product over its path: a known feature gives 1 or 0 (``met``), an unknown one its
+    cover share. Averaging a coalition's product over all orders is the integral over t in [0, 1] of factors
+    share (1 - t) + met t, a polynomial of at most the path's length, for which Gauss-Legendre nodes of half
+    that number are exact.
+    """
+    nodes, weights = np.polynomial.legendre.leggauss((len(shares) + 1) // 2)
+    t = ((nodes + 1) / 2)[:, None, None]
+    return weights / 2, shares * (1 - t) + met * t
+
+
+def _product_of_others(factors: np.ndarray) -> np.ndarray:
+    """Per feature the product of all other factors, without division."""
+    ones = np.ones_like(factors[..., :1])
+    before = np.cumprod(np.concatenate([ones, factors[..., :-1]], -1), -1)
+    after = np.cumprod(np.concatenate([ones, factors[..., :0:-1]], -1), -1)[..., ::-1]
+    return before * after
+
+
+def path_attributions(shares: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Shapley values of a leaf of value 1, one row per pattern of met conditions."""
+    weights, factors = _at_nodes(shares, met)
+    return (met - shares) * np.tensordot(weights, _product_of_others(factors), 1)
+
+
+def path_interactions(shares: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Shapley interaction values of a leaf of value 1: (pattern, feature, feature). Each pair is split evenly
+    between its two cells; the diagonal is what is left of a feature's Shapley value."""
     d = len(shares)
-    met = ((np.arange(2 ** d)[:, None] >> np.arange(d)) & 1).astype(float)
-    weight = np.array([factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)])
-    table = np.empty_like(met)
+    weights, factors = _at_nodes(shares, met)
+    gap = met - shares
+    out = np.zeros((len(met), d, d))
     for i in range(d):
-        by_size = np.zeros((2 ** d, d))  # coalition products by number of members
-        by_size[:, 0] = 1.0
-        for j in range(d):
-            if j != i:
-                grown = by_size * shares[j]
-                grown[:, 1:] += by_size[:, :-1] * met[:, j:j + 1]
-                by_size = grown
-        table[:, i] = (met[:, i] - shares[i]) * (by_size @ weight)
-    return table
+        rest = factors.copy()
+        rest[..., i] = 1.0
+        out[:, i, :] = 0.5 * gap[:, i:i + 1] * gap * np.tensordot(weights, _product_of_others(rest), 1)
+        out[:, i, i] = 0.0
+    diagonal = np.arange(d)
+    out[:, diagonal, diagonal] = path_attributions(shares, met) - out.sum(2)
+    return out
+
+
+def _by_pattern(leaf: Leaf, x: np.ndarray, of_path) -> tuple[list[int], np.ndarray]:
+    """A leaf's path and ``of_path`` of each row of ``x``: worked out once per pattern of met conditions, of
+    which there are at most as many as rows."""
+    value, path, lows, highs, shares = leaf
+    d = len(path)
+    pattern = np.zeros(len(x), dtype=np.int64)
+    for bit, (f, low, high) in enumerate(zip(path, lows, highs)):
+        pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << bit
+    if 2 ** d <= len(x):
+        patterns, place = np.arange(2 ** d), pattern
+    else:
+        patterns, place = np.unique(pattern, return_inverse=True)
+    met = ((patterns[:, None] >> np.arange(d)) & 1).astype(float)
+    return path, value * of_path(np.array(shares), met)[place]
 
 
 def attributions(
@@ -186,33 +318,84 @@ def attributions(
 ) -> DataFrame:
     """Path-dependent Shapley values of the raw margin, one array per row.
 
-    Spark partitions the rows; each task evaluates Arrow batches against the
-    broadcast leaves, whose number is fixed by trees and depth.
+    Spark partitions the rows; each task evaluates Arrow batches against the broadcast leaves, whose number
+    is fixed by trees and depth. Time per leaf and pattern is quadratic in the path's length.
     """
     features, keys = list(features), list(keys)
-    # the leaves' tables are made once, here, not by every task
-    tables = rows.sparkSession.sparkContext.broadcast([
-        (value * _shapley_table(np.array(shares)), path, lows, highs)
-        for value, path, lows, highs, shares in ensemble_leaves(model) if path
-    ])
+    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch[features].to_numpy(dtype=float)
             phi = np.zeros_like(x)
-            for table, path, lows, highs in tables.value:
-                pattern = np.zeros(len(x), dtype=np.int64)
-                for bit, (f, low, high) in enumerate(zip(path, lows, highs)):
-                    pattern |= ((x[:, f] > low) & (x[:, f] <= high)).astype(np.int64) << bit
-                phi[:, path] += table[pattern]
+            for leaf in leaves.value:
+                path, values = _by_pattern(leaf, x, path_attributions)
+                phi[:, path] += values
             out = batch[keys].copy()
             out["attributions"] = list(phi)
             yield out
 
     fields = [rows.schema[k] for k in keys] + [T.StructField("attributions", T.ArrayType(T.DoubleType()))]
-    return rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).mapInPandas(
-        explain, T.StructType(fields)
-    )
+    return _explained(rows, keys, features).mapInPandas(explain, T.StructType(fields))
+
+
+def _explained(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    return rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
+
+
+INTERACTION_ROWS = 500  # rows whose matrices a task holds at once
+
+
+def interactions(
+    model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(S.FEATURES),
+    keys: Sequence[str] = ("loan_id", "installment_no"),
+) -> DataFrame:
+    """Pairwise Shapley interaction values of the raw margin: per row a symmetric matrix (array of rows) whose
+    rows add up to ``attributions``."""
+    features, keys = list(features), list(keys)
+    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), INTERACTION_ROWS):
+                part = batch.iloc[at:at + INTERACTION_ROWS]
+                out = part[keys].copy()
+                out["interactions"] = [list(m) for m in _matrices(leaves.value, part[features].to_numpy(dtype=float))]
+                yield out
+
+    matrix = T.ArrayType(T.ArrayType(T.DoubleType()))
+    fields = [rows.schema[k] for k in keys] + [T.StructField("interactions", matrix)]
+    return _explained(rows, keys, features).mapInPandas(explain, T.StructType(fields))
+
+
+def _matrices(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
+    total = np.zeros((len(x), x.shape[1], x.shape[1]))
+    for leaf in leaves:
+        path, values = _by_pattern(leaf, x, path_interactions)
+        total[:, np.array(path)[:, None], path] += values
+    return total
+
+
+def interaction_summary(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(S.FEATURES)) -> DataFrame:
+    """Mean absolute and mean signed interaction of each pair of features (both cells together) over the rows.
+
+    Tasks send sums per pair, not matrices."""
+    features = list(features)
+    names = features
+    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
+    i, j = np.triu_indices(len(features), 1)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, size, signed = 0, np.zeros(len(i)), np.zeros(len(i))
+        for batch in batches:
+            for at in range(0, len(batch), INTERACTION_ROWS):
+                pairs = 2 * _matrices(leaves.value, batch.iloc[at:at + INTERACTION_ROWS].to_numpy(dtype=float))[:, i, j]
+                n, size, signed = n + len(pairs), size + np.abs(pairs).sum(0), signed + pairs.sum(0)
+        yield pd.DataFrame({"feature_a": [names[k] for k in i], "feature_b": [names[k] for k in j], "n": n, "size": size, "signed": signed})
+
+    sums = _explained(rows, [], features).mapInPandas(add, "feature_a string, feature_b string, n bigint, size double, signed double")
+    return sums.groupBy("feature_a", "feature_b").agg(
+        E.ratio(F.sum("size"), F.sum("n")).alias("mean_abs"), E.ratio(F.sum("signed"), F.sum("n")).alias("mean_signed"))
 
 
 def attribution_summary(values: DataFrame, features: Sequence[str] = tuple(S.FEATURES)) -> DataFrame:

@@ -292,6 +292,33 @@ def spl1_loan(spark, d):
     return per_loan.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("loans"))
 
 
+_H = "('0x' || substr(md5(loan_id || '|' || installment_no), 1, 13))::BIGINT"
+
+
+@query("spl1_exact_strata", f"""
+SELECT part, target, count(*) AS n, CAST(sum(h % 1000003) AS BIGINT) AS keys FROM (SELECT target, h,
+  CASE WHEN i <= round(0.2 * n) THEN 'test' WHEN i <= round(0.3 * n) THEN 'valid' ELSE 'train' END AS part FROM (
+  SELECT target, {_H} AS h, row_number() OVER (PARTITION BY target ORDER BY {_H}) AS i, count(*) OVER (PARTITION BY target) AS n FROM scored))
+GROUP BY 1, 2""")
+def spl1_exact(spark, d):
+    """Shares exact to one row in every stratum."""
+    parts = M.split_exact(R.scored(spark, d), test_share=0.2, valid_share=0.1)
+    return parts.groupBy("part", "target").agg(
+        F.count("*").alias("n"), F.sum(M.hash_order("loan_id", "installment_no") % 1000003).cast("bigint").alias("keys"))
+
+
+@query("spl1_by_date", """
+SELECT part, count(*) AS n, min(due_date) AS first_day, max(due_date) AS last_day FROM (SELECT due_date,
+  CASE WHEN later <= round(0.2 * n) THEN 'test' WHEN later <= round(0.3 * n) THEN 'valid' ELSE 'train' END AS part FROM (
+  SELECT due_date, count(*) OVER (ORDER BY due_date DESC) AS later, count(*) OVER () AS n FROM repayments WHERE due_date IS NOT NULL))
+GROUP BY 1""")
+def spl1_date(spark, d):
+    """Out of time: no test row is earlier than a training row."""
+    rows = R.repayments(spark, d).where("due_date IS NOT NULL").select("due_date")
+    return M.split_by_date(rows, "due_date", 0.2, 0.1).groupBy("part").agg(
+        F.count("*").alias("n"), F.min("due_date").alias("first_day"), F.max("due_date").alias("last_day"))
+
+
 @query("set1_one_grouping", "SELECT risk_bucket, count(*) AS n FROM bucketed GROUP BY 1")
 def set1(spark, d):
     from loanloom.operators import scorecard as C

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators import evaluation as V
+from loanloom.operators.modeling import split
 from loanloom.operators import scorecard as C
 from loanloom.plans.oracle import r
 from loanloom.plans.registry import query
@@ -54,6 +55,13 @@ def ev5(spark, d):
     return V.ks(R.scored(spark, d)).select(V.ks_pvalue().alias("p_value"))
 
 
+@query("ev5_ks_test", f"""
+SELECT {r('ks', 6)} AS ks, n_pos, n_neg, CASE WHEN greatest(n_pos, n_neg) <= 10000 THEN 'exact' ELSE 'asymptotic' END AS method
+FROM (SELECT max(abs(tpr - fpr)) AS ks, CAST(max(n_pos) AS BIGINT) AS n_pos, CAST(max(n_neg) AS BIGINT) AS n_neg FROM rates)""", digits=6)
+def ev5_test(spark, d):
+    return V.ks_test(R.scored(spark, d)).drop("p_value")
+
+
 @query("ev6_youden", f"""
 SELECT {r('tpr - fpr', 6)} AS youden_j, round_even(greatest(0.1e0, least(0.6e0, threshold)), 3) AS threshold FROM
  (SELECT tpr, fpr, threshold FROM rates ORDER BY tpr - fpr DESC, threshold DESC LIMIT 1)""", digits=6)
@@ -61,6 +69,26 @@ def ev6(spark, d):
     return V.youden(R.scored(spark, d))
 
 
+_PART = """(SELECT *, CASE WHEN h < 20 THEN 'test' WHEN h < 30 THEN 'valid' ELSE 'train' END AS part FROM
+  (SELECT *, ('0x' || substr(md5(loan_id || '|' || installment_no), 1, 8))::BIGINT % 100 AS h FROM scored))"""
+
+
+@query("ev6_threshold_elsewhere", f"""
+SELECT 'valid' AS chosen_on, 'test' AS applied_to, threshold, youden_j, tn, fp, fn, tp, {r('tp / (tp + fp)', 6)} AS precision,
+  {r('tp / (tp + fn)', 6)} AS recall, {r('2e0 * tp / (2 * tp + fp + fn)', 6)} AS f1 FROM (
+  SELECT threshold, youden_j, count(*) FILTER (pred_prob < threshold AND target = 0) AS tn, count(*) FILTER (pred_prob >= threshold AND target = 0) AS fp,
+    count(*) FILTER (pred_prob < threshold AND target = 1) AS fn, count(*) FILTER (pred_prob >= threshold AND target = 1) AS tp
+  FROM {_PART} p, (
+    SELECT round_even(greatest(0.1e0, least(0.6e0, t)), 3) AS threshold, {r('j', 6)} AS youden_j FROM (
+      SELECT t, sum(pos) OVER w / sum(pos) OVER () - sum(neg) OVER w / sum(neg) OVER () AS j
+      FROM (SELECT pred_prob AS t, sum(target) AS pos, sum(1 - target) AS neg FROM {_PART} q WHERE part = 'valid' GROUP BY 1)
+      WINDOW w AS (ORDER BY t DESC)) ORDER BY j DESC, t DESC LIMIT 1)
+  WHERE part = 'test' GROUP BY 1, 2)""", digits=6)
+def ev6_elsewhere(spark, d):
+    """The threshold is chosen on the validation rows and judged on the test rows."""
+    return V.threshold_elsewhere(split(R.scored(spark, d), valid_pct=10))
+
+
 @query("ev7_confusion", "SELECT tn, fp, fn, tp FROM cells")
 def ev7(spark, d):
     return V.confusion(R.scored(spark, d), CUT)

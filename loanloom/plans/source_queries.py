@@ -7,10 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators import aggregates as A
+from loanloom.operators import features as X
+from loanloom.operators import joins as J
 from loanloom.operators import scorecard as C
 from loanloom.operators.evaluation import confusion, metrics_summary, roc_points
+from loanloom.operators.ordered import ordered_groups
 from loanloom.plans.oracle import clip, months, r
 from loanloom.plans.registry import query
 from loanloom.session import ensure_checkpoint_dir
@@ -73,9 +77,7 @@ def _metrics(spark, d):
         "bucket", "n", F.round("share_pct", 4).alias("share_pct")
     )
     scalars = metrics_summary(scored, 0.45).select(*SCALARS).withColumn("auc", F.round("auc", 6))
-    groups = scored.groupBy(F.lit("pred_prob").alias("feature")).agg(F.round(F.avg("pred_prob"), 4).alias("importance"))
-    categories = groups.select(E.feature_category("feature").alias("category"), "importance")
-    return IO.metrics_frame(scalars, summary, categories)
+    return IO.metrics_frame(scalars, summary)  # category shares need a model: snk3_model_document
 
 
 @query("src4_metrics_read", f"""
@@ -142,13 +144,69 @@ def snk3(spark, d):
 @query("snk5_shared_portfolio", f"""
 SELECT risk_tier, count(*) AS n, {r('avg(default_flag) * 100')} AS default_rate_pct FROM active GROUP BY 1""")
 def snk5(spark, d):
-    shared = IO.assemble(
-        R.customers(spark, d), R.loans(spark, d), R.repayments(spark, d), R.signals(spark, d),
-        R.outcomes(spark, d), keep=False,
-    )
+    """Through the shared, persisted portfolio of the role tables, which are written once per input."""
+    stamp = IO.files_stamp(spark, d, "*.parquet")
+    if stamp not in _folders:
+        folder = scratch(spark, "lending")
+        views = {"customers": R.customers, "loans": R.loans, "repayments": R.repayments, "signals": R.signals, "outcomes": R.outcomes}
+        IO.write_artifacts({name: IO.conform(view(spark, d), S.TABLES[name]) for name, view in views.items()}, folder)
+        _folders[stamp] = folder
+    shared = IO.shared_portfolio(spark, _folders[stamp])
     return A.segment_stats(shared.active, "risk_tier", ("n_loans", "default_rate_pct")).withColumnRenamed("n_loans", "n")
 
 
+_folders: dict[tuple, str] = {}
+
+
+def _layout(spark, d):
+    """The role tables bucketed by loan; one set of catalog tables per call."""
+    return IO.lending_layout(R.repayments(spark, d), R.signals(spark, d), R.loans(spark, d), scratch(spark, "layout"),
+                             f"lending_{uuid.uuid4().hex[:8]}", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@query("snk1_bucketed_lags", """
+SELECT loan_id, installment_no, coalesce(lag(dpd, 1) OVER w, 0) AS dpd_1m, coalesce(lag(dpd, 2) OVER w, 0) AS dpd_2m FROM repayments
+WINDOW w AS (PARTITION BY loan_id ORDER BY installment_no)""")
+def snk1_bucketed(spark, d):
+    """Per-loan lags over repayments stored by loan: no shuffle after the write."""
+    rows = _layout(spark, d)["repayments"].select("loan_id", "installment_no", "dpd")
+    g = ordered_groups(rows, "loan_id", ["installment_no"], 2)
+    w = g.window()
+    return g.finish(g.frame.withColumns({"dpd_1m": X.lag0("dpd", 1, w), "dpd_2m": X.lag0("dpd", 2, w)})).drop("dpd")
+
+
+@query("snk1_bucketed_panel_join", """
+SELECT p.loan_id, p.installment_no, dpd, cash_flow_consistency, product_type
+FROM repayments p LEFT JOIN signals s ON p.loan_id = s.loan_id AND p.installment_no = s.month LEFT JOIN loans l ON l.loan_id = p.loan_id""")
+def snk1_bucketed_join(spark, d):
+    """Signals of the month and loan columns joined to repayments, all stored by loan."""
+    kept = _layout(spark, d)
+    obs = kept["repayments"].select("loan_id", "installment_no", "dpd")
+    joined = J.attach_signals(obs, kept["signals"].select("loan_id", "month", "cash_flow_consistency"), mode="month")
+    return J.attach_origination(joined, kept["loans"].select("loan_id", "product_type"))
+
+
+@query("src1_csv_rejects", """
+SELECT 'good' AS kind, count(*) AS n FROM customers WHERE customer_id % 10 <> 3 AND customer_id % 10 <> 6 AND customer_id % 10 <> 9
+UNION ALL SELECT 'income', count(*) FROM customers WHERE customer_id % 10 = 3
+UNION ALL SELECT 'columns', count(*) FROM customers WHERE customer_id % 10 = 6
+UNION ALL SELECT 'quote', count(*) FROM customers WHERE customer_id % 10 = 9""")
+def src1_rejects(spark, d):
+    """Customers as CSV lines, three in ten of them broken in three ways: each line is good or rejected with its reason."""
+    key = F.col("customer_id")
+    line = F.when(key % 10 == 3, F.concat_ws(",", key, "risk_tier", F.lit("n/a"))).when(
+        key % 10 == 6, F.concat_ws(",", key, "risk_tier", F.lit("1.5"), F.lit("extra"))).when(
+        key % 10 == 9, F.concat(key.cast("string"), F.lit(',"'), F.col("risk_tier"), F.lit(",1.5"))).otherwise(
+        F.concat_ws(",", key, "risk_tier", "monthly_income"))
+    path = scratch(spark, "broken-csv")
+    R.customers(spark, d).select(line.alias("customer_id,risk_tier,income")).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    schema = T.StructType([T.StructField("customer_id", T.LongType()), T.StructField("risk_tier", T.StringType()), T.StructField("income", T.DoubleType())])
+    good, rejects = IO.read_csv_checked(spark, path, schema)
+    return good.agg(F.lit("good").alias("kind"), F.count(F.lit(1)).alias("n")).unionByName(
+        rejects.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+
+
+
 @query("prj1_column_subset", "SELECT loan_id, apr, tenure_months, ticket_size FROM loans")
 def prj1(spark, d):
     return R.loans(spark, d).select("loan_id", "apr", "tenure_months", "ticket_size")

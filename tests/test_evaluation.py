@@ -115,3 +115,55 @@ def test_scorecard(scored):
     table = C.tier_bucket_rates(bucketed).toPandas()
     assert "Unknown" in set(table["risk_tier_label"])
     assert C.attach_interventions(bucketed).where("action1 is null").count() == 0
+
+
+def test_exact_ks_pvalue_by_hand_and_by_sql():
+    """All orders of small samples one by one, and the lattice recursion written in SQL."""
+    from itertools import combinations
+
+    import duckdb
+
+    from loanloom.operators.evaluation import ks_exact
+
+    for n, m in ((1, 1), (2, 3), (4, 4), (5, 2), (3, 6)):
+        gaps = []
+        for mine in combinations(range(n + m), n):
+            i = j = top = 0
+            for k in range(n + m):
+                i, j = i + (k in mine), j + (k not in mine)
+                top = max(top, abs(i * m - j * n))
+            gaps.append(top)
+        for reach in range(n * m + 1):
+            assert ks_exact(reach / (n * m), n, m) == pytest.approx(sum(g >= reach for g in gaps) / len(gaps), abs=1e-12)
+    for d, n, m in ((0.5, 8, 10), (0.3, 20, 15), (0.9, 12, 12)):
+        reach = round(d * n * m)
+        told = duckdb.sql(f"""
+WITH RECURSIVE w AS (
+  SELECT 0 AS s, 0 AS i, 0e0 AS hit
+  UNION ALL
+  SELECT s + 1, k, CASE WHEN abs(k * {m} - (s + 1 - k) * {n}) >= {reach} THEN 1e0 ELSE hit END FROM (
+    SELECT s, i + step AS k, sum(hit * CASE WHEN step = 1 THEN i + 1 ELSE s + 1 - i END) / (s + 1) AS hit
+    FROM w, (VALUES (0), (1)) t(step) WHERE s < {n + m} AND i + step <= {n} AND s + 1 - i - step <= {m} GROUP BY 1, 2))
+SELECT hit FROM w WHERE s = {n + m}""").fetchall()
+        assert ks_exact(d, n, m) == pytest.approx(told[0][0], rel=1e-9)
+    assert ks_exact(0.0, 5, 7) == 1.0 and 0 < ks_exact(1.0, 500, 500) < 1e-250
+
+
+def test_ks_test_names_its_method(spark):
+    from loanloom.operators.evaluation import ks_exact, ks_test
+
+    rows = spark.createDataFrame([(i % 2, (i * 7 % 20) / 20) for i in range(20)], "target int, pred_prob double")
+    got = ks_test(rows).first()
+    assert got.method == "exact" and got.p_value == pytest.approx(ks_exact(got.ks, 10, 10))
+    assert ks_test(rows, exact_rows=5).first().method == "asymptotic"
+    one = ks_test(rows.where("target = 1")).first()
+    assert one.ks is None and one.method is None
+
+
+def test_threshold_is_chosen_on_another_part(spark):
+    from loanloom.operators.evaluation import threshold_elsewhere
+
+    rows = [("valid", 1, 0.5), ("valid", 1, 0.4), ("valid", 0, 0.3), ("test", 1, 0.45), ("test", 0, 0.41), ("test", 1, 0.2), ("test", 0, 0.1), ("train", 1, 0.11)]
+    got = threshold_elsewhere(spark.createDataFrame(rows, "part string, target int, pred_prob double")).first()
+    assert (got.chosen_on, got.applied_to, got.threshold) == ("valid", "test", 0.4)
+    assert (got.tn, got.fp, got.fn, got.tp) == (1, 1, 1, 1) and got.f1 == pytest.approx(0.5)

@@ -129,7 +129,148 @@ def test_patience_chooses_the_number_of_trees():
     assert M.best_iteration([1.0], 50) == 1
 
 
-def test_validation_part_keeps_more_than_one_tree(spark, fitted):
+@pytest.fixture
+def fits(monkeypatch):
+    """Counts fitted trees."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    seen, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, df, *a: seen.append(1) or fit(self, df, *a))
+    return seen
+
+
+def test_growth_stops_and_the_model_is_a_prefix(spark, fitted, fits, monkeypatch):
+    """Every tree is fitted once; growth ends ``patience`` trees after the lowest loss of the valid part."""
+    from pyspark.ml.functions import vector_to_array
+
+    monkeypatch.setattr(M, "MARGIN_STEPS", 3)
     _, parts, names = fitted
-    model = M.train(M.split(parts.drop("part"), test_pct=20, valid_pct=20), names, trees=8, depth=3, min_rows=5, patience=8)
-    assert 1 < model.stages[-1].getNumTrees <= 8
+    rows = M.split(parts.drop("part"), test_pct=20, valid_pct=20)
+    options = dict(depth=3, min_rows=5, step=0.8, row_share=1.0, column_share=1.0)
+    model = M.train(rows, names, trees=40, patience=4, **options)
+    best = model.stages[-1].getNumTrees
+    assert 1 < best and len(fits) == min(40, best + 4)
+
+    def loss(trees):
+        cut = M.PipelineModel([model.stages[0], M.ensemble(trees, 0.8)])
+        told = cut.transform(rows.where("part = 'valid'").select(*names, "target")).select("target", vector_to_array("rawPrediction")[1].alias("m")).collect()
+        ratio = rows.where("part = 'train' and target = 0").count() / rows.where("part = 'train' and target = 1").count()
+        pairs = [(ratio if r.target else 1.0, 2 * np.log1p(np.exp(-2 * (2 * r.target - 1) * r.m))) for r in told]
+        return sum(w * x for w, x in pairs) / sum(w for w, _ in pairs)
+
+    longer = M.train(rows.withColumn("part", F.when(F.col("part") == "valid", "test").otherwise(F.col("part"))), names, trees=len(fits), **options)
+    losses = [loss(longer.stages[-1].trees[:i]) for i in range(1, longer.stages[-1].getNumTrees + 1)]
+    assert M.best_iteration(losses, 4) == best  # trees do not depend on being watched
+
+
+def test_first_tree_is_the_gradient_at_zero(spark, fitted):
+    _, parts, names = fitted
+    model = M.train(parts.withColumn("part", F.lit("train")), names, trees=2, depth=2, min_rows=5, step=0.5, row_share=1.0, column_share=1.0)
+    leaves = M.ensemble_leaves(model)
+    assert len(leaves) == 8 and all(abs(v) <= 0.5 * 2.0 + 1e-12 for v, *_ in leaves[:4])
+    assert M.score(model, parts).where("pred_prob between 0 and 1").count() == 500
+
+
+def coalitions(shares, met, order):
+    """Shapley values or pair interactions of a product game, coalition by coalition."""
+    from itertools import combinations
+    from math import factorial, prod
+
+    d = len(shares)
+    value = lambda known: prod(met[i] if i in known else shares[i] for i in range(d))
+    out = np.zeros((d,) * order)
+    for who in np.ndindex(*out.shape):
+        if len(set(who)) < order:
+            continue
+        others = [k for k in range(d) if k not in who]
+        for size in range(len(others) + 1):
+            weight = factorial(size) * factorial(d - size - order) / factorial(d - order + 1) / order
+            for known in combinations(others, size):
+                known = set(known)
+                if order == 1:
+                    gain = value(known | {who[0]}) - value(known)
+                else:
+                    gain = value(known | set(who)) - value(known | {who[0]}) - value(known | {who[1]}) + value(known)
+                out[who] += weight * gain
+    return out
+
+
+@pytest.mark.parametrize("d", [1, 2, 5, 8])
+def test_path_values_match_all_coalitions(d):
+    rng = np.random.default_rng(d)
+    shares, met = rng.random(d), rng.integers(0, 2, (6, d)).astype(float)
+    shares[0] = 0.0  # a branch without training rows
+    for m, phi, pairs in zip(met, M.path_attributions(shares, met), M.path_interactions(shares, met)):
+        np.testing.assert_allclose(phi, coalitions(shares, m, 1), atol=1e-12)
+        if d > 1:
+            off = pairs - np.diag(np.diag(pairs))
+            np.testing.assert_allclose(off, coalitions(shares, m, 2), atol=1e-12)
+        np.testing.assert_allclose(pairs.sum(1), phi, atol=1e-12)
+
+
+def test_long_paths_stay_exact_and_cheap():
+    """Depth 14 and more: values add up to the game's range, patterns are those of the rows."""
+    rng = np.random.default_rng(1)
+    for d in (14, 30):
+        shares, met = rng.random(d), np.ones((1, d))
+        phi = M.path_attributions(shares, met)
+        assert phi.sum() == pytest.approx(1 - np.prod(shares), abs=1e-12)
+        leaf = (2.0, list(range(d)), [-0.5] * d, [0.5] * d, shares.tolist())
+        x = rng.normal(size=(7, d))
+        path, values = M._by_pattern(leaf, x, M.path_attributions)
+        for row, got in zip(x, values):
+            z = (np.abs(row) < 0.5) | (row == 0.5)
+            assert got.sum() == pytest.approx(2.0 * (float(z.all()) - np.prod(shares)), abs=1e-10)
+    np.testing.assert_allclose(M.path_attributions(shares[:14], met[:, :14])[0][:2], coalitions_of(shares[:14]), atol=1e-12)
+
+
+def coalitions_of(shares):
+    """First two values of a game whose conditions are all met, by the sizes of coalitions."""
+    from math import factorial
+
+    out = []
+    for i in range(2):
+        sums = np.zeros(len(shares))
+        sums[0] = 1.0
+        for s in np.delete(shares, i):  # number of known features -> sum of products of the unknown ones' shares
+            sums = sums * s + np.concatenate([[0.0], sums[:-1]])
+        d = len(shares)
+        out.append((1 - shares[i]) * sum(factorial(k) * factorial(d - k - 1) / factorial(d) * sums[k] for k in range(d)))
+    return out
+
+
+def test_interactions_add_up_to_attributions(fitted, monkeypatch):
+    monkeypatch.setattr(M, "INTERACTION_ROWS", 64)
+    model, parts, names = fitted
+    both = M.interactions(model, parts, names).join(M.attributions(model, parts, names), ["loan_id", "installment_no"]).collect()
+    assert len(both) == 500
+    matrices = np.array([r["interactions"] for r in both])
+    np.testing.assert_allclose(matrices, matrices.transpose(0, 2, 1), atol=1e-12)
+    np.testing.assert_allclose(matrices.sum(2), np.array([r["attributions"] for r in both]), atol=1e-9)
+    summary = {(r.feature_a, r.feature_b): r for r in M.interaction_summary(model, parts, names).collect()}
+    assert len(summary) == 6
+    for pair, (i, j) in {("a", "b"): (0, 1), ("a", "d"): (0, 3), ("b", "c"): (1, 2)}.items():
+        assert summary[pair].mean_abs == pytest.approx(2 * np.abs(matrices[:, i, j]).mean())
+        assert summary[pair].mean_signed == pytest.approx(2 * matrices[:, i, j].mean())
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_exact_split_holds_in_every_stratum(spark, small, request):
+    if not small:
+        request.getfixturevalue("no_small_path")
+    rows = spark.createDataFrame([(f"L{i}", 1, None if i % 11 == 0 else i % 3) for i in range(1003)], "loan_id string, installment_no int, target int")
+    got = {(r.target, r.part): r["count"] for r in M.split_exact(rows, test_share=0.2, valid_share=0.1).groupBy("target", "part").count().collect()}
+    for t in (None, 0, 1, 2):
+        n = sum(v for (target, _), v in got.items() if target == t)
+        assert got[t, "test"] == round(n * 0.2) and got[t, "valid"] == round(n * 0.3) - round(n * 0.2)
+    assert sum(got.values()) == 1003
+
+
+def test_split_by_date_keeps_time_order(spark):
+    rows = spark.createDataFrame([(i, f"2021-01-{1 + i * i % 28:02d}" if i % 9 else None) for i in range(300)], "i int, day string")
+    parts = M.split_by_date(rows.withColumn("day", F.to_date("day")), "day", 0.2, 0.2)
+    got = {r.part: r for r in parts.where("day IS NOT NULL").groupBy("part").agg(F.min("day").alias("lo"), F.max("day").alias("hi"), F.count("*").alias("n")).collect()}
+    assert got["train"].hi < got["valid"].lo and got["valid"].hi < got["test"].lo
+    total = sum(r.n for r in got.values())
+    assert got["test"].n <= round(0.2 * total) and got["test"].n + got["valid"].n <= round(0.4 * total)
+    assert parts.where("day IS NULL AND part <> 'train'").count() == 0 and parts.count() == 300
