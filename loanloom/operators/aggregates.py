@@ -33,9 +33,14 @@ def over_groups(aggregate: Column) -> Column:
     return aggregate.over(Window.partitionBy())
 
 
-def share_of_total(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Adds ``column`` as percent of its total over the (already aggregated) frame."""
-    return df.withColumn(out, E.pct(column, over_groups(F.sum(column))))
+def share_of_total(df: DataFrame, column: str, out: str, few: bool = False) -> DataFrame:
+    """Adds ``column`` as percent of its total over the (already aggregated) frame.
+
+    ``few`` says that the groups are known to be few: one window then. Else the total is an aggregate of its
+    own, which partial sums feed, and no task sees more than its share of the groups.
+    """
+    total = over_groups(F.sum(column)) if few else df.agg(F.sum(column)).scalar()
+    return df.withColumn(out, E.pct(column, total))
 
 
 def known(df: DataFrame, *keys: str) -> DataFrame:
@@ -101,7 +106,7 @@ def channel_stats(active: DataFrame) -> DataFrame:
         "n_loans", "default_rate_pct", "avg_cac", "avg_ltv", "profitable_pct", "avg_rar_pct",
     ))
     stats = stats.withColumn("ltv_cac", E.ratio("avg_ltv", "avg_cac"))
-    return share_of_total(stats, "n_loans", "volume_pct")
+    return share_of_total(stats, "n_loans", "volume_pct", few=True)
 
 
 def exit_rate(master: DataFrame, by: str = "acquisition_channel") -> DataFrame:
@@ -123,7 +128,7 @@ def product_stats(active: DataFrame) -> DataFrame:
         "profitable_pct", "avg_ltv", "avg_rar_pct",
     ))
     stats = exact_quantiles(active, "ticket_size", {"median_ticket": 0.5}, ["product_type"], measures)
-    return share_of_total(stats, "n_loans", "volume_pct")
+    return share_of_total(stats, "n_loans", "volume_pct", few=True)
 
 
 def banded_rate(active: DataFrame, band: Column, out: str = "band") -> DataFrame:
@@ -206,7 +211,7 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def class_balance(panel: DataFrame, label: str = "target") -> DataFrame:
-    return share_of_total(known(panel, label).groupBy(label).agg(count_rows().alias("n")), "n", "share_pct")
+    return share_of_total(known(panel, label).groupBy(label).agg(count_rows().alias("n")), "n", "share_pct", few=True)
 
 
 def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

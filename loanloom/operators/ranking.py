@@ -3,7 +3,7 @@
 Everything here starts from the distinct values of a column with their counts.
 A column measured to have few distinct values takes the direct way: Spark's own
 ``percentile``, or one window over the distinct values. Otherwise values are put into buckets with bounds taken from approximate percentiles (a
-few thousand numbers on the driver at most); running totals are formed inside
+few for each shuffle partition on the driver); running totals are formed inside
 a bucket and shifted by the totals of the buckets before it. Ties are already
 merged, so no bucket can be flooded by one popular value.
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
-MAX_BUCKETS = 2_000
+GATHER_VALUES = 500_000  # values between two limits that one task may sort to finish a selection
 SMALL_DISTINCT = 200_000  # this many distinct values may share one task
 MAX_SLICES = 256  # sketches that are merged in one task
 REMEMBERED = 256
@@ -68,7 +68,7 @@ def value_stats(df: DataFrame, columns: Sequence[str], buckets: int | None = Non
 def _measure(df: DataFrame, columns: Sequence[str], buckets: int | None) -> dict[str, ValueStats]:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(parts, MAX_SLICES)
-    buckets = max(2, min(4 * parts if buckets is None else buckets, MAX_BUCKETS))
+    buckets = max(2, 4 * parts if buckets is None else buckets)
     probs = [i / buckets for i in range(1, buckets)]
 
     def sketch(c: Column) -> Column:
@@ -220,15 +220,119 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int | None = N
     stats = value_stats(df, columns, buckets)
     if all(v.small for v in stats.values()):
         return df.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
-    tall = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
-    ])).alias("cell")).select("cell.name", "cell.value")
-    limits = sorted({b for v in stats.values() for b in v.bounds})
-    joint = ValueStats(limits, sum(v.distinct for v in stats.values()))
-    medians = exact_quantiles(tall, "value", {"median": 0.5}, ["name"], stats=joint)
-    return medians.agg(*[
-        F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in columns
-    ])
+    found = select_quantiles(df, {c: [0.5] for c in columns})
+    row = [found[c][0] for c in columns]
+    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` double" for c in columns))
+
+
+@dataclass
+class _Bracket:
+    """Where the value at position ``at`` (0 first) of a column's order is: above ``lo`` and below ``hi``, with
+    ``below`` values up to ``lo`` and ``inside`` between the two."""
+
+    column: str
+    at: int
+    lo: float = float("-inf")
+    hi: float = float("inf")
+    below: int = 0
+    inside: int = 0
+    value: float | None = None
+
+    def holds(self) -> Column:
+        c = F.col(self.column)
+        # an infinite value is inside an unlimited bracket
+        above = (c > self.lo) if self.lo != float("-inf") else F.lit(True)
+        return above & ((c < self.hi) if self.hi != float("inf") else F.lit(True)) & c.isNotNull()
+
+
+def select_quantiles(
+    df: DataFrame, probs: dict[str, Sequence[float]], points: int = 2_000, gather: int | None = None
+) -> dict[str, list[float | None]]:
+    """Exact interpolated quantiles of numeric columns by narrowing brackets; nulls (and NaN) are left out.
+
+    A pass counts and sketches, the next counts exactly below, at and between two limits around each
+    wanted position, the last sorts what is left between them. While more than ``gather`` values are left,
+    the bracket is sketched and counted again; limits that miss their position move the bracket to the side
+    it is on, so the sketch never decides a result. The driver holds a few numbers a quantile, and no task
+    more than ``gather`` values, whatever the number of distinct values. A bracket keeps about a
+    ``points / 4``-th of the values, so three passes serve up to ``gather * points / 4`` rows.
+    """
+    gather = GATHER_VALUES if gather is None else gather
+    rows = df.select(*[plain(c).alias(c) for c in probs])
+    slices = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES)
+    step, grid = 2.0 / points, [i / points for i in range(points + 1)]
+
+    def sketched(wanted: list[tuple[Column, float]]) -> list[tuple[int, float, float]]:
+        """Per column and share: number of values, and two limits around that share of them. Each slice of the
+        input gives its own percentiles; they are weighted by its values."""
+        per_slice = rows.groupBy((F.spark_partition_id() % slices).alias("__slice")).agg(*[
+            F.struct(F.lit(i).alias("i"), F.percentile_approx(v, grid, 4 * points).alias("q"), F.count(v).alias("n")).alias(f"w{i}")
+            for i, (v, _) in enumerate(wanted)])
+        tall = per_slice.select(F.explode(F.array(*[f"w{i}" for i in range(len(wanted))])).alias("w")).select("w.i", "w.n", F.explode("w.q").alias("v"))
+        row = tall.agg(*[f for i, (_, p) in enumerate(wanted) for f in (
+            F.sum(F.when(F.col("i") == i, F.col("n"))).alias(f"n{i}"),
+            F.percentile(F.when(F.col("i") == i, F.col("v")), [max(0.0, p - step), min(1.0, p + step)], F.when(F.col("i") == i, F.col("n")).otherwise(0)).alias(f"q{i}"))
+        ]).first()
+        return [((row[f"n{i}"] or 0) // (points + 1), *(row[f"q{i}"] or (0.0, 0.0))) for i in range(len(wanted))]
+
+    columns = list(probs)
+    first = sketched([(F.col(c), p) for c in columns for p in probs[c]])
+    asked = [(c, p) for c in columns for p in probs[c]]
+    total = {c: n for (c, _), (n, _, _) in zip(asked, first)}
+    open_: list[_Bracket] = []
+    limits: list[tuple[float, float]] = []
+    brackets: dict[tuple[str, int], _Bracket] = {}
+    for (c, p), (_, *found) in zip(asked, first):
+        last = (total[c] - 1) * p
+        for at in {int(last // 1), int(-(-last // 1))} if total[c] else ():
+            if (c, at) not in brackets:
+                brackets[c, at] = _Bracket(c, at, inside=total[c])
+                open_.append(brackets[c, at])
+                limits.append(tuple(found))
+    while open_:
+        small = [b for b in open_ if b.inside <= gather]
+        if small:
+            got = rows.agg(*[F.sort_array(F.collect_list(F.when(b.holds(), F.col(b.column))))[b.at - b.below].alias(f"v{i}") for i, b in enumerate(small)]).first()
+            for i, b in enumerate(small):
+                b.value = got[f"v{i}"]
+        pairs = [(b, q) for b, q in zip(open_, limits) if b.value is None]  # with the percentiles as limits: values of the bracket, or between two
+        if not pairs:
+            break
+        counts = rows.agg(*[
+            F.count_if(b.holds() & test).alias(f"{name}{i}")
+            for i, (b, (lo, hi)) in enumerate(pairs)
+            for name, test in (("a", F.col(b.column) < lo), ("b", F.col(b.column) == lo), ("c", (F.col(b.column) > lo) & (F.col(b.column) < hi)),
+                               ("d", (F.col(b.column) == hi) & (F.lit(lo) != hi)))]).first()
+        for i, (b, (lo, hi)) in enumerate(pairs):
+            below, at_lo, between, at_hi = (counts[f"{k}{i}"] for k in "abcd")
+            place = b.at - b.below
+            if place < below:
+                b.hi, b.inside = lo, below
+            elif place < below + at_lo:
+                b.value = lo
+            elif place < below + at_lo + between:
+                b.lo, b.hi, b.below, b.inside = lo, hi, b.below + below + at_lo, between
+            elif place < below + at_lo + between + at_hi:
+                b.value = hi
+            else:
+                up_to = below + at_lo + between + at_hi
+                b.lo, b.below, b.inside = hi, b.below + up_to, b.inside - up_to
+        open_ = [b for b, _ in pairs if b.value is None]
+        large = [b for b in open_ if b.inside > gather]
+        again = sketched([(F.when(b.holds(), F.col(b.column)), (b.at - b.below) / max(1, b.inside - 1)) for b in large]) if large else []
+        fresh = {id(b): (lo, hi) for b, (_, lo, hi) in zip(large, again)}
+        limits = [fresh.get(id(b), (0.0, 0.0)) for b in open_]
+    out = {}
+    for c in columns:
+        out[c] = []
+        for p in probs[c]:
+            last = (total[c] - 1) * p
+            if not total[c]:
+                out[c].append(None)
+                continue
+            lo, hi = brackets[c, int(last // 1)].value, brackets[c, int(-(-last // 1))].value
+            out[c].append(lo if lo == hi else lo + (hi - lo) * (last - last // 1))
+    return out
 
 
 def pearson_of(df: DataFrame, x: Column, y: Column, weight: Column) -> DataFrame:

@@ -124,3 +124,42 @@ def test_many_hot_keys_leave_other_rows_alone(spark, monkeypatch):
     lagged = groups.finish(groups.frame.withColumn("p", F.lag("i").over(groups.window())))
     assert all(r.p == (r.i - 1 if r.i else None) for r in lagged.collect())
     O._known_hot.clear()
+
+
+@pytest.mark.parametrize("gather", [3, 50, 10_000])
+def test_narrowing_brackets_equal_percentile(spark, gather):
+    """Sorted over partitions, with ties, infinities, nulls and NaN; a few passes however little may be gathered."""
+    rng = np.random.default_rng(gather)
+    a = np.sort(rng.normal(size=5_001))
+    rows = [(float(x), float(rng.integers(0, 9)), None if i % 3 else float(i), float("nan") if i % 2 else 1.0, None,
+             float("inf") if i % 4 == 0 else float(x)) for i, x in enumerate(a)]
+    df = spark.createDataFrame(rows, "a double, ties double, gaps double, one double, none double, high double").repartitionByRange(7, "a")
+    probs = {c: [0.0, 0.1, 0.5, 0.99, 1.0] for c in df.columns}
+    got = R.select_quantiles(df, probs, points=20, gather=gather)
+    want = df.select(*[R.plain(c).alias(c) for c in df.columns]).agg(*[F.percentile(c, probs[c]).alias(c) for c in df.columns]).first()
+    for c in df.columns:
+        if c == "none":
+            assert got[c] == [None] * 5
+        else:
+            assert got[c] == pytest.approx(want[c], abs=1e-12)
+
+
+def test_selection_takes_three_passes(spark, no_small_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.range(20_000).select(F.rand(3).alias("x"), F.rand(4).alias("y")).repartition(5).cache()
+    want = df.agg(F.percentile("x", 0.5), F.percentile("y", 0.5)).first()
+    passes, first = [], DataFrame.first
+    monkeypatch.setattr(DataFrame, "first", lambda self: passes.append(1) or first(self))
+    monkeypatch.setattr(R, "GATHER_VALUES", 2_000)
+    got = R.exact_medians(df, ["x", "y"])
+    assert len(passes) == 3 and tuple(first(got)) == pytest.approx(tuple(want))
+
+
+def test_shares_of_many_groups_use_no_global_window(spark):
+    from loanloom.operators.aggregates import share_by
+
+    df = spark.range(1_000).select((F.col("id") % 250).alias("k"))
+    shared = share_by(df, "k", normalize=True)
+    assert "Window" not in shared._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.n, r.share_pct) for r in shared.collect()} == {(4, 0.4)}
