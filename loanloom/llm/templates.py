@@ -21,15 +21,17 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.storage import Scratch
 
 MIN_TOKENS = 3
 MIN_SHARE = 0.5
+MIN_RESTS, SURE_SHARE = 3, 0.9  # different texts a chunk stands beside to be template; share of slots beyond which it surely is
 SLOT_MASS = 0.6
 BROADCAST_BYTES = 8_000_000
 
@@ -203,9 +205,9 @@ def deduce(rows: DataFrame) -> DataFrame:
     tokens = rows.groupBy("host", "path", "chunk").agg(
         vector.alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("mass").alias("mass"),
         F.sum("inner").alias("inner"), (F.min("page") < F.max("page")).alias("varied"))
-    # tokens of one page only are in no template; without them a host's rows are few
-    pages = F.max(F.when((F.col("path") == "") & (F.col("chunk") == 0), F.col("pages"))).over(Window.partitionBy("host"))
-    tokens = tokens.where("pages >= 2").withColumn("all", pages).where(F.col("pages") >= MIN_SHARE * F.col("all"))
+    # every page has the empty token once; tokens of one page only are in no template, without them a host's rows are few
+    sizes = tokens.where((F.col("path") == "") & (F.col("chunk") == 0)).select("host", F.col("pages").alias("all"))
+    tokens = tokens.where("pages >= 2").join(sizes, "host").where(F.col("pages") >= MIN_SHARE * F.col("all"))
     types = {"host": pa.string(), "slot": pa.string(), "fixed": pa.list_(pa.int64()), "classes": pa.int32(), "depth": pa.int32()}
 
     def build(key: tuple, group: pa.Table) -> pa.Table:
@@ -251,19 +253,29 @@ def choose_slot(classes: dict[tuple, list[dict]]) -> tuple[str | None, int]:
     return (max(good, key=lambda p: (depth(p), paths[p], p)) if good else None), deepest
 
 
-def extract(page: str | None, slot: str | None, fixed: frozenset) -> str:
-    """Text of the slot: blocks in order, furniture and the template's text left out. A page without
-    the slot uses its own article, or all its running text."""
+def slot_nodes(page: str | None, slot: str | None) -> list:
+    """The slot's nodes without furniture; of a page without the slot those of its own article, or all running text."""
     nodes = parse(page or "")
     main = [n for n in nodes if slot and (n.path + ">").startswith(slot + ">")]
     if main:
         depth = slot.count(">") + 1
-        main = [n for n in main if not n.furniture_below(depth)]
-    else:
-        nodes = [n for n in nodes if not n.chrome]
-        main = [n for n in nodes if any(x.split(".")[0] in MAIN for x in n.path.split(">"))] or nodes
-    if fixed:
-        main = [n for n in main if _key(n.path, n.chunk) not in fixed]
+        return [n for n in main if not n.furniture_below(depth)]
+    nodes = [n for n in nodes if not n.chrome]
+    return [n for n in nodes if any(x.split(".")[0] in MAIN for x in n.path.split(">"))] or nodes
+
+
+def _size(nodes: list) -> int:
+    return sum(len(" ".join(n.text.split())) for n in nodes)
+
+
+def extract(page: str | None, slot: str | None, fixed: frozenset, likely: frozenset = frozenset()) -> str:
+    """Text of the slot: blocks in order, furniture and the template's text left out. No slot is emptied that way,
+    and text that is only likely the template's stays where it is more than half of the slot."""
+    main = slot_nodes(page, slot)
+    main = [n for n in main if _key(n.path, n.chunk) not in fixed] or main
+    if likely:
+        left = [n for n in main if _key(n.path, n.chunk) not in likely]
+        main = left if 2 * _size(left) >= _size(main) else main
     blocks: list[str] = []
     last = None
     for n in main:
@@ -275,6 +287,37 @@ def extract(page: str | None, slot: str | None, fixed: frozenset) -> str:
     return " ".join(x for b in blocks if (x := " ".join(b.split())))
 
 
+def confirm(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """Templates whose ``fixed`` holds only chunks that stand beside different text: at least ``MIN_RESTS``
+    times with another rest of the slot, and in ``SURE_SHARE`` of a host's different slots; ``likely`` holds those
+    of ``MIN_SHARE``. The chunks of an article that several pages share have one rest among them, whatever
+    else on those pages differs outside the slot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, page, slot, fixed in zip(*(c.to_pylist() for c in batch.columns)):
+                keys = sorted(_key(n.path, n.chunk) for n in slot_nodes(page, slot))
+                rows.append((host, None, _digest(keys)))
+                rows += [(host, key, _digest([k for k in keys if k != key])) for key in set(fixed).intersection(keys)]
+            types = (pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, types)], names=["host", "key", "rest"])
+
+    asked = pages.join(templates.where(F.size("fixed") > 0).select("host", "slot", "fixed"), "host").select("host", "html", "slot", "fixed")
+    rests = asked.mapInArrow(run, "host string, key bigint, rest bigint").distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+    slots = rests.where("key IS NULL").select("host", F.col("n").alias("slots"))
+    rests = rests.where("key IS NOT NULL").join(slots, "host").where((F.col("n") >= MIN_RESTS) & (F.col("n") >= MIN_SHARE * F.col("slots")))
+    sure = F.col("n") >= SURE_SHARE * F.col("slots")
+    # a host's chunks are few: each is on a large part of its pages
+    kept = rests.groupBy("host").agg(F.sort_array(F.collect_list(F.when(sure, F.col("key")))).alias("sure"),
+                                     F.sort_array(F.collect_list(F.when(~sure, F.col("key")))).alias("likely"))
+    none = F.array().cast("array<bigint>")
+    return templates.join(kept, "host", "left").withColumn("fixed", F.coalesce("sure", none)).withColumn("likely", F.coalesce("likely", none)).drop("sure")
+
+
+def _digest(keys: list[int]) -> int:
+    return xxhash.xxh3_64_intdigest(np.array(keys, dtype=np.int64).tobytes()) >> 1
+
+
 def main_text(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """``text`` for every row of ``pages`` (page_id, url, html): page_id, url, text.
 
@@ -283,15 +326,17 @@ def main_text(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
     named = pages.select("page_id", "url", "html", host.alias("host"))
-    templates = scratch.store(deduce(occurrences(named)))
-    size = templates.agg(F.sum(F.length("host") + F.coalesce(F.length("slot"), F.lit(0)) + 8 * F.size("fixed") + 32)).first()[0] or 0
+    deduced = scratch.store(deduce(occurrences(named)))
+    templates = scratch.store(confirm(named.select("host", "html"), deduced))
+    scratch.drop(deduced)
+    size = templates.agg(F.sum(F.length("host") + F.coalesce(F.length("slot"), F.lit(0)) + 8 * F.size("fixed") + 8 * F.size("likely") + 32)).first()[0] or 0
     # one small row per host: sent to all tasks while that stays small, else joined by host
     templates = F.broadcast(templates) if size <= BROADCAST_BYTES else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(h, s, frozenset(f or ())) for h, s, f in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+            texts = [extract(h, s, frozenset(f or ()), frozenset(m or ())) for h, s, f, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    both = named.join(templates.select("host", "slot", "fixed"), "host", "left").select("page_id", "url", "html", "slot", "fixed")
+    both = named.join(templates.select("host", "slot", "fixed", "likely"), "host", "left").select("page_id", "url", "html", "slot", "fixed", "likely")
     return both.mapInArrow(run, "page_id bigint, url string, text string")

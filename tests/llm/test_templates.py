@@ -53,6 +53,28 @@ def test_template_text_inside_articles_goes(spark):
     assert solve(spark, rows) == sorted(want + [(i, "Tsame Body same Subscribe for more") for i in (10, 11, 12)], key=str)
 
 
+def test_shared_articles_stay(spark):
+    """An article on half of a host's pages is no template, whatever differs beside it; a notice on all of them is."""
+    page = ("<html><body><nav>Home</nav><article><h1>Title {0}</h1><p>Body {0} of some length</p><p>More of {0}</p>{2}</article>"
+            "<aside><p>Related {1}</p></aside></body></html>")
+    notice = "<div><p>Subscribe for more</p></div>"
+
+    def host(name, bodies, inside=lambda i: notice):
+        return [(i, f"http://{name}/", page.format(b, i, inside(i))) for i, b in enumerate(bodies)]
+
+    def text(b, tail=""):
+        return f"Title {b} Body {b} of some length More of {b}{tail}"
+
+    assert solve(spark, host("two.example", "AA")) == [(i, text("A", " Subscribe for more")) for i in range(2)]
+    assert solve(spark, host("four.example", "AABC")) == [(i, text(b)) for i, b in enumerate("AABC")]
+    assert solve(spark, host("six.example", "AAABCD")) == [(i, text(b)) for i, b in enumerate("AAABCD")]
+    # boxes inside the article differ from page to page: its own text is most of the slot and stays
+    boxes = solve(spark, host("boxes.example", "AAABCD", lambda i: f"{notice}<div><p>Box {i}</p></div>"))
+    assert boxes == [(i, text(b, f" Box {i}")) for i, b in enumerate("AAABCD")]
+    copies = [(i, "http://x.example/", page.format("A", 0, notice)) for i in range(5)]
+    assert solve(spark, copies) == [(i, text("A", " Subscribe for more")) for i in range(5)]
+
+
 def test_wrapper_with_a_listed_class_keeps_its_text(spark):
     page = ("<html><body class='has-sidebar'><div class='top'><p>Site</p></div><div class='social-post'><p>Words of {0} that run on</p>"
             "<article><p>Text of {0} that runs on and on</p><div class='share'><p>Share {0}</p></div></article></div>"
