@@ -32,7 +32,7 @@ from loanloom.llm.caches import using
 from loanloom.llm.storage import Scratch
 
 SHARD_IDS = 1 << 19
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000  # parts of a generation, and a third of its words
 BUCKET_KEYS = 4
 NULL_KEY = -(2**63)
 
@@ -53,6 +53,9 @@ _MARKS = ".,;:!?#%&$*|"
 class Encoder:
     """Encodes texts with a tokenizer file; ids of parts seen before come from bounded caches.
 
+    A cache has two generations: a full one becomes the older, whose entries come back when they are met, and
+    the older one before it goes. So what is met often stays.
+
     Byte-level pre-tokenization never joins a word with a space that follows it, so a text
     whose spaces all follow a non-space is the concatenation of its space-led parts. Any other
     text goes to the tokenizer whole. In the same way a part of letters and trailing marks is
@@ -71,6 +74,8 @@ class Encoder:
         self.line = array(self.code, self.line_end).tobytes()
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -86,34 +91,60 @@ class Encoder:
             else:
                 self.words.update(zip(some, self._ids(some)))
 
-    def _add(self, parts: list[str]) -> None:
-        words, odd, plain, cores, tails, lines = self.words, [], [], [], [], []
-        for part in parts:
-            core = part.rstrip(_MARKS)
+    def _word(self, word: str) -> bytes | None:
+        got = self.words.get(word)
+        if got is None:
+            got = self.old_words.get(word)
+            if got is not None:
+                self.words[word] = got
+        return got
+
+    def _add(self, keys: set[str]) -> None:
+        """Put the ids of parts into the cache: from the older generation, else from known words, else encoded."""
+        known, old, rest = self.parts, self.old_parts, []
+        self.words.setdefault("", b"")
+        for key in keys:
+            got = old.get(key)
+            if got is None:
+                part = key[1:] if key[:1] == " " else " " + key
+                core = part.rstrip(_MARKS)
+                got = self._word(core)
+                if got is not None and len(core) < len(part):
+                    tail = self._word(part[len(core):])
+                    got = None if tail is None else got + tail
+                if got is None:
+                    rest.append((key, part, core))
+                    continue
+            known[key] = got
+        self._add_new(rest)
+
+    def _add_new(self, rest: list[tuple[str, str, str]]) -> None:
+        words, odd, plain, lines = self.words, [], [], []
+        for key, part, core in rest:
             if core.lstrip(" ").isalpha():
-                plain.append(part)
-                cores.append(core)
-                tails.append(part[len(core):])
+                plain.append((key, core, part[len(core):]))
             elif "\n" in part and all(x.rstrip(_MARKS).lstrip(" ").isalpha() for x in part.split("\n")):
-                lines.append(part)  # a line end between non-spaces is a piece of its own
+                lines.append((key, part))  # a line end between non-spaces is a piece of its own
             else:
-                odd.append(part)
-        ends = [(x, x.rstrip(_MARKS)) for part in lines for x in part.split("\n")]
-        words.setdefault("", b"")
-        new = {*cores, *tails, *[core for _, core in ends], *[x[len(core):] for x, core in ends]}
-        self._add_words([x for x in new if x not in words])
-        self.parts.update(zip(plain, [words[c] + words[t] for c, t in zip(cores, tails)]))
+                odd.append((key, part))
+        ends = [(x, x.rstrip(_MARKS)) for _, part in lines for x in part.split("\n")]
+        new = {core for _, core, _ in plain}
+        new.update([tail for _, _, tail in plain])
+        new.update([core for _, core in ends], [x[len(core):] for x, core in ends])
+        self._add_words([x for x in new if self._word(x) is None])
+        self.parts.update([(key, words[core] + words[tail]) for key, core, tail in plain])
         done = {x: words[core] + words[x[len(core):]] for x, core in ends}
-        for part in lines:
-            self.parts[part] = self.line.join([done[x] for x in part.split("\n")])
+        for key, part in lines:
+            self.parts[key] = self.line.join([done[x] for x in part.split("\n")])
         for at in range(0, len(odd), 50_000):
-            self.parts.update(zip(odd[at:at + 50_000], self._ids(odd[at:at + 50_000])))
+            some = odd[at:at + 50_000]
+            self.parts.update(zip([key for key, _ in some], self._ids([part for _, part in some])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_ENTRIES:
-            self.parts.clear()
+            self.parts, self.old_parts = {}, self.parts
         if len(self.words) > 3 * CACHE_ENTRIES:
-            self.words.clear()
+            self.words, self.old_words = {}, self.words
         parts, get = self.parts, self.parts.get
         split: list[list[str] | None] = []
         known: list[list[bytes | None] | None] = []
@@ -123,10 +154,12 @@ class Encoder:
                 split.append(None)
                 known.append(None)
                 continue
-            head, *rest = text.split(" ")
-            mine = [" " + x for x in rest]
-            if head:
-                mine.insert(0, head)
+            # a part's key is what follows its space; the first part has none, which a space in its key says
+            mine = text.split(" ")
+            if mine[0]:
+                mine[0] = " " + mine[0]
+            else:
+                del mine[0]
             got = list(map(get, mine))
             if None in got:
                 missing.update([x for x, g in zip(mine, got) if g is None])
@@ -134,7 +167,7 @@ class Encoder:
             else:
                 split.append([])
             known.append(got)
-        self._add(list(missing))
+        self._add(missing)
         whole = iter(self._ids([t for t, k in zip(texts, known) if k is None]))
         return [next(whole) if k is None else b"".join([parts[x] if g is None else g for x, g in zip(p, k)] if p else k)
                 for p, k in zip(split, known)]
