@@ -5,7 +5,7 @@ likelihood of the class bigrams most. A text's probability is the product of cla
 interpolated with bigrams and unigrams by Witten-Bell) and of word emissions.
 
 Jobs. Documents become blocks of token numbers with a dictionary of their own, so that later passes are
-array work and only dictionaries are shuffled. Words are numbered by falling count; words met once, and
+array work: the blocks are shuffled once, to meet their dictionaries' counts, and then only neighbour counts. Words are numbered by falling count; words met once, and
 words never met in training, are the open class, texts end with a word of a class of its own. The
 exchange runs over words met ``EXCHANGE_COUNT`` times or more, in groups of words: all groups start from
 the same class bigrams, a group moves its words one after the other on its own copy, and the bigrams are
