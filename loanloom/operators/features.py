@@ -11,7 +11,7 @@ from pyspark.sql.window import WindowSpec
 from loanloom import schema as S
 from loanloom.functions import exprs as E
 from loanloom.operators.joins import originations
-from loanloom.operators.ordered import ordered_groups
+from loanloom.operators.ordered import latest_per, ordered_groups
 from loanloom.operators.ranking import exact_medians
 
 REACH_BACK, REACH_AHEAD = 2, 1
@@ -126,22 +126,44 @@ LAGGED_SIGNALS = [
 ]
 
 
-def signal_medians(signals: DataFrame) -> DataFrame:
+def signal_medians(signals: DataFrame, columns: Sequence[str] = LAGGED_SIGNALS) -> DataFrame:
     """One row: exact medians of the unlagged columns over all loans."""
-    return exact_medians(signals, LAGGED_SIGNALS)
+    return exact_medians(signals, columns)
 
 
-def lag_median(signals: DataFrame, max_rows: int | None = None, medians: DataFrame | None = None) -> DataFrame:
+def lag_median(
+    signals: DataFrame, max_rows: int | None = None, medians: DataFrame | None = None, columns: Sequence[str] = LAGGED_SIGNALS
+) -> DataFrame:
     """Adds ``<column>_1m`` and ``<column>_2m``; missing lags take the column's global median."""
-    medians = signal_medians(signals) if medians is None else medians
-    fill = medians.select(F.struct(*LAGGED_SIGNALS)).scalar()
+    medians = signal_medians(signals, columns) if medians is None else medians
+    fill = medians.select(F.struct(*columns)).scalar()
     groups = ordered_groups(signals, "loan_id", ["month"], REACH_BACK, 0, max_rows)
     w = groups.window()
     return groups.finish(groups.frame.withColumns({
-        f"{c}_{n}m": lag_or(c, n, w, fill.getField(c)) for c in LAGGED_SIGNALS for n in (1, 2)
+        f"{c}_{n}m": lag_or(c, n, w, fill.getField(c)) for c in columns for n in (1, 2)
     }))
 
 
+def shock_flags() -> dict[str, Column]:
+    """Whether income fell short in three rows, spending in two, and both, over columns lagged by ``lag_median``."""
+    income = F.greatest("income_shock_flag", "income_shock_flag_1m", "income_shock_flag_2m")
+    spending = F.greatest("spending_shock_flag", "spending_shock_flag_1m")
+    return {"income_shock_flag_3m": income, "spending_shock_flag_3m": spending,
+            "both_shocks_flag": E.flag((income >= 1) & (spending >= 1))}
+
+
+def latest_shocks(signals: DataFrame, carried: Sequence[str] = (), max_rows: int | None = None) -> DataFrame:
+    """Each loan's last known shock flags and last known values of ``carried``.
+
+    Lags the two shock columns alone: one window over them and one aggregate, whatever else signals hold.
+    """
+    narrow = signals.select("loan_id", "month", "income_shock_flag", "spending_shock_flag", *carried)
+    lagged = lag_median(narrow, max_rows, columns=("income_shock_flag", "spending_shock_flag"))
+    flags = shock_flags()
+    rows = lagged.select("loan_id", "month", *[flags[c].alias(c) for c in flags], *carried)
+    return latest_per(rows, "loan_id", ["month"]).drop("month")
+
+
 def signal_features(
     signals: DataFrame, max_rows: int | None = None, medians: DataFrame | None = None
 ) -> DataFrame:
@@ -155,18 +177,17 @@ def signal_features(
     def at(c: str, *lags: int) -> list[Column]:
         return [F.col(c)] + [F.col(f"{c}_{n}m") for n in lags]
 
-    income, spending = at("income_shock_flag", 1, 2), at("spending_shock_flag", 1)
-    any_income, any_spending = F.greatest(*income), F.greatest(*spending)
+    income, shocks = at("income_shock_flag", 1, 2), shock_flags()
     inflow, earlier = F.col("avg_monthly_inflow"), F.col("avg_monthly_inflow_2m")
     return out.select(
         "loan_id", "month",
         mean_of(*at("balance_volatility", 1, 2)).alias("rolling_30d_balance_volatility"),
         slope2(*at("balance_volatility", 2)).alias("volatility_acceleration"),
         slope2(*at("cash_flow_consistency", 2)).alias("cash_flow_trend"),
-        any_income.alias("income_shock_flag_3m"),
+        shocks["income_shock_flag_3m"].alias("income_shock_flag_3m"),
         (income[0] + income[1] + income[2]).alias("income_shock_count"),
-        any_spending.alias("spending_shock_flag_3m"),
-        E.flag((any_income >= 1) & (any_spending >= 1)).alias("both_shocks_flag"),
+        shocks["spending_shock_flag_3m"].alias("spending_shock_flag_3m"),
+        shocks["both_shocks_flag"].alias("both_shocks_flag"),
         mean_of(*at("emi_obligation_ratio", 1)).alias("avg_emi_obligation_ratio"),
         F.least(*at("cash_flow_consistency", 1, 2)).alias("min_cash_flow_3m"),
         E.ratio_clip(inflow - earlier, earlier, -1.0, 1.0, 0.0).alias("inflow_trend"),

@@ -82,13 +82,8 @@ LEFT JOIN (SELECT loan_id, income_shock_flag_3m, both_shocks_flag FROM last_feat
 LEFT JOIN (SELECT loan_id, cash_flow_consistency FROM signals QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY month DESC) = 1) USING (loan_id)""",
        views=FEATURE_VIEWS)
 def pol5(spark, d):
-    signals = R.signals(spark, d)
-    recent = latest_per(X.signal_features(signals).select("loan_id", "month", "income_shock_flag_3m", "both_shocks_flag"), "loan_id", ["month"])
-    flow = latest_per(signals.select("loan_id", "month", "cash_flow_consistency"), "loan_id", ["month"])
-    loans = (
-        R.master(spark, d).withColumn("foir", E.foir())
-        .join(recent.drop("month"), "loan_id", "left").join(flow.drop("month"), "loan_id", "left")
-    )
+    recent = X.latest_shocks(R.signals(spark, d), ["cash_flow_consistency"])
+    loans = R.master(spark, d).withColumn("foir", E.foir()).join(recent, "loan_id", "left")
     return P.approval_stance(loans).select("loan_id", "stance", "extra_scrutiny")
 
 

@@ -5,6 +5,7 @@ from loanloom import schema as S
 from loanloom.operators import aggregates as A
 from loanloom.operators import features as X
 from loanloom.operators import joins as J
+from loanloom.operators.ordered import latest_per
 from loanloom.plans.panel import build_panel
 
 import fixtures as D
@@ -131,3 +132,16 @@ def test_outcomes_and_master(spark):
     master = J.build_master(D.loans(spark), D.customers(spark), out)
     assert master.count() == 6 and len(master.columns) == 34
     assert J.build_master(D.loans(spark), D.customers(spark), out, wide=True).count() == 6
+
+
+@pytest.mark.parametrize("max_rows", [None, 3])
+def test_latest_shocks_equal_the_full_features(spark, max_rows):
+    signals = D.signals(spark)
+    got = X.latest_shocks(signals, ["cash_flow_consistency"], max_rows)
+    flags = ["income_shock_flag_3m", "spending_shock_flag_3m", "both_shocks_flag"]
+    want = latest_per(X.signal_features(signals).select("loan_id", "month", *flags), "loan_id", ["month"]).join(
+        latest_per(signals.select("loan_id", "month", "cash_flow_consistency"), "loan_id", ["month"]).drop("month"), "loan_id")
+    columns = ["loan_id", *flags, "cash_flow_consistency"]
+    assert sorted(got.select(columns).collect()) == sorted(want.select(columns).collect())
+    if max_rows is None:
+        assert "lag(balance_volatility" not in got._jdf.queryExecution().executedPlan().toString()
