@@ -2,20 +2,26 @@
 
 Token counts per (source, language, topic) cell are raked to the three target marginals in
 turn; a cell's fitted share against its share of the corpus gives the probability with which
-its documents are sampled. The cell table is small next to the corpus and stays distributed:
-each raking step is a window over it. A document's draw is a hash of its id, so the sample
+its documents are sampled. No probability exceeds 1: a cell that would is fixed at 1, and the
+others of the same marginal are raked to what is left of its target. A marginal that asks for
+more tokens of a value than the corpus holds gets all of them, and the rest of it goes to the
+other values in proportion to their targets (``feasible``). Rounds go on until no share moves.
+
+The cell table is small next to the corpus but stays distributed: a step is an aggregate by
+one dimension joined back to the cells. A document's draw is a hash of its id, so the sample
 does not depend on partitioning or retries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.storage import Scratch
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 10
+ROUNDS = 200  # at most, for targets that contradict each other; others stop at TOLERANCE, after 12 to 14 rounds on the test tables
+TOLERANCE = 1e-10
 KEEP_TOKENS = 0.5
 ALPHA = 0.5
 SEED = "mix"
@@ -38,60 +44,125 @@ def cell(docs: DataFrame) -> list[Column]:
             topic(F.coalesce(F.col("text"), F.lit(""))).alias("topic")]
 
 
-def draw(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the hash of a key."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(16**13)
+def draw(key: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the hash of a key; without a key, from that of the text."""
+    known = F.coalesce(key.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), known)), 1, 13), 16, 10).cast("double") / float(16**13)
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, alpha: float = ALPHA, rounds: int = ROUNDS) -> DataFrame:
-    """Cells (source, lang, topic, tokens) with ``share``, their fitted share of all tokens.
+def feasible(cells: DataFrame, dimension: str, scratch: Scratch, given: dict[str, float] | None = None, alpha: float = ALPHA) -> DataFrame:
+    """Targets of a dimension's values: (dimension, asked, most, target), as shares of the sample.
 
-    ``targets`` gives a dimension's marginal by value (normalised over the values present; others
-    get 0). A dimension without one aims at its own marginal to the power ``alpha``. Cells with
-    no tokens stay at 0. Marginals that the cells cannot all meet are met as far as the last
-    round leaves them; the last dimension always is.
+    ``cells`` hold ``tokens`` and ``most``, the share of the sample if all of a cell is kept. Values ask for
+    their ``given`` weight (others for none), else for their tokens to the power ``alpha``. The target is
+    least(most, level * asked) with the level at which targets add up to 1; where even all tokens of the values
+    asked for do not, they are the targets.
     """
-    all_cells = Window.partitionBy()
-    out = cells.withColumn("share", F.col("tokens").cast("double"))
-    for d in DIMENSIONS:
-        over = Window.partitionBy(d)
-        given = (targets or {}).get(d)
-        if given:
-            aim = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(d)), F.lit(0.0))
-        else:
-            aim = F.pow(F.sum("tokens").over(over).cast("double"), F.lit(alpha))
-        out = out.withColumn("aim", aim.cast("double")).withColumn("size", F.count(F.lit(1)).over(over))
-        # every cell carries its value's aim; dividing by the cells of the value counts each value once
-        out = out.withColumn(f"to_{d}", F.col("aim") / F.sum(F.col("aim") / F.col("size")).over(all_cells)).drop("aim", "size")
+    own = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("tokens"), F.sum("most").alias("most"))
+    if given:
+        weight = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(dimension)), F.lit(0.0))
+    else:
+        weight = F.pow("tokens", F.lit(alpha))
+    values = scratch.store(own.select(dimension, F.when(F.col("tokens") > 0, weight).otherwise(F.lit(0.0)).cast("double").alias("weight"), "most"))
+    level = None
+    while True:  # each pass fixes at least one more value that its tokens limit
+        limited = F.col("weight") * F.lit(level) >= F.col("most") if level else F.lit(False)
+        full, left, weights = values.where("weight > 0").agg(
+            F.sum(F.when(limited, F.col("most")).otherwise(0.0)), F.sum(F.when(limited, 0.0).otherwise(F.col("weight"))), F.sum("weight")).first()
+        if not left:
+            level = float("inf") if weights else None
+            break
+        new = (1.0 - full) / left
+        if level is not None and new <= level:
+            break
+        level = new
+    scale = F.lit(1.0 / weights if weights else 0.0)
+    target = F.when(F.col("weight") > 0, F.least(F.col("most"), F.lit(level).cast("double") * F.col("weight"))).otherwise(F.lit(0.0))
+    return scratch.store(values.select(dimension, (F.col("weight") * scale).alias("asked"), "most", target.alias("target")))
+
+
+def _step(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
+    """One marginal: cells at their most are fixed, the others share what is left of the target."""
+    full = F.col("share") >= F.col("most")
+    sums = cells.groupBy(dimension).agg(
+        F.sum(F.when(full, F.col("share")).otherwise(0.0)).alias("__full"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("__free"))
+    aims = sums.join(targets, dimension)
+    # a number of values that ``rake`` has counted, or a shuffled join
+    both = cells.join(aims, dimension)
+    left, total = F.col("target") - F.col("__full"), F.col("__full") + F.col("__free")
+    raked = (
+        F.when((left >= 0) & full, F.col("share"))
+        .when((left >= 0) & (F.col("__free") > 0), F.col("share") * left / F.col("__free"))
+        .when((left < 0) & (total > 0), F.col("share") * F.col("target") / total)
+        .otherwise(F.lit(0.0))
+    )
+    return both.withColumn("share", F.least(F.col("most"), raked)).select(cells.columns)
+
+
+def rake(cells: DataFrame, scratch: Scratch, targets: dict[str, dict[str, float]] | None = None, alpha: float = ALPHA,
+         keep: float = KEEP_TOKENS, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Cells (source, lang, topic, tokens) with ``share``, their fitted share of a sample of ``keep`` of all tokens,
+    and ``most``, the share that keeping them whole gives; and each dimension's targets (see ``feasible``).
+
+    ``targets`` gives a dimension's weights by value. Cells without tokens have share 0. Should the
+    marginals contradict each other, the fit ends after ``rounds`` with the last dimension's met; ``reached``
+    tells how far the others are off.
+    """
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    sample = keep * total
+    most = F.col("tokens") / F.lit(float(sample)) if sample > 0 else F.lit(0.0)
+    share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
+    out = scratch.store(cells.withColumn("most", most.cast("double")).withColumn("share", F.least(share.cast("double"), F.col("most"))))
+    aims = {d: feasible(out, d, scratch, (targets or {}).get(d), alpha) for d in DIMENSIONS}
+    known = {}
+    for d, aim in aims.items():
+        small = aim.select(d, "target")
+        known[d] = F.broadcast(small) if aim.count() <= BROADCAST_CELLS else small
     for _ in range(rounds):
+        new = out.withColumn("__old", F.col("share"))
         for d in DIMENSIONS:
-            have = F.sum("share").over(Window.partitionBy(d))
-            out = out.withColumn("share", F.when(have > 0, F.col("share") * F.col(f"to_{d}") / have).otherwise(F.lit(0.0)))
+            new = _step(new, d, known[d])
+        new = scratch.store(new)
+        moved = new.agg(F.max(F.abs(F.col("share") - F.col("__old")))).first()[0]
+        scratch.drop(out)
+        out = new
+        if moved is None or moved <= tolerance:
+            break
+    return out.drop("__old"), aims
+
+
+def reached(cells: DataFrame, aims: dict[str, DataFrame]) -> DataFrame:
+    """Per dimension and value what was asked, what is feasible (``target``) and the raked ``share``."""
+    out = None
+    for d in DIMENSIONS:
+        got = aims[d].join(cells.groupBy(d).agg(F.sum("share").alias("share")), d).select(
+            F.lit(d).alias("dimension"), F.col(d).alias("value"), "asked", "most", "target", "share")
+        out = got if out is None else out.union(got)
     return out
 
 
-def probabilities(cells: DataFrame, keep: float = KEEP_TOKENS, **rake_options) -> DataFrame:
-    """Cells with the probability that makes the expected tokens of a cell its share of ``keep`` of all
-    tokens; at most 1, where a cell has too few."""
-    total = F.sum("tokens").over(Window.partitionBy())
-    p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), keep * total * F.col("share") / F.col("tokens"))).otherwise(F.lit(0.0))
-    return rake(cells, **rake_options).select(*DIMENSIONS, "tokens", F.round("share", 9).alias("share"), F.round(p, 9).alias("probability"))
+def probabilities(cells: DataFrame, scratch: Scratch, keep: float = KEEP_TOKENS, **rake_options) -> DataFrame:
+    """Cells with the probability that makes the expected tokens of a cell its share of ``keep`` of all tokens."""
+    p = F.when(F.col("most") > 0, F.least(F.lit(1.0), F.col("share") / F.col("most"))).otherwise(F.lit(0.0))
+    fitted, _ = rake(cells, scratch, keep=keep, **rake_options)
+    return fitted.select(*DIMENSIONS, "tokens", F.round("share", 9).alias("share"), F.round(p, 9).alias("probability"))
 
 
 def mix(docs: DataFrame, scratch: Scratch, keep: float = KEEP_TOKENS, **rake_options) -> DataFrame:
     """``docs`` (doc_id, text, source, lang, any others) with a struct ``__mix`` of the cell, its
-    probability and ``keep``, the document's draw.
+    probability and ``keep``, the document's draw; a column of that name is replaced.
 
     Texts without words have no weight: they are in no sample unless their cell has words and
-    draws them. Repeated rows draw alike.
+    draws them. Repeated rows draw alike; rows without a doc_id draw by their text.
     """
+    docs = docs.drop("__mix")
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("bigint")
     cells = docs.select(*cell(docs), words.alias("tokens")).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
-    fitted = scratch.store(probabilities(scratch.store(cells), keep, **rake_options))
-    fitted = fitted.select(F.struct(*DIMENSIONS).alias("__cell"), "probability")
+    fitted = scratch.store(probabilities(scratch.store(cells), scratch, keep, **rake_options))
+    fitted = fitted.select(F.struct(*DIMENSIONS).alias("cell"), "probability")
     if fitted.count() <= BROADCAST_CELLS:
         fitted = F.broadcast(fitted)
-    both = docs.withColumn("__cell", F.struct(*cell(docs))).join(fitted.withColumnRenamed("probability", "__p"), "__cell")
-    drawn = F.struct("__cell.*", F.col("__p").alias("probability"), (draw(F.col("doc_id")) < F.col("__p")).alias("keep"))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], drawn.alias("__mix"))
+    # the document's columns stay in one struct, so that no name of theirs meets one of ours
+    both = docs.select(F.struct("*").alias("row"), F.struct(*cell(docs)).alias("cell"), draw(F.col("doc_id"), F.col("text")).alias("drawn"))
+    return both.join(fitted, "cell").select(
+        "row.*", F.struct("cell.*", "probability", (F.col("drawn") < F.col("probability")).alias("keep")).alias("__mix"))

@@ -175,38 +175,48 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "lang", "__verdict.*")
 
 
+SQL_ROUNDS = 30  # twice as many as the fit takes to stand still on the test tables
+
+
 def _op10_sql() -> str:
     text = "coalesce(text, '')"
     topic = "CASE " + " ".join(f"WHEN contains({text}, '{mark}') THEN '{name}'" for name, mark in mixing.TOPICS) + " ELSE 'prose' END"
     steps, last = [], "t0"
-    for i, d in enumerate(mixing.DIMENSIONS):
-        steps.append(f"a{i} AS (SELECT *, pow(CAST(sum(tokens) OVER (PARTITION BY {d}) AS DOUBLE), {mixing.ALPHA}) AS aim, "
-                     f"count(*) OVER (PARTITION BY {d}) AS size FROM {last})")
-        steps.append(f"t{i + 1} AS (SELECT * EXCLUDE (aim, size), aim / sum(aim / size) OVER () AS to_{d} FROM a{i})")
-        last = f"t{i + 1}"
-    for r in range(mixing.ROUNDS):
+    for d in mixing.DIMENSIONS:  # the level at which targets add up to 1 is the highest that a set of limited values gives
+        steps.append(f"v_{d} AS (SELECT {d}, pow(CAST(sum(tokens) AS DOUBLE), {mixing.ALPHA}) AS weight, sum(most) AS most FROM t0 GROUP BY {d} HAVING sum(tokens) > 0)")
+        steps.append(f"l_{d} AS (SELECT max((1 - coalesce(full_before, 0)) / weight_left) AS level FROM (SELECT "
+                     f"sum(most) OVER (ORDER BY most / weight, {d} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS full_before, "
+                     f"sum(weight) OVER (ORDER BY most / weight, {d} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left FROM v_{d}))")
+        steps.append(f"a_{d} AS (SELECT {d}, least(most, level * weight) AS target FROM v_{d}, l_{d})")
+    for k in range(SQL_ROUNDS):
         for d in mixing.DIMENSIONS:
-            name = f"r{r}_{d}"
-            steps.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (share * to_{d} / sum(share) OVER (PARTITION BY {d}) AS share) FROM {last})")
+            name = f"r{k}_{d}"
+            steps.append(f"""{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, most, least(most, CASE
+  WHEN target >= fixed AND share >= most THEN share WHEN target >= fixed AND free > 0 THEN share * (target - fixed) / free
+  WHEN target < fixed THEN share * target / (fixed + free) ELSE 0 END) AS share
+ FROM (SELECT *, sum(CASE WHEN share >= most THEN share ELSE 0 END) OVER (PARTITION BY {d}) AS fixed,
+  sum(CASE WHEN share >= most THEN 0 ELSE share END) OVER (PARTITION BY {d}) AS free FROM {last}) JOIN a_{d} USING ({d}))""")
             last = name
     return f"""
 WITH d AS (
-  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic,
+  SELECT doc_id, text, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic,
     len(regexp_extract_all({text}, '{mixing.WORD}')) AS tokens FROM documents
+), c AS (
+  SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens FROM d GROUP BY ALL
 ), t0 AS (
-  SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) AS DOUBLE) AS share FROM d GROUP BY ALL
+  SELECT *, tokens / ({mixing.KEEP_TOKENS}e0 * sum(tokens) OVER ()) AS most, CAST(tokens AS DOUBLE) / sum(tokens) OVER () AS share FROM c
 ), {", ".join(steps)}, p AS (
-  SELECT source, lang, topic, round(least(1.0, {mixing.KEEP_TOKENS} * sum(tokens) OVER () * share / tokens), 9) AS probability FROM {last}
+  SELECT source, lang, topic, CASE WHEN tokens > 0 THEN round(least(1.0, share / most), 9) ELSE 0 END AS probability FROM {last}
 )
 SELECT doc_id, source, lang, topic, round(probability, 6) AS probability,
-  CAST('0x' || md5('{mixing.SEED}:' || doc_id)[1:13] AS BIGINT) / CAST({16**13} AS DOUBLE) < probability AS keep
+  CAST('0x' || md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5({text})))[1:13] AS BIGINT) / CAST({16**13} AS DOUBLE) < probability AS keep
 FROM d JOIN p USING (source, lang, topic)
 """
 
 
 @query(_op10_sql())
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling probability and draw of every document, raked to tempered marginals."""
+    """Sampling probability and draw of every document, raked to tempered marginals as far as the tokens reach."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
     found = mixing.mix(docs, Scratch(spark, "op10")).select("doc_id", "__mix.*")
     return found.withColumn("probability", F.round("probability", 6))
