@@ -31,6 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,8 @@ COUNTERS = 1 << 18
 SMALL = 64  # the boundary is looked for up to this size
 NEAR = 8
 LIST_ROWS = 100_000  # members of a list that one task reads
-BLOCK_SETS, BLOCK_ELEMENTS = 1024, 1_000_000
+BLOCK_SETS, BLOCK_ELEMENTS = 1024, 500_000
+STRIP = 256  # rows of a block's table that are worked on at a time
 
 
 class Threshold:
@@ -160,9 +162,8 @@ def fold(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, counts: np.ndarray) -> DataFrame:
-    """Per document its light subsets (c > 0) and its prefix in list order (c = 0)."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+def _entries(docs: DataFrame, size: int, threshold: Threshold, light: int, shared: Broadcast) -> DataFrame:
+    """Per document its light subsets (c > 0) and its prefix in list order (c = 0); ``shared`` holds the counts."""
     entry = pa.list_(pa.struct([("key", pa.int64()), ("c", pa.int32()), ("parts", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +236,7 @@ def _scan_lists(entries: DataFrame, threshold: Threshold) -> DataFrame:
             change = np.flatnonzero((key[1:] != key[:-1]) | (c[1:] != c[:-1]) | (part[1:] != part[:-1])) + 1
             cut = int(change[-1]) if len(change) else 0
             rest = slice(cut, None)
-            if len(key) - cut > 4 * LIST_ROWS:
+            if len(key) - cut > 2 * LIST_ROWS:  # beyond any heavy list that counts as whole
                 rest = slice(cut, cut + 1) if c[cut] else slice(len(key), None)
                 cut = len(key)
             if cut:
@@ -376,22 +377,28 @@ def _block_candidates(members: DataFrame, threshold: Threshold) -> DataFrame:
 def _block_links(members: DataFrame, threshold: Threshold) -> DataFrame:
     """Links between different components inside (key, i, j) blocks; a spanning forest of them."""
     def solve(ids: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-        sizes = np.array([len(s) for s in sets])
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = count[element] > 1
-        owner, element = owner[shared], np.unique(element[shared], return_inverse=True)[1]
-        inter = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        size = np.array([len(s) for s in sets])
+        every = np.concatenate(sets)
+        ordered = np.sort(every)
+        common = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])  # what one set alone holds is in no intersection
+        del ordered
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
+        element = np.searchsorted(common, every)
+        held = element < len(common)
+        held[held] = common[element[held]] == every[held]
+        owner, element = owner[held], element[held].astype(np.int32)
+        del every, held, common
         order = np.argsort(element, kind="stable")
         owner, element = owner[order], element[order]
-        for lo in range(0, int(element[-1]) + 1 if len(element) else 0, 2048):
-            a, b = np.searchsorted(element, [lo, lo + 2048])
-            chunk = np.zeros((len(sets), 2048), dtype=np.float32)
+        del order
+        inter = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        for lo in range(0, int(element[-1]) + 1 if len(element) else 0, STRIP):
+            a, b = np.searchsorted(element, [lo, lo + STRIP])
+            chunk = np.zeros((len(sets), STRIP), dtype=np.float32)
             chunk[owner[a:b], element[a:b] - lo] = 1
-            inter += chunk @ chunk.T
-        inter = np.rint(inter).astype(np.int64)
+            for at in range(0, len(sets), STRIP):
+                inter[at:at + STRIP] += chunk[at:at + STRIP] @ chunk.T
         label = np.array(labels)
-        good = threshold.linked(inter, sizes[:, None], sizes[None, :]) & (label[:, None] < label[None, :])
         out, parent = [], {x: x for x in set(labels)}
 
         def root(x: int) -> int:
@@ -399,11 +406,16 @@ def _block_links(members: DataFrame, threshold: Threshold) -> DataFrame:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        for i, j in np.argwhere(good).tolist():
-            p, q = root(labels[i]), root(labels[j])
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                out.append((ids[i], ids[j]))
+        for at in range(0, len(sets), STRIP):
+            own = slice(at, at + STRIP)
+            both = np.rint(inter[own]).astype(np.int64)
+            good = threshold.linked(both, size[own, None], size[None, :]) & (label[own, None] < label[None, :])
+            for i, j in np.argwhere(good).tolist():
+                i += at
+                p, q = root(labels[i]), root(labels[j])
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+                    out.append((ids[i], ids[j]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,9 +480,11 @@ def link_documents(docs: DataFrame, scratch: Scratch, size: int, num: int, den:
     reps = scratch.store(texts.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("small").alias("small")))
     light = boundary(reps, threshold)
-    rows = _entries(docs, size, threshold, light, _counts(scan))
+    shared = docs.sparkSession.sparkContext.broadcast(_counts(scan))
+    rows = _entries(docs, size, threshold, light, shared)
     rows = rows.join(reps.select("class", F.col("rep").alias("doc_id")), ["class", "doc_id"], "left_semi")
     rows = scratch.store(rows.withColumnRenamed("doc_id", "id").dropDuplicates(["id", "class"]))
+    shared.unpersist()
     flat = rows.select("id", "n", F.posexplode("entries").alias("p", "e")).select("id", "n", "p", "e.*")
     lead = F.when(F.col("c") == 0, F.col("p")).otherwise(F.lit(0))
     # a prefix follows the subsets, so its positions start behind them

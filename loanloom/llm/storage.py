@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from loanloom.session import ensure_checkpoint_dir
 
 
-#: Rows of an Arrow batch between Spark and a Python worker: texts are long, and a worker holds a batch.
+#: Rows and bytes of an Arrow batch between Spark and a Python worker: texts are long, and both sides hold a batch.
 BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 class Scratch:
@@ -25,6 +26,8 @@ class Scratch:
         rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
         if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
             spark.conf.set(rows, str(BATCH_ROWS))
+        # a single row may be larger; it travels alone
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         self.spark = spark
         self.root = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0

@@ -12,6 +12,8 @@ import pytest
 import corpus_pipeline as cp
 from loanloom.llm import fm_index, mixing, quality
 
+from test_mixing import plain as plain_mix
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables not present")
 
@@ -104,20 +106,9 @@ def test_mix(stages):
         topic = next((t for t, mark in mixing.TOPICS if mark in d["text"]), "prose")
         cells[d["doc_id"]] = (d["source"], d["lang"], topic)
         tokens[cells[d["doc_id"]]] += len(d["text"].split())
-    share = {c: float(t) for c, t in tokens.items()}
-    own = [defaultdict(float) for _ in range(3)]
-    for c, t in tokens.items():
-        for i in range(3):
-            own[i][c[i]] += t
-    for _ in range(mixing.ROUNDS):
-        for i in range(3):
-            aim, have = {v: t ** mixing.ALPHA for v, t in own[i].items()}, defaultdict(float)
-            for c, s in share.items():
-                have[c[i]] += s
-            share = {c: s * aim[c[i]] / sum(aim.values()) / have[c[i]] for c, s in share.items()}
-    total = sum(tokens.values())
+    probability, _ = plain_mix(tokens, keep=cp.KEEP_TOKENS)
     draw = lambda d: int(hashlib.md5(f"mix:{d}".encode()).hexdigest()[:13], 16) / 16**13
-    assert after == [r for r in before if draw(r[0]) < min(1, cp.KEEP_TOKENS * total * share[cells[r[0]]] / tokens[cells[r[0]]])]
+    assert after == [r for r in before if draw(r[0]) < round(probability[cells[r[0]]], 9)]
 
 
 def test_token_files(stages):
@@ -133,6 +124,17 @@ def test_token_files(stages):
     assert sorted(after) == want
 
 
+def test_one_row_of_each_group_stays_with_odd_ids(spark):
+    a, b = "calm words about rivers and stones " * 5, "another story of ships and harbours " * 6
+    rows = [(7, a, "x"), (5, a, "x"), (5, a, "x"), (None, a, "x"), (9, b, "x"), (None, b, "x"), (8, "alone " * 9, "x"), (8, b + "tail", "x"),
+            (None, "no id but its own words here", "x"), (3, None, "x"), (4, "", "x"), (4, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key string").repartition(3)
+    kept = cp.keep_one_of_a_group(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert rows_of(kept) == sorted([(5, a, "x"), (8, b + "tail", "x"), (8, "alone " * 9, "x"), (None, "no id but its own words here", "x"),
+                                    (3, None, "x"), (4, "", "x"), (4, "", "x")], key=str)
+
+
 def test_odd_documents_pass_all_stages(spark, tmp_path):
     leak = "one two three four five six seven eight nine ten"
     rows = [(1, "calm words about rivers and stones " * 5, "en", "s", 9), (2, "calm words about rivers and stones " * 5, "en", "s", 9),
