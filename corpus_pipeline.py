@@ -4,14 +4,14 @@ Each stage is a function of (spark, docs, sf_dir); its result is written as Parq
 back as the next stage's docs. All but the last return the columns of documents.
 
 1. quality: documents that the quality classifier rejects go.
-2. near_duplicates: of each group of documents linked by 5-word shingles at a similarity of
-   0.8 or more, the one with the smallest id stays.
+2. near_duplicates: of each group of rows linked by 5-word shingles at a similarity of 0.8 or
+   more, one with the smallest id stays; repeated rows and copies without an id go as well.
 3. decontaminate: words inside benchmark windows are cut; a document of which nothing else is
    left goes.
 4. mix: documents are sampled by the probabilities that bring tokens to the target marginals.
 5. token_files: the rest is encoded into shards; the result is what is read back from them.
 
-Rows without a doc_id pass stages 1 to 4 like others, but link with nothing.
+Rows without a doc_id pass all stages like others. Texts without words link with nothing.
 """
 
 from __future__ import annotations
@@ -34,9 +34,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = jaccard.link_documents(docs, Scratch(spark, "duplicates"), SHINGLE_WORDS, *SIMILARITY)
-    gone = linked.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    scratch = Scratch(spark, "duplicates")
+    # rows are linked, not ids: several may share an id or have none; stored, as a later scan could number them anew
+    rows = scratch.store(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")))
+    ids = rows.select("key", F.col("row.doc_id").alias("doc_id"))
+    linked = jaccard.link_documents(rows.select(F.col("key").alias("doc_id"), "row.text"), scratch, SHINGLE_WORDS, *SIMILARITY)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    stay = linked.select(F.col("doc_id").alias("key"), "component_id").join(ids, "key").groupBy("component_id").agg(
+        F.min_by("key", first).alias("key"))
+    return rows.join(stay, "key", "left_semi").select("row.*")
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
