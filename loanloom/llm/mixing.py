@@ -14,7 +14,7 @@ does not depend on partitioning or retries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loanloom.llm.storage import Scratch
@@ -81,21 +81,20 @@ def feasible(cells: DataFrame, dimension: str, scratch: Scratch, given: dict[str
     return scratch.store(values.select(dimension, (F.col("weight") * scale).alias("asked"), "most", target.alias("target")))
 
 
-def _step(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
-    """One marginal: cells at their most are fixed, the others share what is left of the target."""
+def _step(cells: DataFrame, dimension: str, small: bool) -> DataFrame:
+    """One marginal: cells at their most are fixed, the others share what is left of the target (in ``to_<dimension>``)."""
     full = F.col("share") >= F.col("most")
     sums = cells.groupBy(dimension).agg(
-        F.sum(F.when(full, F.col("share")).otherwise(0.0)).alias("__full"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("__free"))
-    aims = sums.join(targets, dimension)
-    # a number of values that ``rake`` has counted, or a shuffled join
-    both = cells.join(aims, dimension)
-    left, total = F.col("target") - F.col("__full"), F.col("__full") + F.col("__free")
+        F.sum(F.when(full, F.col("share")).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("free"))
+    target = F.col(f"to_{dimension}")
+    left, total = target - F.col("full"), F.col("full") + F.col("free")
     raked = (
         F.when((left >= 0) & full, F.col("share"))
-        .when((left >= 0) & (F.col("__free") > 0), F.col("share") * left / F.col("__free"))
-        .when((left < 0) & (total > 0), F.col("share") * F.col("target") / total)
+        .when((left >= 0) & (F.col("free") > 0), F.col("share") * left / F.col("free"))
+        .when((left < 0) & (total > 0), F.col("share") * target / total)
         .otherwise(F.lit(0.0))
     )
+    both = cells.join(F.broadcast(sums) if small else sums, dimension)
     return both.withColumn("share", F.least(F.col("most"), raked)).select(cells.columns)
 
 
@@ -114,21 +113,24 @@ def rake(cells: DataFrame, scratch: Scratch, targets: dict[str, dict[str, float]
     share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
     out = scratch.store(cells.withColumn("most", most.cast("double")).withColumn("share", F.least(share.cast("double"), F.col("most"))))
     aims = {d: feasible(out, d, scratch, (targets or {}).get(d), alpha) for d in DIMENSIONS}
-    known = {}
+    small, start = {}, out
     for d, aim in aims.items():
-        small = aim.select(d, "target")
-        known[d] = F.broadcast(small) if aim.count() <= BROADCAST_CELLS else small
+        small[d] = aim.count() <= BROADCAST_CELLS
+        target = aim.select(d, F.col("target").alias(f"to_{d}"))
+        out = out.join(F.broadcast(target) if small[d] else target, d)
+    out = scratch.store(out.withColumn("old", F.col("share")))
+    scratch.drop(start)
     for _ in range(rounds):
-        new = out.withColumn("__old", F.col("share"))
+        new = out.withColumn("old", F.col("share"))
         for d in DIMENSIONS:
-            new = _step(new, d, known[d])
-        new = scratch.store(new)
-        moved = new.agg(F.max(F.abs(F.col("share") - F.col("__old")))).first()[0]
+            new = _step(new, d, small[d])
+        moved = Observation()
+        new = scratch.store(new.observe(moved, F.max(F.abs(F.col("share") - F.col("old"))).alias("most")))
         scratch.drop(out)
         out = new
-        if moved is None or moved <= tolerance:
+        if (moved.get["most"] or 0.0) <= tolerance:
             break
-    return out.drop("__old"), aims
+    return out.select(*DIMENSIONS, "tokens", "most", "share"), aims
 
 
 def reached(cells: DataFrame, aims: dict[str, DataFrame]) -> DataFrame:
