@@ -7,8 +7,8 @@ others of the same marginal are raked to what is left of its target. A marginal
 more tokens of a value than the corpus holds gets all of them, and the rest of it goes to the
 other values in proportion to their targets (``feasible``). Rounds go on until no share moves.
 
-The cell table is small next to the corpus but stays distributed: a step is an aggregate by
-one dimension joined back to the cells. A document's draw is a hash of its id, so the sample
+The cell table is small next to the corpus. Up to ``BROADCAST_CELLS`` counted cells are raked in
+one task; more stay distributed: a step is an aggregate by one dimension joined back to the cells. A document's draw is a hash of its id, so the sample
 does not depend on partitioning or retries.
 """
 
@@ -81,7 +81,7 @@ def feasible(cells: DataFrame, dimension: str, scratch: Scratch, given: dict[str
     return scratch.store(values.select(dimension, (F.col("weight") * scale).alias("asked"), "most", target.alias("target")))
 
 
-def _step(cells: DataFrame, dimension: str, small: bool) -> DataFrame:
+def _step(cells: DataFrame, dimension: str, way: str | None) -> DataFrame:
     """One marginal: cells at their most are fixed, the others share what is left of the target (in ``to_<dimension>``)."""
     full = F.col("share") >= F.col("most")
     sums = cells.groupBy(dimension).agg(
@@ -94,7 +94,7 @@ def _step(cells: DataFrame, dimension: str, small: bool) -> DataFrame:
         .when((left < 0) & (total > 0), F.col("share") * target / total)
         .otherwise(F.lit(0.0))
     )
-    both = cells.join(F.broadcast(sums) if small else sums, dimension)
+    both = cells.join(sums.hint(way) if way else sums, dimension)
     return both.withColumn("share", F.least(F.col("most"), raked)).select(cells.columns)
 
 
@@ -120,10 +120,13 @@ def rake(cells: DataFrame, scratch: Scratch, targets: dict[str, dict[str, float]
         out = out.join(F.broadcast(target) if small[d] else target, d)
     out = scratch.store(out.withColumn("old", F.col("share")))
     scratch.drop(start)
+    # a counted table of few cells is one partition: its steps need neither shuffle nor broadcast
+    whole = out.count() <= BROADCAST_CELLS
+    way = {d: "shuffle_hash" if whole else "broadcast" if small[d] else None for d in DIMENSIONS}
     for _ in range(rounds):
-        new = out.withColumn("old", F.col("share"))
+        new = (out.coalesce(1) if whole else out).withColumn("old", F.col("share"))
         for d in DIMENSIONS:
-            new = _step(new, d, small[d])
+            new = _step(new, d, way[d])
         moved = Observation()
         new = scratch.store(new.observe(moved, F.max(F.abs(F.col("share") - F.col("old"))).alias("most")))
         scratch.drop(out)

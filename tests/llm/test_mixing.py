@@ -52,7 +52,7 @@ def frame_of(spark, table):
 
 
 @pytest.mark.parametrize("targets, keep, broadcast", [
-    (None, 0.5, 50_000), ({"lang": {"en": 0.5, "de": 0.4, "": 0.1, "xx": 3.0}, "topic": {"prose": 3, "legal": 1}}, 0.3, 0)])
+    (None, 0.5, 50_000), ({"lang": {"en": 0.5, "de": 0.4, "": 0.1, "xx": 3.0}, "topic": {"prose": 3, "legal": 1}}, 0.3, 10), (None, 0.5, 0)])
 def test_rake_equals_plain_and_meets_marginals(spark, monkeypatch, targets, keep, broadcast):
     monkeypatch.setattr(mixing, "BROADCAST_CELLS", broadcast)
     table = cells(1)
