@@ -2,7 +2,7 @@
 
 Distinct vectors are dealt by hash into shards of about ``SHARD_ROWS``; each shard becomes one
 row: its vectors and, per layer, flat neighbour arrays (offsets and neighbours, as in a sparse
-matrix). Queries go in blocks to every shard, and the shards' results are merged. Equal
+matrix). Every query streams past every shard, and the shards' results are merged. Equal
 vectors are one node that keeps its smallest ids, so copies neither crowd a graph nor a task.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from loanloom.llm.storage import Scratch
 
 SHARD_ROWS = 4096
-QUERY_BLOCK = 512
+QUERY_PART = 65_536
 M, EF_BUILD, EF_SEARCH = 12, 64, 96
 
 
@@ -184,26 +184,40 @@ _SHARD_TYPES = {n: {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary
 _HITS = "query bigint, first bigint, score double"
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> DataFrame:
-    """The k nearest nodes of every shard for every query (id, vector) of the shard's dimension."""
-    def search(key: tuple, graphs: pa.Table, blocks: pa.Table) -> pa.Table:
-        asked, first, score = [], [], []
-        for row in graphs.to_pylist():
-            x = np.frombuffer(row["vectors"]).reshape(row["members"], row["dim"])
-            graph, ids = Graph.of(x, row), np.frombuffer(row["nodes_first"], "<i8")
-            for q, v in zip(blocks.column("id").to_pylist(), blocks.column("vector").to_numpy()):
-                found = graph.search(np.asarray(v), k)
-                asked += [q] * len(found)
-                first += ids[found].tolist()
-                score += np.sqrt(((x[found] - v) ** 2).sum(axis=1)).tolist()
-        return pa.table({"query": pa.array(asked, pa.int64()), "first": pa.array(first, pa.int64()), "score": pa.array(score, pa.float64())})
-
-    # every query visits every shard of its dimension, in blocks
-    places = index.select("shard", "dim")
-    block = F.pmod(F.xxhash64("id"), F.lit(max(1, queries.count() // QUERY_BLOCK))).cast("int")
-    visits = scratch.store(queries.select("id", "vector", F.size("vector").alias("dim"), block.alias("block")).join(places, "dim"))
-    sides = scratch.store(index.join(visits.select("shard", "dim", "block").distinct(), ["shard", "dim"]))
-    return sides.groupBy("shard", "dim", "block").cogroup(visits.groupBy("shard", "dim", "block")).applyInArrow(search, _HITS)
+def search_index(index: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
+    """The k nearest nodes of every shard for every query (id, vector) of the shard's dimension.
+
+    A shard travels to its task once and its queries stream past it in Arrow batches; only beyond
+    ``QUERY_PART`` queries is it copied, so copies stay a small share of what the queries weigh.
+    """
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, graph, x, ids = None, None, None, None
+        for batch in batches:
+            asked, first, score = [], [], []
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            keys = list(zip(*(columns[n].to_pylist() for n in ("shard", "dim", "part", "id"))))
+            for i, (*place, q) in enumerate(keys):
+                if q is None:  # the shard itself, which sorts before its queries
+                    row = {n: columns[n][i].as_py() for n in _SHARD_TYPES}
+                    here, x = place, np.frombuffer(row["vectors"]).reshape(row["members"], row["dim"])
+                    graph, ids = Graph.of(x, row), np.frombuffer(row["nodes_first"], "<i8")
+                elif place == here:  # else no shard holds vectors of this length
+                    v = columns["vector"][i].values.to_numpy()
+                    found = graph.search(v, k)
+                    asked += [q] * len(found)
+                    first += ids[found].tolist()
+                    score += np.sqrt(((x[found] - v) ** 2).sum(axis=1)).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(asked, pa.int64()), pa.array(first, pa.int64()), pa.array(score, pa.float64())],
+                                             names=["query", "first", "score"])
+
+    parts = max(1, -(-queries.count() // QUERY_PART))
+    part = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    visits = queries.select(every, F.size("vector").alias("dim"), part, "id", "vector")
+    sides = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).unionByName(visits, allowMissingColumns=True)
+    place = ["shard", "dim", "part"]
+    # tasks are counted by shards, not by bytes: the work is the search
+    return sides.repartition(2 * shards * parts, *place).sortWithinPartitions(*place, F.col("id").asc_nulls_first()).mapInArrow(search, _HITS)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, scratch: Scratch, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -221,7 +235,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, scratch: Scratch, id
     shards = max(1, -(-nodes.count() // SHARD_ROWS))
     index = scratch.store(build_index(nodes, shards))
     # a query's own node may hold it alone, so one more node is asked for
-    found = search_index(index, scratch.store(clean(queries, id_col, vector_col)), k + 1, scratch)
+    found = scratch.store(search_index(index, scratch.store(clean(queries, id_col, vector_col)), shards, k + 1))
     best = Window.partitionBy("query").orderBy("score", "first")
     found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= 2 * (k + 1))
     each = found.join(nodes.select("first", "ids"), "first").select("query", "score", F.explode("ids").alias("id")).where("id <> query")

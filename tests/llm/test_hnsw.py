@@ -37,7 +37,7 @@ def vectors(seed, n, d):
 
 def test_small_shards_are_exact_with_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(hnsw, "SHARD_ROWS", 40)
-    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(hnsw, "QUERY_PART", 3)
     rows = list(enumerate(vectors(1, 150, 6)))
     hot = rows[7][1]
     rows += [(1000 + i, hot) for i in range(60)]  # many copies of one vector
@@ -58,6 +58,22 @@ def test_recall(spark, n, d):
     assert sum((a, c) in found for a, _, c, _ in want) >= 0.95 * len(want)
 
 
+def test_each_shard_travels_once(spark, monkeypatch):
+    """However many queries there are, the plan holds one row per shard and dimension of the index."""
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 40)
+    scratch = Scratch(spark, "hnsw")
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(vectors(4, 120, 6))], "first bigint, vector array<double>")
+    index = scratch.store(hnsw.build_index(rows, 3))
+    queries = rows.withColumnRenamed("first", "id")
+    seen = []
+    plain = type(index).unionByName
+    monkeypatch.setattr(type(index), "unionByName", lambda a, b, **o: seen.append(a.count()) or plain(a, b, **o))
+    assert hnsw.search_index(index, queries, 3, 5).count() == 120 * 3 * 5
+    monkeypatch.setattr(hnsw, "QUERY_PART", 60)
+    assert hnsw.search_index(index, queries, 3, 5).count() == 120 * 3 * 5
+    assert seen == [3, 6]
+
+
 def test_graph_survives_flattening():
     x = np.array(vectors(3, 300, 8))
     graph = hnsw.Graph(x)
