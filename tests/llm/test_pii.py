@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loanloom.llm import pii
@@ -87,5 +88,82 @@ def test_found_identifiers_bring_in_new_contexts(spark):
     assert all(len(found[100 + i]) == 2 for i in range(8))
 
 
+def plain_score(edges, totals):
+    """The same graph in Python: edges {(pattern, instance): (n, seed)}."""
+    seed = {i: 0.0 for _, i in edges}
+    for (_, i), (_, s) in edges.items():
+        seed[i] = max(seed[i], float(s))
+    floor = pii.LIFT * sum(n for n, s in edges.values() if s) / max(1, sum(totals.values()))
+    own = {}
+    for (p, _), (n, _) in edges.items():
+        own[p] = own.get(p, 0) + n
+    scored, accepted, before = dict(seed), {i for i in seed if seed[i] == 1}, None
+    while accepted != before:
+        before, strength = accepted, {}
+        for p in own:
+            mine = [(i, n) for (q, i), (n, _) in edges.items() if q == p]
+            if sum(i in accepted for i, _ in mine) >= pii.MIN_SEEDS:
+                x = sum(scored[i] * n for i, n in mine) / (max(own[p], totals.get(p, 0)) + 1)
+                if x >= min(floor, pii.PATTERN_SCORE):
+                    strength[p] = x
+        scored, accepted = dict(seed), {i for i in seed if seed[i] == 1}
+        for i in seed:
+            near = [strength[p] for p, j in edges if j == i and p in strength]
+            reached = 1 - np.prod([1 - x for x in near])
+            scored[i] = max(seed[i], reached)
+            if near and reached >= pii.INSTANCE_SCORE and max(near) >= pii.PATTERN_SCORE:
+                accepted = accepted | {i}
+    good = {p for p, x in strength.items() if x >= pii.PATTERN_SCORE}
+    return sorted((p, i) for p, i in edges if p in good and i in accepted)
+
+
+def test_scores_equal_plain_graph(spark):
+    rng = random.Random(5)
+    for _ in range(3):
+        instances = {i: rng.random() < 0.4 for i in range(60)}
+        edges = {(f"p{rng.randrange(12)}: ", i): (rng.randrange(1, 4), instances[i]) for i in instances for _ in range(2)}
+        totals = {f"p{k}: ": rng.choice([5, 12, 20, 400]) for k in range(11)} | {"other ": 5_000}
+        frame = spark.createDataFrame([(p, i, n, s) for (p, i), (n, s) in edges.items()], "pattern string, instance bigint, n bigint, seed boolean")
+        known = spark.createDataFrame(list(totals.items()), "pattern string, total bigint")
+        got = pii.score(frame, known, Scratch(spark, "score")).collect()
+        assert sorted((r.pattern, r.instance) for r in got) == plain_score(edges, totals)
+
+
+def test_planted_identifiers_and_common_words(spark):
+    """Identifiers in planted contexts are found, tokens and rejected cards after common words are not."""
+    rng = random.Random(9)
+    common, rows, planted = ["the", "of", "was", "in", "report"], [], set()
+
+    def say(n):
+        return " ".join(rng.choice(common) for _ in range(n))
+
+    for d in range(200):
+        text = say(rng.randrange(5, 20)) + " "
+        kind = d % 5
+        if kind == 0:
+            text += f"mail: {rng.choice('abc')}x{d}@host.example.com"
+        elif kind == 1:
+            text += f"call: +1 (017) 555-{1000 + d}"
+        elif kind == 2:
+            text += f'token = "{rng.getrandbits(160):040x}"'
+            planted.add((d, text.index('"') + 1, len(text) - 1))
+        elif kind == 3 and d % 2:
+            text += f"{rng.choice(['mail', 'call'])}: user-{d * 7919}"
+            planted.add((d, text.index("user-"), len(text)))
+        else:  # no identifiers: numbers after common words, cards that fail, a lone digest
+            text += f"the build-{d}77 of 4111111111111112 was 12345678901234567890 in {rng.getrandbits(128):032x}"
+        rows.append((d, text + " " + say(6)))
+    found = {(i, s[0], s[2]) for i, x in spans(spark, rows) for s in x if s[1] == 4}
+    assert len(found & planted) >= 0.9 * len(planted) and len(found & planted) >= 0.9 * len(found)
+
+
+def test_context_is_the_whole_word(spark):
+    """Words that agree in their last 48 characters are different patterns."""
+    tail = "x" * 60 + ":"
+    rows = [(i, f"a{tail} user{i}@host.example.com now") for i in range(9)] + [(50, f"a{tail} id-12345 now"), (51, f"b{tail} id-12346 now")]
+    found = {i: x for i, x in spans(spark, rows)}
+    assert found[50] and not found[51]
+
+
 def test_empty(spark):
     assert spans(spark, []) == []
