@@ -1,9 +1,11 @@
 """Substring deduplication with prefix-partitioned suffix trees.
 
-Suffixes are split over tasks by a prefix, and each task builds the top of a suffix tree over
-its group in memory: prefix doubling names the nodes at depths 1, 2, 4, ... and then at the
-depth of a window; nodes at that depth with several documents are the repeats, and runs of
-covered windows merge into maximal ones. Words are compared by themselves, not by hashes.
+Suffixes are split over tasks by a prefix, and each task builds the suffix tree over its group
+in memory: prefix doubling sorts the suffixes and keeps the ranks of every step, which give the
+longest common prefix of neighbours; intervals of neighbours with a common prefix are the tree's
+internal nodes. Nodes at the depth of a window or more whose occurrences differ in the word
+before are the maximal repeats; those met in several documents go from all but the first one.
+Words are compared by themselves, not by hashes.
 
 * Which suffixes: a window repeats only together with the smallest of its ``ANCHOR``-word
   grams (by hash, the first of equals), its anchor. So only anchors are counted over the
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.llm.shingles import finish, using_words, word_hashes
-from loanloom.llm.storage import Scratch
+from loanloom.llm.storage import BATCH_ROWS, Scratch
 
 ANCHOR = 16
 GROUP = 30_000
@@ -112,13 +114,24 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
 def _segments(suspects: DataFrame, window: int) -> DataFrame:
     """For each listed anchor of a document, the words of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+
+        def full() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["hash", "doc_id", "code", "start", "segment"])
+            rows.clear()
+            return out
+
         for batch in batches:
             for doc, code, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 words = split(text)
-                rows = [(f["hash"], doc, code, f["place"], b" ".join(words[f["place"]:f["place"] + f["windows"] + window - 1])) for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    names=["hash", "doc_id", "code", "start", "segment"])
+                for f in found:
+                    rows.append((f["hash"], doc, code, f["place"], b" ".join(words[f["place"]:f["place"] + f["windows"] + window - 1])))
+                    if len(rows) >= BATCH_ROWS:
+                        yield full()
+        if rows:
+            yield full()
 
     return suspects.where(F.size("anchors") > 0).select("doc_id", "code", "text", "anchors").mapInArrow(
         run, "hash bigint, doc_id bigint, code bigint, start bigint, segment binary")
@@ -127,43 +140,96 @@ def _segments(suspects: DataFrame, window: int) -> DataFrame:
 _COVER = "doc_id bigint, code bigint, start bigint, end bigint"
 
 
-def window_nodes(text: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
-    """Number of the suffix-tree node at depth ``window`` above each start, by prefix doubling."""
-    depth, rank = 1, np.unique(text, return_inverse=True)[1].astype(np.int64)
-    while depth * 2 <= window:
+def suffix_tree(text: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, and the length of each one's common prefix with the one before it.
+
+    ``text`` holds word numbers; no two equal runs are longer than ``longest``, since every segment
+    ends in a number of its own.
+    """
+    depth, ranks = 1, [np.unique(text, return_inverse=True)[1].astype(np.int32)]
+    while depth <= longest:
+        rank = ranks[-1].astype(np.int64)
         follow = np.zeros_like(rank)
-        follow[:len(rank) - depth] = rank[depth:]
-        rank = np.unique(rank * (int(rank.max()) + 1) + follow, return_inverse=True)[1]
+        follow[:max(0, len(rank) - depth)] = rank[depth:] + 1
+        ranks.append(np.unique(rank * (int(rank.max()) + 2) + follow, return_inverse=True)[1].astype(np.int32))
         depth *= 2
-    return np.unique(rank[starts] * (int(rank.max()) + 1) + rank[starts + window - depth], return_inverse=True)[1]
+    order = np.argsort(ranks[-1], kind="stable")
+    common = np.zeros(len(order), dtype=np.int64)
+    live = np.arange(1, len(order))
+    for step in reversed(range(len(ranks))):
+        x, y = order[live - 1] + common[live], order[live] + common[live]
+        inside = np.maximum(x, y) < len(text)
+        same = live[inside][ranks[step][x[inside]] == ranks[step][y[inside]]]
+        common[same] += 1 << step
+    return order, common
+
+
+def deep_nodes(order: np.ndarray, common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Internal nodes at depth ``least`` or more, deepest first: depth, first leaf and the one after the last, counted
+    in the leaves, which are the part of ``order`` below such nodes."""
+    deep = common >= least
+    leaf = deep | np.append(deep[1:], False)
+    leaves, common = order[leaf], np.where(deep, common, 0)[leaf]
+    depths, lows, highs = [], [], []
+    for depth in np.unique(common[common > 0])[::-1]:
+        low = np.flatnonzero(common < depth)
+        high = np.append(low[1:], len(common))
+        # an interval is a node of this depth if some neighbours in it agree in no more
+        met = np.concatenate([[0], np.cumsum(common == depth)])
+        node = met[high] > met[low]
+        depths.append(np.full(int(node.sum()), depth))
+        lows.append(low[node])
+        highs.append(high[node])
+    if not depths:
+        none = np.empty(0, np.int64)
+        return none, none, none, leaves
+    return np.concatenate(depths), np.concatenate(lows), np.concatenate(highs), leaves
+
+
+def maximal_repeats(text: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Deep nodes (as ``deep_nodes``) whose occurrences do not all follow the same word: no longer
+    run repeats wherever they do. ``text`` begins with a number of its own."""
+    depth, low, high, leaves = deep_nodes(*suffix_tree(text, longest), least)
+    before = text[leaves - 1]
+    change = np.concatenate([[0], np.cumsum(np.append(False, before[1:] != before[:-1]))]) if len(leaves) else np.zeros(1, np.int64)
+    varied = change[high] > change[low + 1] if len(low) else np.empty(0, bool)
+    return depth[varied], low[varied], high[varied], leaves
 
 
 def _tree(rows: list[tuple], window: int) -> pa.RecordBatch:
     """Covered spans of one pack of segments (doc_id, code, start, segment)."""
     numbers: dict[bytes, int] = {}
-    pieces = [np.array([numbers.setdefault(w, len(numbers)) for w in r[3].split()], dtype=np.int32) for r in rows]
+    pieces = [np.array([numbers.setdefault(w, len(numbers)) for w in r[3].split()], dtype=np.int64) for r in rows]
     sizes = np.array([len(p) for p in pieces])
-    text = np.concatenate(pieces)
+    base = np.cumsum(np.concatenate([[1], sizes[:-1] + 1]))
+    text = np.empty(int(sizes.sum()) + len(rows) + 1, dtype=np.int64)
+    text[0] = len(numbers) + len(rows)
+    for i, (at, piece) in enumerate(zip(base.tolist(), pieces)):
+        text[at:at + len(piece)], text[at + len(piece)] = piece, len(numbers) + i  # each segment ends in its own number
     del pieces
-    base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    windows = np.maximum(0, sizes - window + 1)
-    owner = np.repeat(np.arange(len(rows)), windows)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    if not len(owner):
-        return pa.RecordBatch.from_pylist([], schema=_COVER_ARROW)
-    node = window_nodes(text, base[owner] + at, window)
-    doc = np.array([r[0] for r in rows], dtype=np.int64)[owner]
-    first = np.full(int(node.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(first, node, doc)
-    repeat = doc > first[node]
-    owner, at = owner[repeat], at[repeat]
-    # windows of a segment that overlap or touch are one span
-    cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (at[1:] > at[:-1] + window)])) if len(owner) else owner
-    out = []
-    for a, b in zip(cut, np.append(cut[1:], len(owner))) if len(owner) else ():
-        doc_id, code, start, _ = rows[owner[a]]
-        out.append((doc_id, code, start + int(at[a]), start + int(at[b - 1]) + window))
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], f.type) for i, f in enumerate(_COVER_ARROW)], schema=_COVER_ARROW)
+    docs = np.array([r[0] for r in rows], dtype=np.int64)
+    depth, low, high, leaves = maximal_repeats(text, window, int(sizes.max(initial=0)))
+    owner = np.searchsorted(base, leaves, side="right") - 1
+    doc = docs[owner]
+    reach = np.zeros(len(leaves), dtype=np.int64)
+    for d in np.unique(depth)[::-1]:  # nodes of one depth share no leaf
+        here = depth == d
+        size = (high - low)[here]
+        leaf = np.arange(size.sum()) + np.repeat(low[here] - np.cumsum(size) + size, size)
+        first = np.repeat(np.minimum.reduceat(doc[leaf], np.cumsum(size) - size), size)
+        later = leaf[(doc[leaf] > first) & (reach[leaf] == 0)]
+        reach[later] = d
+    start, end = leaves[reach > 0], (leaves + reach)[reach > 0]
+    by = np.argsort(start)
+    start, end = start[by], np.maximum.accumulate(end[by]) if len(by) else end
+    # repeats of a segment that overlap or touch are one span; those of two never touch
+    cut = np.flatnonzero(np.append(True, start[1:] > end[:-1])) if len(by) else by
+    start, end = start[cut], end[np.append(cut[1:], len(end)) - 1] if len(by) else end
+    mine = np.searchsorted(base, start, side="right") - 1
+    offset = np.array([r[2] for r in rows], dtype=np.int64)[mine] - base[mine]
+    codes = np.array([r[1] for r in rows], dtype=np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(docs[mine]), pa.array(codes[mine]), pa.array(start + offset), pa.array(end + offset)], schema=_COVER_ARROW)
 
 
 _COVER_ARROW = pa.schema([("doc_id", pa.int64()), ("code", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])

@@ -73,12 +73,32 @@ def test_windows_are_anchored_by_content():
                 assert named.setdefault(tuple(words[i:i + 50]), h) == h
 
 
-def test_nodes_are_equal_windows():
-    text = np.random.default_rng(0).integers(0, 2, 400)
-    starts = np.arange(390)
-    node = st.window_nodes(text, starts, 7)
-    keys = [tuple(text[i:i + 7]) for i in starts]
-    assert len(set(zip(node.tolist(), keys))) == len(set(keys)) == len(set(node.tolist()))
+def plain_repeats(text, least):
+    """Every run of ``least`` or more that repeats and is longer wherever it is extended: {run: starts}."""
+    met, n = {}, len(text)
+    for size in range(least, n):
+        again = {}
+        for i in range(n - size + 1):
+            again.setdefault(tuple(text[i:i + size]), []).append(i)
+        met |= {run: at for run, at in again.items() if len(at) > 1}
+    follows = lambda at, size: {text[i + size] if i + size < n else None for i in at}
+    precedes = lambda at: {text[i - 1] if i else None for i in at}
+    return {run: at for run, at in met.items() if len(follows(at, len(run))) > 1 and len(precedes(at)) > 1}
+
+
+@pytest.mark.parametrize("seed, words, least", [(0, 2, 3), (1, 3, 2), (2, 5, 1), (3, 40, 1), (4, 1, 4)])
+def test_nodes_are_maximal_repeats(seed, words, least):
+    rng = np.random.default_rng(seed)
+    parts, text = [rng.integers(0, words, rng.integers(1, 25)) for _ in range(6)], [words + 10]
+    for i, p in enumerate([*parts, parts[0]]):
+        text += [*p.tolist(), words + 20 + i]
+    text = np.array(text)
+    depth, low, high, leaves = st.maximal_repeats(text, least, 25)
+    got = {}
+    for d, a, b in zip(depth.tolist(), low.tolist(), high.tolist()):
+        at = sorted(leaves[a:b].tolist())
+        assert got.setdefault(tuple(text[at[0]:at[0] + d].tolist()), at) is at
+    assert got == plain_repeats(text.tolist(), least)
 
 
 def test_empty(spark):
