@@ -27,6 +27,7 @@ from loanloom.llm.caches import using
 
 WINDOW = 10
 SHARD_CHARS = 6_000_000
+PHRASE_BLOCK_WINDOWS = 500_000
 PHRASE_BLOCK_CHARS = 32_000_000
 SAMPLE = 16
 SEPARATOR = 1
@@ -35,6 +36,9 @@ SEPARATOR = 1
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+
+
 def words(text: str | None) -> list[bytes]:
     return text.encode().translate(_FOLD).split() if text else []
 
@@ -142,21 +146,30 @@ class Phrases:
 
     codes: dict[bytes, int]
     windows: dict[int, np.ndarray]
-    items: dict[int, list[tuple[int, ...]]]
+    items: dict[int, tuple[np.ndarray, np.ndarray]]  # offsets by window, and the ids
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str | None]], size: int = WINDOW) -> Phrases:
         codes: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[int | None]] = {}
+        coded: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[tuple[int | None, int]]] = {}
         for item, text in rows:
-            coded = [codes.setdefault(w, len(codes) + SEPARATOR + 1) for w in words(text)]
-            for i in range(max(1, len(coded) - size + 1) if coded else 0):
-                owners.setdefault(tuple(coded[i:i + size]), set()).add(item)
+            mine = np.array([codes.setdefault(w, len(codes) + SEPARATOR + 1) for w in words(text)], dtype=np.int32)
+            if len(mine):
+                length = min(size, len(mine))
+                cut = np.lib.stride_tricks.sliding_window_view(mine, length)
+                coded.setdefault(length, []).append(cut)
+                owners.setdefault(length, []).append((item, len(cut)))
         windows, items = {}, {}
-        for length in sorted({len(w) for w in owners}):
-            mine = sorted(w for w in owners if len(w) == length)
-            windows[length] = np.array(mine, dtype=np.int64)
-            items[length] = [tuple(sorted(i for i in owners[w] if i is not None)) for w in mine]
+        for length in sorted(coded):
+            windows[length], which = np.unique(np.concatenate(coded.pop(length)), axis=0, return_inverse=True)
+            known = np.repeat([i is not None for i, _ in owners[length]], [n for _, n in owners[length]])
+            ids = np.repeat(np.array([i or 0 for i, _ in owners[length]], dtype=np.int64), [n for _, n in owners[length]])[known]
+            which = which.ravel()[known]
+            order = np.lexsort((ids, which))
+            which, ids = which[order], ids[order]
+            once = np.append(True, (which[1:] != which[:-1]) | (ids[1:] != ids[:-1]))[:len(ids)]
+            items[length] = np.searchsorted(which[once], np.arange(len(windows[length]) + 1)), ids[once]
         return cls(codes, windows, items)
 
 
@@ -197,10 +210,11 @@ def scan_shard(texts: list[str | None], phrases: Phrases) -> list[Found]:
             rows = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             at = index.locate(rows)
             run = np.searchsorted(begins, at, side="right") - 1
+            place, ids = phrases.items[length]
             for r, p, w in zip(run.tolist(), at.tolist(), which.tolist()):
                 start = offsets[r] + p - int(begins[r])
                 spans[docs[r]].append((start, start + length))
-                items[docs[r]].update(phrases.items[length][w])
+                items[docs[r]].update(ids[place[w]:place[w + 1]].tolist())
     return [(n, merge(s), sorted(i)) for n, s, i in zip(counts, spans, items)]
 
 
@@ -232,10 +246,11 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def phrase_blocks(benchmark: DataFrame, size: int = WINDOW) -> Iterator[tuple[Phrases, bool]]:
-    """The benchmark (item_id, text) in blocks of about PHRASE_BLOCK_CHARS, one in the driver's memory at a time,
-    and whether a block is the last one."""
-    total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // PHRASE_BLOCK_CHARS) or 1
+    """The benchmark (item_id, text) in blocks of about PHRASE_BLOCK_WINDOWS words and at most PHRASE_BLOCK_CHARS
+    characters on average, one in the driver's memory at a time, and whether a block is the last one. An item is
+    never divided, so one that is larger makes a larger block."""
+    size_of = benchmark.agg(F.sum(F.length("text")), F.sum(F.regexp_count("text", F.lit(_WORD)))).first()
+    blocks = max(1, -(-(size_of[0] or 0) // PHRASE_BLOCK_CHARS), -(-(size_of[1] or 0) // PHRASE_BLOCK_WINDOWS))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for b in range(blocks):
         yield Phrases.of([tuple(r) for r in benchmark.select("item_id", "text").where(block == b).collect()], size), b == blocks - 1
