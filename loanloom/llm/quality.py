@@ -4,8 +4,8 @@ A logistic classifier on character and repetition statistics gives each document
 probability of being good. Its evidence is then pooled: hosts are Beta-binomial groups around
 the global mean, paths are groups around their host's posterior, with the strength of both
 priors estimated from the spread between groups. Sparse sites thus stay near the mean above
-them. A document's final odds are its own odds times the odds of its path's posterior against
-the global mean.
+them. A document's final odds are its own odds times the odds, against the global mean, of the
+posterior that its path has from all *other* documents, so no document's evidence counts twice.
 
 The classifier is fitted on at most ``TRAIN_ROWS`` labelled documents (those with the smallest
 hash of their id). Everything else, the group statistics included, covers all documents.
@@ -126,20 +126,33 @@ def _strength(groups: DataFrame, centre: Column) -> float:
 
 
 def site_posteriors(scored: DataFrame, scratch: Scratch) -> DataFrame:
-    """Per (host, path): n, host_posterior, path_posterior, prior; from rows (host, path, p)."""
+    """Per (host, path): n, host_posterior, path_posterior, prior, and what they are made of (sums and
+    numbers of both groups, strengths of both priors); from rows (host, path, p)."""
     paths = scratch.store(scored.groupBy("host", "path").agg(F.sum("p").alias("good"), F.count(F.lit(1)).alias("n")))
     total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     prior = F.lit(float((total.good or 0) + 1) / ((total.n or 0) + 2))
     hosts = paths.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     strength = F.lit(_strength(hosts, prior))
-    hosts = hosts.select("host", ((strength * prior + F.col("good")) / (strength + F.col("n"))).alias("host_posterior"))
+    hosts = hosts.select(
+        "host", F.col("good").alias("host_good"), F.col("n").alias("host_n"), strength.alias("host_strength"),
+        ((strength * prior + F.col("good")) / (strength + F.col("n"))).alias("host_posterior"))
     paths = paths.join(hosts, "host")
     strength = F.lit(_strength(paths, F.col("host_posterior")))
     return scratch.store(paths.select(
-        "host", "path", "n", "host_posterior",
+        "host", "path", "n", "good", "host_n", "host_good", "host_posterior", "host_strength", strength.alias("path_strength"),
         ((strength * F.col("host_posterior") + F.col("good")) / (strength + F.col("n"))).alias("path_posterior"), prior.alias("prior")))
 
 
+def posterior_of_others(site: Column, p: Column) -> Column:
+    """The path's posterior without one of its documents, of evidence p; a document alone in its host has the prior."""
+    def rest(strength: str, centre: Column, good: str, n: str) -> Column:
+        # a sum may miss its last document by rounding
+        others = F.greatest(F.lit(0.0), F.least(site[good] - p, site[n] - 1.0))
+        return (site[strength] * centre + others) / (site[strength] + site[n] - 1)
+
+    return rest("path_strength", rest("host_strength", site["prior"], "host_good", "host_n"), "good", "n")
+
+
 def _site(host: Column, path: Column) -> list[Column]:
     return [F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")]
 
@@ -149,20 +162,25 @@ def judge(docs: DataFrame, labels: DataFrame, scratch: Scratch, host: str = "sou
     classifier, host_posterior, path_posterior, quality and keep.
 
     A missing host or path is the site "". Empty and null texts are judged by their (zero)
-    features. Without labels of both classes the classifier is their smoothed share, so
+    features. Other columns pass through, whatever their names; a column ``__verdict`` is replaced.
+    Rows without a doc_id are judged like others and are in no training row. Without labels of both classes the classifier is their smoothed share, so
     nothing is rejected unless most labels are bad.
     """
     described = with_features(docs.select("doc_id", "text", *dict.fromkeys((host, path)))).drop("text")
     described = scratch.store(described)
     model = train(described, labels)
     sites = site_posteriors(described.select(*_site(F.col(host), F.col(path)), evidence(model).alias("p")), scratch)
-    sites = sites.select(F.struct("host", "path").alias("__site"), F.struct("host_posterior", "path_posterior", "prior").alias("__post"))
+    # the document's columns stay in one struct, so that no name of theirs meets one of ours
+    sites = sites.select(F.struct("host", "path").alias("site"), F.struct(*[c for c in sites.columns if c not in ("host", "path")]).alias("post"))
     if sites.count() <= BROADCAST_SITES:
         sites = F.broadcast(sites)
-    both = with_features(docs).withColumn("__site", F.struct(*_site(F.col(host), F.col(path)))).join(sites, "__site")
-    p = evidence(model)
-    quality = F.round(_sigmoid(_logit(p) + _logit(F.col("__post.path_posterior")) - _logit(F.col("__post.prior"))), 6)
+    docs = docs.drop("__verdict")
+    own = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
+                      F.struct(*_site(F.col(host), F.col(path))).alias("site"))
+    both = with_features(own).join(sites, "site")
+    p, site = evidence(model), F.col("post")
+    quality = F.round(_sigmoid(_logit(p) + _logit(posterior_of_others(site, p)) - _logit(site["prior"])), 6)
     verdict = F.struct(
-        F.round(p, 6).alias("classifier"), F.round("__post.host_posterior", 6).alias("host_posterior"),
-        F.round("__post.path_posterior", 6).alias("path_posterior"), quality.alias("quality"), (quality >= KEEP).alias("keep"))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], verdict.alias("__verdict"))
+        F.round(p, 6).alias("classifier"), F.round(site["host_posterior"], 6).alias("host_posterior"),
+        F.round(site["path_posterior"], 6).alias("path_posterior"), quality.alias("quality"), (quality >= KEEP).alias("keep"))
+    return both.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns], verdict.alias("__verdict"))

@@ -66,6 +66,51 @@ def test_posteriors_equal_plain_version(spark):
         assert math.isclose(r.path_posterior, (k * host[r.host] + sum(x)) / (k + len(x)), rel_tol=1e-9)
 
 
+def test_verdict_equals_plain_version(spark):
+    """Every document's quality from its own evidence and the posterior of all others of its site."""
+    rows, labels, _ = corpus(4, 120)
+    rows += [("river stone quiet morning.", "lone", "en", 500, "x"), ("RIVER!! STONE!! QUIET!!", "lone2", None, 501, "x")]
+    got = judged(spark, rows, labels)
+    known = dict(labels)
+    x = np.array([quality.features(r[0]) for r in rows])
+    at = [i for i, r in enumerate(rows) if r[3] in known]
+    w, b = quality.fit(x[at], np.array([known[rows[i][3]] for i in at], dtype=float))
+    p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+    prior = (p.sum() + 1) / (len(p) + 2)
+    host = [r[1] or "" for r in rows]
+    site = [(r[1] or "", r[2] or "") for r in rows]
+
+    def group(keys, centre):
+        sums = defaultdict(list)
+        for k, v in zip(keys, p):
+            sums[k].append(v)
+        noise = sum(len(v) * centre(k) * (1 - centre(k)) for k, v in sums.items())
+        n = sum(map(len, sums.values()))
+        spread = sum(len(v) * (np.mean(v) - centre(k)) ** 2 for k, v in sums.items()) - sum(centre(k) * (1 - centre(k)) for k in sums)
+        between = max(0, spread / n)
+        return sums, min(1e6, max(1.0, noise / n / between - 1)) if between else 1e6
+
+    hosts, ks = group(host, lambda k: prior)
+    sites, kp = group(site, lambda k: (ks * prior + sum(hosts[k[0]])) / (ks + len(hosts[k[0]])))
+    want = {}
+    for i, r in enumerate(rows):
+        above = (ks * prior + sum(hosts[host[i]]) - p[i]) / (ks + len(hosts[host[i]]) - 1)
+        post = (kp * above + sum(sites[site[i]]) - p[i]) / (kp + len(sites[site[i]]) - 1)
+        odds = p[i] / (1 - p[i]) * post / (1 - post) / (prior / (1 - prior))
+        want[r[3]] = odds / (1 + odds)
+    assert len(got) == len(rows)
+    assert all(math.isclose(r["__verdict"].quality, want[r.doc_id], abs_tol=2e-6) for r in got)
+
+
+def test_clashing_names(spark):
+    rows, labels, _ = corpus(6, 60)
+    names = "text string, source string, lang string, doc_id bigint, row string, post string, site string, __quality string, __verdict string"
+    docs = spark.createDataFrame([(*r[:4], "a", "b", "c", "d", "e") for r in rows], names)
+    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"), Scratch(spark, "quality"))
+    assert got.columns == docs.columns
+    assert all((r.row, r.post, r.site, r["__quality"]) == ("a", "b", "c", "d") and 0 <= r["__verdict"].quality <= 1 for r in got.collect())
+
+
 def test_odd_rows(spark):
     rows, labels, _ = corpus(2, 60)
     rows += [(None, None, None, 900, "e"), ("", "h1", "en", 901, "e"), ("long " * 50_000, "h1", "en", 902, "e"), (rows[0][0], "h0", "en", None, "e"),
