@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from loanloom.llm.components import components, extend
 from loanloom.llm.shingles import finish, shingle_set, using_words
-from loanloom.llm.sieve import rows_that_may_match
+from loanloom.llm.sieve import sieve
 from loanloom.llm.storage import Scratch
 
 COUNTERS = 1 << 18
@@ -449,20 +449,24 @@ def _long_list_links(long: DataFrame, bitmaps: DataFrame, labels: DataFrame, thr
 
 
 def _sets(docs: DataFrame, ids: DataFrame, reps: DataFrame, size: int) -> DataFrame:
-    """Sorted shingle hashes of the given representatives."""
+    """Sorted shingle hashes of the given representatives. One Python worker a task sieves and hashes,
+    so that no text crosses to Python twice and no join carries texts."""
+    sift = sieve(ids)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         using_words()
         for batch in batches:
+            batch = sift(batch)
             found = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
             classes = [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(classes, pa.string()), pa.array([s.tobytes() for s in found], pa.binary())],
                 names=["id", "class", "elements"])
 
-    wanted = rows_that_may_match(docs.select("doc_id", "text"), ids).withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-    rows = wanted.mapInArrow(run, "id bigint, class string, elements binary")
+    rows = docs.select("doc_id", "text").mapInArrow(run, "id bigint, class string, elements binary")
     # the representative's own text, should another row share its doc_id
-    return rows.join(reps.select(F.col("rep").alias("id"), "class"), ["id", "class"], "left_semi").dropDuplicates(["id", "class"])
+    wanted = reps.select(F.col("rep").alias("id"), "class").join(ids, "id", "left_semi")
+    return rows.join(wanted, ["id", "class"], "left_semi").dropDuplicates(["id", "class"])
 
 
 def link_documents(docs: DataFrame, scratch: Scratch, size: int, num: int, den: int) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,8 @@ def _places(ids: np.ndarray, bits: int) -> np.ndarray:
     return (finish(ids.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
 
 
-def rows_that_may_match(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` (doc_id first) without most rows whose doc_id is not among ``ids`` (one column); an
+def sieve(ids: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """For a task: leaves of a batch (doc_id first) few rows whose doc_id is not among ``ids`` (one column); an
     exact join must follow. Rows without a doc_id are dropped."""
     count = ids.count()
     bits = min(MAX_BITS, 1 << max(16, (count * BITS_PER_ID).bit_length()))
@@ -34,14 +34,12 @@ def rows_that_may_match(docs: DataFrame, ids: DataFrame) -> DataFrame:
     seen = np.zeros(bits, dtype=bool)
     for row in ids.repartition(8).mapInArrow(mark, "bits binary").toLocalIterator():
         seen |= np.unpackbits(np.frombuffer(zlib.decompress(row.bits), np.uint8)).astype(bool)
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(seen))
+    shared = ids.sparkSession.sparkContext.broadcast(np.packbits(seen))
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            column = batch.column(0)
-            at = _places(column.fill_null(0).to_numpy(), bits)
-            keep = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool) & ~column.is_null().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(keep))
+    def sift(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column, table = batch.column(0), shared.value
+        at = _places(column.fill_null(0).to_numpy(), bits)
+        keep = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool) & ~column.is_null().to_numpy(zero_copy_only=False)
+        return batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return sift
