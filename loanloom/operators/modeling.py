@@ -70,7 +70,8 @@ def split_exact(
 
     limits = totals.groupBy("__stratum").agg(upto(test_share).alias("__test"), upto(test_share + valid_share).alias("__valid"))
     part = F.when(F.col("__h") <= F.col("__test"), "test").when(F.col("__h") <= F.col("__valid"), "valid").otherwise("train")
-    return marked.join(limits, "__stratum").withColumn("part", part).drop("__h", "__stratum", "__test", "__valid")
+    # a row per stratum; dealt by stratum, all rows of one would meet in a task
+    return marked.join(F.broadcast(limits), "__stratum").withColumn("part", part).drop("__h", "__stratum", "__test", "__valid")
 
 
 def split_by_date(rows: DataFrame, date: str, test_share: float = 0.2, valid_share: float = 0.0) -> DataFrame:

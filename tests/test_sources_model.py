@@ -274,3 +274,13 @@ def test_split_by_date_keeps_time_order(spark):
     total = sum(r.n for r in got.values())
     assert got["test"].n <= round(0.2 * total) and got["test"].n + got["valid"].n <= round(0.4 * total)
     assert parts.where("day IS NULL AND part <> 'train'").count() == 0 and parts.count() == 300
+
+
+def test_rows_are_not_dealt_by_stratum(spark, monkeypatch):
+    """The limits go to the rows: a join dealt by stratum would put all rows of one into a task."""
+    rows = spark.createDataFrame([(f"L{i}", 1, i % 2) for i in range(50)], "loan_id string, installment_no int, target int")
+    kind, sides = type(rows), []
+    join = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, *a: sides.append(other) or join(self, other, *a))
+    M.split_exact(rows)
+    assert "broadcast" in sides[-1]._jdf.queryExecution().logical().toString().lower()
