@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 from uuid import uuid4
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pandas as pd
@@ -217,6 +219,32 @@ def load_model(path: str) -> PipelineModel:
 
 Leaf = tuple[float, list[int], list[float], list[float], list[float]]
 
+_grown: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def ensemble_trees(model: PipelineModel) -> list[tuple]:
+    """The trees as (weight, root); a node is (cover, value) or (cover, feature, cut, left, right). Read once a model."""
+    booster = model.stages[-1]
+
+    def read(node) -> tuple:
+        cover = node.impurityStats().count()
+        if node.subtreeDepth() == 0:
+            return cover, node.prediction()
+        split = node.split()
+        return cover, split.featureIndex(), split.threshold(), read(node.leftChild()), read(node.rightChild())
+
+    if booster not in _grown:
+        _grown[booster] = [(float(scale), read(tree._java_obj.rootNode())) for tree, scale in zip(booster.trees, booster.treeWeights)]
+    return _grown[booster]
+
+
+def _branches(node: tuple, path: dict[int, tuple[float, float, float]]) -> Iterator[tuple[tuple, dict]]:
+    """A node's children, each with its path: per feature low, high and cover share."""
+    cover, f, cut, left, right = node
+    low, high, kept = path.get(f, (-np.inf, np.inf, 1.0))
+    for child, span in ((left, (low, min(high, cut))), (right, (max(low, cut), high))):
+        yield child, {**path, f: (*span, kept * (child[0] / cover if cover else 0.0))}
+
 
 def ensemble_leaves(model: PipelineModel) -> list[Leaf]:
     """Every leaf as (value, features, lows, highs, cover shares).
@@ -225,26 +253,21 @@ def ensemble_leaves(model: PipelineModel) -> list[Leaf]:
     the path; the cover share is the part of training weight that takes the
     feature's branches.
     """
-    booster = model.stages[-1]
     leaves: list[Leaf] = []
 
-    def walk(node, scale: float, path: dict[int, tuple[float, float, float]]) -> None:
-        if node.subtreeDepth() == 0:
+    def walk(node: tuple, scale: float, path: dict[int, tuple[float, float, float]]) -> None:
+        if len(node) == 2:
             order = list(path)
             leaves.append((
-                node.prediction() * scale, order,
+                node[1] * scale, order,
                 [path[f][0] for f in order], [path[f][1] for f in order], [path[f][2] for f in order],
             ))
             return
-        f, cut = node.split().featureIndex(), node.split().threshold()
-        cover = node.impurityStats().count()
-        low, high, kept = path.get(f, (-np.inf, np.inf, 1.0))
-        for child, span in ((node.leftChild(), (low, min(high, cut))), (node.rightChild(), (max(low, cut), high))):
-            share = child.impurityStats().count() / cover if cover else 0.0
-            walk(child, scale, {**path, f: (*span, kept * share)})
+        for child, longer in _branches(node, path):
+            walk(child, scale, longer)
 
-    for tree, scale in zip(booster.trees, booster.treeWeights):
-        walk(tree._java_obj.rootNode(), float(scale), {})
+    for scale, root in ensemble_trees(model):
+        walk(root, scale, {})
     return leaves
 
 
@@ -253,6 +276,9 @@ def base_margin(leaves: Sequence[Leaf]) -> float:
     return float(sum(value * np.prod(shares) for value, _, _, _, shares in leaves))
 
 
+_gauss = lru_cache(np.polynomial.legendre.leggauss)
+
+
 def _at_nodes(shares: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Quadrature weights, and a path's factors at the nodes: (node, pattern, feature).
 
@@ -261,7 +287,7 @@ def _at_nodes(shares: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarr
     share (1 - t) + met t, a polynomial of at most the path's length, for which Gauss-Legendre nodes of half
     that number are exact.
     """
-    nodes, weights = np.polynomial.legendre.leggauss((len(shares) + 1) // 2)
+    nodes, weights = _gauss((len(shares) + 1) // 2)
     t = ((nodes + 1) / 2)[:, None, None]
     return weights / 2, shares * (1 - t) + met * t
 
@@ -313,25 +339,131 @@ def _by_pattern(leaf: Leaf, x: np.ndarray, of_path) -> tuple[list[int], np.ndarr
     return path, value * of_path(np.array(shares), met)[place]
 
 
+BLOCK_DEPTH = 2  # levels of a block of leaves
+BLOCK_BITS = 10  # conditions of a block at most; leaves with more stay alone
+
+Block = tuple[list[tuple[int, float, float]], list[tuple[float, list[int], list[float], list[list[tuple[int, bool]]]]]]
+
+
+def ensemble_blocks(model: PipelineModel) -> tuple[list[Block], list[Leaf]]:
+    """The leaves in blocks, and those that are in none.
+
+    A block is the leaves below one node near the bottom, with the conditions that decide all of them: the
+    intervals on the way to the node, and ``x <= cut`` of each split below. A leaf's feature is met when each of its
+    (condition, outcome) holds.
+    """
+    blocks: list[Block] = []
+    alone: list[Leaf] = []
+
+    def depth(node: tuple) -> int:
+        return 0 if len(node) == 2 else 1 + max(depth(node[3]), depth(node[4]))
+
+    def walk(node: tuple, scale: float, path: dict[int, tuple[float, float, float]]) -> None:
+        if depth(node) > BLOCK_DEPTH:
+            for child, longer in _branches(node, path):
+                walk(child, scale, longer)
+            return
+        conditions = [(f, low, high) for f, (low, high, _) in path.items()]
+        leaves: list = []
+        plain: list[Leaf] = []
+
+        def below(node: tuple, path: dict, tests: dict[int, list[tuple[int, bool]]]) -> None:
+            if len(node) == 2:
+                order = list(path)
+                leaves.append((node[1] * scale, order, [path[f][2] for f in order], [tests[f] for f in order]))
+                plain.append((node[1] * scale, order, *[[path[f][k] for f in order] for k in range(3)]))
+                return
+            _, f, cut, _, _ = node
+            bit = len(conditions)
+            conditions.append((f, -np.inf, cut))
+            for (child, longer), outcome in zip(_branches(node, path), (True, False)):
+                below(child, longer, {**tests, f: [*tests.get(f, []), (bit, outcome)]})
+
+        below(node, path, {f: [(bit, True)] for bit, f in enumerate(path)})
+        if not conditions:
+            return
+        if len(conditions) <= BLOCK_BITS:
+            blocks.append((conditions, leaves))
+        else:
+            alone.extend(plain)
+
+    for scale, root in ensemble_trees(model):
+        walk(root, scale, {})
+    return blocks, alone
+
+
+Table = tuple[list[tuple[int, float, float]], list, np.ndarray]
+
+
+def _tables(blocks: Sequence[Block], of_path, cells_of) -> Iterator[Table]:
+    """Per block its conditions, and per cell of the result the sum of its leaves' values for each pattern of
+    conditions met. ``cells_of`` names the cells of a list of features, and picks them from ``of_path``'s values."""
+    for conditions, leaves in blocks:
+        patterns = np.arange(2 ** len(conditions))
+        met_bit = (patterns >> np.arange(len(conditions))[:, None]) & 1 == 1
+        cells: dict = {}
+        rows: list[np.ndarray] = []
+        for value, path, shares, tests in leaves:
+            code = np.zeros(len(patterns), dtype=np.int64)
+            for j, wanted in enumerate(tests):
+                code |= np.logical_and.reduce([met_bit[bit] == outcome for bit, outcome in wanted]).astype(np.int64) << j
+            d = len(path)
+            met = ((np.arange(2 ** d)[:, None] >> np.arange(d)) & 1).astype(float)
+            names, values = cells_of(path, value * of_path(np.array(shares), met))
+            for name, told in zip(names, values):
+                if name not in cells:
+                    cells[name] = len(rows)
+                    rows.append(np.zeros(len(patterns)))
+                rows[cells[name]] += told[code]
+        yield conditions, list(cells), np.array(rows)
+
+
+def _add_blocks(tables: Iterable[Table], x: np.ndarray, out: np.ndarray) -> None:
+    """Add to ``out``, (cell, row), what the blocks tell of the rows ``x``: a lookup per block and cell."""
+    columns = np.ascontiguousarray(x.T)
+    for conditions, cells, table in tables:
+        place = np.zeros(len(x), dtype=np.intp)
+        for bit, (f, low, high) in enumerate(conditions):
+            met = columns[f] <= high if low == -np.inf else columns[f] > low
+            if low != -np.inf and high != np.inf:
+                met &= columns[f] <= high
+            place += np.multiply(met, 1 << bit, dtype=np.intp)
+        for cell, told in zip(cells, table):
+            out[cell] += told[place]
+
+
+def _ordinary(x: np.ndarray) -> np.ndarray:
+    """Rows for which one of ``x <= cut`` and ``x > cut`` opens each interval: those without NaN and -inf."""
+    return (x > -np.inf).all(1)
+
+
+def _feature_cells(path: list[int], values: np.ndarray) -> tuple[list, np.ndarray]:
+    return path, values.T
+
+
+def _pair_cells(path: list[int], values: np.ndarray) -> tuple[list, list]:
+    pairs = [(a, b) for a in range(len(path)) for b in range(len(path)) if path[a] <= path[b]]
+    return [(path[a], path[b]) for a, b in pairs], [values[:, a, b] for a, b in pairs]
+
+
 def attributions(
     model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(S.FEATURES),
     keys: Sequence[str] = ("loan_id", "installment_no"),
 ) -> DataFrame:
     """Path-dependent Shapley values of the raw margin, one array per row.
 
-    Spark partitions the rows; each task evaluates Arrow batches against the broadcast leaves, whose number
-    is fixed by trees and depth. Time per leaf and pattern is quadratic in the path's length.
+    Spark partitions the rows; each task makes the tables of the broadcast blocks of leaves, whose number
+    is fixed by trees and depth, and looks Arrow batches up in them: per row and block, one lookup per feature.
     """
     features, keys = list(features), list(keys)
-    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
+    kept = rows.sparkSession.sparkContext.broadcast((*ensemble_blocks(model), [leaf for leaf in ensemble_leaves(model) if leaf[1]]))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (blocks, alone, leaves), tables = kept.value, None
         for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
-            phi = np.zeros_like(x)
-            for leaf in leaves.value:
-                path, values = _by_pattern(leaf, x, path_attributions)
-                phi[:, path] += values
+            if tables is None:
+                tables = list(_tables(blocks, path_attributions, _feature_cells))
+            phi = _shapley(tables, alone, leaves, batch[features].to_numpy(dtype=float))
             out = batch[keys].copy()
             out["attributions"] = list(phi)
             yield out
@@ -340,11 +472,27 @@ def attributions(
     return _explained(rows, keys, features).mapInPandas(explain, T.StructType(fields))
 
 
+def _shapley(tables: Sequence[Table], alone: Sequence[Leaf], leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
+    """Shapley values (row, feature): ordinary rows by tables and the leaves outside of them, others leaf by leaf."""
+    phi = np.zeros_like(x)
+    plain = _ordinary(x)
+    sums = np.zeros((x.shape[1], int(plain.sum())))
+    _add_blocks(tables, x[plain], sums)
+    phi[plain] = sums.T
+    for some, by_leaf in ((plain, alone), (~plain, leaves)):
+        at = np.flatnonzero(some)
+        for leaf in by_leaf if len(at) else ():
+            path, values = _by_pattern(leaf, x[at], path_attributions)
+            phi[at[:, None], path] += values
+    return phi
+
+
 def _explained(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
 
 
 INTERACTION_ROWS = 500  # rows whose matrices a task holds at once
+PAIR_ROWS = 10_000  # rows whose pair values a task holds at once
 
 
 def interactions(
@@ -354,27 +502,46 @@ def interactions(
     """Pairwise Shapley interaction values of the raw margin: per row a symmetric matrix (array of rows) whose
     rows add up to ``attributions``."""
     features, keys = list(features), list(keys)
-    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
+    kept = rows.sparkSession.sparkContext.broadcast((*ensemble_blocks(model), [leaf for leaf in ensemble_leaves(model) if leaf[1]]))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), INTERACTION_ROWS):
-                part = batch.iloc[at:at + INTERACTION_ROWS]
-                out = part[keys].copy()
-                out["interactions"] = [list(m) for m in _matrices(leaves.value, part[features].to_numpy(dtype=float))]
-                yield out
+            for start in range(0, len(batch), PAIR_ROWS):
+                part = batch.iloc[start:start + PAIR_ROWS]
+                values, where = _pairs(kept.value, part[features].to_numpy(dtype=float))
+                for at in range(0, len(part), INTERACTION_ROWS):
+                    out = part.iloc[at:at + INTERACTION_ROWS][keys].copy()
+                    out["interactions"] = [list(m) for m in values[:, at:at + INTERACTION_ROWS].T[:, where]]
+                    yield out
 
     matrix = T.ArrayType(T.ArrayType(T.DoubleType()))
     fields = [rows.schema[k] for k in keys] + [T.StructField("interactions", matrix)]
     return _explained(rows, keys, features).mapInPandas(explain, T.StructType(fields))
 
 
-def _matrices(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(x), x.shape[1], x.shape[1]))
-    for leaf in leaves:
-        path, values = _by_pattern(leaf, x, path_interactions)
-        total[:, np.array(path)[:, None], path] += values
-    return total
+def _pairs(kept: tuple[list[Block], list[Leaf], list[Leaf]], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Interaction values (pair, row) of each pair of features, and a matrix of the pairs' places in it."""
+    blocks, alone, leaves = kept
+    m = x.shape[1]
+    where = np.zeros((m, m), dtype=np.intp)
+    i, j = np.triu_indices(m)
+    where[i, j] = where[j, i] = np.arange(len(i))
+    total = np.zeros((len(i), len(x)))
+    plain = _ordinary(x)
+    told = ((conditions, [where[pair] for pair in cells], table) for conditions, cells, table in _tables(blocks, path_interactions, _pair_cells))
+    if plain.all():
+        _add_blocks(told, x, total)
+    else:
+        some = np.zeros((len(i), int(plain.sum())))
+        _add_blocks(told, x[plain], some)
+        total[:, plain] = some
+    for some, by_leaf in ((plain, alone), (~plain, leaves)):
+        at = np.flatnonzero(some)
+        for leaf in by_leaf if len(at) else ():
+            path, values = _by_pattern(leaf, x[at], path_interactions)
+            for cell, v in zip(*_pair_cells(path, values)):
+                total[where[cell], at] += v
+    return total, where
 
 
 def interaction_summary(model: PipelineModel, rows: DataFrame, features: Sequence[str] = tuple(S.FEATURES)) -> DataFrame:
@@ -383,15 +550,16 @@ def interaction_summary(model: PipelineModel, rows: DataFrame, features: Sequenc
     Tasks send sums per pair, not matrices."""
     features = list(features)
     names = features
-    leaves = rows.sparkSession.sparkContext.broadcast([leaf for leaf in ensemble_leaves(model) if leaf[1]])
+    kept = rows.sparkSession.sparkContext.broadcast((*ensemble_blocks(model), [leaf for leaf in ensemble_leaves(model) if leaf[1]]))
     i, j = np.triu_indices(len(features), 1)
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, size, signed = 0, np.zeros(len(i)), np.zeros(len(i))
         for batch in batches:
-            for at in range(0, len(batch), INTERACTION_ROWS):
-                pairs = 2 * _matrices(leaves.value, batch.iloc[at:at + INTERACTION_ROWS].to_numpy(dtype=float))[:, i, j]
-                n, size, signed = n + len(pairs), size + np.abs(pairs).sum(0), signed + pairs.sum(0)
+            for at in range(0, len(batch), PAIR_ROWS):
+                values, where = _pairs(kept.value, batch.iloc[at:at + PAIR_ROWS].to_numpy(dtype=float))
+                pairs = where[i, j]
+                n, size, signed = n + values.shape[1], size + 2 * np.abs(values).sum(1)[pairs], signed + 2 * values.sum(1)[pairs]
         yield pd.DataFrame({"feature_a": [names[k] for k in i], "feature_b": [names[k] for k in j], "n": n, "size": size, "signed": signed})
 
     sums = _explained(rows, [], features).mapInPandas(add, "feature_a string, feature_b string, n bigint, size double, signed double")

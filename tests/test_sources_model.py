@@ -276,6 +276,28 @@ def test_split_by_date_keeps_time_order(spark):
     assert parts.where("day IS NULL AND part <> 'train'").count() == 0 and parts.count() == 300
 
 
+@pytest.mark.parametrize("bits", [10, 3])
+def test_blocks_tell_what_the_leaves_tell(fitted, monkeypatch, bits):
+    """A lookup per block gives the sums of its leaves one by one; rows with NaN or -inf meet neither side of a cut."""
+    monkeypatch.setattr(M, "BLOCK_BITS", bits)
+    model, _, names = fitted
+    leaves, (blocks, alone) = M.ensemble_leaves(model), M.ensemble_blocks(model)
+    assert bool(alone) == (bits < 10)
+    if not alone:
+        assert sum(len(b[1]) for b in blocks) == len([leaf for leaf in leaves if leaf[1]]) > 2 * len(blocks)
+    x = np.random.default_rng(3).normal(size=(200, len(names)))
+    x[0, 0], x[1, 1], x[2, 2], x[3, 0] = np.nan, -np.inf, np.inf, leaves[0][3][0]
+    phi, pairs = np.zeros_like(x), np.zeros((len(x), len(names), len(names)))
+    for leaf in leaves:
+        path, values = M._by_pattern(leaf, x, M.path_attributions)
+        phi[:, path] += values
+        path, values = M._by_pattern(leaf, x, M.path_interactions)
+        pairs[:, np.array(path)[:, None], path] += values
+    values, where = M._pairs((blocks, alone, leaves), x)
+    np.testing.assert_allclose(values.T[:, where], pairs, atol=1e-12)
+    np.testing.assert_allclose(M._shapley(list(M._tables(blocks, M.path_attributions, M._feature_cells)), alone, leaves, x), phi, atol=1e-12)
+
+
 def test_rows_are_not_dealt_by_stratum(spark, monkeypatch):
     """The limits go to the rows: a join dealt by stratum would put all rows of one into a task."""
     rows = spark.createDataFrame([(f"L{i}", 1, i % 2) for i in range(50)], "loan_id string, installment_no int, target int")
