@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from uuid import uuid4
@@ -103,6 +104,8 @@ def pos_weight(rows: DataFrame, label: str = "target") -> DataFrame:
 # --- training and scoring ---------------------------------------------------
 
 MARGIN_STEPS = 10  # trees between two written margins
+SLICE_ROWS = 250_000  # training rows of a partition, where they are dealt anew
+
 
 def train(
     rows: DataFrame,
@@ -119,11 +122,12 @@ def train(
 ) -> PipelineModel:
     """Gradient-boosted trees with class weights, grown once.
 
-    Trees are added one by one, each fitted to the gradient of the log loss at the margins so far. After
-    each, the loss of the rows with ``part = 'valid'`` is taken; growth stops after ``patience`` trees
-    without a new lowest one, or at ``trees``, and the model is the trees up to the lowest. Without
-    such rows all trees are grown. Margins are written to the checkpoint folder every ``MARGIN_STEPS``
-    trees, so a plan holds that many trees at most and a lost executor costs no tree.
+    Trees are added one by one, each fitted to the gradient of the log loss at the margins so far; the loss
+    of the rows with ``part = 'valid'`` is known for each. Growth stops after ``patience`` trees without a new
+    lowest one, or at ``trees``, and the model is the trees up to the lowest. Without such rows all trees are
+    grown. Margins are written to the checkpoint folder every ``MARGIN_STEPS`` trees, so a plan holds that
+    many trees at most and a lost executor costs no tree. The losses of these trees are taken together then,
+    or as soon as growth might stop.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     if "part" not in rows.columns:
@@ -137,28 +141,65 @@ def train(
         (F.col("part") == "valid").alias("__valid"),
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    base = assembler.transform(ready).select("features", "__y", "__weight", "__valid", F.lit(0.0).alias("__margin")).checkpoint()
-    watched = not base.where("__valid").isEmpty()
+    base, valid = (
+        assembler.transform(some).select("features", "__y", "__weight", F.lit(0.0).alias("__margin")).checkpoint()
+        for some in (dealt_evenly(ready.where(~F.col("__valid"))), ready.where("__valid"))
+    )
+    watched = not valid.isEmpty()
     learner = RandomForestRegressor(
         numTrees=1, labelCol="__gradient", featuresCol="features", weightCol="__weight", maxDepth=depth, bootstrap=False,
         subsamplingRate=row_share, featureSubsetStrategy=str(column_share), minInstancesPerNode=min_rows,
     )
     grown, losses, fresh = [], [], 0
+
+    def may_stop() -> bool:
+        return watched and len(grown) - best_iteration(losses, len(losses)) >= patience
+
+    def take_losses() -> None:
+        if watched and len(losses) < len(grown):
+            losses.extend(prefix_losses(valid, grown[len(grown) - fresh:], step, fresh - (len(grown) - len(losses))))
+
     y = F.col("__y")
-    while len(grown) < trees and not (watched and len(losses) - best_iteration(losses, len(losses)) >= patience):
+    while len(grown) < trees:
+        if may_stop():  # a lower loss among the trees since the last one taken lets it go on
+            take_losses()
+            if may_stop():
+                break
         now = with_margin(base, grown[len(grown) - fresh:], step)
         gradient = now.withColumn("__gradient", y * 4.0 / (1.0 + F.exp(y * 2.0 * F.col("__margin"))))
-        grown.append(learner.setSeed(seed + len(grown)).fit(gradient.where(~F.col("__valid"))).trees[0])
+        grown.append(learner.setSeed(seed + len(grown)).fit(gradient).trees[0])
         fresh += 1
         if fresh == MARGIN_STEPS:
-            base, fresh = with_margin(base, grown[-fresh:], step).checkpoint(), 0
-        if watched:
-            at = with_margin(base.where("__valid"), grown[len(grown) - fresh:], step)
-            losses.append(at.agg(F.sum(F.col("__weight") * log_loss(y * F.col("__margin"))) / F.sum("__weight")).first()[0])
+            take_losses()
+            base, valid = (with_margin(some, grown[-fresh:], step).checkpoint() if some is not None else None
+                           for some in (base, valid if watched else None))
+            fresh = 0
+    take_losses()
     best = best_iteration(losses, patience) if watched else len(grown)
     return PipelineModel([assembler, ensemble(grown[:best], step)])
 
 
+def dealt_evenly(rows: DataFrame) -> DataFrame:
+    """Rows in equal partitions of at most ``SLICE_ROWS``, as many as cores or a multiple; up to that many rows stay as they are.
+
+    Files of a panel have unequal sizes and their partitions seldom fit the cores, so that each pass would
+    wait for a few late tasks.
+    """
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows if n <= SLICE_ROWS else rows.repartition(cores * math.ceil(n / (cores * SLICE_ROWS)))
+
+
+def prefix_losses(rows: DataFrame, trees: Sequence, step: float, known: int = 0) -> list[float]:
+    """Mean losses of the rows after each tree beyond the first ``known``, in one pass."""
+    y, told, names = F.col("__y"), rows, []
+    for n in range(known + 1, len(trees) + 1):
+        names.append(f"__after{n}")
+        margin = (F.col("__margin") + vector_to_array("rawPrediction")[1]).alias(names[-1])
+        told = ensemble(trees[:n], step).transform(told).select("features", "__y", "__weight", "__margin", *names[:-1], margin)
+    loss = [F.sum(F.col("__weight") * log_loss(y * F.col(c))) / F.sum("__weight") for c in names]
+    return list(told.agg(*[x.alias(c) for x, c in zip(loss, names)]).first())
+
+
 def log_loss(agreement: Column) -> Column:
     """2 log(1 + exp(-2 yF)), without overflow."""
     z = agreement * -2.0
@@ -170,7 +211,7 @@ def with_margin(rows: DataFrame, trees: Sequence, step: float) -> DataFrame:
     if not trees:
         return rows
     told = ensemble(trees, step).transform(rows)
-    return told.select("features", "__y", "__weight", "__valid", (F.col("__margin") + vector_to_array("rawPrediction")[1]).alias("__margin"))
+    return told.select("features", "__y", "__weight", (F.col("__margin") + vector_to_array("rawPrediction")[1]).alias("__margin"))
 
 
 def ensemble(trees: Sequence, step: float) -> GBTClassificationModel:

@@ -306,3 +306,33 @@ def test_rows_are_not_dealt_by_stratum(spark, monkeypatch):
     monkeypatch.setattr(kind, "join", lambda self, other, *a: sides.append(other) or join(self, other, *a))
     M.split_exact(rows)
     assert "broadcast" in sides[-1]._jdf.queryExecution().logical().toString().lower()
+
+
+def test_losses_of_several_trees_take_one_pass(spark, fitted, fits, monkeypatch):
+    """Validation rows are read once per written margin and where growth may stop, not once per tree."""
+    monkeypatch.setattr(M, "MARGIN_STEPS", 5)
+    _, parts, names = fitted
+    kind, passes = type(parts), []
+    first = kind.first
+    monkeypatch.setattr(kind, "first", lambda self: passes.append(1) or first(self))
+    M.train(parts, names, trees=12, depth=2, min_rows=5)
+    assert len(fits) == 12 and len(passes) <= 3
+
+
+def test_training_rows_are_dealt_evenly(spark, fitted, monkeypatch):
+    """Partitions of unequal sizes would leave cores idle in every pass of every tree."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    monkeypatch.setattr(M, "SLICE_ROWS", 50, raising=False)
+    _, parts, names = fitted
+    rows = parts.where("part = 'train'")
+    uneven = rows.where("a > 1").coalesce(1).union(rows.where("a <= 1").coalesce(1))
+    sizes, fit = [], RandomForestRegressor.fit
+
+    def seen(self, df, *a):
+        sizes.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, df, *a)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", seen)
+    M.train(uneven, names, trees=1, depth=2, min_rows=5)
+    assert sum(sizes[0]) == rows.count() and max(sizes[0]) <= 50 and max(sizes[0]) - min(sizes[0]) <= 4
