@@ -17,7 +17,6 @@ closed at ``SHARD_IDS`` ids, so memory is bounded by that and the longest docume
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
 from array import array
@@ -26,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,45 +141,36 @@ class Encoder:
             self.parts.update(zip([key for key, _ in some], self._ids([part for _, part in some])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        collects = gc.isenabled()
-        gc.disable()  # lists of new parts are long and without cycles; walking them again and again is a tenth of the time
-        try:
-            return self._encode(texts)
-        finally:
-            if collects:
-                gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_ENTRIES:
             self.parts, self.old_parts = {}, self.parts
         if len(self.words) > 3 * CACHE_ENTRIES:
             self.words, self.old_words = {}, self.words
-        whole = [bool(_INNER.search(text)) for text in texts]
-        rest = iter(self._ids([t for t, w in zip(texts, whole) if w]))
-        split = iter(self._by_parts([t for t, w in zip(texts, whole) if not w]))
-        return [next(rest if w else split) for w in whole]
-
-    def _by_parts(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts whose spaces all follow a non-space: a part is looked up once for all of them, then laid out."""
-        # a part's key is what follows its space; the first part has none, which a space in its key says
-        cut = [text.partition(" ") for text in texts]
-        lists = pc.split_pattern(pa.array([tail if space else None for _, space, tail in cut], pa.large_string()), " ")
-        coded = lists.flatten().dictionary_encode()
-        keys = [*coded.dictionary.to_pylist(), *[" " + head if head else None for head, _, _ in cut]]
-        got = list(map(self.parts.get, keys))
-        self._add({k for k, g in zip(keys, got) if g is None and k is not None})
-        parts = self.parts
-        got = [g if g is not None else b"" if k is None else parts[k] for k, g in zip(keys, got)]
-        sizes = np.fromiter(map(len, got), np.int64, len(got)) // self.id_bytes
-        starts = np.cumsum(sizes) - sizes
-        first = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)])
-        here = np.insert(coded.indices.to_numpy().astype(np.int64), first[:-1], len(coded.dictionary) + np.arange(len(texts)))
-        size = sizes[here]
-        ends = np.cumsum(size)
-        at = np.arange(size.sum()) + np.repeat(starts[here] - ends + size, size)
-        ids = np.frombuffer(b"".join(got), self.dtype)[at].tobytes()
-        cuts = [0, *(ends[first[1:] + np.arange(len(texts))] * self.id_bytes).tolist()]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        parts, get = self.parts, self.parts.get
+        split: list[list[str] | None] = []
+        known: list[list[bytes | None] | None] = []
+        missing: set[str] = set()
+        for text in texts:
+            if _INNER.search(text):
+                split.append(None)
+                known.append(None)
+                continue
+            # a part's key is what follows its space; the first part has none, which a space in its key says
+            mine = text.split(" ")
+            if mine[0]:
+                mine[0] = " " + mine[0]
+            else:
+                del mine[0]
+            got = list(map(get, mine))
+            if None in got:
+                missing.update([x for x, g in zip(mine, got) if g is None])
+                split.append(mine)
+            else:
+                split.append([])
+            known.append(got)
+        self._add(missing)
+        whole = iter(self._ids([t for t, k in zip(texts, known) if k is None]))
+        return [next(whole) if k is None else b"".join([parts[x] if g is None else g for x, g in zip(p, k)] if p else k)
+                for p, k in zip(split, known)]
 
 
 _encoders: dict[str, Encoder] = {}
