@@ -22,6 +22,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from loanloom.llm.caches import using
 from loanloom.llm.storage import Scratch
 
 SHARD_IDS = 1 << 19
-CACHE_ENTRIES = 150_000  # parts of a generation, and a third of its words
+CACHE_ENTRIES = 300_000  # parts of a generation, and two thirds of its words
 BUCKET_KEYS = 4
 NULL_KEY = -(2**63)
 
@@ -48,6 +49,10 @@ _INDEX_FIELDS = ("seeds", "prints", "slots")
 # A space after a non-space always starts a new piece of the byte-level pattern, so text may be cut there.
 _INNER = re.compile(r"\s ")
 _MARKS = ".,;:!?#%&$*|"
+_LATIN = "\u0250"  # letters before it are letters in every version of Unicode
+# The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for the characters from U+0100.
+_SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _SHOWN)}
 
 
 class Encoder:
@@ -59,7 +64,8 @@ class Encoder:
     Byte-level pre-tokenization never joins a word with a space that follows it, so a text
     whose spaces all follow a non-space is the concatenation of its space-led parts. Any other
     text goes to the tokenizer whole. In the same way a part of letters and trailing marks is
-    its letters and its marks. Ids always come from the tokenizers library.
+    its letters and its marks. Ids always come from the tokenizers library; a word of Latin letters, which is one
+    piece, goes to the tokenizer's model at once.
     """
 
     def __init__(self, path: str):
@@ -72,6 +78,10 @@ class Encoder:
         self.code = {2: "H", 4: "I"}[self.id_bytes]
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = array(self.code, self.line_end).tobytes()
+        # a token that is looked for before pieces are made could stand inside a word
+        self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.whole_words = self.tokenizer.normalizer is None and not any(t.content.strip().isalpha() for t in added)
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
@@ -92,23 +102,30 @@ class Encoder:
                 self.words.update(zip(some, self._ids(some)))
 
     def _word(self, word: str) -> bytes | None:
+        """A word's ids, if it is known or of Latin letters only."""
         got = self.words.get(word)
         if got is None:
             got = self.old_words.get(word)
-            if got is not None:
-                self.words[word] = got
+            if got is None:
+                if not self.whole_words or not word.lstrip(" ").isalpha() or max(word) >= _LATIN:
+                    return None
+                shown = word.replace(" ", "\u0120") if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+                got = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+            self.words[word] = got
         return got
 
     def _add(self, keys: set[str]) -> None:
-        """Put the ids of parts into the cache: from the older generation, else from known words, else encoded."""
-        known, old, rest = self.parts, self.old_parts, []
+        """Put the ids of parts into the cache: from the older generation, else from their words, else encoded."""
+        known, old, words, rest = self.parts, self.old_parts.get, self.words.get, []
         self.words.setdefault("", b"")
         for key in keys:
-            got = old.get(key)
+            got = old(key)
             if got is None:
                 part = key[1:] if key[:1] == " " else " " + key
                 core = part.rstrip(_MARKS)
-                got = self._word(core)
+                got = words(core)
+                if got is None:
+                    got = self._word(core)
                 if got is not None and len(core) < len(part):
                     tail = self._word(part[len(core):])
                     got = None if tail is None else got + tail
@@ -143,16 +160,14 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_ENTRIES:
             self.parts, self.old_parts = {}, self.parts
-        if len(self.words) > 3 * CACHE_ENTRIES:
+        if 2 * len(self.words) > 3 * CACHE_ENTRIES:
             self.words, self.old_words = {}, self.words
-        parts, get = self.parts, self.parts.get
+        parts = self.parts
         split: list[list[str] | None] = []
-        known: list[list[bytes | None] | None] = []
         missing: set[str] = set()
         for text in texts:
             if _INNER.search(text):
                 split.append(None)
-                known.append(None)
                 continue
             # a part's key is what follows its space; the first part has none, which a space in its key says
             mine = text.split(" ")
@@ -160,17 +175,11 @@ class Encoder:
                 mine[0] = " " + mine[0]
             else:
                 del mine[0]
-            got = list(map(get, mine))
-            if None in got:
-                missing.update([x for x, g in zip(mine, got) if g is None])
-                split.append(mine)
-            else:
-                split.append([])
-            known.append(got)
+            missing.update(filterfalse(parts.__contains__, mine))
+            split.append(mine)
         self._add(missing)
-        whole = iter(self._ids([t for t, k in zip(texts, known) if k is None]))
-        return [next(whole) if k is None else b"".join([parts[x] if g is None else g for x, g in zip(p, k)] if p else k)
-                for p, k in zip(split, known)]
+        whole = iter(self._ids([t for t, mine in zip(texts, split) if mine is None]))
+        return [next(whole) if mine is None else b"".join(map(parts.__getitem__, mine)) for mine in split]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -69,3 +69,23 @@ def test_hash_is_minimal_and_perfect(n):
     assert (tf.find(keys, seeds, prints) == slots).all()
     strange = keys + 10**16
     assert (tf.find(strange, seeds, prints) >= 0).sum() <= 1
+
+
+def test_latin_words_go_to_the_model(monkeypatch):
+    """Words of Latin letters are one piece and cost no text of their own; what else there is stays exact."""
+    from tokenizers import Tokenizer
+
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJÄÖÜßñéàøŁżªº"
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list(letters), rng.integers(1, 14))) for _ in range(400)]
+    ends = ["", ",", ".", "!?", "...", "|"]
+    latin = " ".join(w + ends[i % 6] for i, w in enumerate(words))
+    odd = " ".join(f"{w}{x}" for w, x in zip(words, ["αβγ", "中文", "\u0250", "7", "'s", "\u00a0", "e\u0301", ".x", "\nNext.", "-", "<|endoftext|>"] * 30))
+    direct, coder, asked = Tokenizer.from_file(PATH), tf.Encoder(PATH), []
+    coder._word(""), coder._add({" " + w[1:] for w in (" ,", " .", " !?", " ...", " |")})
+    add_words = coder._add_words
+    monkeypatch.setattr(coder, "_add_words", lambda new: (asked.extend(x for x in new if x.strip().isalpha()), add_words(new)))
+    for text in (latin, " " + latin, odd, latin + "\n" + odd):
+        got = np.frombuffer(coder.encode([text])[0], coder.dtype).tolist()
+        assert got == direct.encode(text, add_special_tokens=False).ids
+        assert text is not latin or not asked
