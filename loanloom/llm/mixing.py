@@ -8,13 +8,14 @@ more tokens of a value than the corpus holds gets all of them, and the rest of i
 other values in proportion to their targets (``feasible``). Rounds go on until no share moves.
 
 The cell table is small next to the corpus. Up to ``BROADCAST_CELLS`` counted cells are raked in
-one task; more stay distributed: a step is an aggregate by one dimension joined back to the cells. A document's draw is a hash of its id, so the sample
+one task, a step being a window by one dimension; more stay distributed: a step is an aggregate by one
+dimension joined back to the cells. A document's draw is a hash of its id, so the sample
 does not depend on partitioning or retries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loanloom.llm.storage import Scratch
@@ -81,20 +82,29 @@ def feasible(cells: DataFrame, dimension: str, scratch: Scratch, given: dict[str
     return scratch.store(values.select(dimension, (F.col("weight") * scale).alias("asked"), "most", target.alias("target")))
 
 
-def _step(cells: DataFrame, dimension: str, way: str | None) -> DataFrame:
-    """One marginal: cells at their most are fixed, the others share what is left of the target (in ``to_<dimension>``)."""
-    full = F.col("share") >= F.col("most")
-    sums = cells.groupBy(dimension).agg(
-        F.sum(F.when(full, F.col("share")).otherwise(0.0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("share"))).alias("free"))
+def _step(cells: DataFrame, dimension: str, whole: bool, small: bool) -> DataFrame:
+    """One marginal: cells at their most are fixed, the others share what is left of the target (in ``to_<dimension>``).
+
+    Cells that are ``whole`` in one partition take their sums from a window, so a round's plan reads them once;
+    by a join each of its three steps would hold the plan of the steps before twice. Sums of a ``small`` dimension
+    are broadcast.
+    """
+    at_most = F.col("share") >= F.col("most")
+    full, free = (F.sum(x) for x in (F.when(at_most, F.col("share")).otherwise(0.0), F.when(at_most, 0.0).otherwise(F.col("share"))))
+    if whole:
+        own = Window.partitionBy(dimension)
+        both = cells.select("*", full.over(own).alias("full"), free.over(own).alias("free"))
+    else:
+        sums = cells.groupBy(dimension).agg(full.alias("full"), free.alias("free"))
+        both = cells.join(F.broadcast(sums) if small else sums, dimension)
     target = F.col(f"to_{dimension}")
     left, total = target - F.col("full"), F.col("full") + F.col("free")
     raked = (
-        F.when((left >= 0) & full, F.col("share"))
+        F.when((left >= 0) & at_most, F.col("share"))
         .when((left >= 0) & (F.col("free") > 0), F.col("share") * left / F.col("free"))
         .when((left < 0) & (total > 0), F.col("share") * target / total)
         .otherwise(F.lit(0.0))
     )
-    both = cells.join(sums.hint(way) if way else sums, dimension)
     return both.withColumn("share", F.least(F.col("most"), raked)).select(cells.columns)
 
 
@@ -122,11 +132,10 @@ def rake(cells: DataFrame, scratch: Scratch, targets: dict[str, dict[str, float]
     scratch.drop(start)
     # a counted table of few cells is one partition: its steps need neither shuffle nor broadcast
     whole = out.count() <= BROADCAST_CELLS
-    way = {d: "shuffle_hash" if whole else "broadcast" if small[d] else None for d in DIMENSIONS}
     for _ in range(rounds):
         new = (out.coalesce(1) if whole else out).withColumn("old", F.col("share"))
         for d in DIMENSIONS:
-            new = _step(new, d, way[d])
+            new = _step(new, d, whole, small[d])
         moved = Observation()
         new = scratch.store(new.observe(moved, F.max(F.abs(F.col("share") - F.col("old"))).alias("most")))
         scratch.drop(out)

@@ -126,3 +126,14 @@ def test_empty(spark):
     assert mixing.mix(docs, Scratch(spark, "mix")).count() == 0
     silent = spark.createDataFrame([(1, None, "s", "en"), (2, "", "s", None)], "doc_id bigint, text string, source string, lang string")
     assert [r["__mix"].probability for r in mixing.mix(silent, Scratch(spark, "mix")).collect()] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_round_over_few_cells_reads_them_once(spark, whole):
+    """By joins a round's plan reads the cells eight times, which the driver plans and keeps for every round."""
+    frame = frame_of(spark, cells(3)).withColumns({c: F.lit(0.1) for c in ("share", "most", *[f"to_{d}" for d in mixing.DIMENSIONS])})
+    new = Scratch(spark, "mix").store(frame).coalesce(1)
+    for d in mixing.DIMENSIONS:
+        new = mixing._step(new, d, whole, True)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("FileScan") == 1 and "Exchange" not in plan) == whole
