@@ -17,12 +17,11 @@ closed at ``SHARD_IDS`` ids, so memory is bounded by that and the longest docume
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from bisect import bisect_right
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from loanloom.llm.caches import using
 from loanloom.llm.storage import Scratch
 
 SHARD_IDS = 1 << 19
-CACHE_ENTRIES = 300_000  # parts of a generation, and two thirds of its words
+CACHE_ENTRIES = 500_000  # parts of a generation, and their words
 BUCKET_KEYS = 4
 NULL_KEY = -(2**63)
 
@@ -47,18 +46,18 @@ _INDEX_FIELDS = ("seeds", "prints", "slots")
 # -- encoding ---------------------------------------------------------------
 
 # A space after a non-space always starts a new piece of the byte-level pattern, so text may be cut there.
-_INNER = re.compile(r"\s ")
 _MARKS = ".,;:!?#%&$*|"
 _LATIN = "\u0250"  # letters before it are letters in every version of Unicode
 # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for the characters from U+0100.
 _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_BYTES = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _SHOWN)}
+_HIDDEN = [b for b in range(0x100) if b not in _SHOWN]
+_ALPHABET = "".join(chr(b if b in _SHOWN else 0x100 + _HIDDEN.index(b)) for b in range(0x100))
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file; ids of parts seen before come from bounded caches.
+    """Encodes texts with a tokenizer file; ids of parts and words seen before come from a bounded cache.
 
-    A cache has two generations: a full one becomes the older, whose entries come back when they are met, and
+    The cache has two generations: a full one becomes the older, whose entries come back when they are met, and
     the older one before it goes. So what is met often stays.
 
     Byte-level pre-tokenization never joins a word with a space that follows it, so a text
@@ -83,9 +82,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.whole_words = self.tokenizer.normalizer is None and not any(t.content.strip().isalpha() for t in added)
         self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -97,62 +94,70 @@ class Encoder:
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.line_end[0]) * self.id_bytes).tolist()
             if len(cuts) == len(some) - 1:
-                self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *[c + self.id_bytes for c in cuts]], [*cuts, len(raw)])]))
+                told = [raw[a:b] for a, b in zip([0, *[c + self.id_bytes for c in cuts]], [*cuts, len(raw)])]
             else:
-                self.words.update(zip(some, self._ids(some)))
+                told = self._ids(some)
+            self.parts.update(zip(map(_flip, some), told))
 
     def _word(self, word: str) -> bytes | None:
         """A word's ids, if it is known or of Latin letters only."""
-        got = self.words.get(word)
+        key = word[1:] if word[:1] == " " else " " + word
+        got = self.parts.get(key)
         if got is None:
-            got = self.old_words.get(word)
+            got = self.old_parts.get(key)
             if got is None:
-                if not self.whole_words or not word.lstrip(" ").isalpha() or max(word) >= _LATIN:
+                if not self.whole_words or not word.lstrip(" ").isalpha() or not (word.isascii() or max(word) < _LATIN):
                     return None
-                shown = word.replace(" ", "\u0120") if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+                shown = charmap_decode(word.encode(), "strict", _ALPHABET)[0]
                 got = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
-            self.words[word] = got
+            self.parts[key] = got
+        return got
+
+    def _line(self, line: str) -> bytes | None:
+        """The ids of letters and trailing marks, if both are known or the letters Latin."""
+        core = line.rstrip(_MARKS)
+        if not core.lstrip(" ").isalpha():
+            return None
+        got = self._word(core)
+        if got is None or len(core) == len(line):
+            return got
+        tail = self._word(line[len(core):])
+        return None if tail is None else got + tail
+
+    def _part(self, key: str) -> bytes | None:
+        """The ids of a part that the cache lacks: from the older generation or from its words, if they are known."""
+        got = self.old_parts.get(key)
+        if got is None:
+            part = key[1:] if key[:1] == " " else " " + key
+            if "\n" not in part:
+                return self._line(part)
+            ids = list(map(self._line, part.split("\n")))  # a line end between non-spaces is a piece of its own
+            got = None if None in ids else self.line.join(ids)
         return got
 
     def _add(self, keys: set[str]) -> None:
         """Put the ids of parts into the cache: from the older generation, else from their words, else encoded."""
-        known, old, words, rest = self.parts, self.old_parts.get, self.words.get, []
-        self.words.setdefault("", b"")
+        rest = []
         for key in keys:
-            got = old(key)
+            got = self._part(key)
             if got is None:
-                part = key[1:] if key[:1] == " " else " " + key
-                core = part.rstrip(_MARKS)
-                got = words(core)
-                if got is None:
-                    got = self._word(core)
-                if got is not None and len(core) < len(part):
-                    tail = self._word(part[len(core):])
-                    got = None if tail is None else got + tail
-                if got is None:
-                    rest.append((key, part, core))
-                    continue
-            known[key] = got
+                rest.append((key, _flip(key)))
+            else:
+                self.parts[key] = got
         self._add_new(rest)
 
-    def _add_new(self, rest: list[tuple[str, str, str]]) -> None:
-        words, odd, plain, lines = self.words, [], [], []
-        for key, part, core in rest:
-            if core.lstrip(" ").isalpha():
-                plain.append((key, core, part[len(core):]))
-            elif "\n" in part and all(x.rstrip(_MARKS).lstrip(" ").isalpha() for x in part.split("\n")):
-                lines.append((key, part))  # a line end between non-spaces is a piece of its own
+    def _add_new(self, rest: list[tuple[str, str]]) -> None:
+        odd, plain = [], []
+        for key, part in rest:
+            lines = [(x.rstrip(_MARKS), x) for x in part.split("\n")]
+            if all([core.lstrip(" ").isalpha() for core, _ in lines]):
+                plain.append((key, [(core, x[len(core):]) for core, x in lines]))
             else:
                 odd.append((key, part))
-        ends = [(x, x.rstrip(_MARKS)) for _, part in lines for x in part.split("\n")]
-        new = {core for _, core, _ in plain}
-        new.update([tail for _, _, tail in plain])
-        new.update([core for _, core in ends], [x[len(core):] for x, core in ends])
+        new = {word for _, lines in plain for line in lines for word in line if word}
         self._add_words([x for x in new if self._word(x) is None])
-        self.parts.update([(key, words[core] + words[tail]) for key, core, tail in plain])
-        done = {x: words[core] + words[x[len(core):]] for x, core in ends}
-        for key, part in lines:
-            self.parts[key] = self.line.join([done[x] for x in part.split("\n")])
+        for key, lines in plain:
+            self.parts[key] = self.line.join([b"".join([self.parts[_flip(word)] for word in line if word]) for line in lines])
         for at in range(0, len(odd), 50_000):
             some = odd[at:at + 50_000]
             self.parts.update(zip([key for key, _ in some], self._ids([part for _, part in some])))
@@ -160,26 +165,58 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.parts) > CACHE_ENTRIES:
             self.parts, self.old_parts = {}, self.parts
-        if 2 * len(self.words) > 3 * CACHE_ENTRIES:
-            self.words, self.old_words = {}, self.words
-        parts = self.parts
-        split: list[list[str] | None] = []
-        missing: set[str] = set()
+        known, out = self.parts.get, []
+        holes: dict[str, list[tuple[list, int]]] = {}
         for text in texts:
-            if _INNER.search(text):
-                split.append(None)
-                continue
             # a part's key is what follows its space; the first part has none, which a space in its key says
             mine = text.split(" ")
             if mine[0]:
                 mine[0] = " " + mine[0]
             else:
                 del mine[0]
-            missing.update(filterfalse(parts.__contains__, mine))
-            split.append(mine)
-        self._add(missing)
-        whole = iter(self._ids([t for t, mine in zip(texts, split) if mine is None]))
-        return [next(whole) if mine is None else b"".join(map(parts.__getitem__, mine)) for mine in split]
+            ids = list(map(known, mine))
+            whole = None not in ids
+            if not whole:
+                ids, whole = self._fill(mine, ids, holes)
+            out.append(b"".join(ids) if whole else ids)
+        self._add({key for key in holes if not _open(key)})
+        last = [key for key in holes if _open(key)]
+        told = dict(zip(last, self._ids([_flip(key) for key in last])))
+        for key, places in holes.items():
+            got = told[key] if key in told else self.parts[key]
+            for ids, i in places:
+                ids[i] = got
+        rest = iter(self._ids([t for t, ids in zip(texts, out) if ids is None]))
+        return [next(rest) if ids is None else ids if isinstance(ids, bytes) else b"".join(ids) for ids in out]
+
+    def _fill(self, mine: list[str], ids: list, holes: dict[str, list[tuple[list, int]]]) -> tuple[list | None, bool]:
+        """Fill in the ids of a text's missing parts, and whether all are there; a part that must be encoded is noted in
+        ``holes``. None for a text with white space before a space: parts that end so are never kept, so all are met here."""
+        whole, parts = True, self.parts
+        for i in [i for i, got in enumerate(ids) if got is None]:
+            key = mine[i]
+            got = parts.get(key)
+            if got is None:
+                got = self._part(key)
+                if got is None:
+                    if _open(key) and i + 1 < len(mine):
+                        return None, False
+                    holes.setdefault(key, []).append((ids, i))
+                    whole = False
+                    continue
+                parts[key] = got
+            ids[i] = got
+        return ids, whole
+
+
+def _flip(x: str) -> str:
+    """A part's key, or the part of a key: without the space that it begins with, or with one."""
+    return x[1:] if x[:1] == " " else " " + x
+
+
+def _open(key: str) -> bool:
+    """A part that ends in white space, or a space alone."""
+    return not key or key[-1].isspace()
 
 
 _encoders: dict[str, Encoder] = {}

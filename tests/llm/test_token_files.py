@@ -89,3 +89,29 @@ def test_latin_words_go_to_the_model(monkeypatch):
         got = np.frombuffer(coder.encode([text])[0], coder.dtype).tolist()
         assert got == direct.encode(text, add_special_tokens=False).ids
         assert text is not latin or not asked
+
+
+def test_lines_of_known_pieces_are_put_together_at_once(monkeypatch):
+    """Letters and marks around a line end come from the model and the cache; nothing is left to be sorted out."""
+    from tokenizers import Tokenizer
+
+    direct, coder, left = Tokenizer.from_file(PATH), tf.Encoder(PATH), []
+    coder.encode(["a, b. c!"])
+    add_new = coder._add_new
+    monkeypatch.setattr(coder, "_add_new", lambda rest: (left.extend(rest), add_new(rest)))
+    for text in ("One, two.\nThree four!\nFünf six.", "two. Three\nOne,\nsix", "Seven.\neight nine"):
+        assert np.frombuffer(coder.encode([text])[0], coder.dtype).tolist() == direct.encode(text, add_special_tokens=False).ids
+    assert not left
+
+
+def test_white_space_and_marks_stay_exact_when_parts_are_known(monkeypatch):
+    """Parts kept from earlier texts never change a later one, also where the cache turns over."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tf, "CACHE_ENTRIES", 40)
+    rng, direct, coder = np.random.default_rng(3), Tokenizer.from_file(PATH), tf.Encoder(PATH)
+    bits = ["a", "the", "Über", "中文", "αβγ", "7", "(279)", ")", "'s", "|", ",", "...", ".", "\n", "\t", " ", "　", " ", " ", " ", " ", "<|endoftext|>"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(bits, rng.integers(0, 12))) for _ in range(50)]
+        got = [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode(texts)]
+        assert got == [direct.encode(x, add_special_tokens=False).ids for x in texts]
