@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -15,13 +16,14 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom import schema as S
 from loanloom.functions import exprs as E
+from loanloom.operators import boosting
 from loanloom.operators.aggregates import over_groups
 from loanloom.operators.ranking import running_totals
 from loanloom.session import ensure_checkpoint_dir
@@ -105,6 +107,7 @@ def pos_weight(rows: DataFrame, label: str = "target") -> DataFrame:
 
 MARGIN_STEPS = 10  # trees between two written margins
 SLICE_ROWS = 250_000  # training rows of a partition, where they are dealt anew
+FITTED_ROWS = 100_000  # training rows up to which MLlib fits the trees
 
 
 def train(
@@ -128,6 +131,9 @@ def train(
     grown. Margins are written to the checkpoint folder every ``MARGIN_STEPS`` trees, so a plan holds that
     many trees at most and a lost executor costs no tree. The losses of these trees are taken together then,
     or as soon as growth might stop.
+
+    Beyond ``FITTED_ROWS`` the same kind of trees is grown by ``boosting.boost`` in one stage, where a barrier stage can
+    run: MLlib reads all rows eight times a tree and bins them anew.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     if "part" not in rows.columns:
@@ -141,9 +147,19 @@ def train(
         (F.col("part") == "valid").alias("__valid"),
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    n = ready.where(~F.col("__valid")).count()
+    tasks = min(boosting.slots(rows.sparkSession), math.ceil(n / SLICE_ROWS))
+    if n > FITTED_ROWS and (tasks == 1 or tasks and boosting.shared_folder(rows.sparkSession)):
+        heavier = ready.where("__y > 0").agg(F.max("__weight")).first()[0]
+        grown, losses, limits = boosting.boost(
+            ready, features, tasks, 1.0 if heavier is None else heavier,
+            lambda losses: bool(losses) and len(losses) - best_iteration(losses, len(losses)) >= patience,
+            trees, depth, step, row_share, column_share, min_rows, seed)
+        kept = grown[:best_iteration(losses, patience)] if losses else grown
+        return PipelineModel([assembler, boosted(rows.sparkSession, kept, limits, step)])
     base, valid = (
         assembler.transform(some).select("features", "__y", "__weight", F.lit(0.0).alias("__margin")).checkpoint()
-        for some in (dealt_evenly(ready.where(~F.col("__valid"))), ready.where("__valid"))
+        for some in (dealt_evenly(ready.where(~F.col("__valid")), n), ready.where("__valid"))
     )
     watched = not valid.isEmpty()
     learner = RandomForestRegressor(
@@ -179,13 +195,13 @@ def train(
     return PipelineModel([assembler, ensemble(grown[:best], step)])
 
 
-def dealt_evenly(rows: DataFrame) -> DataFrame:
-    """Rows in equal partitions of at most ``SLICE_ROWS``, as many as cores or a multiple; up to that many rows stay as they are.
+def dealt_evenly(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows in equal partitions of at most ``SLICE_ROWS``, as many as cores or a multiple; up to that many rows stay as they are.
 
     Files of a panel have unequal sizes and their partitions seldom fit the cores, so that each pass would
     wait for a few late tasks.
     """
-    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows if n <= SLICE_ROWS else rows.repartition(cores * math.ceil(n / (cores * SLICE_ROWS)))
 
 
@@ -229,6 +245,49 @@ def ensemble(trees: Sequence, step: float) -> GBTClassificationModel:
     return model
 
 
+def boosted(spark: SparkSession, trees: Sequence[boosting.Tree], limits: Sequence[np.ndarray], step: float) -> GBTClassificationModel:
+    """Grown trees of one weight as MLlib's boosted classifier, by way of its file format: made node by node across the
+    gateway, a tree takes longer than to grow it. Sibling leaves of one prediction are one leaf, as in MLlib's own trees."""
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    path = f"{context.getCheckpointDir()}/boosted-{uuid4().hex}"
+    nothing = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(jvm.org.apache.spark.mllib.linalg.Vectors.parse("[0.0,0.0,0.0]").toArray(), 0)
+    leaf = jvm.org.apache.spark.ml.tree.LeafNode(0.0, 0.0, nothing)
+    stump = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel(f"dtr_{uuid4().hex[:12]}", leaf, len(limits))
+    pattern = ensemble([DecisionTreeRegressionModel(stump)], step)
+    pattern.write().save(f"{path}/pattern")
+
+    def put(tree: boosting.Tree, i: int, at: int) -> tuple[list[tuple], tuple]:
+        """The nodes from one down in the order of files, the first numbered ``at``, and the node for ``ensemble_trees``."""
+        n, weight, pull, square, *rest = tree[i]
+        value = pull / weight if weight else 0.0
+        told = (value, boosting.impurity(tree[i]), [float(weight), float(pull), float(square)], int(n))
+        if rest:
+            gain, f, cut = rest
+            left, a = put(tree, 2 * i, at + 1)
+            right, b = put(tree, 2 * i + 1, at + 1 + len(left))
+            if not (len(a) == len(b) == 2 and a[1] == b[1]):
+                limit = float(limits[f][cut])
+                first = (at, *told, gain, at + 1, at + 1 + len(left), (f, [limit], -1))
+                return [first, *left, *right], (float(weight), f, limit, a, b)
+            value = a[1]
+            told = (value, *told[1:])
+        return [(at, *told, -1.0, -1, -1, (-1, [], -1))], (float(weight), value)
+
+    stored = [put(tree, 1, 0) for tree in trees]
+    _, one, _ = spark.read.parquet(f"{path}/pattern/treesMetadata").first()
+    told = json.loads(spark.read.text(f"{path}/pattern/metadata").first()[0])
+    names = [json.dumps({**json.loads(one), "uid": f"dtr_{uuid4().hex[:12]}"}) for _ in trees]
+    frames = {"data": [(k, node) for k, (nodes, _) in enumerate(stored) for node in nodes],
+              "treesMetadata": [(k, name, float(step)) for k, name in enumerate(names)]}
+    for name, rows in frames.items():
+        kind = spark.read.parquet(f"{path}/pattern/{name}").schema
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{path}/model/{name}")
+    spark.createDataFrame([(json.dumps({**told, "numTrees": len(trees)}),)], "value string").coalesce(1).write.text(f"{path}/model/metadata")
+    model = GBTClassificationModel.load(f"{path}/model")
+    _grown[model] = [(float(step), root) for _, root in stored]
+    return model
+
+
 def best_iteration(losses: Sequence[float], patience: int) -> int:
     """Number of iterations up to the lowest loss met before ``patience`` iterations without a lower one."""
     best = 0
