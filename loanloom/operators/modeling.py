@@ -108,6 +108,7 @@ def pos_weight(rows: DataFrame, label: str = "target") -> DataFrame:
 MARGIN_STEPS = 10  # trees between two written margins
 SLICE_ROWS = 250_000  # training rows of a partition, where they are dealt anew
 FITTED_ROWS = 100_000  # training rows up to which MLlib fits the trees
+TASK_ROWS = 50_000  # training rows of a task beyond, where there are slots
 
 
 def train(
@@ -148,7 +149,7 @@ def train(
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     n = ready.where(~F.col("__valid")).count()
-    tasks = min(boosting.slots(rows.sparkSession), math.ceil(n / SLICE_ROWS))
+    tasks = min(boosting.slots(rows.sparkSession), math.ceil(n / TASK_ROWS))
     if n > FITTED_ROWS and (tasks == 1 or tasks and boosting.shared_folder(rows.sparkSession)):
         heavier = ready.where("__y > 0").agg(F.max("__weight")).first()[0]
         grown, losses, limits = boosting.boost(

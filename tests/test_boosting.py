@@ -39,8 +39,8 @@ def same(a, b):
     return a[1:3] == b[1:3] and same(a[3], b[3]) and same(a[4], b[4])
 
 
-@pytest.mark.parametrize("slice_rows", [10_000, 300])
-def test_trees_are_mllibs(spark, rows, fits, monkeypatch, slice_rows):
+@pytest.mark.parametrize("task_rows", [10_000, 300])
+def test_trees_are_mllibs(spark, rows, fits, monkeypatch, task_rows):
     """One task, and several that exchange sums: the same splits, covers, values, gains and number of trees, without a
     pass of MLlib's over the rows for each tree."""
     options = dict(trees=8, depth=4, min_rows=7, step=0.1, row_share=1.0, column_share=1.0, patience=3)
@@ -48,7 +48,7 @@ def test_trees_are_mllibs(spark, rows, fits, monkeypatch, slice_rows):
     met = len(fits)
     assert met == 8
     monkeypatch.setattr(M, "FITTED_ROWS", 100, raising=False)
-    monkeypatch.setattr(M, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(M, "TASK_ROWS", task_rows)
     got = M.train(rows, NAMES, **options)
     assert len(fits) == met
     a, b = M.ensemble_trees(want), M.ensemble_trees(got)
@@ -62,7 +62,7 @@ def test_trees_are_mllibs(spark, rows, fits, monkeypatch, slice_rows):
 
 def test_growth_stops_and_draws_are_repeatable(spark, rows, monkeypatch, tmp_path):
     monkeypatch.setattr(M, "FITTED_ROWS", 100, raising=False)
-    monkeypatch.setattr(M, "SLICE_ROWS", 400)
+    monkeypatch.setattr(M, "TASK_ROWS", 400)
     grown, boost = [], B.boost
     monkeypatch.setattr(B, "boost", lambda *a: grown.append(boost(*a)) or grown[-1])
     models = [M.train(rows, NAMES, trees=40, depth=3, min_rows=5, step=0.8, patience=4) for _ in range(2)]
